@@ -138,9 +138,9 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, q: np.ndarray,
     the key's group, marked when others share the key; the others, known to repeat, travel apart, spread evenly over groups."""
     if not len(keys):
         return
-    order = np.lexsort((places, docs, keys))
+    order = np.lexsort((places, docs, keys, q))
     keys, docs, places, q = keys[order], docs[order], places[order], q[order].astype(np.int64)
-    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (q[1:] != q[:-1]))))
     size = np.diff(np.append(new, len(keys)))
     other = docs != np.repeat(docs[new], size)
     many = np.repeat(np.add.reduceat(other, new) > 0, size)
@@ -149,8 +149,8 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, q: np.ndarray,
         if not part.any():
             continue
         k, d, p, g = keys[part], docs[part], places[part], q[part]
-        if sure:
-            g = (d * 2654435761 + p // 64) % groups
+        if sure:  # they keep their own group's number beside the place
+            p, g = p + (g << 40), (d * 2654435761 + p // 64) % groups
         by = np.argsort(g, kind="stable")
         k, d, p, g = k[by], d[by], p[by], g[by]
         at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
@@ -161,16 +161,16 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, q: np.ndarray,
         )
 
 
-def repeated(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a group's rows: documents, places and keys of entries whose key two documents hold, and whether a smaller document holds it too."""
-    out = []
+def repeated(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a group's rows: documents, places, keys and the keys' groups of entries whose key two documents hold, and whether a smaller document holds it too."""
+    out, own = [], int(table["q"][0].as_py()) if len(table) else 0
     for sure in (False, True):
         part = table.filter(pa.compute.equal(table["sure"], sure))
         get = lambda name, kind, part=part: np.concatenate([unplanes(x, kind) for x in part[name].to_pylist()] or [np.zeros(0, kind)])
         keys = np.concatenate([np.frombuffer(x, kind) for x in part["keys"].to_pylist()] or [np.zeros(0, kind)])
         docs, places = get("docs", np.int64), get("places", np.int64)
         if sure or not len(keys):
-            out.append((docs, places >> 1, keys, np.ones(len(docs), bool)))
+            out.append((docs, places % (1 << 40) >> 1, keys, places >> 40, np.ones(len(docs), bool)))
             continue
         order = np.lexsort((docs, keys))
         keys, docs, places = keys[order], docs[order], places[order]
@@ -178,5 +178,5 @@ def repeated(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.nd
         size = np.diff(np.append(new, len(keys)))
         later = docs != np.repeat(docs[new], size)
         more = np.repeat(np.add.reduceat(later | (places & 1 == 1), new) > 0, size)
-        out.append((docs[more], places[more] >> 1, keys[more], later[more]))
+        out.append((docs[more], places[more] >> 1, keys[more], np.full(int(more.sum()), own, np.int64), later[more]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))

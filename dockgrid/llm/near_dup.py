@@ -133,8 +133,7 @@ def _found(table: pa.Table) -> pa.Table:
     """A group's repeated signatures by document, and what passes through."""
     mine = table.filter(pa.compute.is_null(table["sure"]))["keys"].to_pylist()
     meta = np.concatenate([np.zeros((6, 0), np.int64), *(np.stack([unplanes(x.tobytes(), np.int64) for x in np.split(np.frombuffer(m, np.uint8), 6)]) for m in mine)], axis=1)
-    docs, codes, keys, _ = repeated(table.filter(pa.compute.is_valid(table["sure"])), np.uint32)
-    q = int(table["q"][0].as_py())
+    docs, codes, keys, q, _ = repeated(table.filter(pa.compute.is_valid(table["sure"])), np.uint32)
     nothing = pa.nulls(len(docs), pa.int32())
     return pa.table(
         {

@@ -123,7 +123,7 @@ def _next_level(window: int, length: int, groups: int):
 
 def _ranges(later_only: bool):
     def run(table: pa.Table) -> pa.Table:
-        docs, places, _, later = repeated(table, np.uint64)
+        docs, places, _, _, later = repeated(table, np.uint64)
         if later_only:
             docs, places, later = docs[later], places[later], later[later]
         order = np.lexsort((places, docs))
