@@ -1,3 +1,69 @@
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""A corpus pipeline of five stages over documents; each stage works on what its predecessor kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from dockgrid.llm.common import settle, table
+from dockgrid.llm.decontaminate import decontaminate
+from dockgrid.llm.language import fit_language, languages
+from dockgrid.llm.line_dedup import line_dedup
+from dockgrid.llm.near_dup import near_duplicates
+from dockgrid.llm.queries import vocabulary
+from dockgrid.llm.sentencepiece_codec import sentencepiece
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id is in ids; rows without one stay, as no decision names them."""
+    named = docs.filter("doc_id IS NOT NULL").join(ids, "doc_id", "left_semi")
+    return named.unionByName(docs.filter("doc_id IS NULL")).select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
+    """Documents without letters, and those of which no language holds the share least, go; lang becomes the predicted one."""
+    docs = docs.select(*COLUMNS)
+    found = languages(docs, fit_language(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    named = docs.drop("lang").join(found.select("doc_id", F.col("lang_pred").alias("lang")).dropDuplicates(["doc_id"]), "doc_id")
+    return named.select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier document holds go from the texts."""
+    return _sized(line_dedup(docs.select(*COLUMNS)))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the smallest doc_id."""
+    return _kept(docs, near_duplicates(docs).filter("doc_id = component_id").select("doc_id"))
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of benchmark items go from the texts; documents of which more than half is such go whole."""
+    return _sized(decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_ids, ids, round_trip of what is left."""
+    return sentencepiece(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_ids", "ids", "round_trip")
+
+
+STAGES = [("language_id", language_id), ("line_dedup", lines), ("near_duplicates", near), ("decontamination", benchmark_free), ("sentencepiece", encoded)]
+
+#: Models and tokenizers have no SQL form; tests compare the stages with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to documents, each one's result written to shared storage and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = settle(docs, name)
+    return docs

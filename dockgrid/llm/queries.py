@@ -4,18 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dockgrid.llm.common import table
+from dockgrid.llm.common import doc_hash, table
 from dockgrid.llm.decontaminate import contamination
 from dockgrid.llm.exact_dedup import exact_dedup
+from dockgrid.llm.language import fit_language, languages
 from dockgrid.llm.line_dedup import line_dedup
 from dockgrid.llm.near_dup import near_duplicates
+from dockgrid.llm.quality import fit_quality, held_out, quality_scores
+from dockgrid.llm.sentencepiece_codec import sentencepiece
 from dockgrid.llm.substring_dedup import substring_dedup
+from dockgrid.llm.token_counts import token_counts
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels.filter(F.pmod(doc_hash(), F.lit(5)) != 0))
+    scored = quality_scores(docs, model)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -28,6 +49,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = languages(docs, fit_language(docs.filter(F.pmod(doc_hash(), F.lit(3)) != 1)))
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False).drop("ids")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.expr("cast(aggregate(transform(hits, (x, i) -> IF(i % 2 = 1, x, -x)), 0, (a, x) -> a + x) AS bigint)")
@@ -35,7 +66,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_near_duplicates, op5_substring_dedup, op7_line_dedup, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_quality, op4_near_duplicates, op5_substring_dedup, op7_line_dedup, op8_language, op9_sentencepiece, op10_decontaminate)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
