@@ -25,7 +25,7 @@ def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return named.unionByName(docs.filter("doc_id IS NULL")).select(*COLUMNS)
 
 
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.4) -> DataFrame:
     """Documents without letters, and those of which no language holds the share least, go; lang becomes the predicted one."""
     docs = docs.select(*COLUMNS)
     found = languages(docs, fit_language(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))

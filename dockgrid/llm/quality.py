@@ -52,7 +52,7 @@ class Compression:
         return 1 / (1 + math.exp(-max(-40.0, min(40.0, z))))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, rounds: int = 60) -> np.ndarray:
     """Weights of (1, x) by Newton steps."""
     centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     a = np.column_stack((np.ones(len(x)), (x - centre) / spread))
