@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dockgrid.llm.common import LOWER, UPPER, WHITE
+from dockgrid.llm.common import LOWER, UPPER, WHITE, settle
 
 
 def lines_of(text: Column) -> Column:
@@ -31,7 +31,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         .select("doc_id", "text_key", "pos", key.alias("key")).filter(F.char_length("key") >= min_chars)
         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key", F.char_length("key")).alias("h2"), "doc_id", "text_key", "pos")
     )
-    dealt = lines.repartitionByRange("h1", "h2", "doc_id", "pos").sortWithinPartitions("h1", "h2", "doc_id", "pos")
+    dealt = settle(lines.repartitionByRange("h1", "h2", "doc_id", "pos").sortWithinPartitions("h1", "h2", "doc_id", "pos"), "lines")
     firsts = dealt.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
     lost = dealt.join(firsts.drop("last_doc"), ["h1", "h2"]).filter("doc_id > first_doc")
     words = lost.groupBy("doc_id", "text_key", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
