@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
 from dockgrid.functions.scalars import coulomb, covalent_flag, lennard_jones
@@ -48,7 +48,7 @@ def _side(atoms: DataFrame, p: str) -> DataFrame:
     return atoms.select("graph_id", *[C(c).alias(f"{p}_{c}") for c in ("chain", "res_seq", "res_name", "serial", "atom_name", "x", "y", "z", "charge", "eps", "sigma", "eps14", "sigma14")])
 
 
-def _distance() -> F.Column:
+def _distance() -> Column:
     return F.sqrt(sum(((C(f"l_{k}") - C(f"r_{k}")) * (C(f"l_{k}") - C(f"r_{k}")) for k in "xyz"), F.lit(0.0)))
 
 

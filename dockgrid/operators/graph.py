@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
 
@@ -177,7 +177,7 @@ def select_features(table: DataFrame, names: list[str] | str, keys: tuple[str, .
     return table.select(*keys, *names)
 
 
-def fit_width(column: str, width: int) -> F.Column:
+def fit_width(column: str, width: int) -> Column:
     """An array column cut or filled with 0 to width."""
     return F.slice(F.concat(C(column), F.array_repeat(F.lit(0.0), width)), 1, width)
 

@@ -14,7 +14,7 @@ C = F.col
 def score_graphs(nodes: DataFrame, edges: DataFrame, model: Callable[[pd.DataFrame, pd.DataFrame], float]) -> DataFrame:
     """graph_id, score, status, error: model(nodes, edges) of each graph; a graph that raises gets a fail row."""
 
-    def one(key, n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
         try:
             return pd.DataFrame([(key[0], float(model(n, e)), "ok", None)], columns=["graph_id", "score", "status", "error"])
         except Exception as why:  # noqa: BLE001  reported as a row
@@ -76,7 +76,7 @@ def map_structures(atoms: DataFrame, tool: Callable[[pd.DataFrame], dict], colum
     """A tool called on each structure's atoms; columns: its result's names and types. Failures become rows with their error."""
     names = [c.split()[0] for c in columns.split(",")]
 
-    def one(key, f: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         try:
             got = tool(f)
             return pd.DataFrame([[key[0], *[got[n] for n in names], "ok", None]], columns=["graph_id", *names, "status", "error"])
