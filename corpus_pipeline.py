@@ -34,8 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go from the texts."""
-    return _sized(line_dedup(docs.select(*COLUMNS)))
+    """Lines that an earlier document holds go from the texts; documents that lose all they had go whole."""
+    left = line_dedup(docs.select(*COLUMNS))
+    return _sized(left.filter((F.col("text") != "") | (F.col("n_dropped") == 0)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

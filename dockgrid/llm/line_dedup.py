@@ -46,17 +46,17 @@ def line_dedup(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     keep_bits: map<int, long>, the words of the keep bitmap in which some line is dropped (null: every line is kept). Null text
     becomes ''. Columns of docs with the names of added ones are replaced.
     """
-    lost = dropped_lines(docs, min_chars).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("drop_bits").alias("_bits"), F.col("n_dropped").alias("_n"))
+    lost = dropped_lines(docs, min_chars).select(F.col("doc_id").alias("_ld_id"), F.col("text_key").alias("_ld_key"), F.col("drop_bits").alias("_ld_bits"), F.col("n_dropped").alias("_ld_n"))
     whole = F.coalesce("text", F.lit(""))
     kept = F.filter(
         lines_of(F.col("text")),
-        lambda _, i: F.coalesce(F.getbit(F.try_element_at("_bits", F.shiftright(i, 6)), (i % 64)), F.lit(0)) == 0,
+        lambda _, i: F.coalesce(F.getbit(F.try_element_at("_ld_bits", F.shiftright(i, 6)), (i % 64)), F.lit(0)) == 0,
     )
     return (
-        docs.join(lost, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
+        docs.join(lost, (F.col("doc_id") == F.col("_ld_id")) & (F.xxhash64("text") == F.col("_ld_key")), "left")
         .withColumn("n_lines", F.size(lines_of(F.col("text"))).cast("long"))
-        .withColumn("n_dropped", F.coalesce("_n", F.lit(0)).cast("long"))
-        .withColumn("keep_bits", F.transform_values("_bits", lambda _, v: F.bitwise_not(v)))
-        .withColumn("text", F.when(F.col("_bits").isNull(), whole).otherwise(F.array_join(kept, "\n")))
-        .drop("_id", "_key", "_bits", "_n")
+        .withColumn("n_dropped", F.coalesce("_ld_n", F.lit(0)).cast("long"))
+        .withColumn("keep_bits", F.transform_values("_ld_bits", lambda _, v: F.bitwise_not(v)))
+        .withColumn("text", F.when(F.col("_ld_bits").isNull(), whole).otherwise(F.array_join(kept, "\n")))
+        .drop("_ld_id", "_ld_key", "_ld_bits", "_ld_n")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dockgrid.llm.chat import perspectives
 from dockgrid.llm.common import doc_hash, table
 from dockgrid.llm.decontaminate import contamination
 from dockgrid.llm.exact_dedup import exact_dedup
@@ -45,6 +46,13 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = perspectives(table(spark, sf_dir, "conversations"))
+    mask = F.array_join(F.transform("mask", lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
+    learned = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    return out.select("conv_id", "perspective", "part", "n_turns", F.char_length("text").cast("long").alias("n_chars"), learned.alias("n_learned"), mask.alias("mask"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
@@ -66,7 +74,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_quality, op4_near_duplicates, op5_substring_dedup, op7_line_dedup, op8_language, op9_sentencepiece, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_quality, op4_near_duplicates, op5_substring_dedup, op6_perspectives, op7_line_dedup, op8_language, op9_sentencepiece, op10_decontaminate)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -105,6 +113,16 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(c.n, 0) AS n_removed, sha
 FROM words w LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+OP6 = """
+WITH t AS (SELECT conv_id, turn // 256 AS part, turn, role, coalesce(text, '') AS text FROM conversations),
+who AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+p AS (SELECT t.conv_id, w.perspective, t.part, t.turn, t.role = w.perspective AS mine, '<|im_start|>' || CASE WHEN t.role = 'system' THEN 'system' WHEN t.role = w.perspective THEN 'assistant' ELSE 'user name=' || t.role END || chr(10) AS head, t.text || '<|im_end|>' || chr(10) AS body FROM t JOIN who w USING (conv_id)),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn ROWS UNBOUNDED PRECEDING) AS e FROM p)
+SELECT conv_id, perspective, part, count(*) AS n_turns, sum(length(head) + length(body))::BIGINT AS n_chars, coalesce(sum(length(body)) FILTER (mine), 0)::BIGINT AS n_learned,
+    coalesce(string_agg((e - length(body)) || '-' || e, ',' ORDER BY turn) FILTER (mine), '') AS mask, sha256(string_agg(head || body, '' ORDER BY turn)) AS text_sha256
+FROM o GROUP BY conv_id, perspective, part
+"""
+
 OP7 = f"""
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (SELECT doc_id, i, ls[i] AS line, {_LOWER.format(f"trim(ls[i], {_WHITE})")} AS k FROM split, unnest(range(1, len(ls) + 1)) AS t(i)),
@@ -130,4 +148,4 @@ FROM d LEFT JOIN words w USING (doc_id) LEFT JOIN items i USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op4_near_duplicates": OP4, "op5_substring_dedup": OP5, "op7_line_dedup": OP7, "op10_decontaminate": OP10}
+    return {"op2_exact_dedup": OP2, "op4_near_duplicates": OP4, "op5_substring_dedup": OP5, "op6_perspectives": OP6, "op7_line_dedup": OP7, "op10_decontaminate": OP10}
