@@ -9,25 +9,44 @@ after 128 words. Training reads a bounded sample of labelled pieces on the drive
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockgrid.llm.common import arrow, rows
+from dockgrid.llm.common import ODD, arrow, mixed, rows
 
 WORD = re.compile(r"[^\W\d_]+")
 CHAIN, BUCKETS = 128, 1 << 16
 OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
-def features(word: str) -> list[int]:
-    w = word.lower()
-    marked = f"<{w}>"
-    names = ["w=" + w, *("p=" + w[:k] for k in (1, 2, 3) if k < len(w)), *("s=" + w[-k:] for k in (1, 2, 3) if k < len(w)), *(marked[i : i + n] for n in (2, 3) for i in range(min(len(marked), 24) - n + 1))]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' features, word by word, and where each word's begin.
+
+    A lower-cased word between marks has its pairs and triples of characters, four characters at each end (affixes; shorter ones are
+    pairs and triples with a mark) and itself (lexicon entry).
+    """
+    marked = [f"<{w.lower()}>" for w in words]
+    c = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, marked), np.int64, len(marked))
+    first = np.cumsum(size) - size
+    owner = np.repeat(np.arange(len(words)), size)
+    at = np.arange(len(c)) - np.repeat(first, size)
+    left = np.repeat(size, size) - at  # characters from here to the word's end
+    d = np.concatenate((c, np.zeros(3, np.uint64)))
+    n = len(c)
+    pair = mixed(d[:n] * np.uint64(0x1F123BB5) + d[1 : n + 1] + np.uint64(2 << 40))
+    triple = mixed(pair * np.uint64(31) + d[2 : n + 2])
+    four = mixed(triple * np.uint64(31) + d[3 : n + 3])
+    power = np.cumprod(np.full(int(size.max()), ODD), dtype=np.uint64)
+    whole = mixed(np.add.reduceat(mixed(c) * power[at], first) + size.astype(np.uint64))
+    kinds = ((left >= 2, pair), (left >= 3, triple), ((left >= 4) & (at == 0), four), (left == 4, four + np.uint64(1)))
+    keys = np.concatenate([*(x[ok] for ok, x in kinds), whole])
+    owners = np.concatenate([*(owner[ok] for ok, _ in kinds), np.arange(len(words))])
+    order = np.argsort(owners, kind="stable")
+    return (keys[order] % np.uint64(BUCKETS)).astype(np.int64), np.searchsorted(owners[order], np.arange(len(words)))
 
 
 @dataclass
@@ -37,10 +56,10 @@ class Crf:
     moves: np.ndarray = field(repr=False)  # from label x to label
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        f = [features(w) for w in words]
-        size = np.fromiter(map(len, f), np.int64, len(f))
-        flat = np.fromiter((x for y in f for x in y), np.int64, int(size.sum()))
-        return np.add.reduceat(self.weights[flat], np.cumsum(size) - size, axis=0) if len(f) else np.zeros((0, len(self.langs)))
+        if not words:
+            return np.zeros((0, len(self.langs)))
+        flat, first = features(words)
+        return np.add.reduceat(self.weights[flat], first, axis=0)
 
 
 def marginals(emit: np.ndarray, moves: np.ndarray, starts: np.ndarray, size: np.ndarray, expected_moves: np.ndarray | None = None) -> np.ndarray:
@@ -91,10 +110,8 @@ def train_crf(pieces: list[tuple[str, str]], rounds: int = 40, rate: float = 0.5
         return model
     ids, gold, size = np.array(ids), np.array(gold), np.array(size)
     starts = np.cumsum(size) - size
-    f = [features(w) for w in vocab]
-    n_f = np.fromiter(map(len, f), np.int64, len(f))
-    flat, owner = np.fromiter((x for y in f for x in y), np.int64, int(n_f.sum())), np.repeat(np.arange(len(f)), n_f)
-    first = np.cumsum(n_f) - n_f
+    flat, first = features(list(vocab))
+    owner = np.repeat(np.arange(len(vocab)), np.diff(np.append(first, len(flat))))
     inner = np.ones(len(ids), bool)
     inner[starts] = False
     at = np.flatnonzero(inner)
@@ -108,7 +125,7 @@ def train_crf(pieces: list[tuple[str, str]], rounds: int = 40, rate: float = 0.5
         moves = np.zeros_like(model.moves)
         p = marginals(emit, model.moves, starts, size, moves)
         p[np.arange(len(ids)), gold] -= 1
-        by_word = np.column_stack([np.bincount(ids, -p[:, k], len(f)) for k in range(len(langs))])
+        by_word = np.column_stack([np.bincount(ids, -p[:, k], len(vocab)) for k in range(len(langs))])
         grad = np.column_stack([np.bincount(flat, by_word[owner, k], BUCKETS) for k in range(len(langs))]) / len(ids) - ridge * model.weights
         step = (seen - moves) / len(ids)
         sum_w += grad**2
