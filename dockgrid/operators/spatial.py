@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 C = F.col
@@ -159,9 +161,6 @@ def superposed_rmsd(pairs: DataFrame, group: str = "graph_id") -> DataFrame:
 
     Sums and cross-products are one aggregate; only the 3 x 3 decompositions run in a vectorised function.
     """
-    import numpy as np
-    import pandas as pd
-
     sums = [F.sum(C(k)).alias(f"s_{k}") for k in ("x", "y", "z", "rx", "ry", "rz")]
     crossed = [F.sum(C(a) * C(b)).alias(f"c_{a}_{b}") for a in "xyz" for b in ("rx", "ry", "rz")]
     squares = F.sum(sum((C(k) * C(k) for k in ("x", "y", "z", "rx", "ry", "rz")), F.lit(0.0))).alias("squares")

@@ -114,7 +114,7 @@ def read_patches(spark: SparkSession, path: str) -> DataFrame:
 def read_residue_classes(spark: SparkSession, path: str) -> DataFrame:
     """rule_no, class, res_name (or all), present, absent of lines '<class>: name=<res> present(A, B) absent(C)'."""
     p = r"^([A-Z]{3,4})\s*:\s*name\s*=\s*(all|[A-Z]{3})"
-    names = lambda kind: F.filter(F.flatten(F.transform(F.regexp_extract_all("line", F.lit(rf"{kind}\(([A-Z0-9, ]+)\)"), F.lit(1)), lambda x: F.transform(F.split(x, ","), F.trim))), lambda x: x != "")
+    names = lambda kind: F.filter(F.flatten(F.transform(F.regexp_extract_all("line", F.lit(rf"{kind}\(([A-Z0-9, ]+)\)"), F.lit(1)), lambda x: F.transform(F.split(x, ","), lambda y: F.trim(y)))), lambda x: x != "")
     return read_lines(spark, path).filter(C("line").rlike(p)).select(C("line_no").alias("rule_no"), F.regexp_extract("line", p, 1).alias("class"), F.regexp_extract("line", p, 2).alias("res_name"), names("present").alias("present"), names("absent").alias("absent"))
 
 
@@ -145,6 +145,9 @@ def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> Dat
 
 
 def drop_bad_sources(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Files below path that hold bytes, and the empty ones."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").load(path).select("path", "length")
-    return files.filter("length > 0"), files.filter("length = 0")
+    """Files below path that hold bytes, and the empty ones (which no scan returns: they are in the file index only)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").load(path)
+    full = files.filter("length > 0").select("path", "length")
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").withColumn("plain", plain)
+    return full, listed.join(full.select(plain.alias("plain")), "plain", "left_anti").select("path", F.lit(0).cast("long").alias("length"))
