@@ -37,7 +37,8 @@ def radius_join(left: DataFrame, right: DataFrame, cutoff: float, on: tuple[str,
     match.append(d2 < limit if strict else d2 <= limit)
     if where:
         match.append(F.expr(where))
-    both = a.join(b, match).withColumn("d2", d2)
+    # The copied side has 27 rows a point, which size estimates don't see: never broadcast it.
+    both = a.hint("merge").join(b, match).withColumn("d2", d2)
     return both.drop(*[f"cell_{k}" for k in "xyz"], *[f"at_{k}" for k in "xyz"])
 
 
@@ -111,8 +112,8 @@ def exposed_points(atoms: DataFrame, probe: float = 1.4, n_points: int = 24, by_
     widest = atoms.agg(F.max("radius")).first()[0] or 0.0
     others = atoms.select("graph_id", "chain", "serial", "radius", "x", "y", "z")
     on = ("graph_id", "chain") if by_chain else ("graph_id",)
-    hidden = radius_join(points, others, widest + probe, on=on, strict=True, where=f"l_serial <> r_serial AND {_d2_sql()} < (r_radius + {probe}D) * (r_radius + {probe}D)")
-    keys = hidden.select(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial"), C("l_k").alias("k")).distinct()
+    hidden = radius_join(others, points, widest + probe, on=on, strict=True, where=f"l_serial <> r_serial AND {_d2_sql()} < (l_radius + {probe}D) * (l_radius + {probe}D)")
+    keys = hidden.select(C("r_graph_id").alias("graph_id"), C("r_serial").alias("serial"), C("r_k").alias("k")).distinct()
     return points.join(keys, ["graph_id", "serial", "k"], "left_anti")
 
 

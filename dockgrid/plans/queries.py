@@ -193,9 +193,9 @@ def g2_symmetrise(spark, d):
     return gr.symmetrise(e).groupBy("graph_id", "src").agg(F.count("*").alias("degree"))
 
 
-@query(f"WITH {v.ATOMS} SELECT graph_id, chain, res_seq, res_name, round(avg(x), 4) AS x, round(avg(y), 4) AS y, round(avg(z), 4) AS z, count(*) AS n_atoms FROM atoms GROUP BY ALL")
+@query(f"WITH {v.ATOMS} SELECT graph_id, chain, res_seq, res_name, round(avg(x), 9) AS x, round(avg(y), 9) AS y, round(avg(z), 9) AS z, count(*) AS n_atoms FROM atoms GROUP BY ALL")
 def d1_residue_centroid(spark, d):
-    return sp.residue_centroid(v.atoms(spark, d)).withColumns({k: F.round(k, 4) for k in "xyz"})
+    return sp.residue_centroid(v.atoms(spark, d)).withColumns({k: F.round(k, 9) for k in "xyz"})
 
 
 FLAGSHIP = f"""WITH {v.ATOMS}, {v.CONTACTS}, {NODES}, {INTERNAL}, pairs AS (SELECT graph_id, l_serial, r_serial, d2, FALSE AS same FROM contacts UNION ALL SELECT graph_id, l_serial, r_serial, d2, TRUE FROM internal),
@@ -377,10 +377,10 @@ def d14_nis_percentages(spark, d):
 _W = fixed.AFFINITY
 
 
-@query(f"WITH {v.ATOMS}, {CLASSES}, {NIS}, g AS (SELECT c.graph_id, c.total, {_W['constant']} + {_W['CC']} * CC + {_W['CA']} * CA + {_W['PP']} * PP + {_W['PA']} * PA + {_W['apolar']} * coalesce(nis_apolar, 0) + {_W['charged']} * coalesce(nis_charged, 0) AS delta_g FROM classes c LEFT JOIN nis USING (graph_id)) SELECT graph_id, total, round(delta_g, 4) AS delta_g, round(delta_g / ({fixed.GAS} * 298.15) , 4) AS ln_kd, 'ok' AS status FROM g")
+@query(f"WITH {v.ATOMS}, {CLASSES}, {NIS}, g AS (SELECT c.graph_id, c.total, {_W['constant']} + {_W['CC']} * CC + {_W['CA']} * CA + {_W['PP']} * PP + {_W['PA']} * PA + {_W['apolar']} * coalesce(nis_apolar, 0) + {_W['charged']} * coalesce(nis_charged, 0) AS delta_g FROM classes c LEFT JOIN nis USING (graph_id)) SELECT graph_id, total, round(delta_g, 7) AS delta_g, round(delta_g / ({fixed.GAS} * 298.15) , 4) AS ln_kd, 'ok' AS status FROM g")
 def j10_affinity_batch(spark, d):
     out = affinity.affinity_batch(v.atoms(spark, d), _exposure(spark, d), "A", "B")
-    return out.select("graph_id", "total", r4("delta_g", "delta_g"), F.round(F.log("kd"), 4).alias("ln_kd"), "status")
+    return out.select("graph_id", "total", F.round("delta_g", 7).alias("delta_g"), F.round(F.log("kd"), 4).alias("ln_kd"), "status")
 
 
 @query(f"SELECT o_orderkey AS graph_id, round({_W['constant']} + {_W['CC']} * (o_orderkey % 7) + {_W['CA']} * (o_orderkey % 5) + {_W['PP']} * (o_orderkey % 3) + {_W['PA']} * (o_custkey % 4) + {_W['apolar']} * 30 + {_W['charged']} * 20, 3) AS delta_g FROM orders")

@@ -235,9 +235,9 @@ def _gpu(spark, d):
     return v.table(spark, d, "events").select(C("user_id").alias("prefix"), (C("event_id") % 4).alias("gpu"), F.when(C("event_id") % 4 == 3, 0.0).otherwise(C("value")).alias("util"), (C("value") % 60).alias("mem"), (C("value") % 50).alias("power"), C("event_type").alias("pid"))
 
 
-@query(f"WITH {GPU}, a AS (SELECT prefix, gpu, max(util) AS max_util, avg(util) AS mean_util, max(mem) AS max_mem, max(power) AS max_power, avg(CAST(util > 0 AS INT)) AS frac_busy, count(DISTINCT pid) AS n_pids FROM gpu GROUP BY ALL), k AS (SELECT DISTINCT prefix, g AS gpu FROM gpu, unnest(range(5)) AS t(g)) SELECT k.prefix, k.gpu, round(coalesce(max_util, 0), 4) AS max_util, round(coalesce(mean_util, 0), 4) AS mean_util, coalesce(n_pids, 0) AS n_pids, coalesce(max_util > 0 OR max_mem > 50 OR max_power > 45, FALSE) AS active FROM k LEFT JOIN a USING (prefix, gpu)")
+@query(f"WITH {GPU}, a AS (SELECT prefix, gpu, max(util) AS max_util, avg(util) AS mean_util, max(mem) AS max_mem, max(power) AS max_power, avg(CAST(util > 0 AS INT)) AS frac_busy, count(DISTINCT pid) AS n_pids FROM gpu GROUP BY ALL), k AS (SELECT DISTINCT prefix, g AS gpu FROM gpu, unnest(range(5)) AS t(g)) SELECT k.prefix, k.gpu, round(coalesce(max_util, 0), 9) AS max_util, round(coalesce(mean_util, 0), 9) AS mean_util, coalesce(n_pids, 0) AS n_pids, coalesce(max_util > 0 OR max_mem > 50 OR max_power > 45, FALSE) AS active FROM k LEFT JOIN a USING (prefix, gpu)")
 def d24_gpu_activity(spark, d):
-    return _round(tl.gpu_activity(_gpu(spark, d), 5), 4, "max_util", "mean_util").select("prefix", "gpu", "max_util", "mean_util", "n_pids", "active")
+    return _round(tl.gpu_activity(_gpu(spark, d), 5), 9, "max_util", "mean_util").select("prefix", "gpu", "max_util", "mean_util", "n_pids", "active")
 
 
 @query("SELECT user_id AS prefix, array_to_string([x FOR x IN [CASE WHEN quantile_cont(value, 0.95) >= 100 THEN 'high iowait' END, CASE WHEN count(*) FILTER (event_type = 'purchase') = 0 THEN 'no active gpu' END, CASE WHEN count(*) FILTER (event_type = 'purchase') > 0 AND count(DISTINCT user_id % 3) FILTER (event_type = 'purchase') = 1 AND min(user_id % 3) = 0 AND avg(value) < 50 THEN 'only gpu 0 active, barely used' END] IF x IS NOT NULL], '|') AS notes FROM events GROUP BY user_id")
