@@ -150,8 +150,27 @@ def fit_language(docs: DataFrame, sample: int = 250, piece: int = 1500) -> Crf:
     return train_crf(list(zip(got["piece"], got["lang"], strict=True)))
 
 
-def label(model: Crf, texts: list[str | None], known: dict[str, int], table: list[np.ndarray]) -> list[tuple[str, float]]:
-    """(language, share) for each text. known: rows of table, which holds the scores of words met before."""
+@dataclass
+class Memory:
+    """Scores of words met before: their rows in a table. Bounded in words and in characters."""
+
+    rows: dict[str, int] = field(default_factory=dict)
+    scores: np.ndarray | None = None
+    chars: int = 0
+
+    def of(self, model: Crf, words: list[str]) -> np.ndarray:
+        if len(self.rows) > 300_000 or self.chars > 8_000_000:
+            self.rows, self.scores, self.chars = {}, None, 0
+        if new := [w for w in dict.fromkeys(words) if w not in self.rows]:
+            self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            self.chars += sum(map(len, new))
+            fresh = model.emissions(new)
+            self.scores = fresh if self.scores is None else np.concatenate([self.scores, fresh])
+        return self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
+
+
+def label(model: Crf, texts: list[str | None], memory: Memory) -> list[tuple[str, float]]:
+    """(language, share) for each text."""
     words: list[str] = []
     size: list[int] = []
     docs: list[int] = []
@@ -168,18 +187,10 @@ def label(model: Crf, texts: list[str | None], known: dict[str, int], table: lis
                 docs.append(k)
                 n -= CHAIN
         letters.append(found and bool(model.langs))
-    if len(known) > 300_000:
-        known.clear()
-        table.clear()
-    if new := [w for w in dict.fromkeys(words) if w not in known]:
-        for w in new:
-            known[w] = len(known)
-        table[:] = [np.concatenate([*table, model.emissions(new)])]
     if not words or not model.langs:
         return [("und", 0.0)] * len(texts)
-    ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
     sizes = np.array(size)
-    p = marginals(table[0][ids], model.moves, np.cumsum(sizes) - sizes, sizes)
+    p = marginals(memory.of(model, words), model.moves, np.cumsum(sizes) - sizes, sizes)
     owner = np.repeat(np.array(docs), sizes)
     total = np.column_stack([np.bincount(owner, p[:, k], len(texts)) for k in range(len(model.langs))])
     best = total.argmax(axis=1)
@@ -195,10 +206,9 @@ def languages(docs: DataFrame, model: Crf) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        known: dict[str, int] = {}
-        scores: list[np.ndarray] = []
+        memory = Memory()
         for held in rows(batches, 500_000):
-            got = label(shared.value, [t for _, t in held], known, scores)
+            got = label(shared.value, [t for _, t in held], memory)
             yield arrow({"doc_id": [i for i, _ in held], "lang_pred": [x for x, _ in got], "score": [s for _, s in got]}, OUT)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")

@@ -81,7 +81,11 @@ def count_all(path: str, texts: list[str], chunk: int, overlap: int) -> list[int
     for k in range(0, len(new), 20_000):
         part = new[k : k + 20_000]
         known.update(zip(part, map(len, t.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-    return [sum(map(len, chunk_ids(encode, x, chunk, overlap))) if words is None else sum(map(known.__getitem__, words)) for x, words in zip(texts, split, strict=True)]
+    out = [sum(map(len, chunk_ids(encode, x, chunk, overlap))) if words is None else sum(map(known.__getitem__, words)) for x, words in zip(texts, split, strict=True)]
+    for w in new:  # long words are not worth their memory
+        if len(w) > 64:
+            del known[w]
+    return out
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = 32_768, overlap: int = 512) -> DataFrame:
