@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
+from dockgrid.operators.cluster import settle
 from dockgrid.operators.energy import nonbonded
 from dockgrid.operators.graph import index_edges, index_nodes, symmetrise, valid_nodes
 from dockgrid.operators.spatial import contact_pairs, internal_pairs
@@ -19,10 +20,10 @@ def build_graphs(atoms: DataFrame, cutoff: float = 5.0, internal: float = 3.0) -
     Contacts across chains (<= cutoff) give the nodes; interface edges join nodes across chains, internal edges nodes of one
     chain nearer than `internal`; both are stored in both directions with distance, energies and a covalent flag.
     """
-    contacts = contact_pairs(atoms, cutoff)
-    nodes = index_nodes(valid_nodes(atoms, contacts)).withColumns(
-        {"atom_type": atom_index("atom_name"), "res_type": residue_index("res_name"), "hydropathy": hydropathy("res_name"), "polarity": polarity_index("res_name")}
-    )
+    # Both are read by several branches below: written once, each branch scans the columns that it needs.
+    contacts = settle(contact_pairs(atoms, cutoff), "contacts")
+    features = {"atom_type": atom_index("atom_name"), "res_type": residue_index("res_name"), "hydropathy": hydropathy("res_name"), "polarity": polarity_index("res_name")}
+    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns(features), "nodes")
     within = internal_pairs(nodes.select("graph_id", "chain", "serial", "x", "y", "z"), internal)
     pairs = contacts.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("interface").alias("edge_type"), "d2").unionByName(within.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("internal").alias("edge_type"), "d2"))
     edges = index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes)
