@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from dockgrid.operators.graph import pool_edges
+from dockgrid.storage import settle
 
 C = F.col
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes an intermediate table to the folder in spark.checkpoint.dir (a new local one only where none is set) and reads it back."""
-    spark = df.sparkSession
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='dockgrid-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def column_normalised(m: DataFrame) -> DataFrame:
     """m: graph_id, i, j, v; columns (j) sum to 1."""
     return m.withColumn("v", C("v") / F.sum("v").over(Window.partitionBy("graph_id", "j")))

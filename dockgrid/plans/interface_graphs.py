@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
-from dockgrid.operators.cluster import settle
 from dockgrid.operators.energy import nonbonded
 from dockgrid.operators.graph import index_edges, index_nodes, symmetrise, valid_nodes
 from dockgrid.operators.spatial import contact_pairs, internal_pairs
+from dockgrid.storage import settle
 
 C = F.col
 FIELD = ("charge", "eps", "sigma", "eps14", "sigma14")

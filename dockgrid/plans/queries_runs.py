@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockgrid.functions import scalars as sc
 from dockgrid.operators import evaluate as ev, graph as gr, scoring, telemetry as tl, workflow as wf
-from dockgrid.operators.cluster import settle
 from dockgrid.plans import views as v
 from dockgrid.plans.queries import query
 from dockgrid.sources import structures, tables
+from dockgrid.storage import new_path
 from dockgrid.streaming import streams
 
 C = F.col
@@ -23,15 +21,6 @@ def _round(df: DataFrame, n: int, *names: str) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c in names})
 
 
-def _shared(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        settle(spark.range(1).toDF("id"), "probe")
-        at = spark.conf.get("spark.checkpoint.dir")
-    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 # ---- evaluation
 
 HIT = "CAST(y > 4 AS INT)"
@@ -510,7 +499,7 @@ def h19_vectors(spark, d):
 
 @query("SELECT doc_id || '.A' AS label, doc_id::VARCHAR AS mol, 'A' AS chain, 64::INT AS length, sha256(text) AS sequence FROM documents")
 def a5_manifest(spark, d):
-    at = _shared(spark, "manifest")
+    at = new_path(spark, "manifest")
     s = v.table(spark, d, "documents").select(F.concat(C("doc_id").cast("string"), F.lit(".A")).alias("label"), C("doc_id").cast("string").alias("mol"), F.lit("A").alias("chain"), F.sha2("text", 256).alias("sequence"))
     structures.write_manifest(s, at)
     return structures.read_manifest(spark, at)
@@ -524,7 +513,7 @@ def a6_merge_predictions(spark, d):
 
 @query("SELECT 'm' || l_orderkey AS pdb_id, l_tax AS predicted_dockq FROM lineitem")
 def a7_export_predictions(spark, d):
-    at = _shared(spark, "export")
+    at = new_path(spark, "export")
     p = v.table(spark, d, "lineitem").select(F.concat(F.lit("m"), C("l_orderkey").cast("string"), F.lit("_model_"), C("l_linenumber").cast("string")).alias("mol"), C("l_tax").alias("dockq"))
     tables.export_predictions(p, at)
     return spark.read.csv(at, sep="\t", header=True, schema="pdb_id string, predicted_dockq double")
@@ -532,7 +521,7 @@ def a7_export_predictions(spark, d):
 
 @query(f"WITH {v.ATOMS} SELECT graph_id, count(*) AS n, round(sum(x), 3) AS sx FROM atoms GROUP BY graph_id")
 def a8_graph_store(spark, d):
-    at = _shared(spark, "graphs")
+    at = new_path(spark, "graphs")
     a = v.atoms(spark, d)
     tables.write_graphs(at, a, a.select("graph_id", C("serial").alias("src"), C("serial").alias("dst")), buckets=8)
     return tables.read_graphs(spark, at, ("nodes", "edges"))["nodes"].groupBy("graph_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 3).alias("sx"))
@@ -545,7 +534,7 @@ def a16_load_backbone(spark, d):
 
 @query("SELECT user_id::INT AS epoch, event_type AS phase, event_id::VARCHAR AS name, value::VARCHAR AS value FROM events WHERE event_type = 'view'")
 def a17_epoch_results(spark, d):
-    at = _shared(spark, "epochs")
+    at = new_path(spark, "epochs")
     e = v.table(spark, d, "events").filter("event_type IN ('view', 'click')").select(C("user_id").cast("int").alias("epoch"), C("event_type").alias("phase"), C("event_id").cast("string").alias("name"), C("value").cast("string").alias("value"))
     tables.write_epoch_results(e, at)
     return tables.read_epoch_results(spark, at, "view").select("epoch", "phase", "name", "value")
@@ -595,7 +584,7 @@ def j7_map_structures(spark, d):
 
 def _streamed(df: DataFrame, mode: str, spark: SparkSession, name: str) -> DataFrame:
     """Runs a streaming plan over what is there and returns its last result, written to shared storage by each batch."""
-    at = _shared(spark, name)
+    at = new_path(spark, name)
     last: list[str] = []
 
     def keep(batch: DataFrame, number: int) -> None:
