@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dockgrid.storage import settle  # noqa: F401  the operators take it from here
+
 #: ASCII white space, and the capital letters that the word and line keys fold.
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -20,21 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it names none, a new one (local tests)."""
-    if not (at := spark.conf.get("spark.checkpoint.dir", None)):
-        at = f"file://{tempfile.mkdtemp(prefix='dockgrid-')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to shared storage and reads it back: lineage ends here, and a lost executor costs no recomputation."""
-    at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
