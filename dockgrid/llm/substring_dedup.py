@@ -53,7 +53,7 @@ def _words(text: str | None) -> bytes:
 class Block:
     """Gathers entries and deals them out when there are many."""
 
-    def __init__(self, groups: int, most: int = 1_000_000):
+    def __init__(self, groups: int, most: int = 300_000):
         self.groups, self.most, self.parts, self.n = groups, most, [], 0
 
     def add(self, keys, doc: int, places, q) -> bool:
