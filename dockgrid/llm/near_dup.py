@@ -6,8 +6,8 @@ hashes there; empty ones are left out). A shingle in which two sets differ spoil
 link differ in at most H(n) shingles, so a set shares at least T = signatures - C(n2-1, r-1) * H of its own with any
 partner. Hence exactly: sets with fewer than T repeated signatures have no partner, and the T-1 most frequent ones of a set can be
 left out of its search (what very common passages produce ends there). Candidates are verified on the shingle sets
-themselves. Within a signature's bucket all sets are first compared with one hub; only sets that remain in different
-components are compared with each other.
+themselves. Within a signature's bucket all sets are first compared with one hub; sets that remain in different components meet
+again only where they share enough of the shingles in which they differ from the hub.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ class PartEnum:
 
 def _signatures(method: PartEnum, n_words: int, groups: int):
     def run(batches):
-        block, meta = Block(groups, 1_500_000), []
+        block, meta = Block(groups), []
         seen: set[tuple[int, int]] = set()
 
         def flush():
@@ -180,28 +180,54 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, parts:
     # The T-1 most frequent signatures of a set can't be all that it shares with a partner.
     ranked = left.withColumn("rarer", F.row_number().over(Window.partitionBy("doc_id", "band").orderBy("size", "sig"))).withColumn("c", F.count("*").over(Window.partitionBy("doc_id", "band")))
     searched = settle(ranked.filter("rarer <= c - t + 1").select("band", "sig", "doc_id", "n", "c"), "searched")
-    hubs = searched.groupBy("band", "sig").agg(F.max(F.struct("c", -F.col("doc_id"), "n")).alias("h"), F.count("*").alias("size")).filter("size > 1").select("band", "sig", (-F.col("h")["col2"]).alias("hub"), F.col("h")["n"].alias("hub_n"))
-    near = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
-    first = searched.join(hubs, ["band", "sig"]).filter(f"doc_id <> hub AND {near}").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-    first = settle(first, "pairs")
+    hubs = searched.groupBy("band", "sig").agg(F.max(F.struct("c", -F.col("doc_id"))).alias("h"), F.count("*").alias("size")).filter("size > 1").select("band", "sig", (-F.col("h")["col2"]).alias("hub"))
+    first = settle(searched.join(hubs, ["band", "sig"]).filter("doc_id <> hub").select("hub", "doc_id").distinct(), "pairs")
     sets = settle(docs.join(searched.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(n_words), "doc_id long, set array<long>"), "sets")
-    links = settle(_verified(first, sets, percent), "links")
+    linked = settle(_compared(first, sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked"), "compared")
+    links = linked.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     comp = settle(components(links), "labels")
-    # What remains: sets of one bucket in different components.
-    labelled = searched.join(comp, searched["doc_id"] == comp["node"], "left").select("band", "sig", "doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
-    mixed_buckets = labelled.groupBy("band", "sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("band", "sig")
-    open_ = labelled.join(mixed_buckets, ["band", "sig"])
-    a, b = (open_.select("band", "sig", F.col("doc_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("label").alias(f"{x}_label")) for x in "ab")
-    rest = a.join(b, ["band", "sig"]).filter(f"a < b AND a_label <> b_label AND 100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    links = settle(links.unionByName(_verified(settle(rest, "pairs"), sets, percent)), "links")
+    rest = settle(_apart(linked, comp, sets, percent).join(linked.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    links = settle(links.unionByName(_compared(rest, sets, "a", "b", percent).filter("linked").select("a", "b")), "links")
     comp = components(links)
     degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
     reps = classes.join(comp, classes["rep"] == comp["node"], "left").drop("node").join(degree, F.col("rep") == degree["node"], "left").select("n", "k1", "k2", F.coalesce("label", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return members.distinct().join(reps, ["n", "k1", "k2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b whose sets link, compared whole."""
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.withColumn("c", common).filter(f"100 * c >= {percent} * (size(x) + size(y) - c)").select("a", "b")
+def _compared(pairs: DataFrame, sets: DataFrame, a: str, b: str, percent: int) -> DataFrame:
+    """pairs with both sets, x and y, and whether they link: compared whole."""
+    both = pairs.join(sets.select(F.col("doc_id").alias(a), F.col("set").alias("x")), a).join(sets.select(F.col("doc_id").alias(b), F.col("set").alias("y")), b)
+    return both.withColumn("c", F.size(F.array_intersect("x", "y"))).withColumn("linked", F.expr(f"100 * c >= {percent} * (size(x) + size(y) - c)"))
+
+
+def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs a < b of sets compared with the same hub that may link although they are in different components.
+
+    E is the set of shingles in which a set differs from the hub; |x - y| = |Ex| + |Ey| - 2 |common of E|. Sets that link differ in at
+    most H; if |Ex| + |Ey| <= H both link with the hub. So others share at least A = (|Ex| + |Ey| - H) / 2 shingles of E: a
+    prefix-filtered join on E, rarest shingles first. The set with the smaller E is indexed with those of its shingles that the
+    smallest possible A leaves (for a set that links with the hub only partners that do not are asked for, whose E is larger than
+    H), the other one probes. Copies with edits of their own share no rare shingle of E, so a large group gives no square of pairs.
+    """
+    label = comp.select(F.col("node"), "label")
+    named = linked.join(label.select(F.col("node").alias("doc_id"), F.col("label").alias("l")), "doc_id", "left").join(label.select(F.col("node").alias("hub"), F.col("label").alias("hl")), "hub", "left")
+    named = named.withColumn("label", F.coalesce("l", "doc_id")).withColumn("open", F.col("label") != F.coalesce("hl", "hub")).select("hub", "doc_id", "linked", "label", "open")
+    hubs = named.groupBy("hub").agg(F.max("open").alias("any_open"), F.count("*").alias("members")).filter("any_open AND members > 1").select("hub")
+    p, q = 100 - percent, 100 + percent
+    differ = f"({p} * (n + 100 * n div {percent}) div {q})"
+    wide = _compared(named.join(hubs, "hub"), sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked", "label", F.size("y").alias("n"), F.size("x").alias("hub_n"), F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("e"))
+    wide = wide.withColumn("m", F.size("e")).withColumn("h", F.expr(differ))
+    # The smallest number of shared shingles with a partner whose E is no smaller.
+    least = F.greatest(F.lit(1), F.expr("cast(ceil(m - h / 2) AS int)"), F.when(F.col("linked"), F.expr(f"cast(floor(({q} * m - {p} * (n - hub_n)) / (2 * {q})) + 1 AS int)")))
+    wide = wide.withColumn("index_n", F.col("m") - least + 1).withColumn("probe_n", F.least("m", F.col("h") + 1))
+    cells = settle(wide.select("hub", "doc_id", "label", "n", "m", "linked", "index_n", "probe_n", F.explode("e").alias("g")), "differences")
+    common = cells.groupBy("hub", "g").agg(F.count("*").alias("df")).filter("df > 1")
+    mine = Window.partitionBy("hub", "doc_id")
+    ranked = cells.join(common, ["hub", "g"]).withColumn("place", F.col("m") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "g")))
+    cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
+    names = ("doc_id", "label", "n", "m", "linked", "place")
+    i, j = (cut.filter(k).select("hub", "g", *[F.col(c).alias(f"{s}_{c}") for c in names]) for k, s in (("index", "i"), ("probe", "j")))
+    apart = f"(i_m < j_m OR (i_m = j_m AND i_doc_id <> j_doc_id)) AND i_label <> j_label AND NOT (i_linked AND j_linked) AND 100 * least(i_n, j_n) >= {percent} * greatest(i_n, j_n)"
+    # A pair's first common shingle leaves room for A of them after it; at later ones of a pair this may fail.
+    room = f"2 * (1 + least(i_m - i_place, j_m - j_place)) >= i_m + j_m - {p} * (i_n + j_n) div {q}"
+    return i.join(j, ["hub", "g"]).filter(f"{apart} AND {room}").select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
