@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
 from dockgrid.functions.scalars import coulomb, covalent_flag, lennard_jones
+from dockgrid.storage import if_small
 
 C = F.col
 RES = ("graph_id", "chain", "res_seq", "res_name")
@@ -23,11 +24,13 @@ def lookup_forcefield(atoms: DataFrame, topology: DataFrame, classes: DataFrame,
     rule = classes.select("rule_no", "class", C("res_name").alias("rule_res"), "present", "absent")
     fits = (C("rule_res") == "all") | (C("rule_res") == C("res_name"))
     met = (F.size(F.array_intersect("present", "names")) == F.size("present")) & ~F.arrays_overlap("absent", "names")
+    if rule.limit(10_001).count() > 10_000:
+        raise ValueError("more than 10000 residue class rules")
     classed = names.join(F.broadcast(rule), fits & met, "left").groupBy(*RES).agg(F.min_by("class", "rule_no").alias("class"))
     last = patches.groupBy("class", "atom_name").agg(F.max_by("type", F.when(C("type").isNotNull(), C("line_no"))).alias("p_type"), F.max_by("charge", F.when(C("charge").isNotNull(), C("line_no"))).alias("p_charge"))
-    out = atoms.join(F.broadcast(topology.select("res_name", "atom_name", C("type").alias("t_type"), C("charge").alias("t_charge"))), ["res_name", "atom_name"], "left")
-    out = out.join(classed, list(RES), "left").join(F.broadcast(last), ["class", "atom_name"], "left").withColumn("type", F.coalesce("p_type", "t_type"))
-    out = out.join(F.broadcast(params), "type", "left").withColumn("charge", F.coalesce("p_charge", "t_charge", F.lit(0.0)))
+    out = atoms.join(if_small(topology.select("res_name", "atom_name", C("type").alias("t_type"), C("charge").alias("t_charge"))), ["res_name", "atom_name"], "left")
+    out = out.join(classed, list(RES), "left").join(if_small(last), ["class", "atom_name"], "left").withColumn("type", F.coalesce("p_type", "t_type"))
+    out = out.join(if_small(params), "type", "left").withColumn("charge", F.coalesce("p_charge", "t_charge", F.lit(0.0)))
     zero = {k: F.coalesce(C(k), F.lit(0.0)) for k in ("eps", "sigma", "eps14", "sigma14")}
     return out.withColumns(zero).select(*atoms.columns, "type", "charge", *zero)
 

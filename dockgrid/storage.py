@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +26,8 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     at = new_path(df.sparkSession, name)
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """df to be broadcast if it has at most most_rows rows, as it is (for a shuffled join) otherwise."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
