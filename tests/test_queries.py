@@ -1,6 +1,7 @@
 """Every registered query against its SQL at the smallest size."""
 
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -21,6 +22,8 @@ def duck():
 
 
 def plain(v):
+    if isinstance(v, Decimal):
+        v = float(v)
     if isinstance(v, float):
         return "null" if v != v else f"{v + 0.0:.6g}"
     return "null" if v is None else str(v)
