@@ -35,8 +35,9 @@ class Codec:
         self.text = {i: p.encode() for p, i in self.id.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.byte_set = frozenset(byte_ids)
         self.longest = max(map(len, pieces))
+        self.tails = {p[k:] for p in pieces for k in range(len(p))}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.histories: dict[str, list[tuple[float, str, str]] | None] = {}
         #: Places where no piece reaches across, whatever stands around: text falls apart there.
         crossing = any(a != SPACE == b for p in pieces for a, b in zip(p, p[1:], strict=False))
         self.apart = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if not crossing else re.compile("(?s).+")
@@ -52,43 +53,73 @@ class Codec:
         plain = {sp.id_to_piece(i): (i, sp.get_score(i)) for i in n if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))}
         return Codec(plain, [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
 
-    def merged(self, text: str) -> list[str]:
-        """Pieces of a short text in merge order: the best scored neighbouring pair first, the left of equals."""
-        out = list(text)
-        while True:
-            best = max(((self.rank[a + b], -k) for k, (a, b) in enumerate(zip(out, out[1:], strict=False)) if a + b in self.rank), default=None)
-            if best is None:
-                return out
-            k = -best[1]
-            out[k : k + 2] = [out[k] + out[k + 1]]
+    def history(self, piece: str) -> list[tuple[float, str, str]] | None:
+        """How a piece alone is merged, best scored neighbouring pair first, the left of equals: (score, first part, last part) after
+        each merge. None if it does not end as one piece."""
+        if piece in self.histories:
+            return self.histories[piece]
+        parts, out = list(piece), [(float("inf"), piece[0], piece[-1])]
+        while len(parts) > 1:
+            scores = [self.rank.get(a + b, -float("inf")) for a, b in zip(parts, parts[1:], strict=False)]
+            best = max(scores)
+            if best == -float("inf"):
+                out = None
+                break
+            k = scores.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            out.append((best, parts[0], parts[-1]))
+        if len(self.histories) > 200_000:
+            self.histories.clear()
+        self.histories[piece] = out
+        return out
 
     def follows(self, a: str, b: str) -> bool:
+        """Whether a and b stay apart when merged together: no pair across their border is ever the best one."""
         got = self.fits.get((a, b))
-        if got is None:
-            if len(self.fits) > 500_000:
-                self.fits.clear()
-            got = self.fits[a, b] = self.merged(a + b) == [a, b]
-        return got
-
-    def stands(self, piece: str) -> bool:
-        got = self.whole.get(piece)
-        if got is None:
-            got = self.whole[piece] = len(piece) == 1 or piece in self.rank and self.merged(piece) == [piece]
+        if got is not None:
+            return got
+        left, right = self.history(a), self.history(b)
+        i = j = 0
+        lowest = -float("inf")
+        while True:
+            across = self.rank.get(left[i][2] + right[j][1], lowest)
+            s = left[i + 1][0] if i + 1 < len(left) else lowest
+            t = right[j + 1][0] if j + 1 < len(right) else lowest
+            if across > s and across >= t and across > lowest:
+                got = False
+                break
+            if s == t == lowest:
+                got = True
+                break
+            if s >= t:
+                i += 1
+            else:
+                j += 1
+        if len(self.fits) > 500_000:
+            self.fits.clear()
+        self.fits[a, b] = got
         return got
 
     def stream(self, text: str) -> Iterator[str]:
         """Pieces of text, committed as soon as all paths agree on them."""
         last: list[str] = [""]  # of places from `done` on: the piece that ends there
         done = 0
-        rank, longest = self.rank, self.longest
+        rank, longest, tails, history, fits = self.rank, self.longest, self.tails, self.history, self.fits
         for end in range(1, len(text) + 1):
-            for start in range(max(done, end - longest), end):
+            start = end
+            while start > done and end - start < longest:
+                start -= 1
                 piece = text[start:end]
-                if (start == end - 1 or piece in rank) and self.stands(piece):
-                    before = last[start - done]
-                    if not before or self.follows(before, piece):
-                        last.append(piece)
-                        break
+                if start < end - 1:
+                    if piece not in tails:
+                        start = done  # no longer piece ends like this
+                        continue
+                    if piece not in rank or history(piece) is None:
+                        continue
+                before = last[start - done]
+                if not before or (fits.get((before, piece)) if (before, piece) in fits else self.follows(before, piece)):
+                    last.append(piece)
+                    break
             else:
                 raise ValueError(f"no piece ends at {end}")  # can't happen: a prefix always has a segmentation
             if len(last) >= 8 * longest:
