@@ -159,7 +159,7 @@ class Codec:
         if not text:
             return []
         known = self.known
-        if len(known) > 400_000:
+        if len(known) > 900_000:
             known.clear()
         out: list[int] = []
         for part in self.apart.findall(SPACE + text.replace(" ", SPACE)):
