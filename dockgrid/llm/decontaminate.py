@@ -166,17 +166,16 @@ def _apply(automaton):
     return run
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1_000_000) -> DataFrame:
-    """doc_id, n_words long, hits array<int> (starts and ends of hit word spans), items array<string> (sorted), text_key; a row for each row of docs.
-
-    Words are runs of [0-9a-z] and non-ASCII characters after A-Z is lower-cased. Null texts have no words; null item_ids take no part.
-    """
+def _found(docs: DataFrame, shards: list[list[tuple[str, list[bytes]]]], window: int) -> list[DataFrame]:
+    """For each shard, its spans and items in each row of docs."""
     spark = docs.sparkSession
     schema = "doc_id long, n_words long, hits array<int>, items array<string>, text_key string"
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = [docs.mapInArrow(_apply(spark.sparkContext.broadcast(Automaton(x, window))), schema) for x in shards_of(benchmark, window, shard_words) or [[]]]
-    if len(parts) == 1:
-        return parts[0]
+    return [docs.mapInArrow(_apply(spark.sparkContext.broadcast(Automaton(x, window))), schema) for x in shards]
+
+
+def _gathered(parts: list[DataFrame]) -> DataFrame:
+    """Spans of all shards merged, one row for each doc_id and text_key; n is the number of rows of parts that it stands for."""
     spans = F.expr("CASE WHEN size(hits) = 0 THEN cast(array() AS array<struct<s:int,e:int>>) ELSE transform(sequence(0, size(hits) div 2 - 1), i -> struct(hits[2 * i] AS s, hits[2 * i + 1] AS e)) END")
     last = lambda done: F.element_at(done, -1)
     merged = F.aggregate(
@@ -184,9 +183,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard
         lambda done, x: F.when((F.size(done) > 0) & (last(done)["e"] >= x["s"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last(done)["s"].alias("s"), F.greatest(last(done)["e"], x["e"]).alias("e"))))).otherwise(F.concat(done, F.array(x))),
     )
     gathered = reduce(DataFrame.unionByName, parts).withColumn("p", spans).groupBy("doc_id", "text_key").agg(
-        F.first("n_words").alias("n_words"), F.flatten(F.collect_list("p")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), (F.count("*") / len(parts)).cast("int").alias("copies")
+        F.first("n_words").alias("n_words"), F.flatten(F.collect_set("p")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.count("*").alias("n")
     )
-    whole = gathered.withColumn("hits", F.flatten(F.transform(merged, lambda x: F.array(x["s"], x["e"])))).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return gathered.withColumn("hits", F.flatten(F.transform(merged, lambda x: F.array(x["s"], x["e"]))))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1_000_000) -> DataFrame:
+    """doc_id, n_words long, hits array<int> (starts and ends of hit word spans), items array<string> (sorted), text_key; a row for each row of docs.
+
+    Words are runs of [0-9a-z] and non-ASCII characters after A-Z is lower-cased. Null texts have no words; null item_ids take no part.
+    """
+    parts = _found(docs, shards_of(benchmark, window, shard_words) or [[]], window)
+    if len(parts) == 1:
+        return parts[0]
+    whole = _gathered(parts).withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / len(parts)).cast("int"))))
     return whole.select("doc_id", "n_words", "hits", "items", "text_key")
 
 
@@ -203,28 +213,43 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*keep, data[at:]]).decode("utf-8", "surrogatepass")
 
 
+def _cut(batch: pa.RecordBatch, spans: list[list[tuple[int, int]]], n_words: list[int], max_coverage: float) -> pa.RecordBatch:
+    """The batch without the spans of its texts and without the rows of which more than max_coverage is hit."""
+    at = batch.schema.get_field_index("text")
+    keep = [sum(b - a for a, b in x) <= max_coverage * n for x, n in zip(spans, n_words, strict=True)]
+    texts = [cut_spans(text, x) if x else text for text, x in zip(batch.column(at).to_pylist(), spans, strict=True)]
+    out = batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
+    return out.filter(pa.array(keep))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, max_words: int = 1_000_000) -> DataFrame:
     """docs without the spans that benchmark items hold; documents of which more than max_coverage is hit go.
 
-    All columns of docs; text loses its hit words. Benchmarks of more than max_words words are refused here (use contamination(), which shards them).
+    All columns of docs; text loses its hit words. Benchmarks of more than max_words words are dealt into shards of as many: each shard's
+    spans are found for itself, merged by doc_id and text, and joined back, so that rows may repeat and ids may be null.
     """
     spark = docs.sparkSession
     shards = shards_of(benchmark, window, max_words)
-    if len(shards) > 1:
-        raise ValueError(f"the benchmark has more than {max_words} words")
-    automaton = spark.sparkContext.broadcast(Automaton(shards[0] if shards else [], window))
+    if len(shards) < 2:
+        automaton = spark.sparkContext.broadcast(Automaton(shards[0] if shards else [], window))
 
-    def run(batches):
+        def run(batches):
+            for batch in batches:
+                words = [words_of(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+                yield _cut(batch, [automaton.value.matches(x)[0] for x in words], [len(x) for x in words], max_coverage)
+
+        return docs.mapInArrow(run, docs.schema)
+
+    # Only rows with hits are gathered and joined; the others' texts need no more than their number of words.
+    hit = _gathered([x.filter(F.size("hits") > 0) for x in _found(docs, shards, window)]).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("hits").alias("_hits"))
+    key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    joined = docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left").select(*docs.columns, "_hits")
+
+    def run_joined(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts, keep = [], []
-            for text in batch.column(at).to_pylist():
-                words = words_of(text)
-                spans, _ = automaton.value.matches(words)
-                hit = sum(b - a for a, b in spans)
-                keep.append(hit <= max_coverage * len(words))
-                texts.append(cut_spans(text, spans) if spans else text)
-            out = batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
-            yield out.filter(pa.array(keep))
-
-    return docs.mapInArrow(run, docs.schema)
+            hits = [x or [] for x in batch.column(batch.num_columns - 1).to_pylist()]
+            batch = batch.select(batch.schema.names[:-1])
+            n_words = [len(words_of(x)) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            yield _cut(batch, [list(zip(x[::2], x[1::2], strict=True)) for x in hits], n_words, max_coverage)
+
+    return joined.mapInArrow(run_joined, docs.schema)

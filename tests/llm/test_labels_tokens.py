@@ -111,6 +111,23 @@ def test_decontaminate_cuts_passages(spark):
     assert got == {1: "Keep this. ! And this stays here with some more words to keep it", 3: None, 4: "clean text"}
 
 
+@pytest.mark.parametrize("most", [1_000_000, 30])
+def test_decontaminate_takes_all_shards(spark, most):
+    rng = random.Random(9)
+    vocab = ["a", "b", "c", "É", "d1", "e"]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(25))) for k in range(4)] + [(9, "A, b! C"), (10, None)]
+    texts = [None, "", "a b c", *(" ".join(rng.choice(vocab[:4]) for _ in range(30)) + f" q {items[k % 4][1]} q {items[(k + 1) % 4][1][: 30 * (k % 3)]} " + "x " * rng.randrange(90) for k in range(20))]
+    docs = [*((k, x, "s") for k, x in enumerate(texts)), (5, texts[6], "again"), (6, texts[6], "copy"), (None, texts[7], "s"), (None, texts[8], "s"), (None, None, "s")]
+    got = decontaminate(spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(items, "item_id long, text string"), window=6, max_words=most).collect()
+    want = []
+    for i, x, source in docs:
+        n, hit, _ = hits_brute(x, items, 6)
+        if len(hit) <= 0.5 * n:
+            want.append((i, [w for k, w in enumerate(norm(x)) if k not in hit], source, x is None))
+    assert 0 < len(want) < len(docs)
+    assert sorted(map(repr, want)) == sorted(repr((r["doc_id"], norm(r["text"]), r["source"], r["text"] is None)) for r in got)
+
+
 def test_forward_backward_is_exhaustive():
     rng = np.random.default_rng(2)
     emit, moves = rng.normal(size=(9, 3)), rng.normal(size=(3, 3))
