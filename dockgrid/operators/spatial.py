@@ -8,11 +8,14 @@ the exact test on squared distances is a residual of the join.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dockgrid.storage import settle
+
 C = F.col
 
 
@@ -102,7 +105,7 @@ def sphere_points(n: int) -> list[tuple[float, float, float]]:
     return out
 
 
-def exposed_points(atoms: DataFrame, probe: float = 1.4, n_points: int = 24, by_chain: bool = False) -> DataFrame:
+def exposed_points(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, by_chain: bool = False) -> DataFrame:
     """Shrake-Rupley surface points (graph_id, chain, serial, radius, k, x, y, z) that lie in no other atom's extended sphere.
 
     atoms have radius. by_chain: each chain for itself. An atom hides a point of another when its centre is nearer than radius + probe.
@@ -121,14 +124,14 @@ def _d2_sql() -> str:
     return "((l_x - r_x) * (l_x - r_x) + (l_y - r_y) * (l_y - r_y) + (l_z - r_z) * (l_z - r_z))"
 
 
-def sasa(atoms: DataFrame, probe: float = 1.4, n_points: int = 24, by_chain: bool = False) -> DataFrame:
+def sasa(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, by_chain: bool = False) -> DataFrame:
     """Solvent-accessible area of each atom: exposed points times the area that a point stands for."""
     counts = exposed_points(atoms, probe, n_points, by_chain).groupBy("graph_id", "serial").agg(F.count("*").alias("n"))
     area = F.coalesce("n", F.lit(0)) * 4 * math.pi * F.pow(C("radius") + probe, 2) / n_points
     return atoms.join(counts, ["graph_id", "serial"], "left").select("graph_id", "chain", "serial", "res_seq", "res_name", area.alias("area"))
 
 
-def bsa(atoms: DataFrame, probe: float = 1.4, n_points: int = 24, cutoff: float = 5.0) -> DataFrame:
+def bsa(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, cutoff: float = 5.0) -> DataFrame:
     """Buried area of contact residues: chain alone minus complex."""
     res = ["graph_id", "chain", "res_seq", "res_name"]
     alone, whole = (sasa(atoms, probe, n_points, x).groupBy(*res).agg(F.sum("area").alias(n)) for x, n in ((True, "alone"), (False, "whole")))
@@ -137,12 +140,21 @@ def bsa(atoms: DataFrame, probe: float = 1.4, n_points: int = 24, cutoff: float
     return alone.join(whole, res).join(touching, res, "left_semi").select(*res, (C("alone") - C("whole")).alias("bsa"))
 
 
-def residue_depth(atoms: DataFrame, reach: float, probe: float = 1.4, n_points: int = 24) -> DataFrame:
-    """Mean over a residue's atoms of the distance to the nearest exposed point within reach (farther: reach)."""
-    surface = exposed_points(atoms, probe, n_points).select("graph_id", "x", "y", "z")
-    pairs = radius_join(atoms.select("graph_id", "serial", "x", "y", "z"), surface, reach)
-    nearest = pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.sqrt(F.min("d2")).alias("d"))
-    depth = atoms.join(nearest, ["graph_id", "serial"], "left").withColumn("d", F.coalesce("d", F.lit(reach)))
+def residue_depth(atoms: DataFrame, reach: float, probe: float = 1.4, n_points: int = 100) -> DataFrame:
+    """Mean over a residue's atoms of the distance to the graph's nearest exposed point, however far; null where a graph has none.
+
+    The radius join is repeated with twice the reach for atoms that have found no point yet. Atoms without a place have no distance.
+    """
+    placed = " AND ".join(f"abs({k}) < double('Infinity')" for k in "xyz")
+    surface = settle(exposed_points(atoms, probe, n_points).filter(placed).select("graph_id", "x", "y", "z"), "surface")
+    left = atoms.filter(f"serial IS NOT NULL AND {placed}").select("graph_id", "serial", "x", "y", "z").join(surface.select("graph_id").distinct(), "graph_id", "left_semi")
+    nearest = []
+    while not nearest or not left.isEmpty():
+        pairs = radius_join(left, surface, reach)
+        nearest.append(settle(pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.sqrt(F.min("d2")).alias("d")), "depth"))
+        left = settle(left.join(nearest[-1], ["graph_id", "serial"], "left_anti"), "deeper")
+        reach *= 2
+    depth = atoms.join(reduce(DataFrame.unionByName, nearest), ["graph_id", "serial"], "left")
     return depth.groupBy("graph_id", "chain", "res_seq", "res_name").agg(F.avg("d").alias("depth"))
 
 

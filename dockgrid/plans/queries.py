@@ -315,7 +315,7 @@ WHERE NOT EXISTS (SELECT 1 FROM atoms o WHERE o.graph_id = p.graph_id {chain} AN
 def c20_sasa(spark, d):
     a = v.atoms(spark, d).withColumn("radius", F.lit(1.6))
     area = 4 * 3.141592653589793 * 9 / 24
-    return sp.sasa(a).select("graph_id", "serial", F.round(C("area") / area).cast("long").alias("n_exposed"))
+    return sp.sasa(a, n_points=24).select("graph_id", "serial", F.round(C("area") / area).cast("long").alias("n_exposed"))
 
 
 @query(None)

@@ -47,6 +47,23 @@ def test_surface(spark):
     assert all(r["bsa"] >= -1e-9 for r in sp.bsa(df).collect())
 
 
+def test_depth_has_no_cap(spark):
+    rng = np.random.default_rng(5)
+    p = rng.uniform(-8, 8, (900, 3))
+    p = p[(p**2).sum(1) <= 64]
+    rows = [("ball", "A", k, k // 3, "ALA", 1.6, *map(float, x)) for k, x in enumerate(p)] + [("one", "A", 1, 1, "ALA", 1.6, 500.0, 0.0, 0.0), ("none", "A", 1, 1, "ALA", 1.6, None, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "graph_id string, chain string, serial int, res_seq int, res_name string, radius double, x double, y double, z double")
+    own = np.repeat(np.arange(len(p)), 100)
+    s = p[own] + 3 * np.tile(np.array(sp.sphere_points(100)), (len(p), 1))
+    far = ((s[:, None] - p[None]) ** 2).sum(2)
+    far[np.arange(len(s)), own] = 99
+    s = s[(far >= 9).all(1)]
+    d = np.sqrt(((p[:, None] - s[None]) ** 2).sum(2).min(1))
+    got = {(r["graph_id"], r["res_seq"]): r["depth"] for r in sp.residue_depth(df, 1.5).collect()}
+    assert d.max() > 6 and got["one", 1] == pytest.approx(3) and got["none", 1] is None
+    assert all(got["ball", k] == pytest.approx(d[3 * k : 3 * k + 3].mean()) for k in range((len(p) + 2) // 3)) and len(got) == (len(p) + 2) // 3 + 2
+
+
 def test_rmsd_ignores_rigid_motion(spark):
     a, p = points(spark, 30)
     c, s = math.cos(1.1), math.sin(1.1)
