@@ -1,22 +1,42 @@
 """Line deduplication with DataFrame operations only.
 
-Hashes of line keys are dealt by range with document and position as further sort keys, so one very common line spreads
-over many partitions, each sorted by (hash, document, position). The first document of every key follows from a partial
-minimum per sorted run. Lines that lose are returned as sparse bitmaps (64 lines a word; words without a dropped line are
-absent), and only those bitmaps meet the texts again.
+Hashes of line keys are dealt by range and sorted by (hash, document, position) within each range; the first document of a key
+is streamed over its sorted run in the same stage, without a further exchange of lines. Keys so common that they would fill
+much of a range are split into blocks of documents, which the ranges part; only the first documents of those few keys' blocks
+are carried from one range to another. Lines that lose are returned as sparse bitmaps (64 lines a word; words without a
+dropped line are absent), and only those bitmaps meet the texts again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dockgrid.llm.common import LOWER, UPPER, WHITE, settle
+from dockgrid.llm.common import LOWER, UPPER, WHITE, partitions, settle
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _common(lines: DataFrame, each: int = 200) -> DataFrame:
+    """h1, h2 of keys that hold about half of an even range or more: at most twice as many as there are ranges.
+
+    Judged on about `each` lines a range, taken by hash. This only settles where runs are split, never what is dropped.
+    """
+    ranges = partitions(lines.sparkSession)
+    share = min(1.0, each * ranges / max(1, lines.count()))
+    taken = lines.filter(F.pmod(F.xxhash64(F.lit(31), "doc_id", "pos"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    return taken.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= each // 2).select("h1", "h2")
+
+
+def _streamed(lines: DataFrame, common: DataFrame, blocks: int) -> DataFrame:
+    """lines with common (whether the key is) and first_doc, the first document of the key, or of the key's block: one range exchange."""
+    ranged = lines.join(F.broadcast(common.withColumn("common", F.lit(True))), ["h1", "h2"], "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    ranged = ranged.withColumn("block", F.when(F.col("common"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).otherwise(0).cast("int"))
+    run = Window.partitionBy("h1", "h2", "block").orderBy("doc_id", "pos")
+    return ranged.repartitionByRange("h1", "h2", "block").withColumn("first_doc", F.first("doc_id").over(run))
+
+
 def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """doc_id, text_key, drop_bits map<word number, 64 bits>, n_dropped long; documents that lose no line are absent.
 
@@ -31,9 +51,12 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
         .select("doc_id", "text_key", "pos", key.alias("key")).filter(F.char_length("key") >= min_chars)
         .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key", F.char_length("key")).alias("h2"), "doc_id", "text_key", "pos")
     )
-    dealt = settle(lines.repartitionByRange("h1", "h2", "doc_id", "pos").sortWithinPartitions("h1", "h2", "doc_id", "pos"), "lines")
-    firsts = dealt.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc")).filter("first_doc < last_doc")
-    lost = dealt.join(firsts.drop("last_doc"), ["h1", "h2"]).filter("doc_id > first_doc")
+    lines = settle(lines, "lines")
+    common = _common(lines)
+    streamed = _streamed(lines, common, partitions(docs.sparkSession))
+    streamed = settle(streamed.filter("common OR doc_id > first_doc"), "later")
+    carried = streamed.filter("common").groupBy("h1", "h2").agg(F.min("first_doc").alias("carried"))
+    lost = streamed.join(F.broadcast(carried), ["h1", "h2"], "left").filter(F.col("doc_id") > F.coalesce("carried", "first_doc"))
     words = lost.groupBy("doc_id", "text_key", F.expr("pos div 64").cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits"))
     return words.groupBy("doc_id", "text_key").agg(
         F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drop_bits"), F.sum(F.bit_count("bits")).cast("long").alias("n_dropped")
