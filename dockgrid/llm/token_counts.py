@@ -1,16 +1,17 @@
 """Token counts by overlap resynchronisation.
 
-A huge text is encoded in overlapping chunks with offsets. Where two chunks overlap, their token streams are spliced at a
-boundary that both have and that is proven stable: a token starts there and ASCII white space stands before it, where
-no token, no normalisation and no special string reaches across. Where an overlap holds no such place, the overlap is doubled
-until there is one (at last it reaches the end of the text). Chunks follow one another, so memory holds one chunk at a time.
-Texts of one chunk are encoded by the words that the same proof separates; words met before are not encoded again.
+Texts longer than a chunk are encoded in overlapping chunks with offsets. Where two chunks overlap, their token streams are spliced at a
+boundary that both have and that is proven stable: a token starts there in both and ASCII white space stands before it, where
+no token, no normalisation and no special string reaches across. Where an overlap holds no such place, the text is gone through
+chunk by chunk and the overlap doubled until there is one (at last it reaches the end of the text). Every count is the
+library's on this text; nothing is remembered from one text to another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,6 @@ def tokenizer(path: str):
     return out
 
 
-@cache
-def counted(path: str) -> dict[str, int]:
-    """Token counts of words met before by this worker."""
-    return {}
-
-
 def stable(text: str, at: int) -> bool:
     """Tokens of text can't reach across at: white space stands before it, none after."""
     return text[at - 1] in WHITE and text[at] not in WHITE
@@ -67,33 +62,52 @@ def chunk_ids(encode, text: str, chunk: int, overlap: int) -> Iterator[list[int]
             wide *= 2
 
 
+def spliced(text: str, begin: int, end: int, left, right, start: int) -> tuple[int, int] | None:
+    """Numbers of the tokens of left (which starts at `start` of text) and right (at begin) that start at the first stable place
+    after begin and before end."""
+    for at in range(begin + 1, end):
+        if stable(text, at):
+            a, b = left.char_to_token(at - start), right.char_to_token(at - begin)
+            if a is not None and b is not None and left.token_to_chars(a)[0] == at - start and right.token_to_chars(b)[0] == at - begin:
+                return a, b
+    return None
+
+
 def count_all(path: str, texts: list[str], chunk: int, overlap: int) -> list[int]:
-    t, known = tokenizer(path), counted(path)
-    if len(known) > 600_000:
-        known.clear()
+    t = tokenizer(path)
+    starts = [range(0, max(1, len(x) - overlap), chunk) for x in texts]
+    parts = (x[k : k + chunk + overlap] for x, at in zip(texts, starts, strict=True) for k in at)
+    # Some chunks at a time: the encodings of a huge text are never held at once.
+    coded = (e for block in iter(lambda: list(islice(parts, 256)), []) for e in t.encode_batch(block, add_special_tokens=False))
 
     def encode(part: str):
         e = t.encode(part, add_special_tokens=False)
         return e.ids, [a for a, _ in e.offsets]
 
-    split = [x.split(" ") if len(x) <= chunk else None for x in (y.replace("\n", " ").replace("\t", " ").replace("\r", " ") for y in texts)]
-    new = list({w for words in split if words for w in words if w not in known})
-    for k in range(0, len(new), 20_000):
-        part = new[k : k + 20_000]
-        known.update(zip(part, map(len, t.encode_batch_fast(part, add_special_tokens=False)), strict=True))
-    out = [sum(map(len, chunk_ids(encode, x, chunk, overlap))) if words is None else sum(map(known.__getitem__, words)) for x, words in zip(texts, split, strict=True)]
-    for w in new:  # long words are not worth their memory
-        if len(w) > 64:
-            del known[w]
+    out = []
+    for x, at in zip(texts, starts, strict=True):
+        left, n, first, whole = next(coded), 0, 0, None
+        for k in range(1, len(at)):
+            right = next(coded)
+            if whole is None:
+                found = spliced(x, at[k], min(len(x), at[k - 1] + chunk + overlap), left, right, at[k - 1])
+                if found is None:
+                    whole = sum(map(len, chunk_ids(encode, x, chunk, 2 * overlap)))
+                else:
+                    n, first = n + found[0] - first, found[1]
+            left = right
+        n = n + len(left) - first if whole is None else whole
+        out.append(n)
     return out
 
 
-def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = 32_768, overlap: int = 512) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, limit: int = 2048, chunk: int = 4096, overlap: int = 128) -> DataFrame:
     """doc_id, n_bytes long (UTF-8), n_tokens long, over_limit boolean; one row for each row of docs.
 
     path: a tokenizers JSON file on every machine, whose tokenizer must not join text across ASCII white space (the
     word_bpe and other word-splitting vocabularies). Tokens are those of the library without added special tokens, truncation or
-    padding; special strings within texts count as the library takes them. Null text is empty. chunk, overlap: characters.
+    padding; special strings within texts count as the library takes them. Null text is empty; repeated rows and null doc_ids are
+    counted like others; columns of docs but doc_id and text are left out. chunk, overlap: characters.
     """
 
     def run(batches):
