@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where it names none, a new one (local tests)."""
+    """The folder that the cluster names in spark.checkpoint.dir; in local mode, where it names none, a new one.
+
+    Raises on a cluster that names none: machines would write to folders of their own.
+    """
     if not (at := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = f"file://{tempfile.mkdtemp(prefix='dockgrid-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
