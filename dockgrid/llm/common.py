@@ -113,19 +113,43 @@ def arrow(columns: dict[str, list | np.ndarray | pa.Array], schema: pa.Schema) -
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for f, c in zip(schema, (columns[f.name] for f in schema), strict=True)], schema=schema)
 
 
+def repeated_ids(docs: DataFrame) -> DataFrame | None:
+    """_again: the doc_ids that several rows of docs have; None if there are none."""
+    again = docs.groupBy(F.col("doc_id").cast("long").alias("_again")).agg(F.count("*").alias("n")).filter("_again IS NOT NULL AND n > 1").select("_again")
+    return None if again.isEmpty() else again
+
+
+def row_tags(docs: DataFrame, *columns: str) -> DataFrame:
+    """doc_id long, text, tag long and the columns: tag is 0 where no other row has the doc_id, else a hash of the text, which tells such rows apart."""
+    again = repeated_ids(docs)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns)
+    if again is None:
+        return docs.withColumn("tag", F.lit(0).cast("long")).select("doc_id", "text", "tag", *columns)
+    tagged = docs.join(again, F.col("doc_id") == F.col("_again"), "left")
+    return tagged.select("doc_id", "text", F.when(F.col("_again").isNull(), 0).otherwise(F.xxhash64(F.coalesce("text", F.lit("")))).cast("long").alias("tag"), *columns)
+
+
+def groups_of(docs: DataFrame, each: int = 256 << 20) -> int:
+    """Into how many groups entries are dealt: four a shuffle partition, more where a group would stand for over `each` bytes of text."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(4 * partitions(docs.sparkSession), -(-size // each))
+
+
 #: How the keys of many documents are dealt: one row a task's block and group q holds many entries (packed, first bytes first).
-DEALT = pa.schema([("q", pa.int32()), ("sure", pa.bool_()), ("keys", pa.binary()), ("docs", pa.binary()), ("places", pa.binary())])
-DEALT_SQL = "q int, sure boolean, keys binary, docs binary, places binary"
+#: A key's further 64 bits (more) and the rows' tags are left out where all are 0.
+PACKED = ("keys", "more", "docs", "tags", "places")
+DEALT = pa.schema([("q", pa.int32()), ("sure", pa.bool_()), *((x, pa.binary()) for x in PACKED)])
+DEALT_SQL = "q int, sure boolean, keys binary, more binary, docs binary, tags binary, places binary"
 
 
-def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, q: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
+def deal(keys: np.ndarray, more: np.ndarray, docs: np.ndarray, tags: np.ndarray, places: np.ndarray, q: np.ndarray, groups: int) -> Iterator[pa.RecordBatch]:
     """A block's entries (key, document, place), pre-aggregated: only those of a key's smallest document of the block travel to
     the key's group, marked when others share the key; the others, known to repeat, travel apart, spread evenly over groups."""
     if not len(keys):
         return
-    order = np.lexsort((places, docs, keys, q))
-    keys, docs, places, q = keys[order], docs[order], places[order], q[order].astype(np.int64)
-    new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (q[1:] != q[:-1]))))
+    order = np.lexsort((places, docs, more, keys, q)) if more.any() else np.lexsort((places, docs, keys, q))
+    keys, more, docs, tags, places, q = keys[order], more[order], docs[order], tags[order], places[order], q[order].astype(np.int64)
+    new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (more[1:] != more[:-1]) | (q[1:] != q[:-1]))))
     size = np.diff(np.append(new, len(keys)))
     other = docs != np.repeat(docs[new], size)
     many = np.repeat(np.add.reduceat(other, new) > 0, size)
@@ -133,35 +157,36 @@ def deal(keys: np.ndarray, docs: np.ndarray, places: np.ndarray, q: np.ndarray,
     for part, sure in ((~other, False), (other, True)):
         if not part.any():
             continue
-        k, d, p, g = keys[part], docs[part], places[part], q[part]
+        k, m, d, t, p, g = keys[part], more[part], docs[part], tags[part], places[part], q[part]
         if sure:  # they keep their own group's number beside the place
             p, g = p + (g << 40), (d * 2654435761 + p // 64) % groups
         by = np.argsort(g, kind="stable")
-        k, d, p, g = k[by], d[by], p[by], g[by]
+        k, m, d, t, p, g = k[by], m[by], d[by], t[by], p[by], g[by]
         at = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
         ends = np.append(at[1:], len(g))
-        yield arrow(
-            {"q": g[at].astype(np.int32), "sure": np.full(len(at), sure), "keys": [k[a:b].tobytes() for a, b in zip(at, ends, strict=True)], "docs": [planes(d[a:b]) for a, b in zip(at, ends, strict=True)], "places": [planes(p[a:b]) for a, b in zip(at, ends, strict=True)]},
-            DEALT,
-        )
+        cut = lambda x, pack, at=at, ends=ends: [pack(x[a:b]) for a, b in zip(at, ends, strict=True)]
+        unless_0 = lambda x: x.tobytes() if x.any() else b""
+        yield arrow({"q": g[at].astype(np.int32), "sure": np.full(len(at), sure), "keys": cut(k, np.ndarray.tobytes), "more": cut(m, unless_0), "docs": cut(d, planes), "tags": cut(t, unless_0), "places": cut(p, planes)}, DEALT)
 
 
-def repeated(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a group's rows: documents, places, keys and the keys' groups of entries whose key two documents hold, and whether a smaller document holds it too."""
+def repeated(table: pa.Table, kind: type) -> tuple[np.ndarray, ...]:
+    """Of a group's rows: documents, tags, places, keys and the keys' groups of entries whose key two documents hold, and whether a smaller document holds it too."""
     out, own = [], int(table["q"][0].as_py()) if len(table) else 0
     for sure in (False, True):
         part = table.filter(pa.compute.equal(table["sure"], sure))
-        get = lambda name, kind, part=part: np.concatenate([unplanes(x, kind) for x in part[name].to_pylist()] or [np.zeros(0, kind)])
-        keys = np.concatenate([np.frombuffer(x, kind) for x in part["keys"].to_pylist()] or [np.zeros(0, kind)])
-        docs, places = get("docs", np.int64), get("places", np.int64)
+        data = [part[x].to_pylist() for x in PACKED]
+        joined = lambda k, kind, read, data=data: np.concatenate([read(x) if x else np.zeros(len(docs) // 8, kind) for x, docs in zip(data[k], data[2], strict=True)] or [np.zeros(0, kind)])
+        plain = lambda kind: lambda x: np.frombuffer(x, kind)
+        keys, more, tags = joined(0, kind, plain(kind)), joined(1, np.uint64, plain(np.uint64)), joined(3, np.int64, plain(np.int64))
+        docs, places = (joined(k, np.int64, lambda x: unplanes(x, np.int64)) for k in (2, 4))
         if sure or not len(keys):
-            out.append((docs, places % (1 << 40) >> 1, keys, places >> 40, np.ones(len(docs), bool)))
+            out.append((docs, tags, places % (1 << 40) >> 1, keys, places >> 40, np.ones(len(docs), bool)))
             continue
-        order = np.lexsort((docs, keys))
-        keys, docs, places = keys[order], docs[order], places[order]
-        new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        order = np.lexsort((docs, more, keys)) if more.any() else np.lexsort((docs, keys))
+        keys, more, docs, tags, places = keys[order], more[order], docs[order], tags[order], places[order]
+        new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (more[1:] != more[:-1]))))
         size = np.diff(np.append(new, len(keys)))
         later = docs != np.repeat(docs[new], size)
-        more = np.repeat(np.add.reduceat(later | (places & 1 == 1), new) > 0, size)
-        out.append((docs[more], places[more] >> 1, keys[more], np.full(int(more.sum()), own, np.int64), later[more]))
+        both = np.repeat(np.add.reduceat(later | (places & 1 == 1), new) > 0, size)
+        out.append((docs[both], tags[both], places[both] >> 1, keys[both], np.full(int(both.sum()), own, np.int64), later[both]))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))

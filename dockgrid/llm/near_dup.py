@@ -6,8 +6,8 @@ hashes there; empty ones are left out). A shingle in which two sets differ spoil
 link differ in at most H(n) shingles, so a set shares at least T = signatures - C(n2-1, r-1) * H of its own with any
 partner. Hence exactly: sets with fewer than T repeated signatures have no partner, and the T-1 most frequent ones of a set can be
 left out of its search (what very common passages produce ends there). Candidates are verified on the shingle sets
-themselves. Within a signature's bucket all sets are first compared with one hub; sets that remain in different components meet
-again only where they share enough of the shingles in which they differ from the hub.
+themselves. Within a signature's bucket all sets are first compared with one hub; components that remain apart meet
+again, and only their members with each other's, where they share enough of the shingles in which they differ from the hub.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from dockgrid.llm.common import DEALT, DEALT_SQL, ODD, arrow, grams, hash_words, mixed, partitions, planes, repeated, rows, settle, unplanes
+from dockgrid.llm.common import DEALT, DEALT_SQL, ODD, arrow, grams, groups_of, hash_words, mixed, planes, repeated, repeated_ids, row_tags, rows, settle, unplanes
 from dockgrid.llm.components import components
 from dockgrid.llm.substring_dedup import Block
 
@@ -57,17 +57,18 @@ class PartEnum:
         return [band, band - 1] if band and self.p * n < 100 << band else [band]
 
     def parts(self, band: int) -> int:
-        """Parts of the domain for a band; 0: each shingle is a part (small sets). Sub-parts hold 3 to 3.4 shingles of the band's
-        largest guests (1.25 times its own), which leaves T well over 0."""
+        """Parts of the domain for a band. A sub-part holds about one shingle of the band's largest guests (1.25 times its own) in
+        small bands and 1.75 in others, which leaves T well over 0 for three sub-parts and two in a signature."""
         most = (2 << band) * 100 // self.p
-        return 0 if most < 160 else max(1, int(most / ((3.0 if most < 1300 else 3.4) * self.n2)))
+        each = (1.0 if most < 160 else 1.75) if len(self.subsets[0]) > 1 else (1.0 if most < 160 else 3.0 if most < 1300 else 3.4)
+        return max(1, int(most / (each * self.n2)))
 
     def signatures(self, s: np.ndarray, band: int, fine: bool = False) -> np.ndarray:
         """Non-empty signatures of a set within a band."""
-        n1 = 0 if fine else self.parts(band)
         x = mixed(s + np.uint64(band * 2 + fine))
-        if not n1:
+        if fine:
             return x
+        n1 = self.parts(band)
         cell = (x >> np.uint64(32)) * np.uint64(n1 * self.n2) >> np.uint64(32)
         order = np.argsort(cell, kind="stable")
         cell, value = cell[order], mixed(s[order] + np.uint64(13))
@@ -106,7 +107,7 @@ def _signatures(method: PartEnum, n_words: int, groups: int):
             yield from block.flush()
             if meta:
                 data = [planes(np.array(x, np.int64)) for x in zip(*meta, strict=True)]
-                yield arrow({"q": [meta[0][0] % groups], "sure": [None], "keys": [b"".join(data)], "docs": [b""], "places": [b""]}, DEALT)
+                yield arrow({"q": [meta[0][0] % groups], "sure": [None], "keys": [b"".join(data)], "more": [b""], "docs": [b""], "tags": [b""], "places": [b""]}, DEALT)
                 meta.clear()
                 seen.clear()
 
@@ -133,7 +134,7 @@ def _found(table: pa.Table) -> pa.Table:
     """A group's repeated signatures by document, and what passes through."""
     mine = table.filter(pa.compute.is_null(table["sure"]))["keys"].to_pylist()
     meta = np.concatenate([np.zeros((6, 0), np.int64), *(np.stack([unplanes(x.tobytes(), np.int64) for x in np.split(np.frombuffer(m, np.uint8), 6)]) for m in mine)], axis=1)
-    docs, codes, keys, q, _ = repeated(table.filter(pa.compute.is_valid(table["sure"])), np.uint32)
+    docs, _, codes, keys, q, _ = repeated(table.filter(pa.compute.is_valid(table["sure"])), np.uint32)
     nothing = pa.nulls(len(docs), pa.int32())
     return pa.table(
         {
@@ -154,18 +155,30 @@ def _sets(n_words: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, parts: tuple[int, int] = (2, 1)) -> DataFrame:
-    """doc_id, n_shingles long, component_id, n_links long; one row for each document.
+def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, parts: tuple[int, int] = (3, 2)) -> DataFrame:
+    """doc_id, tag, n_shingles long, component_id, stays boolean, n_verified long; one row for each row of docs with a doc_id.
 
     Words stand between ASCII white space, A-Z lower-cased; a document with fewer than n_words words has its whole sequence as one
     shingle, without words none, and links with nothing. Two documents link when 100 * |intersection| >= percent * |union|.
-    component_id is the smallest doc_id reachable by links. n_links counts the verified links between representatives of equal sets.
-    parts: (sub-parts of a part, sub-parts in a signature). Null texts are empty; rows with null doc_id are left out; repeated
-    rows of a doc_id count as one document.
+    component_id is the smallest doc_id reachable by links; of a component one row stays, one with that doc_id. n_verified counts the
+    verified links between representatives of equal sets (links within a component need not all be looked at). parts: (sub-parts of a
+    part, sub-parts in a signature). Null texts are empty; rows with null doc_id are left out. Rows that share a doc_id are
+    documents of their own, told apart by tag (see row_tags); of rows alike in both, all or none stay.
     """
-    spark = docs.sparkSession
-    method, groups = PartEnum(percent, parts), 4 * partitions(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
+    docs = docs.filter("doc_id is not null")
+    if repeated_ids(docs) is None:
+        return _near(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), n_words, percent, parts).select("doc_id", F.lit(0).cast("long").alias("tag"), "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("stays"), "n_verified")
+    # Rows get numbers of their own for the search.
+    named = row_tags(docs).withColumn("node", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = settle(_near(named.select(F.col("node").alias("doc_id"), "text").dropDuplicates(["doc_id"]), n_words, percent, parts).withColumnRenamed("doc_id", "node"), "nodes")
+    rows_ = named.select("node", "doc_id", "tag").join(found, "node")
+    roots = rows_.groupBy("component_id").agg(F.min(F.struct("doc_id", "tag")).alias("root"))
+    return rows_.join(roots, "component_id").select("doc_id", "tag", "n_shingles", F.col("root")["doc_id"].alias("component_id"), (F.struct("doc_id", "tag") == F.col("root")).alias("stays"), "n_verified")
+
+
+def _near(docs: DataFrame, n_words: int, percent: int, parts: tuple[int, int]) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_verified of docs (doc_id, text) whose doc_ids are all different."""
+    method, groups = PartEnum(percent, parts), groups_of(docs)
     found = settle(docs.mapInArrow(_signatures(method, n_words, groups), DEALT_SQL).groupBy("q").applyInArrow(_found, FOUND_SQL), "signatures")
     members = found.filter("sig is null AND band = -1").select("doc_id", "n", "k1", "k2")
     # Equal sets are one class: the smallest doc_id stands for it.
@@ -182,16 +195,16 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, parts:
     searched = settle(ranked.filter("rarer <= c - t + 1").select("band", "sig", "doc_id", "n", "c"), "searched")
     hubs = searched.groupBy("band", "sig").agg(F.max(F.struct("c", -F.col("doc_id"))).alias("h"), F.count("*").alias("size")).filter("size > 1").select("band", "sig", (-F.col("h")["col2"]).alias("hub"))
     first = settle(searched.join(hubs, ["band", "sig"]).filter("doc_id <> hub").select("hub", "doc_id").distinct(), "pairs")
-    sets = settle(docs.join(searched.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(n_words), "doc_id long, set array<long>"), "sets")
+    sets = settle(docs.join(searched.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(n_words), "doc_id long, set array<long>"), "sets")
     linked = settle(_compared(first, sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked"), "compared")
     links = linked.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     comp = settle(components(links), "labels")
     rest = settle(_apart(linked, comp, sets, percent).join(linked.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")), ["a", "b"], "left_anti"), "pairs")
     links = settle(links.unionByName(_compared(rest, sets, "a", "b", percent).filter("linked").select("a", "b")), "links")
     comp = components(links)
-    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_links"))
-    reps = classes.join(comp, classes["rep"] == comp["node"], "left").drop("node").join(degree, F.col("rep") == degree["node"], "left").select("n", "k1", "k2", F.coalesce("label", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return members.distinct().join(reps, ["n", "k1", "k2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_verified"))
+    reps = classes.join(comp, classes["rep"] == comp["node"], "left").drop("node").join(degree, F.col("rep") == degree["node"], "left").select("n", "k1", "k2", F.coalesce("label", "rep").alias("component_id"), F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
+    return members.distinct().join(reps, ["n", "k1", "k2"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, a: str, b: str, percent: int) -> DataFrame:
@@ -225,9 +238,22 @@ def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) ->
     mine = Window.partitionBy("hub", "doc_id")
     ranked = cells.join(common, ["hub", "g"]).withColumn("place", F.col("m") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "g")))
     cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
-    names = ("doc_id", "label", "n", "m", "linked", "place")
-    i, j = (cut.filter(k).select("hub", "g", *[F.col(c).alias(f"{s}_{c}") for c in names]) for k, s in (("index", "i"), ("probe", "j")))
-    apart = f"(i_m < j_m OR (i_m = j_m AND i_doc_id <> j_doc_id)) AND i_label <> j_label AND NOT (i_linked AND j_linked) AND 100 * least(i_n, j_n) >= {percent} * greatest(i_n, j_n)"
+    apart = f"(i_m < j_m OR (i_m = j_m AND i_doc_id <> j_doc_id)) AND NOT (i_linked AND j_linked) AND 100 * least(i_n, j_n) >= {percent} * greatest(i_n, j_n)"
     # A pair's first common shingle leaves room for A of them after it; at later ones of a pair this may fail.
     room = f"2 * (1 + least(i_m - i_place, j_m - j_place)) >= i_m + j_m - {p} * (i_n + j_n) div {q}"
-    return i.join(j, ["hub", "g"]).filter(f"{apart} AND {room}").select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
+    return _meetings(cut).filter(f"{apart} AND {room}").select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
+
+
+def _meetings(cut: DataFrame) -> DataFrame:
+    """Indexed and probing rows (i_, j_) of cut that meet at (hub, g) with different labels.
+
+    Labels meet first, then the members of those that do: members of one label never meet each other, however many share a g.
+    """
+    labels = cut.groupBy("hub", "g", "label").agg(F.max("index").alias("index"), F.max("probe").alias("probe"))
+    mixed_ = labels.groupBy("hub", "g").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g")
+    labels = labels.join(mixed_, ["hub", "g"], "left_semi")
+    i, j = (labels.filter(k).select("hub", "g", F.col("label").alias(f"{s}_label")) for k, s in (("index", "i"), ("probe", "j")))
+    pairs = i.join(j, ["hub", "g"]).filter("i_label <> j_label")
+    names = ("doc_id", "label", "n", "m", "linked", "place")
+    i, j = (cut.filter(k).select("hub", "g", *[F.col(c).alias(f"{s}_{c}") for c in names]) for k, s in (("index", "i"), ("probe", "j")))
+    return pairs.join(i, ["hub", "g", "i_label"]).join(j, ["hub", "g", "j_label"])

@@ -16,10 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockgrid.llm.common import DEALT_SQL, arrow, deal, grams, hash_words, mixed, partitions, repeated, rows, settle
+from dockgrid.llm.common import DEALT_SQL, arrow, deal, grams, groups_of, hash_words, mixed, repeated, row_tags, rows, settle
 
-RANGES = pa.schema([("doc_id", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("later", pa.bool_())])
-RANGES_SQL = "doc_id long, s int, e int, later boolean"
+RANGES = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("later", pa.bool_())])
+RANGES_SQL = "doc_id long, tag long, s int, e int, later boolean"
 
 
 def sliding(x: np.ndarray, n: int, best) -> np.ndarray:
@@ -56,28 +56,28 @@ class Block:
     def __init__(self, groups: int, most: int = 300_000):
         self.groups, self.most, self.parts, self.n = groups, most, [], 0
 
-    def add(self, keys, doc: int, places, q) -> bool:
-        self.parts.append((keys, np.full(len(keys), doc, np.int64), places.astype(np.int64), q))
+    def add(self, keys, doc: int, places, q, tag: int = 0, more=None) -> bool:
+        self.parts.append((keys, np.zeros(len(keys), np.uint64) if more is None else more, np.full(len(keys), doc, np.int64), np.full(len(keys), tag, np.int64), places.astype(np.int64), q))
         self.n += len(keys)
         return self.n >= self.most
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
-            keys, docs, places, q = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            *entries, q = (np.concatenate(x) for x in zip(*self.parts, strict=True))
             self.parts, self.n = [], 0
-            yield from deal(keys, docs, places, q % np.uint64(self.groups), self.groups)
+            yield from deal(*entries, q % np.uint64(self.groups), self.groups)
 
 
 def _level_one(window: int, groups: int):
     def run(batches):
         block = Block(groups)
         for held in rows(batches, 200_000):
-            h, _, _, first, _ = hash_words([_words(t) for _, t in held])
-            for k, (doc, _) in enumerate(held):
+            h, _, _, first, _ = hash_words([_words(t) for _, t, _ in held])
+            for k, (doc, _, tag) in enumerate(held):
                 words = h[first[k] : first[k + 1]]
                 if len(words) >= window:
                     at, keys = anchors(words, window)
-                    if block.add(keys, doc, at, mixed(keys)):
+                    if block.add(keys, doc, at, mixed(keys), tag):
                         yield from block.flush()
         yield from block.flush()
 
@@ -97,8 +97,8 @@ def _next_level(window: int, length: int, groups: int):
     def run(batches):
         block = Block(groups)
         for held in rows(batches, 200_000):
-            h, _, _, first, _ = hash_words([_words(t) for _, t, _ in held])
-            for k, (doc, _, ranges) in enumerate(held):
+            h, _, _, first, _ = hash_words([_words(t) for _, t, _, _ in held])
+            for k, (doc, _, tag, ranges) in enumerate(held):
                 words = h[first[k] : first[k + 1]]
                 n = len(words) - length + 1
                 if n <= 0:
@@ -114,7 +114,8 @@ def _next_level(window: int, length: int, groups: int):
                     both = _within(np.arange(n + length), s, e, n + length)
                     at = at[both[:n] & both[length // 2 : length // 2 + n]]
                     q = grams(words, length // 2)[at]
-                if block.add(grams(words, length)[at], doc, at, mixed(q + np.uint64(1))):
+                # The half that deals the window out belongs to its key: equal windows agree in 128 bits.
+                if block.add(grams(words, length)[at], doc, at, mixed(q + np.uint64(1)), tag, q):
                     yield from block.flush()
         yield from block.flush()
 
@@ -123,39 +124,38 @@ def _next_level(window: int, length: int, groups: int):
 
 def _ranges(later_only: bool):
     def run(table: pa.Table) -> pa.Table:
-        docs, places, _, _, later = repeated(table, np.uint64)
+        docs, tags, places, _, _, later = repeated(table, np.uint64)
         if later_only:
-            docs, places, later = docs[later], places[later], later[later]
-        order = np.lexsort((places, docs))
-        docs, places, later = docs[order], places[order], later[order]
+            docs, tags, places, later = docs[later], tags[later], places[later], later[later]
+        order = np.lexsort((places, tags, docs))
+        docs, tags, places, later = docs[order], tags[order], places[order], later[order]
         if not len(docs):
             return RANGES.empty_table()
-        new = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (places[1:] > places[:-1] + 1) | (later[1:] != later[:-1]))))
+        new = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (tags[1:] != tags[:-1]) | (places[1:] > places[:-1] + 1) | (later[1:] != later[:-1]))))
         last = np.append(new[1:], len(docs)) - 1
-        return pa.table({"doc_id": docs[new], "s": places[new].astype(np.int32), "e": (places[last] + 1).astype(np.int32), "later": later[new]}, schema=RANGES)
+        return pa.table({"doc_id": docs[new], "tag": tags[new], "s": places[new].astype(np.int32), "e": (places[last] + 1).astype(np.int32), "later": later[new]}, schema=RANGES)
 
     return run
 
 
 def repeated_windows(docs: DataFrame, window: int = 50, grow: bool = False) -> DataFrame:
-    """doc_id, length, s, e: ranges of places where windows of length words start that a document of smaller doc_id holds too.
+    """doc_id, tag, length, s, e: ranges of places where windows of length words start that a document of smaller doc_id holds too.
 
     With grow the windows are doubled (window, 2 window, ...) until none repeats; otherwise length is window. window is even.
-    Words stand between ASCII white space. Null texts hold no words; rows with null doc_id take no part; a doc_id stands for
-    one document (repeated rows of one doc_id don't repeat each other).
+    Words stand between ASCII white space. Null texts hold no words; rows with null doc_id take no part. Rows of one doc_id are one
+    document (they don't repeat each other); their texts may differ, and tag (see row_tags) tells which row a range is of.
     """
-    spark = docs.sparkSession
-    groups = 4 * partitions(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
+    groups = groups_of(docs)
+    docs = row_tags(docs).filter("doc_id is not null")
     ranges = docs.mapInArrow(_level_one(window, groups), DEALT_SQL).groupBy("q").applyInArrow(_ranges(False), RANGES_SQL)
     length, found = window, []
     while True:
-        grown = docs.join(ranges.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("ranges")), "doc_id")
+        grown = docs.join(ranges.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("s", "e")).alias("ranges")), ["doc_id", "tag"]).select("doc_id", "text", "tag", "ranges")
         dealt = grown.mapInArrow(_next_level(window, length, groups), DEALT_SQL)
         if not grow:
-            return dealt.groupBy("q").applyInArrow(_ranges(True), RANGES_SQL).select("doc_id", F.lit(length).alias("length"), "s", "e")
+            return dealt.groupBy("q").applyInArrow(_ranges(True), RANGES_SQL).select("doc_id", "tag", F.lit(length).alias("length"), "s", "e")
         ranges = settle(dealt.groupBy("q").applyInArrow(_ranges(False), RANGES_SQL), "windows")
-        found.append(ranges.filter("later").select("doc_id", F.lit(length).alias("length"), "s", "e"))
+        found.append(ranges.filter("later").select("doc_id", "tag", F.lit(length).alias("length"), "s", "e"))
         if ranges.isEmpty():
             out = found[0]
             for x in found[1:]:
@@ -193,8 +193,10 @@ def _kept(window: int, with_text: bool):
 def substring_dedup(docs: DataFrame, window: int = 50, with_text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, text (kept words joined by a space; null unless with_text), kept_sha256; a row for each row of docs.
 
-    Words covered by a window that also starts in a document with a smaller doc_id go; windows are judged on the input.
+    Words covered by a window that also starts in a document with a smaller doc_id go; windows are judged on the input. Null text
+    has no words; rows with null doc_id lose nothing and make none lose; rows of one doc_id are one document, each judged by its
+    own text. Columns of docs but doc_id and text are left out.
     """
-    ranges = repeated_windows(docs, window).groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
-    whole = docs.select(F.col("doc_id").cast("long"), "text").join(ranges, "doc_id", "left")
+    ranges = repeated_windows(docs, window).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
+    whole = row_tags(docs).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "text", "ranges")
     return whole.mapInArrow(_kept(window, with_text), "doc_id long, n_words long, n_removed long, text string, kept_sha256 string")
