@@ -1,14 +1,17 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of the benchmark items.
 
 Documents stream through the automaton word by word, keeping the longest suffix that some item holds. Words covered by a
-window (min_words consecutive words of an item, or a whole shorter item) are hit. The automaton has at most two states for
-each benchmark word; benchmarks are dealt into shards of at most shard_words words, and each shard's automaton is broadcast
-for itself, so what is broadcast stays bounded however large the benchmark is.
+window (`window` consecutive words of an item, or a whole shorter item) are hit. The automaton has at most two states for
+each benchmark word. Larger benchmarks are dealt into shards of about shard_words words; tasks build the shards' automata, which
+are written to shared storage and broadcast one after the other, so what a machine holds stays bounded however large the
+benchmark is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 from itertools import pairwise
@@ -17,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockgrid.llm.common import arrow, rows
+from dockgrid.llm.common import arrow, rows, settle
 
 #: Bytes: A-Z to a-z; all ASCII but letters and digits to a space.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -41,17 +44,25 @@ class Automaton:
             for w in words:
                 last = self._extend(last, self.ids.setdefault(w, len(self.ids)))
                 ends.setdefault(last, set()).add(name)
-        for s in sorted(range(len(self.size)), key=self.size.__getitem__, reverse=True):
-            if s and s in ends and self.link[s] > 0:
-                ends.setdefault(self.link[s], set()).update(ends[s])
+        # Item names climb to the state that holds strings of `window` words, and no further.
+        by_size = sorted(range(1, len(self.size)), key=self.size.__getitem__)
+        for s in reversed(by_size):
+            if s in ends and self.size[self.link[s]] >= window:
+                ends.setdefault(self.link[s], set()).update(ends.pop(s))
         for name, words in items:
             if 0 < len(words) < window:
                 s = 0
                 for w in words:
                     s = self.steps[s][self.ids[w]]
                 self.whole.setdefault(s, []).append((len(words), name))
-        # items whose windows end at a state: those of its ancestor that holds strings of `window` words.
+        # Items whose windows end at a state: those of its ancestor that holds strings of `window` words.
         self.full = {s: frozenset(e) for s, e in ends.items() if self.size[self.link[s]] < window <= self.size[s]}
+        self.top = list(range(len(self.size)))  # that ancestor
+        self.short = [0] * len(self.size)  # the nearest state, itself or an ancestor, whose string is a short item (0: none)
+        for s in by_size:
+            if self.size[self.link[s]] >= window:
+                self.top[s] = self.top[self.link[s]]
+            self.short[s] = s if s in self.whole else self.short[self.link[s]]
         self.least = min([window, *(n for x in self.whole.values() for n, _ in x)])
         numbers = [[self.ids[w] for w in words] for _, words in items]
         self.pairs = np.unique(np.array([(a << 32) + b for x in numbers for a, b in pairwise(x)], np.int64))
@@ -100,7 +111,7 @@ class Automaton:
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
         seen: set[int] = set()
-        steps, link, size, window = self.steps, self.link, self.size, self.window
+        steps, link, size, window, top, short = self.steps, self.link, self.size, self.window, self.top, self.short
         for a, b in self.runs(ids):
             s = n = 0
             for i, w in enumerate(ids[a:b].tolist(), a):
@@ -112,21 +123,18 @@ class Automaton:
                     continue
                 s, n = to, n + 1
                 longest = 0
-                t = s
                 if n >= window:
-                    while size[link[t]] >= window:
-                        t = link[t]
-                    longest = window
+                    longest, t = window, top[s]
                     if t not in seen:
                         seen.add(t)
                         items |= self.full[t]
-                if self.whole:
-                    while t > 0:
-                        for length, name in self.whole.get(t, ()):
-                            if length <= n:
-                                items.add(name)
-                                longest = max(longest, length)
-                        t = link[t]
+                t = short[s]
+                while t:
+                    for length, name in self.whole[t]:
+                        if length <= n:
+                            items.add(name)
+                            longest = max(longest, length)
+                    t = short[link[t]]
                 if longest:
                     x = i + 1 - longest
                     if spans and x <= spans[-1][1]:
@@ -136,25 +144,55 @@ class Automaton:
         return spans, items
 
 
-def shards_of(benchmark: DataFrame, window: int, shard_words: int) -> list[list[tuple[str, list[bytes]]]]:
-    """Items in lists of at most shard_words words; a longer item is cut with an overlap of window - 1 words."""
-    out: list[list[tuple[str, list[bytes]]]] = []
-    held = 0
-    for item, text in benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id is not null").toLocalIterator():
-        words = words_of(text)
-        for k in range(0, max(1, len(words) - window + 1), shard_words):
-            part = words[k : k + shard_words + window - 1]
-            if not out or held + len(part) > shard_words:
-                out.append([])
-                held = 0
-            out[-1].append((item, part))
-            held += len(part)
-    return out
+PIECES = pa.schema([("item", pa.string()), ("piece", pa.int32()), ("words", pa.binary()), ("n", pa.int64())])
+SHARDS = pa.schema([("shard", pa.int64()), ("automaton", pa.binary())])
 
 
-def _apply(automaton):
+def _pieces(window: int, step: int):
+    """Items in pieces that overlap in window - 1 words."""
+
+    def run(batches):
+        for held in rows(batches):
+            out = [(item, k, b" ".join(words[at : at + step + window - 1]), len(words[at : at + step + window - 1])) for item, text in held for words in [words_of(text)] for k, at in enumerate(range(0, max(1, len(words) - window + 1), step)) if words]
+            if out:
+                yield arrow(dict(zip(PIECES.names, zip(*out, strict=True), strict=True)), PIECES)
+
+    return run
+
+
+def _built(window: int):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("item", "ascending"), ("piece", "ascending")])
+        items = [(i, w.split(b" ")) for i, w in zip(table["item"].to_pylist(), table["words"].to_pylist(), strict=True)]
+        return pa.table({"shard": table["shard"][:1], "automaton": [pickle.dumps(Automaton(items, window))]}, schema=SHARDS)
+
+    return run
+
+
+def shards_of(benchmark: DataFrame, window: int, shard_words: int) -> DataFrame:
+    """shard long, automaton binary: of about shard_words words each, built in tasks, in shared storage. No rows for a benchmark without words."""
+    items = benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id is not null")
+    pieces = items.mapInArrow(_pieces(window, max(window, shard_words // 16)), "item string, piece int, words binary, n long")
+    total = pieces.agg(F.sum("n")).first()[0] or 0
+    shards = 1 if total <= shard_words else -(-5 * total // (4 * shard_words))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item", "piece"), F.lit(shards)).cast("long"))
+    return settle(dealt.groupBy("shard").applyInArrow(_built(window), "shard long, automaton binary"), "automata")
+
+
+#: The automaton that this worker used last, by its broadcast's number.
+_loaded: dict[int, Automaton] = {}
+
+
+def automaton_of(number: int, data: bytes) -> Automaton:
+    if number not in _loaded:
+        _loaded.clear()
+        _loaded[number] = pickle.loads(data)
+    return _loaded[number]
+
+
+def _apply(shared, number: int):
     def run(batches):
-        found = automaton.value
+        found = automaton_of(number, shared.value)
         for held in rows(batches):
             out = []
             for doc, text in held:
@@ -166,38 +204,57 @@ def _apply(automaton):
     return run
 
 
-def _found(docs: DataFrame, shards: list[list[tuple[str, list[bytes]]]], window: int) -> list[DataFrame]:
-    """For each shard, its spans and items in each row of docs."""
-    spark = docs.sparkSession
-    schema = "doc_id long, n_words long, hits array<int>, items array<string>, text_key string"
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    return [docs.mapInArrow(_apply(spark.sparkContext.broadcast(Automaton(x, window))), schema) for x in shards]
+SPANS_SQL = "doc_id long, n_words long, hits array<int>, items array<string>, text_key string"
+
 
+def _shared(automata: DataFrame, shard: int | None):
+    """A broadcast of a shard's automaton (None: of an empty one), as bytes, and a number that tells it from others."""
+    data = pickle.dumps(Automaton([], 1)) if shard is None else bytes(automata.filter(F.col("shard") == shard).first()["automaton"])
+    return automata.sparkSession.sparkContext.broadcast(data), uuid.uuid4().int
 
-def _gathered(parts: list[DataFrame]) -> DataFrame:
-    """Spans of all shards merged, one row for each doc_id and text_key; n is the number of rows of parts that it stands for."""
-    spans = F.expr("CASE WHEN size(hits) = 0 THEN cast(array() AS array<struct<s:int,e:int>>) ELSE transform(sequence(0, size(hits) div 2 - 1), i -> struct(hits[2 * i] AS s, hits[2 * i + 1] AS e)) END")
+
+def _merged(docs: DataFrame, automata: DataFrame, shards: list[int]) -> DataFrame:
+    """_id, _key, hits, items of the rows of docs that some shard hits. The shards take turns: each one's hits are written before the next one's
+    automaton is sent."""
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    parts = []
+    for shard in shards:
+        shared, number = _shared(automata, shard)
+        parts.append(settle(docs.mapInArrow(_apply(shared, number), SPANS_SQL).filter(F.size("hits") > 0), "hits"))
+        shared.destroy()
+    spans = F.expr("transform(sequence(0, size(hits) div 2 - 1), i -> struct(hits[2 * i] AS s, hits[2 * i + 1] AS e))")
     last = lambda done: F.element_at(done, -1)
     merged = F.aggregate(
         F.array_sort("p"), F.expr("cast(array() AS array<struct<s:int,e:int>>)"),
         lambda done, x: F.when((F.size(done) > 0) & (last(done)["e"] >= x["s"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last(done)["s"].alias("s"), F.greatest(last(done)["e"], x["e"]).alias("e"))))).otherwise(F.concat(done, F.array(x))),
     )
     gathered = reduce(DataFrame.unionByName, parts).withColumn("p", spans).groupBy("doc_id", "text_key").agg(
-        F.first("n_words").alias("n_words"), F.flatten(F.collect_set("p")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.count("*").alias("n")
+        F.flatten(F.collect_set("p")).alias("p"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
     )
-    return gathered.withColumn("hits", F.flatten(F.transform(merged, lambda x: F.array(x["s"], x["e"]))))
+    return gathered.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.flatten(F.transform(merged, lambda x: F.array(x["s"], x["e"]))).alias("_hits"), F.col("items").alias("_items"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 1_000_000) -> DataFrame:
+def _with_hits(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return docs.join(hits, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left")
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, shard_words: int = 200_000) -> DataFrame:
     """doc_id, n_words long, hits array<int> (starts and ends of hit word spans), items array<string> (sorted), text_key; a row for each row of docs.
 
-    Words are runs of [0-9a-z] and non-ASCII characters after A-Z is lower-cased. Null texts have no words; null item_ids take no part.
+    Words are runs of [0-9a-z] and non-ASCII characters after A-Z is lower-cased. Null texts have no words; null item_ids take no
+    part; rows of docs may repeat and doc_ids be null. Items of one item_id are one item. Columns of docs but doc_id and text are left out.
     """
-    parts = _found(docs, shards_of(benchmark, window, shard_words) or [[]], window)
-    if len(parts) == 1:
-        return parts[0]
-    whole = _gathered(parts).withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("n") / len(parts)).cast("int"))))
-    return whole.select("doc_id", "n_words", "hits", "items", "text_key")
+    automata = shards_of(benchmark, window, shard_words)
+    shards = [r["shard"] for r in automata.select("shard").collect()]
+    if len(shards) < 2:
+        return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_apply(*_shared(automata, shards[0] if shards else None)), SPANS_SQL)
+
+    def counted(batches):
+        for held in rows(batches):
+            yield arrow({"doc_id": [x[0] for x in held], "n_words": [len(words_of(x[1])) for x in held], "hits": [x[2] or [] for x in held], "items": [x[3] or [] for x in held], "text_key": [hashlib.md5((x[1] or "").encode("utf-8", "surrogatepass")).hexdigest() for x in held]}, SPANS)
+
+    return _with_hits(docs, _merged(docs, automata, shards)).select(F.col("doc_id").cast("long"), "text", "_hits", "_items").mapInArrow(counted, SPANS_SQL)
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -222,28 +279,29 @@ def _cut(batch: pa.RecordBatch, spans: list[list[tuple[int, int]]], n_words: lis
     return out.filter(pa.array(keep))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, max_words: int = 1_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5, shard_words: int = 200_000) -> DataFrame:
     """docs without the spans that benchmark items hold; documents of which more than max_coverage is hit go.
 
-    All columns of docs; text loses its hit words. Benchmarks of more than max_words words are dealt into shards of as many: each shard's
-    spans are found for itself, merged by doc_id and text, and joined back, so that rows may repeat and ids may be null.
+    All columns of docs; text loses its hit words and what stands between them. Null and empty texts stay as they are; rows may
+    repeat and doc_ids be null. Benchmarks of more than shard_words words are dealt into shards: their spans are merged by doc_id
+    and text and joined back.
     """
-    spark = docs.sparkSession
-    shards = shards_of(benchmark, window, max_words)
-    if len(shards) < 2:
-        automaton = spark.sparkContext.broadcast(Automaton(shards[0] if shards else [], window))
+    automata = shards_of(benchmark, window, shard_words)
+    shards = [r["shard"] for r in automata.select("shard").collect()]
+    if not shards:
+        return docs
+    if len(shards) == 1:
+        shared, number = _shared(automata, shards[0])
 
         def run(batches):
+            found = automaton_of(number, shared.value)
             for batch in batches:
                 words = [words_of(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
-                yield _cut(batch, [automaton.value.matches(x)[0] for x in words], [len(x) for x in words], max_coverage)
+                yield _cut(batch, [found.matches(x)[0] for x in words], [len(x) for x in words], max_coverage)
 
         return docs.mapInArrow(run, docs.schema)
 
-    # Only rows with hits are gathered and joined; the others' texts need no more than their number of words.
-    hit = _gathered([x.filter(F.size("hits") > 0) for x in _found(docs, shards, window)]).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("hits").alias("_hits"))
-    key = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    joined = docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key")), "left").select(*docs.columns, "_hits")
+    joined = _with_hits(docs, _merged(docs, automata, shards)).select(*docs.columns, "_hits")
 
     def run_joined(batches):
         for batch in batches:

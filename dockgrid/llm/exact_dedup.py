@@ -14,15 +14,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dockgrid.llm.common import arrow, rows
+from dockgrid.llm.common import arrow, repeated_ids, rows, settle
+from dockgrid.storage import if_small
 
 _rng = np.random.default_rng(20240601)
 #: One random 64-bit value for each byte, for the rolling hash.
 GEAR = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 RECIPES = pa.schema([("doc_id", pa.int64()), ("text_sha256", pa.string()), ("n_bytes", pa.int64()), ("recipe", pa.list_(pa.int64()))])
 CHUNKS = pa.schema([("h", pa.int64()), ("content", pa.binary())])
+PLACED = pa.schema([("text_sha256", pa.string()), ("pos", pa.int64()), ("h", pa.int64()), ("content", pa.binary())])
 
 
 def cuts(data: bytes, least: int = 1024, mean_bits: int = 12, most: int = 16384) -> list[int]:
@@ -75,39 +77,54 @@ def _chunks(hash_bits: int):
     return run
 
 
+def _key(recipe: str) -> Column:
+    """A digest of an ordered list of identifiers."""
+    return F.sha2(F.concat_ws(",", F.transform(recipe, lambda x: x.cast("string"))), 256)
+
+
 def exact_dedup(docs: DataFrame, hash_bits: int = 64) -> DataFrame:
     """doc_id, keep_id, group_size long, kept boolean, text_sha256, n_bytes long, recipe array<long>; one row for each row of docs.
 
-    Texts are equal when identical; null counts as ''. Of equal texts the row with the largest doc_id stays (null doc_ids are
-    smallest; if all are null, keep_id is null and none stays). hash_bits below 64 makes collisions likely, for tests.
+    Texts are equal when identical; null counts as ''. Of equal texts one row with the largest doc_id stays (null doc_ids are
+    smallest; if all are null, keep_id is null and none stays; of rows alike in doc_id and text one stays). Columns of docs but
+    doc_id and text are left out. hash_bits below 64 makes collisions likely, for tests.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = docs.mapInArrow(_recipes(hash_bits), "doc_id long, text_sha256 string, n_bytes long, recipe array<long>")
     contents = docs.mapInArrow(_chunks(hash_bits), "h long, content binary").groupBy("h", "content").agg(F.count("*").alias("n"))
     shared = contents.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    key = F.sha2(F.concat_ws(",", F.transform("recipe", lambda x: x.cast("string"))), 256)
-    found = found.withColumn("recipe_key", key)
     if not shared.isEmpty():
-        found = _numbered(docs, found, contents.join(shared, "h", "left_semi"), shared, hash_bits)
-    groups = found.groupBy("recipe_key", "recipe", "n_bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    same = found.alias("a").join(groups.alias("b"), F.expr("a.recipe_key = b.recipe_key AND a.recipe = b.recipe AND a.n_bytes = b.n_bytes"))
-    return same.select("a.doc_id", "b.keep_id", "b.group_size", F.coalesce(F.expr("a.doc_id = b.keep_id"), F.lit(False)).alias("kept"), "a.text_sha256", "a.n_bytes", "a.recipe")
+        found = _numbered(docs, found, contents, settle(shared, "shared"), hash_bits)
+    found = found.withColumn("recipe_key", _key("recipe"))
+    groups = found.groupBy("recipe_key", "recipe", "n_bytes").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).drop("recipe")
+    same = found.join(groups, ["recipe_key", "n_bytes"])
+    if (again := repeated_ids(docs)) is None:
+        return same.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), "text_sha256", "n_bytes", "recipe")
+    # Rows alike in doc_id and text become one with a count, of which the first stays.
+    alike = same.join(again, F.col("doc_id") == F.col("_again"), "left_semi").groupBy("doc_id", "keep_id", "group_size", "text_sha256", "n_bytes", "recipe").agg(F.count("*").alias("copies"))
+    alike = alike.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
+    single = same.join(again, F.col("doc_id") == F.col("_again"), "left_anti").withColumn("copy", F.lit(1).cast("long"))
+    whole = single.select(*alike.columns).unionByName(alike)
+    return whole.select("doc_id", "keep_id", "group_size", F.coalesce((F.col("doc_id") == F.col("keep_id")) & (F.col("copy") == 1), F.lit(False)).alias("kept"), "text_sha256", "n_bytes", "recipe")
 
 
 def _numbered(docs: DataFrame, found: DataFrame, contents: DataFrame, shared: DataFrame, hash_bits: int) -> DataFrame:
-    """Recipes in which hashes that several contents share are replaced by (hash, number of the content)."""
-    numbers = contents.select("h", "content", F.row_number().over(Window.partitionBy("h").orderBy("content")).cast("long").alias("variant"))
+    """found, in whose recipes a hash that several contents share is followed by the number of the content.
+
+    Only texts that hold such a hash are read again, and of them only the chunks in question meet the contents.
+    """
+    small = if_small(shared)
+    numbers = contents.join(small, "h", "left_semi").select("h", "content", F.row_number().over(Window.partitionBy("h").orderBy("content")).cast("long").alias("variant"))
+    held = found.select("text_sha256", F.explode(F.array_distinct("recipe")).alias("h")).join(small, "h").groupBy("text_sha256").agg(F.collect_set("h").alias("hs"))
+    held = settle(held, "held")
+    texts = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).join(held, "text_sha256").dropDuplicates(["text_sha256"]).select("text_sha256", "text", "hs")
 
     def placed(batches):
-        for held in rows(batches):
-            out = [(i, p, h, c, len(t or ""), hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).hexdigest()) for i, t in held for p, (h, c) in enumerate(chunks_of(t, hash_bits))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) if k else pa.array(x, pa.int64()) for k, x in enumerate(zip(*out, strict=True))], names=["doc_id", "pos", "h", "content", "size", "text_sha256"])
-
-    schema = "doc_id long, pos long, h long, content binary, size long, text_sha256 string"
-    parts = docs.mapInArrow(placed, schema).join(numbers, ["h", "content"], "left")
-    # One list a distinct text: its rows differ in doc_id alone.
-    lists = parts.dropDuplicates(["text_sha256", "pos"]).groupBy("text_sha256").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "h", F.coalesce("variant", F.lit(0)).alias("variant")))), lambda x: F.array(x["h"], x["variant"]))).alias("numbered")
-    )
-    exact = F.sha2(F.concat_ws(",", F.transform("numbered", lambda x: x.cast("string"))), 256)
-    return found.join(lists, "text_sha256").withColumn("recipe", F.col("numbered")).withColumn("recipe_key", exact).drop("numbered")
+        for some in rows(batches):
+            out = [(key, p, h, c) for key, t, hs in some for wanted in [set(hs)] for p, (h, c) in enumerate(chunks_of(t, hash_bits)) if h in wanted]
+            yield arrow(dict(zip(PLACED.names, zip(*out, strict=True), strict=True)), PLACED)
+
+    parts = texts.mapInArrow(placed, "text_sha256 string, pos long, h long, content binary").join(numbers, ["h", "content"])
+    variants = parts.groupBy("text_sha256").agg(F.map_from_entries(F.collect_list(F.struct("pos", "variant"))).alias("variants"))
+    exact = F.flatten(F.transform("recipe", lambda h, p: F.when(F.try_element_at("variants", p.cast("long")).isNull(), F.array(h)).otherwise(F.array(h, F.try_element_at("variants", p.cast("long"))))))
+    return found.join(variants, "text_sha256", "left").withColumn("recipe", F.when(F.col("variants").isNull(), F.col("recipe")).otherwise(exact)).drop("variants")

@@ -118,7 +118,7 @@ def test_decontaminate_takes_all_shards(spark, most):
     items = [(k, " ".join(rng.choice(vocab) for _ in range(25))) for k in range(4)] + [(9, "A, b! C"), (10, None)]
     texts = [None, "", "a b c", *(" ".join(rng.choice(vocab[:4]) for _ in range(30)) + f" q {items[k % 4][1]} q {items[(k + 1) % 4][1][: 30 * (k % 3)]} " + "x " * rng.randrange(90) for k in range(20))]
     docs = [*((k, x, "s") for k, x in enumerate(texts)), (5, texts[6], "again"), (6, texts[6], "copy"), (None, texts[7], "s"), (None, texts[8], "s"), (None, None, "s")]
-    got = decontaminate(spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(items, "item_id long, text string"), window=6, max_words=most).collect()
+    got = decontaminate(spark.createDataFrame(docs, "doc_id long, text string, source string"), spark.createDataFrame(items, "item_id long, text string"), window=6, shard_words=most).collect()
     want = []
     for i, x, source in docs:
         n, hit, _ = hits_brute(x, items, 6)
