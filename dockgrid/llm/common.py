@@ -45,6 +45,17 @@ def rows(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iterat
             yield held
 
 
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose strings in the column have about most_bytes bytes (one longer text makes a part of its own)."""
+    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))), 0)).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        done = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, done + most_bytes, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 #: A fixed odd multiplier (the golden ratio in 64 bits).
 ODD = np.uint64(0x9E3779B97F4A7C15)
 

@@ -2,8 +2,10 @@
 
 Every word of a line gets a label; its scores come from hashed features (the word itself as lexicon entry, affixes, character
 n-grams), neighbouring labels from learned transitions. Marginals by forward-backward say how likely each label is for each
-word, which also labels code-switched text; a document's language is the label with the largest sum. Chains are lines, cut
-after 128 words. Training reads a bounded sample of labelled pieces on the driver; labelling reads every text whole.
+word, which also labels code-switched text (returned as runs of words); a document's language is the label with the largest sum.
+Chains are lines. Long ones are stepped through in chunks side by side: each chunk's transfer matrix carries the forward
+and backward messages over its borders. Training reads a bounded sample of labelled pieces on the driver; labelling reads
+every text whole.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from dockgrid.llm.common import ODD, arrow, mixed, rows
+from dockgrid.llm.common import ODD, mixed, slices
 
 WORD = re.compile(r"[^\W\d_]+")
-CHAIN, BUCKETS = 128, 1 << 16
-OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
+CHUNK, BUCKETS = 128, 1 << 16
+RUNS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("lang", pa.string())]))
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -62,21 +65,32 @@ class Crf:
         return np.add.reduceat(self.weights[flat], first, axis=0)
 
 
-def marginals(emit: np.ndarray, moves: np.ndarray, starts: np.ndarray, size: np.ndarray, expected_moves: np.ndarray | None = None) -> np.ndarray:
+def marginals(emit: np.ndarray, moves: np.ndarray, starts: np.ndarray, size: np.ndarray, expected_moves: np.ndarray | None = None, chunk: int | None = None) -> np.ndarray:
     """Label probabilities of each word; emit: log scores in rows, chains from starts with size words (at least 1).
 
-    All chains step together, the longest first. expected_moves gathers expected transition counts.
+    All chains step together, the longest first. With chunk, chains longer than that are stepped through in chunks, between which the
+    messages are carried exactly. expected_moves gathers expected transition counts (without chunk).
     """
-    order = np.argsort(-size, kind="stable")
-    starts, size = starts[order], size[order]
     e = np.exp(emit - emit.max(axis=1, keepdims=True))
     a = np.exp(moves - moves.max())
-    fore, back = np.empty_like(e), np.ones_like(e)
+    back = np.ones_like(e)
+    enter = None
+    if chunk and len(size) and size.max() > chunk:
+        starts, size, enter, leave = carried(e, a, starts, size, chunk)
+        back[starts + size - 1] = leave
+    order = np.argsort(-size, kind="stable")
+    starts, size = starts[order], size[order]
+    fore = np.empty_like(e)
     longest = int(size[0]) if len(size) else 0
     active = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest + 1)]  # chains of more than t words
     for t in range(longest):
         at = starts[: active[t]] + t
-        x = e[at] if t == 0 else (fore[at - 1] @ a) * e[at]
+        if t:
+            x = (fore[at - 1] @ a) * e[at]
+        elif enter is None:
+            x = e[at]
+        else:
+            x = np.where(np.isnan(enter[order]), e[at], (enter[order] @ a) * e[at])
         fore[at] = x / x.sum(axis=1, keepdims=True)
     for t in range(longest - 2, -1, -1):
         at = starts[: active[t + 1]] + t
@@ -92,6 +106,42 @@ def marginals(emit: np.ndarray, moves: np.ndarray, starts: np.ndarray, size: np.
     return both / both.sum(axis=1, keepdims=True)
 
 
+def carried(e: np.ndarray, a: np.ndarray, starts: np.ndarray, size: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and sizes of chunks of the chains, and for each the forward message that enters it (nan: it begins a chain) and the backward
+    message that its last word gets from behind."""
+    k = e.shape[1]
+    pieces = -(-size // chunk)
+    chain = np.repeat(np.arange(len(size)), pieces)
+    number = np.arange(len(chain)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    c_starts = starts[chain] + number * chunk
+    c_size = np.minimum(chunk, size[chain] - number * chunk)
+    enter, leave = np.full((len(chain), k), np.nan), np.ones((len(chain), k))
+    # Transfer matrices of the chunks of chains with several: message in, message out.
+    mine = np.flatnonzero(pieces[chain] > 1)
+    mine = mine[np.argsort(-c_size[mine], kind="stable")]
+    transfer = np.empty((len(chain), k, k))
+    first = number[mine] == 0
+    x = np.where(first[:, None, None], 1.0, a[None]) * e[c_starts[mine]][:, None, :]
+    active = [int(np.searchsorted(-c_size[mine], -t, side="left")) for t in range(chunk + 1)]
+    x /= x.sum(axis=(1, 2), keepdims=True)
+    for t in range(1, chunk):
+        n = active[t]
+        if not n:
+            break
+        y = (x[:n] @ a) * e[c_starts[mine[:n]] + t][:, None, :]
+        x[:n] = y / y.sum(axis=(1, 2), keepdims=True)
+    transfer[mine] = x
+    by_number = [np.flatnonzero((number == j) & (pieces[chain] > j + 1)) for j in range(int(pieces.max()) - 1)]
+    for at in by_number:  # chunk j of each chain that has a chunk j + 1
+        before = np.where(np.isnan(enter[at]), 1.0 / k, enter[at])
+        out = (before[:, None, :] @ transfer[at])[:, 0]
+        enter[at + 1] = out / out.sum(axis=1, keepdims=True)
+    for at in reversed(by_number):
+        out = (transfer[at + 1] @ leave[at + 1][:, :, None])[:, :, 0]
+        leave[at] = out / out.sum(axis=1, keepdims=True)
+    return c_starts, c_size, enter, leave
+
+
 def train_crf(pieces: list[tuple[str, str]], rounds: int = 40, rate: float = 0.5, ridge: float = 1e-5) -> Crf:
     """pieces: (text, language). Likelihood ascent with AdaGrad steps over all chains."""
     langs = sorted({lang for _, lang in pieces})
@@ -99,12 +149,10 @@ def train_crf(pieces: list[tuple[str, str]], rounds: int = 40, rate: float = 0.5
     vocab: dict[str, int] = {}
     ids, gold, size = [], [], []
     for text, lang in pieces:
-        words = WORD.findall(text)
-        for k in range(0, len(words), CHAIN):
-            part = words[k : k + CHAIN]
-            ids += [vocab.setdefault(w, len(vocab)) for w in part]
-            gold += [number[lang]] * len(part)
-            size.append(len(part))
+        if words := WORD.findall(text):
+            ids += [vocab.setdefault(w, len(vocab)) for w in words]
+            gold += [number[lang]] * len(words)
+            size.append(len(words))
     model = Crf(langs, np.zeros((BUCKETS, len(langs))), np.zeros((len(langs), len(langs))))
     if not ids:
         return model
@@ -169,8 +217,8 @@ class Memory:
         return self.scores[np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))]
 
 
-def label(model: Crf, texts: list[str | None], memory: Memory) -> list[tuple[str, float]]:
-    """(language, share) for each text."""
+def label(model: Crf, texts: list[str | None], memory: Memory, with_runs: bool = False) -> tuple[list[str], list[float], list[list[dict]]]:
+    """Language and its share for each text, and (with_runs) runs of its words of one label."""
     words: list[str] = []
     size: list[int] = []
     docs: list[int] = []
@@ -178,37 +226,51 @@ def label(model: Crf, texts: list[str | None], memory: Memory) -> list[tuple[str
     for k, text in enumerate(texts):
         found = False
         for line in (text or "").split("\n"):
-            part = WORD.findall(line)
-            found = found or any(c.isalpha() for w in part for c in w)
-            words += part
-            n = len(part)
-            while n > 0:
-                size.append(min(n, CHAIN))
+            if part := WORD.findall(line):
+                found = found or any(c.isalpha() for w in part for c in w)
+                words += part
+                size.append(len(part))
                 docs.append(k)
-                n -= CHAIN
         letters.append(found and bool(model.langs))
     if not words or not model.langs:
-        return [("und", 0.0)] * len(texts)
+        return ["und"] * len(texts), [0.0] * len(texts), [[] for _ in texts]
     sizes = np.array(size)
-    p = marginals(memory.of(model, words), model.moves, np.cumsum(sizes) - sizes, sizes)
+    p = marginals(memory.of(model, words), model.moves, np.cumsum(sizes) - sizes, sizes, chunk=CHUNK)
     owner = np.repeat(np.array(docs), sizes)
     total = np.column_stack([np.bincount(owner, p[:, k], len(texts)) for k in range(len(model.langs))])
     best = total.argmax(axis=1)
     share = total[np.arange(len(texts)), best] / np.maximum(total.sum(axis=1), 1e-12)
-    return [(model.langs[b], min(1.0, float(s))) if ok else ("und", 0.0) for b, s, ok in zip(best, share, letters, strict=True)]
+    runs: list[list[dict]] = [[] for _ in texts]
+    if with_runs:
+        of = p.argmax(axis=1)
+        new = np.flatnonzero(np.concatenate(([True], (of[1:] != of[:-1]) | (owner[1:] != owner[:-1]))))
+        begins = np.searchsorted(owner, np.arange(len(texts)))
+        for s, e in zip(new.tolist(), [*new[1:].tolist(), len(of)], strict=True):
+            k = int(owner[s])
+            if letters[k]:
+                runs[k].append({"s": s - int(begins[k]), "e": e - int(begins[k]), "lang": model.langs[of[s]]})
+    return [model.langs[b] if ok else "und" for b, ok in zip(best, letters, strict=True)], [min(1.0, float(s)) if ok else 0.0 for s, ok in zip(share, letters, strict=True)], runs
 
 
-def languages(docs: DataFrame, model: Crf) -> DataFrame:
-    """doc_id, lang_pred string, score double; one row for each row of docs. Texts that are null or hold no letter are 'und' with score 0.
+def languages(docs: DataFrame, model: Crf, with_runs: bool = False) -> DataFrame:
+    """All columns of docs and lang_pred string, score double, word_langs array<struct<s int, e int, lang string>> (only with_runs); a row for each row.
 
-    score: the language's share in the sum of the words' label probabilities. Ties go to the language first in the alphabet.
+    Texts that are null or hold no letter are 'und' with score 0. score: the language's share in the sum of the words' label probabilities.
+    Ties go to the language first in the alphabet. word_langs: runs of words, from s to before e, that get one label. Columns of docs
+    with the names of added ones are replaced; doc_ids may be null or repeat.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score", "word_langs")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    if with_runs:
+        schema.add("word_langs", "array<struct<s:int,e:int,lang:string>>")
 
     def run(batches):
         memory = Memory()
-        for held in rows(batches, 500_000):
-            got = label(shared.value, [t for _, t in held], memory)
-            yield arrow({"doc_id": [i for i, _ in held], "lang_pred": [x for x, _ in got], "score": [s for _, s in got]}, OUT)
+        for batch in batches:
+            for part in slices(batch, "text", 500_000):
+                langs, scores, runs = label(shared.value, part.column(part.schema.get_field_index("text")).to_pylist(), memory, with_runs)
+                added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), *([pa.array(runs, RUNS)] if with_runs else [])]
+                yield pa.RecordBatch.from_arrays([*part.columns, *added], names=schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.mapInArrow(run, schema)

@@ -76,7 +76,7 @@ def _features(model: Compression):
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: int = 400, dict_bytes: int = 112_640) -> Compression:
-    """Learns from at most sample rows of each label (labels: doc_id, quality 0 or 1; null labels are left out).
+    """Learns from at most sample rows of each label (labels: doc_id, quality 0 or 1; null labels, null doc_ids and empty texts are left out).
 
     Half of the rows (by hash) give three pieces of piece characters each to the dictionaries; the others calibrate, weighted to
     the labels' shares. With no rows of one label the score is the share of the other (0.5 without any).
@@ -96,7 +96,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: i
     for q in (0, 1):
         data = [p.encode("utf-8", "surrogatepass") for x in pieces["pieces"][pieces["label"] == q] for p in x]
         try:
-            dicts.append(zstandard.train_dictionary(dict_bytes, data[:3000], level=3).as_bytes())
+            dicts.append(zstandard.train_dictionary(dict_bytes, data, level=3).as_bytes())
         except zstandard.ZstdError:  # too few pieces to train on: they are the dictionary themselves
             dicts.append(b"".join(data)[-dict_bytes:])
     raw = Compression(dicts[0], dicts[1], (0.0, 1.0, 0.0))
@@ -111,7 +111,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: i
 
 
 def quality_scores(docs: DataFrame, model: Compression) -> DataFrame:
-    """doc_id, score double (0 to 1, higher: label 1 likelier); one row for each row of docs. Null text counts as empty, which has a score too."""
+    """doc_id, score double (0 to 1, higher: label 1 likelier); one row for each row of docs, repeated ones too. Null text counts as empty, which has a score too; texts are compressed whole."""
 
     def run(batches):
         compressors = model.compressors()

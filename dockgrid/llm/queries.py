@@ -50,7 +50,7 @@ def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = perspectives(table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
     learned = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
-    return out.select("conv_id", "perspective", "part", "n_turns", F.char_length("text").cast("long").alias("n_chars"), learned.alias("n_learned"), mask.alias("mask"), F.sha2("text", 256).alias("text_sha256"))
+    return out.select("conv_id", "perspective", "part", "text_start", "n_turns", F.char_length("text").cast("long").alias("n_chars"), learned.alias("n_learned"), mask.alias("mask"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = languages(docs, fit_language(docs.filter(F.pmod(doc_hash(), F.lit(3)) != 1)))
+    found = languages(docs.select("doc_id", "text"), fit_language(docs.filter(F.pmod(doc_hash(), F.lit(3)) != 1)))
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
 
 
@@ -114,11 +114,11 @@ FROM words w LEFT JOIN counts c USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
 OP6 = """
-WITH t AS (SELECT conv_id, turn // 256 AS part, turn, role, coalesce(text, '') AS text FROM conversations),
+WITH t AS (SELECT conv_id, turn // 256 AS part, turn, role, replace(replace(role, '<|im_', '< |im_'), chr(10), ' ') AS name, replace(coalesce(text, ''), '<|im_', '< |im_') AS text FROM conversations),
 who AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
-p AS (SELECT t.conv_id, w.perspective, t.part, t.turn, t.role = w.perspective AS mine, '<|im_start|>' || CASE WHEN t.role = 'system' THEN 'system' WHEN t.role = w.perspective THEN 'assistant' ELSE 'user name=' || t.role END || chr(10) AS head, t.text || '<|im_end|>' || chr(10) AS body FROM t JOIN who w USING (conv_id)),
-o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn ROWS UNBOUNDED PRECEDING) AS e FROM p)
-SELECT conv_id, perspective, part, count(*) AS n_turns, sum(length(head) + length(body))::BIGINT AS n_chars, coalesce(sum(length(body)) FILTER (mine), 0)::BIGINT AS n_learned,
+p AS (SELECT t.conv_id, w.perspective, t.part, t.turn, t.role = w.perspective AS mine, '<|im_start|>' || CASE WHEN t.role = 'system' THEN 'system' WHEN t.role = w.perspective THEN 'assistant' ELSE 'user name=' || t.name END || chr(10) AS head, t.text || '<|im_end|>' || chr(10) AS body FROM t JOIN who w USING (conv_id)),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY turn ROWS UNBOUNDED PRECEDING) AS e FROM p)
+SELECT conv_id, perspective, part, min(e - length(head) - length(body))::BIGINT AS text_start, count(*) AS n_turns, sum(length(head) + length(body))::BIGINT AS n_chars, coalesce(sum(length(body)) FILTER (mine), 0)::BIGINT AS n_learned,
     coalesce(string_agg((e - length(body)) || '-' || e, ',' ORDER BY turn) FILTER (mine), '') AS mask, sha256(string_agg(head || body, '' ORDER BY turn)) AS text_sha256
 FROM o GROUP BY conv_id, perspective, part
 """
