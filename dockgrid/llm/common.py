@@ -141,9 +141,9 @@ def row_tags(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def groups_of(docs: DataFrame, each: int = 256 << 20) -> int:
-    """Into how many groups entries are dealt: four a shuffle partition, more where a group would stand for over `each` bytes of text."""
+    """Into how many groups entries are dealt: eight a shuffle partition, more where a group would stand for over `each` bytes of text."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    return max(4 * partitions(docs.sparkSession), -(-size // each))
+    return max(8 * partitions(docs.sparkSession), -(-size // each))
 
 
 #: How the keys of many documents are dealt: one row a task's block and group q holds many entries (packed, first bytes first).

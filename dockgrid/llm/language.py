@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from dockgrid.llm.common import ODD, mixed, slices
 
@@ -263,7 +263,7 @@ def languages(docs: DataFrame, model: Crf, with_runs: bool = False) -> DataFrame
     docs = docs.drop("lang_pred", "score", "word_langs")
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     if with_runs:
-        schema.add("word_langs", "array<struct<s:int,e:int,lang:string>>")
+        schema.add("word_langs", ArrayType(StructType([StructField("s", IntegerType()), StructField("e", IntegerType()), StructField("lang", StringType())])))
 
     def run(batches):
         memory = Memory()

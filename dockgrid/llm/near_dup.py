@@ -238,22 +238,26 @@ def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) ->
     mine = Window.partitionBy("hub", "doc_id")
     ranked = cells.join(common, ["hub", "g"]).withColumn("place", F.col("m") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "g")))
     cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
-    apart = f"(i_m < j_m OR (i_m = j_m AND i_doc_id <> j_doc_id)) AND NOT (i_linked AND j_linked) AND 100 * least(i_n, j_n) >= {percent} * greatest(i_n, j_n)"
-    # A pair's first common shingle leaves room for A of them after it; at later ones of a pair this may fail.
-    room = f"2 * (1 + least(i_m - i_place, j_m - j_place)) >= i_m + j_m - {p} * (i_n + j_n) div {q}"
-    return _meetings(cut).filter(f"{apart} AND {room}").select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
+    return _meetings(cut, percent).select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
 
 
-def _meetings(cut: DataFrame) -> DataFrame:
-    """Indexed and probing rows (i_, j_) of cut that meet at (hub, g) with different labels.
+def _meetings(cut: DataFrame, percent: int) -> DataFrame:
+    """Indexed and probing rows (i_, j_) of cut that meet at (hub, g) with different labels and may link.
 
-    Labels meet first, then the members of those that do: members of one label never meet each other, however many share a g.
+    Labels meet first, by bounds of their members, then the members of those that do: members of one label never meet each
+    other, however many share a g.
     """
-    labels = cut.groupBy("hub", "g", "label").agg(F.max("index").alias("index"), F.max("probe").alias("probe"))
-    mixed_ = labels.groupBy("hub", "g").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g")
-    labels = labels.join(mixed_, ["hub", "g"], "left_semi")
-    i, j = (labels.filter(k).select("hub", "g", F.col("label").alias(f"{s}_label")) for k, s in (("index", "i"), ("probe", "j")))
-    pairs = i.join(j, ["hub", "g"]).filter("i_label <> j_label")
+    p, q = 100 - percent, 100 + percent
+    bounds = [F.min("m").alias("m_least"), F.max("m").alias("m_most"), F.min("n").alias("n_least"), F.max("n").alias("n_most"), F.max(F.col("m") - F.col("place")).alias("after"), F.min("linked").alias("linked")]
+    labels = [cut.filter(k).groupBy("hub", "g", "label").agg(*bounds) for k in ("index", "probe")]
+    i, j = (x.select("hub", "g", *[F.col(c).alias(f"{s}_{c}") for c in x.columns[2:]]) for x, s in zip(labels, "ij", strict=True))
+    # As for single members below, from the bounds most in favour.
+    may = f"i_label <> j_label AND i_m_least <= j_m_most AND NOT (i_linked AND j_linked) AND 100 * least(i_n_most, j_n_most) >= {percent} * greatest(i_n_least, j_n_least)"
+    may += f" AND 2 * (1 + least(i_after, j_after)) >= i_m_least + j_m_least - {p} * (i_n_most + j_n_most) div {q}"
+    pairs = i.join(j, ["hub", "g"]).filter(may).select("hub", "g", "i_label", "j_label")
     names = ("doc_id", "label", "n", "m", "linked", "place")
     i, j = (cut.filter(k).select("hub", "g", *[F.col(c).alias(f"{s}_{c}") for c in names]) for k, s in (("index", "i"), ("probe", "j")))
-    return pairs.join(i, ["hub", "g", "i_label"]).join(j, ["hub", "g", "j_label"])
+    apart = f"(i_m < j_m OR (i_m = j_m AND i_doc_id <> j_doc_id)) AND NOT (i_linked AND j_linked) AND 100 * least(i_n, j_n) >= {percent} * greatest(i_n, j_n)"
+    # A pair's first common shingle leaves room for A of them after it; at later ones of a pair this may fail.
+    room = f"2 * (1 + least(i_m - i_place, j_m - j_place)) >= i_m + j_m - {p} * (i_n + j_n) div {q}"
+    return pairs.join(i, ["hub", "g", "i_label"]).join(j, ["hub", "g", "j_label"]).filter(f"{apart} AND {room}")

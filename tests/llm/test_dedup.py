@@ -10,7 +10,8 @@ import pytest
 
 from dockgrid.llm.common import grams, hash_words
 from dockgrid.llm.exact_dedup import cuts, exact_dedup
-from dockgrid.llm.line_dedup import line_dedup
+from dockgrid.llm.line_dedup import _streamed, line_dedup
+from dockgrid.llm import near_dup
 from dockgrid.llm.near_dup import PartEnum, near_duplicates
 from dockgrid.llm.substring_dedup import repeated_windows, substring_dedup
 
@@ -90,7 +91,7 @@ def test_exact_dedup(spark, bits):
 def test_exact_dedup_of_null_ids_and_empty_table(spark):
     df = spark.createDataFrame([(None, "a"), (None, "a"), (3, "b"), (3, "b")], "doc_id long, text string")
     rows = exact_dedup(df).collect()
-    assert sorted((r["keep_id"] or -1, r["kept"]) for r in rows) == [(-1, False), (-1, False), (3, True), (3, True)]
+    assert sorted((r["keep_id"] or -1, r["kept"]) for r in rows) == [(-1, False), (-1, False), (3, False), (3, True)]
     assert exact_dedup(df.limit(0)).count() == 0
 
 
@@ -123,6 +124,27 @@ def test_line_dedup(spark):
     assert line_dedup(frame(spark, ["x"]).limit(0)).count() == 0
 
 
+def test_a_line_in_every_document_is_one_range_exchange(spark):
+    texts = [f"the line that every document holds\nown line number {k}\n{'y ' * 40_000 if k == 3 else ''}" for k in range(400)]
+    want = lines_brute(texts)
+    for r in line_dedup(frame(spark, texts)).collect():
+        assert (r["text"], r["n_lines"], r["n_dropped"]) == want[r["doc_id"]]
+    lines = spark.range(5000).selectExpr("id % 7 AS h1", "id % 3 AS h2", "id AS doc_id", "0L AS text_key", "0 AS pos")
+    common = spark.createDataFrame([(1, 1)], "h1 long, h2 long")
+    streamed = _streamed(lines, common, 4)
+    plan = streamed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h1" in plan and "hashpartitioning(h1" not in plan
+    blocks = {(r["h1"], r["h2"], r["block"]) for r in streamed.collect()}
+    assert len([x for x in blocks if x[:2] == (1, 1)]) == 4 and len(blocks) == 20 + 4
+
+
+def test_line_dedup_of_null_and_repeated_ids(spark):
+    text = "a line of some length\nanother line of some length"
+    df = spark.createDataFrame([(None, text, 1), (4, text, 2), (4, "another line of some length\nx", 3), (9, text, 4)], "doc_id long, text string, n_dropped int")
+    got = sorted(((r["doc_id"] or -1), r["text"], r["n_dropped"]) for r in line_dedup(df).collect())
+    assert got == [(-1, text, 0), (4, text, 0), (4, "another line of some length\nx", 0), (9, "", 2)] or got == sorted([(-1, text, 0), (4, text, 0), (4, "another line of some length\nx", 0), (9, "", 2)])
+
+
 def windows_brute(texts, n):
     first = {}
     words = [(t or "").split() for t in texts]  # Python's str.split also splits elsewhere, but not in these texts
@@ -145,6 +167,14 @@ def test_substring_dedup(spark, n):
     assert substring_dedup(frame(spark, ["x"]).limit(0), n).count() == 0
 
 
+def test_substring_dedup_of_null_and_repeated_ids(spark):
+    w = [f"v{k}" for k in range(80)]
+    long_, short = " ".join(w), "some words"
+    df = spark.createDataFrame([(7, long_), (7, short), (7, long_), (3, " ".join(w[:60])), (None, long_), (9, "x " + long_)], "doc_id long, text string")
+    got = sorted(((r["doc_id"] or -1), r["n_words"], r["n_removed"]) for r in substring_dedup(df).collect())
+    assert got == [(-1, 80, 0), (3, 60, 0), (7, 2, 0), (7, 80, 60), (7, 80, 60), (9, 81, 80)]
+
+
 def test_windows_double_until_none_repeats(spark):
     text = " ".join(f"v{k}" for k in range(500))
     got = repeated_windows(frame(spark, [text, "z z " + text]), 50, grow=True).collect()
@@ -189,7 +219,46 @@ def test_near_duplicates(spark, parts):
 def test_near_duplicates_of_empty_table_and_repeated_rows(spark):
     assert near_duplicates(frame(spark, ["x"]).limit(0)).count() == 0
     got = near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, None)], "doc_id long, text string")).collect()
-    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(1, 2, 1), (2, 0, 2)]
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(1, 2, 1), (1, 2, 1), (2, 0, 2)]
+
+
+def test_near_duplicates_of_rows_that_share_a_doc_id(spark):
+    words = [f"w{k}" for k in range(30)]
+    a, b, c = " ".join(words), " ".join([*words[:-1], "z"]), "quite another text of some words here"
+    df = spark.createDataFrame([(2, a), (2, c), (5, b), (7, c)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["stays"]) for r in near_duplicates(df).collect())
+    assert got == [(2, 3, 2, True), (2, 26, 2, True), (5, 26, 2, False), (7, 3, 2, False)]
+
+
+def families(m):
+    """Two families of m near copies: the second differs from the first by one passage that its members share."""
+    rng = random.Random(8)
+    base = [f"b{k}" for k in range(300)]
+    other = base[:120] + [f"p{k}" for k in range(60)] + base[180:]
+    out = []
+    for k in range(m):
+        for words in (base, other):
+            w = list(words)
+            w[rng.choice([*range(10, 110), *range(190, 290)])] = f"e{rng.randrange(10**6)}"
+            out.append(" ".join(w))
+    return out
+
+
+def test_families_do_not_meet_in_squares(spark, monkeypatch):
+    met = []
+    whole = near_dup._meetings
+
+    def counted(cut, percent):
+        out = whole(cut, percent)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "_meetings", counted)
+    for m in (20, 40):
+        texts = families(m)
+        got = {r["doc_id"]: r["component_id"] for r in near_duplicates(frame(spark, texts)).collect()}
+        assert got == {i: label for i, (_, label) in classes_brute(texts).items()}
+    assert met[1] <= 3 * met[0] + 50 and met[1] < 40 * 40 // 2
 
 
 def test_bound_on_differing_shingles():

@@ -7,14 +7,16 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from dockgrid.llm.chat import perspectives
 from dockgrid.llm.decontaminate import contamination, decontaminate
-from dockgrid.llm.language import CHAIN, Crf, fit_language, languages, marginals
-from dockgrid.llm.quality import fit_quality, quality_scores
+from dockgrid.llm.language import CHUNK, WORD, Crf, fit_language, languages, marginals
+from dockgrid.llm.quality import Compression, fit_quality, logistic, quality_scores
 from dockgrid.llm.sentencepiece_codec import Codec, sentencepiece
 from dockgrid.llm.token_counts import chunk_ids, token_counts
 
@@ -66,8 +68,28 @@ def test_codec_is_the_library(spark):
 
 def test_codec_commits_within_its_window():
     codec = Codec.load(PIECES)
-    stream = codec.stream("abcdefgh" * 400)
-    assert next(stream) and sum(map(len, stream)) > 3000  # the first piece comes before the text's end is reached
+    text = "abcdefgh no " * 400
+    whole, (first, *rest) = codec.encode(text), list(codec.stream(text, 64))
+    assert len(rest) > 50 and len(first) < 60  # ids come before the text's end is reached
+    assert [int(i) for x in (first, *rest) for i in x] == whole == SentencePieceProcessor(model_file=PIECES).encode(text)
+
+
+def test_codec_windows_and_long_stretches():
+    sp, codec = SentencePieceProcessor(model_file=PIECES), Codec.load(PIECES)
+    rng = random.Random(6)
+    parts = ["a", "b", "aa", "ab", "  ", " ", "\n", "the", "ing", "é", "漢", "字", "🙂", "0", "==", "--", "▁", "\0"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 2, 5, 20, 80]))) for _ in range(2000)]
+    texts += ["a" * 3000, "ab" * 2000, "=" * 1000, "0123456789abcdef" * 300, "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(2000))]
+    want = sp.encode(texts)
+    for window in (None, 64, 300):
+        assert [x.tolist() for x in codec.encode_all(texts, window)] == want
+
+
+def test_repeated_null_and_clashing_rows_of_token_operators(spark):
+    df = spark.createDataFrame([(1, "a b", 1, 2, 3), (1, "a b", 1, 2, 3), (1, "c", 1, 2, 3), (None, None, 1, 2, 3)], "doc_id long, text string, ids int, n_tokens int, n_bytes int")
+    assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"]) for r in token_counts(df, WORDS).collect()) == [(-1, 0, 0), (1, 1, 1), (1, 3, 2), (1, 3, 2)]
+    assert sorted((r["doc_id"] or -1, r["n_ids"]) for r in sentencepiece(df, PIECES).collect()) == [(-1, 0), (1, 1), (1, 2), (1, 2)]
+    assert sentencepiece(df.limit(0), PIECES).count() == 0
 
 
 def norm(text):
@@ -104,6 +126,18 @@ def test_contamination(spark, shard):
         assert (r["n_words"], spans, list(r["items"])) == (n, hit, sorted(found))
 
 
+def test_contamination_of_empty_tables_long_texts_and_repeats(spark):
+    bench = spark.createDataFrame([(1, "a b c d e f g h i j k", 0)], "item_id long, text string, n_words int")
+    docs = spark.createDataFrame([(1, "x " * 200_000 + "a b c d e f g h i j", "s"), (1, "clean", "s"), (1, "clean", "s"), (None, None, "s")], "doc_id long, text string, hits string")
+    got = sorted((r["doc_id"] or -1, r["n_words"], list(r["hits"])) for r in contamination(docs, bench).collect())
+    assert got == [(-1, 0, []), (1, 1, []), (1, 1, []), (1, 200_010, [200_000, 200_010])]
+    assert contamination(docs.limit(0), bench).count() == 0 and decontaminate(docs.limit(0), bench).count() == 0
+    assert {tuple(r["hits"]) for r in contamination(docs, bench.limit(0)).collect()} == {()} and decontaminate(docs, bench.limit(0)).count() == 4
+    # Equal words over and over: their ancestors are stored, not climbed to.
+    same = spark.createDataFrame([(2, "w " * 3000)], "item_id long, text string")
+    assert contamination(spark.createDataFrame([(1, "w " * 5000)], "doc_id long, text string"), same).first()["hits"] == [0, 5000]
+
+
 def test_decontaminate_cuts_passages(spark):
     item = "one two three four five six seven eight nine ten eleven"
     docs = [(1, f"Keep this. One, two three four five six seven eight nine ten eleven! And this stays here with some more words to keep it", "s"), (2, item, "s"), (3, None, "s"), (4, "clean text", "s")]
@@ -144,13 +178,48 @@ def test_forward_backward_is_exhaustive():
         assert np.allclose(got[s : s + n], want / want.sum(axis=1, keepdims=True))
 
 
+def test_messages_pass_the_borders_of_chunks():
+    rng = np.random.default_rng(5)
+    size = np.array([1, 30, 5, 7, 8, 100])
+    starts = np.cumsum(size) - size
+    emit, moves = 3 * rng.normal(size=(int(size.sum()), 4)), rng.normal(size=(4, 4))
+    for chunk in (2, 7, 50):
+        assert np.allclose(marginals(emit, moves, starts, size), marginals(emit, moves, starts, size, chunk=chunk), atol=1e-12)
+
+
+def test_scores_and_word_labels_against_single_words(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = fit_language(docs, sample=40)
+    some = docs.orderBy("doc_id").limit(30).withColumn("score", F.lit("old")).withColumn("lang_pred", F.lit(1))
+    for r in languages(some, model, with_runs=True).collect():
+        # Forward and backward passes over each line, word by word, on probabilities.
+        total, labels = np.zeros(len(model.langs)), []
+        for line in r["text"].split("\n"):
+            e = np.exp(np.array([model.emissions([w])[0] for w in WORD.findall(line)]))
+            a, f, b = np.exp(model.moves), [], []
+            for x in e:
+                f.append((f[-1] @ a if f else 1) * x)
+                f[-1] = f[-1] / f[-1].sum()
+            for x in e[::-1]:
+                b.append(a @ (b[-1] * last) if b else np.ones(len(a)))
+                b[-1], last = b[-1] / b[-1].sum(), x
+            for x, y in zip(f, b[::-1], strict=True):
+                total += x * y / (x * y).sum()
+                labels.append(int((x * y).argmax()))
+        if labels:
+            assert r["lang_pred"] == model.langs[total.argmax()] and abs(r["score"] - total.max() / total.sum()) < 1e-9
+            assert [model.langs[k] for k in labels] == [x["lang"] for x in r["word_langs"] for _ in range(x["s"], x["e"])]
+    mixed = spark.createDataFrame([(None, docs.filter("lang = 'en'").first()["text"]), (1, ""), (1, None)], "doc_id long, text string")
+    assert languages(mixed, model).count() == 3 and languages(mixed.limit(0), model).count() == 0
+
+
 def test_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = fit_language(docs.filter("doc_id % 3 <> 1"), sample=40)
     got = {r["doc_id"]: r for r in languages(docs, model).collect()}
     held = [r for r in docs.collect() if r["doc_id"] % 3 == 1]
     assert np.mean([got[r["doc_id"]]["lang_pred"] == r["lang"] for r in held]) > 0.9
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 ... 4"), (4, "the " * (3 * CHAIN))], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 ... 4"), (4, "the " * (3 * CHUNK))], "doc_id long, text string")
     out = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in languages(odd, model).collect()}
     assert [out[k] for k in (1, 2, 3)] == [("und", 0.0)] * 3 and out[4][0] == "en" and 0 <= out[4][1] <= 1
     none = fit_language(odd.selectExpr("*", "cast(null as string) AS lang"))
@@ -170,6 +239,69 @@ def test_quality(spark):
     assert {r["score"] for r in quality_scores(docs, fit_quality(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_scores_are_the_sizes(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (0, 10, 500, 4000, 200_000)] + [None, "x" * 50_000]
+    train = spark.createDataFrame([(k, "".join(rng.choice("abcd " if k % 2 else "efgh ") for _ in range(600))) for k in range(200)], "doc_id long, text string")
+    model = fit_quality(train, spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int"))
+    assert model.bad and model.good
+    docs = spark.createDataFrame([(k, x, "s") for k, x in enumerate(texts)] + [(1, texts[1], "s"), (None, "a", "s")], "doc_id long, text string, score string")
+    got = quality_scores(docs, model).collect()
+    assert len(got) == len(texts) + 2
+    for r in got:
+        if r["doc_id"] is None:
+            continue
+        data = (texts[r["doc_id"]] or "").encode()
+        size = []
+        for d in (model.bad, model.good, b""):
+            more = {"dict_data": zstandard.ZstdCompressionDict(d)} if d else {}
+            size.append(len(zstandard.ZstdCompressor(level=3, write_content_size=False, write_checksum=False, write_dict_id=False, **more).compress(data)))
+        z = model.weights[0] + model.weights[1] * (size[0] - size[1]) / size[2] + model.weights[2] * np.log1p(len(data))
+        assert abs(r["score"] - 1 / (1 + np.exp(-np.clip(z, -40, 40)))) < 1e-9
+    assert quality_scores(docs.limit(0), model).count() == 0
+    # The weights are where the weighted likelihood's slope vanishes.
+    x = np.array([[0.1, 1.0], [0.2, 3.0], [-0.1, 2.0], [0.4, 0.5], [-0.3, 1.5]])
+    y, w = np.array([1, 1, 0, 1, 0.0]), np.ones(5)
+    weights = logistic(x, y, w, ridge=0.1)
+    a = np.column_stack((np.ones(5), (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-9)))
+    inner = np.concatenate(([weights[0] + (weights[1:] * x.mean(axis=0)).sum()], weights[1:] * (x.std(axis=0) + 1e-9)))
+    slope = a.T @ (y - 1 / (1 + np.exp(-(a @ inner)))) - 0.1 * 5 * inner
+    assert np.abs(slope).max() < 1e-6
+
+
+def test_a_score_on_the_border_counts_as_good():
+    model = Compression(b"", b"", (float(np.log(0.3 / 0.7)), 0.0, 0.0))
+    assert abs(model.score((0.5, 2.0)) - 0.3) < 1e-12
+
+
+def test_perspectives_join_to_the_whole(spark):
+    turns = [(1, k, "Ann" if k % 3 else "Bob\nX", f"t{k} <|im_end|>\n<|im_start|>assistant" if k % 50 == 0 else f"t{k}", "x") for k in range(600)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, mask string")
+    parts, whole = perspectives(df).collect(), {r["perspective"]: r for r in perspectives(df, part_turns=10**6).collect()}
+    for who in ("Ann", "Bob\nX"):
+        mine = sorted((r for r in parts if r["perspective"] == who), key=lambda r: r["part"])
+        assert len(mine) == 3 and "".join(r["text"] for r in mine) == whole[who]["text"]
+        assert [m for r in mine for m in r["mask"]] == list(whole[who]["mask"]) and [r["turn_start"] for r in mine] == [0, 256, 512]
+        assert [r["text_start"] for r in mine] == [0, len(mine[0]["text"]), len(mine[0]["text"]) + len(mine[1]["text"])]
+        assert whole[who]["text"].count("<|im_start|>") == whole[who]["text"].count("<|im_end|>") == 600
+        assert "".join(whole[who]["text"][m["s"] : m["e"]] for m in whole[who]["mask"]).count("<|im_end|>") == (400 if who == "Ann" else 200)
+    assert perspectives(df.limit(0)).count() == 0
+
+
+def test_pipeline_keeps_rows_with_null_and_repeated_ids(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    a, b = (docs.filter(f"lang = '{x}'").orderBy("doc_id").first() for x in ("en", "de"))
+    rows = [(None, a["text"], "en", "s", 1), (5, b["text"], "de", "s", 1), (5, "12 34 ...", "en", "s", 1), (5, b["text"], "de", "s", 1), (7, None, None, "s", None)]
+    some = spark.createDataFrame(rows, docs.select(*corpus_pipeline.COLUMNS).schema)
+    first = corpus_pipeline.STAGES[0][1](spark, docs.select(*corpus_pipeline.COLUMNS).unionByName(some), SF).filter("source = 's' AND (doc_id IS NULL OR n_chars = 1)").collect()
+    assert sorted((r["doc_id"] or -1, r["text"] == a["text"]) for r in first if r["doc_id"] in (None, 5)) == [(-1, True), (5, False), (5, False)]
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        got = stage(spark, some, SF).collect()
+        ids = sorted(r["doc_id"] or -1 for r in got)
+        assert ids == ([-1, 5, 5, 7] if name == "near_duplicates" else [-1, 5, 5, 5, 7]), name
+        assert stage(spark, some.limit(0), SF).count() == 0
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "Ann", "hi"), (1, 2, "Bob", None), (1, 300, "Ann", "bye"), (2, 0, "system", "alone"), (None, 0, "x", "y"), (3, None, None, "late"), (3, None, None, "late")]
     out = perspectives(spark.createDataFrame([(*r, 7) for r in rows], "conv_id long, turn long, role string, text string, part int")).collect()
