@@ -31,13 +31,21 @@ def mcl_step(m: DataFrame, inflation: float = 2.0, prune: float = 0.001) -> Data
     return column_normalised(inflated)
 
 
-def mcl(nodes: DataFrame, edges: DataFrame, inflation: float = 2.0, prune: float = 0.001, rounds: int = 12) -> DataFrame:
-    """graph_id, node, cluster: the smallest attractor of the node's column. Isolated nodes are clusters of their own."""
-    m = mcl_start(nodes, edges)
-    for k in range(rounds):
-        m = mcl_step(m, inflation, prune)
-        if k % 3 == 2:
-            m = settle(m, "mcl")
+def mcl(nodes: DataFrame, edges: DataFrame, inflation: float = 2.0, prune: float = 0.001, most_rounds: int = 90, tolerance: float = 1e-5) -> DataFrame:
+    """graph_id, node, cluster: the smallest attractor of the node's column. Isolated nodes are clusters of their own.
+
+    Steps until three of them change no entry by more than tolerance; raises if that is not so after most_rounds.
+    """
+    m = settle(mcl_start(nodes, edges), "mcl")
+    for _ in range(0, most_rounds, 3):
+        before = m.withColumnRenamed("v", "old")
+        for _ in range(3):
+            m = mcl_step(m, inflation, prune)
+        m = settle(m, "mcl")
+        if m.join(before, ["graph_id", "i", "j"], "full_outer").filter(F.abs(F.coalesce("v", F.lit(0.0)) - F.coalesce("old", F.lit(0.0))) > tolerance).isEmpty():
+            break
+    else:
+        raise RuntimeError(f"the matrix still changes after {most_rounds} rounds")
     most = m.groupBy("graph_id", C("j").alias("node")).agg(F.max(F.struct(F.round("v", 6).alias("v"), -C("i"))).alias("top"))
     return most.select("graph_id", "node", (-C("top")["col2"]).alias("cluster"))
 
@@ -53,18 +61,20 @@ def modularity(edges: DataFrame, clusters: DataFrame) -> DataFrame:
     return per.join(total, "graph_id").groupBy("graph_id").agg(F.sum(2 * C("inner") / C("m2") - F.pow(C("tot") / C("m2"), 2)).alias("modularity"))
 
 
-def louvain(nodes: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
+def louvain(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
     """graph_id, node, cluster by synchronous best-gain moves, kept for a graph only while its modularity grows.
 
-    In each round only nodes whose hash has the round's parity move, so neighbours do not swap places for ever.
+    In each round only nodes whose hash has the round's parity move, so neighbours do not swap places for ever. Ends when neither
+    parity makes any graph better; raises if some still is after most_rounds.
     """
-    clusters = nodes.select("graph_id", "node", C("node").alias("cluster"))
-    w = edges.select("graph_id", "src", "dst", "weight")
+    clusters = settle(nodes.select("graph_id", "node", C("node").alias("cluster")), "louvain")
+    w = settle(edges.select("graph_id", "src", "dst", "weight"), "edges")
     both = w.union(w.select("graph_id", C("dst").alias("src"), C("src").alias("dst"), "weight")).filter("src <> dst")
-    degree = both.groupBy("graph_id", C("src").alias("node")).agg(F.sum("weight").alias("k"))
+    degree = settle(both.groupBy("graph_id", C("src").alias("node")).agg(F.sum("weight").alias("k")), "degree")
     total = degree.groupBy("graph_id").agg(F.sum("k").alias("m2"))
-    best = modularity(w, clusters)
-    for r in range(rounds):
+    best = settle(modularity(w, clusters), "modularity")
+    idle = 0
+    for r in range(most_rounds):
         sums = clusters.join(degree, ["graph_id", "node"]).groupBy("graph_id", "cluster").agg(F.sum("k").alias("tot"))
         near = both.join(clusters.select("graph_id", C("node").alias("dst"), "cluster"), ["graph_id", "dst"]).groupBy("graph_id", C("src").alias("node"), "cluster").agg(F.sum("weight").alias("links"))
         own = clusters.select("graph_id", "node", C("cluster").alias("own"))
@@ -74,10 +84,16 @@ def louvain(nodes: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
         moving = F.pmod(F.xxhash64("node"), F.lit(2)) == r % 2
         moved = clusters.join(pick, ["graph_id", "node"], "left").select("graph_id", "node", F.when(moving & (C("t")["g"] > 0), -C("t")["col2"]).otherwise(C("cluster")).alias("moved"), "cluster")
         after = modularity(w, moved.select("graph_id", "node", C("moved").alias("cluster"))).withColumnRenamed("modularity", "after")
-        better = best.join(after, "graph_id").select("graph_id", (C("after") > C("modularity") + 1e-9).alias("better"))
+        better = settle(best.join(after, "graph_id").filter(C("after") > C("modularity") + 1e-9).select("graph_id", F.lit(True).alias("better")), "better")
+        if better.isEmpty():
+            idle += 1
+            if idle == 2:
+                return clusters
+            continue
+        idle = 0
         clusters = settle(moved.join(better, "graph_id", "left").select("graph_id", "node", F.when(F.coalesce("better", F.lit(False)), C("moved")).otherwise(C("cluster")).alias("cluster")), "louvain")
-        best = modularity(w, clusters)
-    return clusters
+        best = settle(modularity(w, clusters), "modularity")
+    raise RuntimeError(f"clusters still grow better after {most_rounds} rounds")
 
 
 def cluster_hierarchy(nodes: DataFrame, edges: DataFrame, **options) -> DataFrame:

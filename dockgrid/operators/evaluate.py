@@ -95,27 +95,31 @@ def _order(target: str, score: str, ident: str) -> list[Column]:
     return [C(score).desc() if higher_is_better(target) else C(score).asc(), C(ident).asc()]
 
 
-def hitrate_curve(df: DataFrame, by: str, target: str, score: str, ident: str, hit: Column) -> DataFrame:
+def _keys(by: str | list[str]) -> list[str]:
+    return [by] if isinstance(by, str) else list(by)
+
+
+def hitrate_curve(df: DataFrame, by: str | list[str], target: str, score: str, ident: str, hit: Column) -> DataFrame:
     """Rank and running number of hits within each group; groups are molecules' decoys, ties go by ident."""
-    w = Window.partitionBy(by).orderBy(*_order(target, score, ident))
-    return df.select(by, ident, hit.cast("int").alias("hit"), F.row_number().over(w).alias("rank"), F.sum(hit.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("hits"))
+    w = Window.partitionBy(*_keys(by)).orderBy(*_order(target, score, ident))
+    return df.select(*_keys(by), ident, hit.cast("int").alias("hit"), F.row_number().over(w).alias("rank"), F.sum(hit.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("hits"))
 
 
-def _first_k(df: DataFrame, by: str, target: str, score: str, ident: str, k: int) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*_order(target, score, ident)))).filter(C("rank") <= k)
+def _first_k(df: DataFrame, by: str | list[str], target: str, score: str, ident: str, k: int) -> DataFrame:
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*_keys(by)).orderBy(*_order(target, score, ident)))).filter(C("rank") <= k)
 
 
-def hitrate_at_k(df: DataFrame, by: str, target: str, score: str, ident: str, hit: Column, k: int) -> DataFrame:
-    return _first_k(df, by, target, score, ident, k).groupBy(by).agg(F.avg(hit.cast("double")).alias("hitrate"))
+def hitrate_at_k(df: DataFrame, by: str | list[str], target: str, score: str, ident: str, hit: Column, k: int) -> DataFrame:
+    return _first_k(df, by, target, score, ident, k).groupBy(*_keys(by)).agg(F.avg(hit.cast("double")).alias("hitrate"))
 
 
-def success_at_k(df: DataFrame, by: str, target: str, score: str, ident: str, hit: Column, k: int) -> DataFrame:
-    return _first_k(df, by, target, score, ident, k).groupBy(by).agg(F.max(hit.cast("int")).alias("success"))
+def success_at_k(df: DataFrame, by: str | list[str], target: str, score: str, ident: str, hit: Column, k: int) -> DataFrame:
+    return _first_k(df, by, target, score, ident, k).groupBy(*_keys(by)).agg(F.max(hit.cast("int")).alias("success"))
 
 
-def rank_molecules(df: DataFrame, by: str, score: str, ident: str, k: int, descending: bool = True) -> DataFrame:
+def rank_molecules(df: DataFrame, by: str | list[str], score: str, ident: str, k: int, descending: bool = True) -> DataFrame:
     """The k best of each group."""
-    w = Window.partitionBy(by).orderBy(C(score).desc() if descending else C(score), ident)
+    w = Window.partitionBy(*_keys(by)).orderBy(C(score).desc() if descending else C(score), ident)
     return df.withColumn("rank", F.row_number().over(w)).filter(C("rank") <= k)
 
 
@@ -150,12 +154,15 @@ def filter_by_score(df: DataFrame, conditions: dict[str, str]) -> DataFrame:
 
 
 def evaluate(df: DataFrame, target: str, threshold: float, by: list[str], ident: str, k: int = 10) -> DataFrame:
-    """One row a group (by): rates, errors, AUC, hit rate and success at k of finite pairs pred, y."""
+    """One row a group (by, such as phase and epoch; none: all rows are one group): rates, errors, AUC, hit rate and success at k of
+    finite pairs pred, y."""
+    if not by:
+        return evaluate(df.withColumn("_all", F.lit(0)), target, threshold, ["_all"], ident, k).drop("_all")
     ok = finite_pairs(df)
     hit = C("y") > threshold if higher_is_better(target) else C("y") < threshold
+    first = _first_k(ok, by, target, "pred", ident, k).groupBy(*by).agg(F.avg(hit.cast("double")).alias("hitrate"), F.max(hit.cast("int")).alias("success"))
     out = classification_rates(confusion(ok, target, threshold, by)).join(regression_metrics(ok, by), by)
-    out = out.join(roc_auc(ok.withColumn("_hit", hit.cast("int")), by, "pred", "_hit"), by)
-    return out.join(hitrate_at_k(ok, by[0], target, "pred", ident, hit, k), by[0]).join(success_at_k(ok, by[0], target, "pred", ident, hit, k), by[0])
+    return out.join(roc_auc(ok.withColumn("_hit", hit.cast("int")), by, "pred", "_hit"), by).join(first, by)
 
 
 def top_k_epochs(log: DataFrame, k: int, by: str = "run") -> DataFrame:

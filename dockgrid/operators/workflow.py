@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dockgrid.functions.scalars import three_to_one
+from dockgrid.functions.scalars import parse_job, three_to_one
+from dockgrid.storage import if_small, settle
 
 C = F.col
 
@@ -126,10 +127,28 @@ def bin_by_size(files: DataFrame, target: int, max_n: int, min_n: int = 1) -> Da
     return items.select(F.inline(F.aggregate("items", start, step)["out"]))
 
 
+def placed(df: DataFrame, by: str, order: list[Column], size: str | None = None) -> DataFrame:
+    """df with _r (place within its group, from 1), _n (rows of the group) and, with size, _sum (running size, own row included).
+
+    Rows are dealt by ranges of (by, order) and numbered within ranges; what earlier ranges hold is added from one row a range and
+    group. So a group of a third of all rows is as many tasks' work. Ties within order are numbered in any order.
+    """
+    dealt = settle(df.repartitionByRange(C(by), *order).withColumn("_part", F.spark_partition_id()), "placed")
+    w = Window.partitionBy("_part", by).orderBy(*order)
+    value = C(size).cast("double") if size else F.lit(0.0)
+    within = dealt.withColumn("_r", F.row_number().over(w)).withColumn("_sum", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = dealt.groupBy("_part", C(by).alias("_by")).agg(F.count("*").alias("_c"), F.sum(value).alias("_s"))
+    group = Window.partitionBy("_by")
+    before = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(C("_part").alias("_p"), "_by", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0"), F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s0"), F.sum("_c").over(group).alias("_n"))
+    both = within.join(if_small(parts), (C("_part") == C("_p")) & C(by).eqNullSafe(C("_by")))
+    return both.withColumns({"_r": (C("_r") + C("_c0")).cast("long"), "_sum": C("_sum") + C("_s0")}).drop("_part", "_p", "_by", "_c0", "_s0")
+
+
 def bin_by_running_size(df: DataFrame, by: str, order: list[str], size: str, target: int) -> DataFrame:
     """For large tables: floor of the running size over target within each group."""
-    w = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("bin", F.floor((F.sum(size).over(w) - C(size)) / target).cast("long"))
+    out = placed(df, by, [C(c) for c in order], size)
+    return out.withColumn("bin", F.floor((C("_sum") - C(size)) / target).cast("long")).drop("_r", "_n", "_sum")
 
 
 def balance_by_load(items: DataFrame, n: int) -> DataFrame:
@@ -147,16 +166,25 @@ def balance_by_load(items: DataFrame, n: int) -> DataFrame:
 
 def balance_snake(df: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
     """For large tables: rows of each group in falling order to bins 0 .. n-1, n-1 .. 0 and so on."""
-    r = F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1
-    return df.withColumn("_r", r).withColumn("bin", F.when(F.floor(C("_r") / n) % 2 == 0, C("_r") % n).otherwise(n - 1 - C("_r") % n).cast("int")).drop("_r")
+    r = C("_r") - 1
+    return placed(df, by, order).withColumn("bin", F.when(F.floor(r / n) % 2 == 0, r % n).otherwise(n - 1 - r % n).cast("int")).drop("_r", "_n", "_sum")
 
 
 def even_ranges(df: DataFrame, by: str, order: list[str], n: int) -> DataFrame:
     """task: contiguous ranges of nearly equal numbers of rows within each group; task i has rows i N / n + 1 to (i + 1) N / n."""
-    w = Window.partitionBy(by)
-    r = F.row_number().over(w.orderBy(*order)).cast("long")
-    total = F.count("*").over(w)
-    return df.withColumns({"_r": r, "_n": total}).withColumn("task", F.expr(f"cast((_r * {n}L + _n - 1) div _n - 1 AS int)")).drop("_r", "_n")
+    return placed(df, by, [C(c) for c in order]).withColumn("task", F.expr(f"cast((_r * {n}L + _n - 1) div _n - 1 AS int)")).drop("_r", "_n", "_sum")
+
+
+def order_by_size(df: DataFrame, by: str, size: str, ident: str) -> DataFrame:
+    """place: 1 for the largest of each group; ties go by ident."""
+    return placed(df, by, [C(size).desc(), C(ident)]).withColumn("place", C("_r")).drop("_r", "_n", "_sum")
+
+
+def order_by_job(df: DataFrame, prefix: str = "prefix") -> DataFrame:
+    """df sorted by (job number, index, prefix); names without a job come first as job 0. Adds job long and job_index long."""
+    p = parse_job(prefix)
+    keyed = df.withColumns({"job": F.coalesce(p["job"], F.lit(0)).cast("long"), "job_index": F.coalesce(p["index"], F.lit(10**9)).cast("long")})
+    return keyed.orderBy("job", "job_index", prefix)
 
 
 def profile_inputs(files: DataFrame, size: str, target: int, max_n: int) -> DataFrame:
@@ -168,11 +196,20 @@ def profile_inputs(files: DataFrame, size: str, target: int, max_n: int) -> Data
 
 
 def locate_subsequence(queries: DataFrame, targets: DataFrame, k: int = 8, on: str = "mol") -> DataFrame:
-    """queries, targets: on, sequence. start: the offset (from 1) with most common k-mers, and votes; ties go to the smallest offset."""
+    """queries, targets: on, sequence (one of each a key). start: the offset (from 1) with most common k-mers, moved left to the first letter's next place, and votes.
+
+    Ties go to the smallest offset.
+    """
     grams = lambda df, name: df.select(on, F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("sequence") - (k - 1), F.lit(1))), lambda i: F.substring("sequence", i, F.lit(k)))).alias(name, "gram")).filter(F.length("gram") == k)
     q, t = grams(queries, "pos_q"), grams(targets, "pos_t")
     votes = q.join(t, [on, "gram"]).groupBy(on, (C("pos_t") - C("pos_q") + 1).alias("start")).agg(F.count("*").alias("votes"))
-    return votes.groupBy(on).agg(F.max_by(F.struct("start", "votes"), F.struct(C("votes"), -C("start"))).alias("b")).select(on, "b.start", "b.votes")
+    best = votes.groupBy(on).agg(F.max_by(F.struct("start", "votes"), F.struct(C("votes"), -C("start"))).alias("b")).select(on, "b.start", "b.votes")
+    # Where the first letters differ, the start moves left to the next equal one (or to the target's first).
+    first = queries.groupBy(on).agg(F.min(F.left("sequence", F.lit(1))).alias("_first"))
+    whole = targets.groupBy(on).agg(F.min("sequence").alias("_whole"))
+    back = F.instr(F.reverse(F.substring(C("_whole"), F.lit(1), C("start").cast("int"))), C("_first"))
+    walked = F.when(C("start") < 1, C("start")).when(back > 0, C("start") - back + 1).otherwise(1)
+    return best.join(first, on).join(whole, on).select(on, walked.alias("start"), "votes")
 
 
 def label_regions(chains: DataFrame) -> DataFrame:
@@ -192,7 +229,8 @@ def label_regions(chains: DataFrame) -> DataFrame:
 
     marks = F.map_from_entries(F.aggregate("numbering", start, step)["out"])
     labels = F.transform(F.sequence(F.lit(1), F.length("sequence")), lambda i: F.coalesce(F.try_element_at(C("marks"), i), F.lit("CONST")))
-    return chains.withColumn("marks", marks).select("mol", "role", labels.alias("labels"))
+    # The walk is made once a chain: a generator keeps it from being put into the lookup of every place.
+    return chains.select("mol", "role", "sequence", F.explode(F.array(marks)).alias("marks")).select("mol", "role", labels.alias("labels"))
 
 
 def merge_regions(labelled: DataFrame) -> DataFrame:

@@ -108,10 +108,10 @@ def c7_nonbonded(spark, d):
     return energy.nonbonded(e, "false").select("graph_id", "l_serial", "r_serial", r4("d", "d"), F.round("elec", 3).alias("elec"), (C("vdw") < 0).alias("attractive"), "covalent")
 
 
-@query(f"WITH {v.ATOMS}, res AS (SELECT * FROM {{r}} WHERE d <= 2), p AS (SELECT r.*, a.charge AS qa, b.charge AS qb, {v.D2} AS d2 FROM res r JOIN atoms a ON a.graph_id = r.graph_id AND a.chain = 'A' AND a.res_seq = r.l_res_seq AND a.res_name = r.l_res_name JOIN atoms b ON b.graph_id = r.graph_id AND b.chain = 'B' AND b.res_seq = r.r_res_seq AND b.res_name = r.r_res_name), {{c}} SELECT graph_id, l_res_seq, l_res_name, r_res_seq, r_res_name, round(sqrt(min(d2)), 4) AS dist, round(sum(332.0636 * qa * qb / nullif(sqrt(d2), 0)), 2) AS elec, CAST(min(sqrt(d2)) < 2.1 AS DOUBLE) AS covalent FROM p GROUP BY graph_id, l_res_seq, l_res_name, r_res_seq, r_res_name".replace("{r}", "res_contacts").replace(", {c} SELECT", " SELECT").replace(", res AS", f", {RES_CONTACTS}, res AS"))
+@query(f"WITH {v.ATOMS}, res AS (SELECT * FROM {{r}}), p AS (SELECT r.*, a.charge AS qa, b.charge AS qb, {v.D2} AS d2 FROM res r JOIN atoms a ON a.graph_id = r.graph_id AND a.chain = 'A' AND a.res_seq = r.l_res_seq AND a.res_name = r.l_res_name JOIN atoms b ON b.graph_id = r.graph_id AND b.chain = 'B' AND b.res_seq = r.r_res_seq AND b.res_name = r.r_res_name), {{c}} SELECT graph_id, l_res_seq, l_res_name, r_res_seq, r_res_name, round(sqrt(min(d2)), 4) AS dist, round(sum(332.0636 * qa * qb / nullif(sqrt(d2), 0)), 2) AS elec, CAST(min(sqrt(d2)) < 2.1 AS DOUBLE) AS covalent FROM p GROUP BY graph_id, l_res_seq, l_res_name, r_res_seq, r_res_name".replace("{r}", "res_contacts").replace(", {c} SELECT", " SELECT").replace(", res AS", f", {RES_CONTACTS}, res AS"))
 def c8_edge_energy_residue(spark, d):
     a = v.atoms(spark, d)
-    res = sp.residue_contacts(a, 5.0).filter("d <= 2").select("graph_id", F.lit("A").alias("l_chain"), "l_res_seq", "l_res_name", F.lit("B").alias("r_chain"), "r_res_seq", "r_res_name")
+    res = sp.residue_contacts(a, 5.0).select("graph_id", F.lit("A").alias("l_chain"), "l_res_seq", "l_res_name", F.lit("B").alias("r_chain"), "r_res_seq", "r_res_name")
     return energy.edge_energy_residue(res, a).select("graph_id", "l_res_seq", "l_res_name", "r_res_seq", "r_res_name", r4("dist", "dist"), F.round("elec", 2).alias("elec"), "covalent")
 
 
@@ -260,35 +260,35 @@ def d2_robust_scaler(spark, d):
 # ---- clusters
 
 
-@query(f"""WITH {v.ATOMS}, {v.CONTACTS}, e AS (SELECT graph_id, l_serial AS i, r_serial AS j FROM contacts WHERE d2 <= 4), n AS (SELECT graph_id, i AS node FROM e UNION SELECT graph_id, j FROM e),
-m0 AS (SELECT graph_id, node AS i, node AS j FROM n UNION SELECT graph_id, i, j FROM e UNION SELECT graph_id, j, i FROM e), m AS (SELECT graph_id, i, j, 1.0::DOUBLE / count(*) OVER (PARTITION BY graph_id, j) AS v FROM m0),
+def _internal_graphs(spark, d):
+    """All nodes of the graphs and their internal edges."""
+    a = v.atoms(spark, d)
+    n = gr.valid_nodes(a, sp.contact_pairs(a))
+    return n.select("graph_id", C("serial").alias("node")), sp.internal_pairs(n).select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"))
+
+
+@query(f"""WITH {v.ATOMS}, {v.CONTACTS}, {NODES}, {INTERNAL}, e AS (SELECT graph_id, l_serial AS i, r_serial AS j FROM internal),
+m0 AS (SELECT graph_id, serial AS i, serial AS j FROM nodes UNION SELECT graph_id, i, j FROM e UNION SELECT graph_id, j, i FROM e), m AS (SELECT graph_id, i, j, 1.0::DOUBLE / count(*) OVER (PARTITION BY graph_id, j) AS v FROM m0),
 x AS (SELECT a.graph_id, a.i, b.j, sum(a.v * b.v) AS v FROM m a JOIN m b ON a.graph_id = b.graph_id AND a.j = b.i GROUP BY ALL), f AS (SELECT graph_id, i, j, v * v / sum(v * v) OVER (PARTITION BY graph_id, j) AS v FROM x),
 p AS (SELECT graph_id, i, j, v / sum(v) OVER (PARTITION BY graph_id, j) AS v FROM f WHERE v >= 0.001) SELECT graph_id, i, j, round(v, 6) AS v FROM p""")
 def j1_mcl_step(spark, d):
-    e = sp.contact_pairs(v.atoms(spark, d)).filter("d2 <= 4").select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"))
-    return cluster.mcl_step(cluster.mcl_start(gr.node_set(e.select("graph_id", C("src").alias("l_serial"), C("dst").alias("r_serial"))).select("graph_id", C("serial").alias("node")), e)).withColumn("v", F.round("v", 6))
-
-
-def _small_graphs(spark, d):
-    e = sp.contact_pairs(v.atoms(spark, d)).filter("d2 <= 2").select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"))
-    n = e.select("graph_id", C("src").alias("node")).union(e.select("graph_id", "dst")).distinct()
-    return n, e
+    return cluster.mcl_step(cluster.mcl_start(*_internal_graphs(spark, d))).withColumn("v", F.round("v", 6))
 
 
 @query(None)
 def j1_mcl(spark, d):
-    return cluster.mcl(*_small_graphs(spark, d))
+    return cluster.mcl(*_internal_graphs(spark, d))
 
 
 @query(None)
 def j2_louvain(spark, d):
-    n, e = _small_graphs(spark, d)
-    return cluster.louvain(n, e.withColumn("weight", F.lit(1.0)), rounds=4)
+    n, e = _internal_graphs(spark, d)
+    return cluster.louvain(n, e.withColumn("weight", F.lit(1.0)))
 
 
 @query(None)
 def j3_cluster_hierarchy(spark, d):
-    return cluster.cluster_hierarchy(*_small_graphs(spark, d), rounds=6)
+    return cluster.cluster_hierarchy(*_internal_graphs(spark, d))
 
 
 @query(f"""WITH {v.ATOMS}, {v.CONTACTS}, e AS (SELECT c.graph_id, a.res_seq % 6 AS cs, b.res_seq % 6 AS cd FROM contacts c JOIN atoms a ON a.graph_id = c.graph_id AND a.serial = c.l_serial JOIN atoms b ON b.graph_id = c.graph_id AND b.serial = c.r_serial),

@@ -376,7 +376,7 @@ def a14_process_new(spark, d):
     return wf.process_new(v.table(spark, d, "orders"), v.table(spark, d, "customer").filter("c_nationkey < 12").withColumnRenamed("c_custkey", "o_custkey"), "o_custkey").select("o_orderkey")
 
 
-@query("WITH t AS (SELECT doc_id AS mol, left(text, 100000) AS s FROM documents), q AS (SELECT doc_id AS mol, substr(text, 1 + doc_id % 50, 60) AS s FROM documents), tg AS (SELECT mol, i AS p, substr(s, i, 12) AS g FROM t, unnest(range(1, length(s) - 10)) AS u(i)), qg AS (SELECT mol, i AS p, substr(s, i, 12) AS g FROM q, unnest(range(1, length(s) - 10)) AS u(i)), votes AS (SELECT q.mol, t.p - q.p + 1 AS start, count(*) AS votes FROM qg q JOIN tg t USING (mol, g) GROUP BY ALL) SELECT mol, start, votes FROM (SELECT *, row_number() OVER (PARTITION BY mol ORDER BY votes DESC, start) AS r FROM votes) WHERE r = 1".replace("left(text, 100000)", "text"))
+@query("WITH t AS (SELECT doc_id AS mol, left(text, 100000) AS s FROM documents), q AS (SELECT doc_id AS mol, substr(text, 1 + doc_id % 50, 60) AS s FROM documents), tg AS (SELECT mol, i AS p, substr(s, i, 12) AS g FROM t, unnest(range(1, length(s) - 10)) AS u(i)), qg AS (SELECT mol, i AS p, substr(s, i, 12) AS g FROM q, unnest(range(1, length(s) - 10)) AS u(i)), votes AS (SELECT q.mol, t.p - q.p + 1 AS start, count(*) AS votes FROM qg q JOIN tg t USING (mol, g) GROUP BY ALL), b AS (SELECT mol, start, votes, strpos(reverse(left(t.s, start)), left(q.s, 1)) AS back FROM (SELECT *, row_number() OVER (PARTITION BY mol ORDER BY votes DESC, start) AS r FROM votes) JOIN t USING (mol) JOIN q USING (mol) WHERE r = 1) SELECT mol, CASE WHEN start < 1 THEN start WHEN back > 0 THEN start - back + 1 ELSE 1 END AS start, votes FROM b".replace("left(text, 100000)", "text"))
 def c22_locate_subsequence(spark, d):
     t = v.table(spark, d, "documents").select(C("doc_id").alias("mol"), C("text").alias("sequence"))
     q = t.select("mol", F.substring("sequence", (1 + C("mol") % 50).cast("int"), F.lit(60)).alias("sequence"))
@@ -405,9 +405,13 @@ def d29_profile_inputs(spark, d):
 
 @query("SELECT doc_id, n_chars, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS place FROM documents")
 def f2_order_by_size(spark, d):
-    from pyspark.sql import Window
+    return wf.order_by_size(v.table(spark, d, "documents"), "lang", "n_chars", "doc_id").select("doc_id", "n_chars", "place")
+
 
-    return v.table(spark, d, "documents").select("doc_id", "n_chars", F.row_number().over(Window.partitionBy("lang").orderBy(C("n_chars").desc(), "doc_id")).cast("long").alias("place"))
+@query("SELECT CASE WHEN o_orderkey % 4 > 0 THEN 'stage_' || (100000 + o_custkey) || '_' || o_orderkey % 40 || '_n' || o_orderkey ELSE 'plain' || o_orderkey END AS prefix, CASE WHEN o_orderkey % 4 > 0 THEN 100000 + o_custkey ELSE 0 END AS job, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 40 ELSE 1000000000 END AS job_index FROM orders")
+def f4_order_by_job(spark, d):
+    name = F.when(C("o_orderkey") % 4 > 0, F.concat(F.lit("stage_"), (100000 + C("o_custkey")).cast("string"), F.lit("_"), (C("o_orderkey") % 40).cast("string"), F.lit("_n"), C("o_orderkey").cast("string"))).otherwise(F.concat(F.lit("plain"), C("o_orderkey").cast("string")))
+    return wf.order_by_job(v.table(spark, d, "orders").select(name.alias("prefix")))
 
 
 @query("SELECT l_suppkey AS mol, l_orderkey AS k, l_quantity AS x FROM lineitem UNION ALL SELECT o_custkey, o_orderkey, NULL FROM orders")
@@ -505,10 +509,10 @@ def a5_manifest(spark, d):
     return structures.read_manifest(spark, at)
 
 
-@query("SELECT l_orderkey::VARCHAR AS mol, CAST(l_tax AS FLOAT)::DOUBLE AS dockq FROM lineitem WHERE l_linenumber < 3")
+@query("SELECT l_orderkey::VARCHAR AS mol, CAST(l_tax AS FLOAT)::DOUBLE AS dockq FROM lineitem")
 def a6_merge_predictions(spark, d):
     li = v.table(spark, d, "lineitem").select(C("l_orderkey").alias("mol"), C("l_tax").alias("dockq"), "l_linenumber")
-    return tables.merge_predictions([li.filter(C("l_linenumber") == k) for k in (1, 2)]).withColumn("dockq", C("dockq").cast("double"))
+    return tables.merge_predictions([li.filter(C("l_linenumber") == k) for k in range(1, 8)]).withColumn("dockq", C("dockq").cast("double"))
 
 
 @query("SELECT 'm' || l_orderkey AS pdb_id, l_tax AS predicted_dockq FROM lineitem")
@@ -519,12 +523,19 @@ def a7_export_predictions(spark, d):
     return spark.read.csv(at, sep="\t", header=True, schema="pdb_id string, predicted_dockq double")
 
 
-@query(f"WITH {v.ATOMS} SELECT graph_id, count(*) AS n, round(sum(x), 3) AS sx FROM atoms GROUP BY graph_id")
+@query(f"WITH {v.ATOMS}, {v.CONTACTS}, n AS (SELECT graph_id, count(*) AS n, round(sum(x), 3) AS sx FROM atoms GROUP BY graph_id), e AS (SELECT graph_id, count(*) AS n_edges, round(sum(d2), 3) AS sd2, sum(r_serial - l_serial)::BIGINT AS spread FROM contacts GROUP BY graph_id), c AS (SELECT graph_id, count(DISTINCT res_seq % 8) AS n_clusters FROM atoms GROUP BY graph_id) SELECT n.*, coalesce(n_edges, 0) AS n_edges, sd2, spread, n_clusters, n.graph_id % 10 / 10.0::DOUBLE AS irmsd FROM n LEFT JOIN e USING (graph_id) JOIN c USING (graph_id)")
 def a8_graph_store(spark, d):
+    from dockgrid.operators.spatial import contact_pairs
+
     at = new_path(spark, "graphs")
     a = v.atoms(spark, d)
-    tables.write_graphs(at, a, a.select("graph_id", C("serial").alias("src"), C("serial").alias("dst")), buckets=8)
-    return tables.read_graphs(spark, at, ("nodes", "edges"))["nodes"].groupBy("graph_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 3).alias("sx"))
+    edges = contact_pairs(a).select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("interface").alias("edge_type"), "d2")
+    scores = a.select("graph_id", (C("graph_id") % 10 / 10.0).alias("irmsd")).distinct()
+    tables.write_graphs(at, a, edges, scores, a.select("graph_id", C("serial").alias("node"), (C("res_seq") % 8).alias("cluster")), buckets=8)
+    g = tables.read_graphs(spark, at)
+    e = g["edges"].filter("edge_type = 'interface'").groupBy("graph_id").agg(F.count("*").alias("n_edges"), F.round(F.sum("d2"), 3).alias("sd2"), F.sum(C("dst") - C("src")).alias("spread"))
+    n = g["nodes"].groupBy("graph_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 3).alias("sx")).join(e, "graph_id", "left").fillna(0, ["n_edges"])
+    return n.join(g["clusters"].groupBy("graph_id").agg(F.countDistinct("cluster").alias("n_clusters")), "graph_id").join(g["scores"], "graph_id")
 
 
 @query(f"WITH {v.ATOMS} SELECT graph_id, res_seq, x, y, z FROM atoms WHERE chain = 'A' AND atom_name IN ('N', 'CA', 'C')")

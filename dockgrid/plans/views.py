@@ -29,11 +29,15 @@ def _list(names: list[str]) -> str:
     return "[" + ", ".join(f"'{n}'" for n in names) + "]"
 
 
-ATOMS = f"""atoms AS (SELECT l_suppkey AS graph_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY {", ".join(ORDER)}) AS serial, CASE WHEN l_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS chain,
+ATOMS = f"""atoms AS MATERIALIZED (SELECT l_suppkey AS graph_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY {", ".join(ORDER)}) AS serial, CASE WHEN l_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS chain,
  l_partkey % 50 + 1 AS res_seq, {_list(fixed.RESIDUES)}[l_partkey % 20 + 1] AS res_name, {_list(NAMES)}[l_linenumber] AS atom_name, l_quantity AS x, l_extendedprice / 2100 AS y, l_discount * 500 AS z,
  (l_linenumber - 4) * 0.1::DOUBLE AS charge, l_linenumber * 0.05::DOUBLE AS eps, l_linenumber * 0.1::DOUBLE + 2 AS sigma, l_linenumber * 0.04::DOUBLE AS eps14, l_linenumber * 0.1::DOUBLE + 1.8::DOUBLE AS sigma14 FROM lineitem)"""
 D2 = "((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"
-CONTACTS = f"contacts AS (SELECT a.graph_id, a.serial AS l_serial, b.serial AS r_serial, {D2} AS d2 FROM atoms a JOIN atoms b ON a.graph_id = b.graph_id AND a.chain = 'A' AND b.chain = 'B' AND {D2} <= 25)"
+#: Cells of width 5 in the equality, so that no join order compares whole molecules.
+_CELLS = ", ".join(f"floor({k} / 5)::BIGINT{{}} AS c{k}" for k in "xyz")
+CONTACTS = f"""near AS MATERIALIZED (SELECT graph_id, serial, x, y, z, {_CELLS.format(" + i", " + j", " + k")} FROM atoms, unnest([-1, 0, 1]) AS t(i), unnest([-1, 0, 1]) AS u(j), unnest([-1, 0, 1]) AS w(k) WHERE chain = 'A'),
+own AS MATERIALIZED (SELECT graph_id, serial, x, y, z, {_CELLS.format("", "", "")} FROM atoms WHERE chain = 'B'),
+contacts AS MATERIALIZED (SELECT a.graph_id, a.serial AS l_serial, b.serial AS r_serial, {D2} AS d2 FROM near a JOIN own b ON a.graph_id = b.graph_id AND a.cx = b.cx AND a.cy = b.cy AND a.cz = b.cz AND {D2} <= 25)"""
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,13 +88,18 @@ def write_manifest(sequences: DataFrame, path: str) -> None:
     sequences.select("label", "mol", "chain", F.length("sequence").alias("length"), "sequence").write.csv(path, sep="\t", header=True, compression="gzip")
 
 
+def _values(words: Column, key: str) -> Column:
+    """What follows 'key =' among words (the '=' stands for itself); null if the key is not there."""
+    at = F.array_position(F.transform(words, F.lower), key)
+    return F.when((at > 0) & (F.try_element_at(words, (at + 1).cast("int")) == "="), F.try_element_at(words, (at + 2).cast("int")))
+
+
 def read_topology(spark: SparkSession, path: str) -> DataFrame:
-    """res_name, atom_name, type, charge of lines '<res> atom <name> key = value ... end'."""
-    line = spark.read.text(path).select(F.trim("value").alias("line")).filter(~C("line").startswith("#") & ~C("line").startswith("!"))
-    p = r"^([A-Z0-9]{3})\s+atom\s+([A-Z0-9]{1,4})\s+(.+?)\s+end"
-    value = lambda key: F.nullif(F.regexp_extract("rest", rf"(?i)\b{key}\s*=\s*([^\s()]+)", 1), F.lit(""))
-    got = line.filter(C("line").rlike(p)).select(F.regexp_extract("line", p, 1).alias("res_name"), F.regexp_extract("line", p, 2).alias("atom_name"), F.regexp_extract("line", p, 3).alias("rest"))
-    return got.select("res_name", "atom_name", value("type").alias("type"), value("charge").try_cast("double").alias("charge"))
+    """res_name, atom_name, type, charge of lines '<res> atom <name> key = value ... end'; other lines and comments are left out."""
+    words = F.split(F.trim(F.regexp_replace("value", "=", " = ")), " +|\t+")
+    line = spark.read.text(path).select(words.alias("w")).filter((F.size("w") > 4) & (C("w")[1] == "atom") & F.array_contains(F.transform("w", F.lower), "end"))
+    named = line.filter((F.length(C("w")[0]) == 3) & (F.length(C("w")[2]) <= 4) & ~F.left(C("w")[0], F.lit(1)).isin("#", "!") & (F.upper(C("w")[0]) == C("w")[0]))
+    return named.select(C("w")[0].alias("res_name"), C("w")[2].alias("atom_name"), _values(C("w"), "type").alias("type"), _values(C("w"), "charge").try_cast("double").alias("charge"))
 
 
 def _strict(line: Column, pattern: str, what: str) -> Column:
@@ -113,9 +118,15 @@ def read_patches(spark: SparkSession, path: str) -> DataFrame:
 
 def read_residue_classes(spark: SparkSession, path: str) -> DataFrame:
     """rule_no, class, res_name (or all), present, absent of lines '<class>: name=<res> present(A, B) absent(C)'."""
-    p = r"^([A-Z]{3,4})\s*:\s*name\s*=\s*(all|[A-Z]{3})"
-    names = lambda kind: F.filter(F.flatten(F.transform(F.regexp_extract_all("line", F.lit(rf"{kind}\(([A-Z0-9, ]+)\)"), F.lit(1)), lambda x: F.transform(F.split(x, ","), lambda y: F.trim(y)))), lambda x: x != "")
-    return read_lines(spark, path).filter(C("line").rlike(p)).select(C("line_no").alias("rule_no"), F.regexp_extract("line", p, 1).alias("class"), F.regexp_extract("line", p, 2).alias("res_name"), names("present").alias("present"), names("absent").alias("absent"))
+    head, body = F.trim(F.substring_index("line", ":", 1)), F.trim(F.substring_index("line", ":", -1))
+    res = F.trim(F.substring_index(F.split(body, "present|absent")[0], "=", -1))
+
+    def names(kind: str) -> Column:
+        lists = F.transform(F.slice(F.split(body, kind), 2, 1000), lambda x: F.split(F.substring_index(F.substring_index(x, ")", 1), "(", -1), ","))
+        return F.filter(F.transform(F.flatten(lists), lambda x: F.trim(x)), lambda x: x != "")
+
+    rules = read_lines(spark, path).filter(C("line").contains(":") & F.startswith(body, F.lit("name")) & F.length(head).between(3, 4) & (F.upper(head) == head) & (F.length(res) == 3))
+    return rules.select(C("line_no").alias("rule_no"), head.alias("class"), res.alias("res_name"), names("present").alias("present"), names("absent").alias("absent"))
 
 
 def read_lj_params(spark: SparkSession, path: str) -> DataFrame:
@@ -128,7 +139,9 @@ def read_lj_params(spark: SparkSession, path: str) -> DataFrame:
 def read_region_json(spark: SparkSession, path: str) -> DataFrame:
     """graph_id, ord (from 1), aa, label of JSON {model: [[aa, label], ...]}; .pdb goes from names."""
     m = F.from_json("value", "map<string, array<array<string>>>")
-    rows = spark.read.text(path, wholetext=True).select(F.explode(m).alias("name", "marks")).select("name", F.posexplode("marks").alias("pos", "mark"))
+    # Files hold one object over several lines, or objects that each begin a line.
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.split("value", r"\n(?=\{)")).alias("value"))
+    rows = whole.select(F.explode(m).alias("name", "marks")).select("name", F.posexplode("marks").alias("pos", "mark"))
     return rows.select(F.regexp_replace("name", r"\.pdb$", "").alias("graph_id"), (C("pos") + 1).alias("ord"), C("mark")[0].alias("aa"), C("mark")[1].alias("label"))
 
 

@@ -94,7 +94,7 @@ def test_clusters_of_two_triangles(spark):
     found = cluster.louvain(nodes, edges)
     assert groups(found.collect()) == want
     assert cluster.modularity(edges, found).first()["modularity"] == pytest.approx(2 * (3 / 7 - (7 / 14) ** 2))
-    deep = cluster.cluster_hierarchy(nodes, edges, rounds=6).collect()
+    deep = cluster.cluster_hierarchy(nodes, edges).collect()
     assert groups(deep, "depth_0") == want and len({r["depth_1"] for r in deep}) <= 3
 
 
@@ -221,3 +221,28 @@ def test_gaps_and_relative_time(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, None), ("a", 3, 14), ("b", 1, None), ("b", 2, None)], "p string, k int, t long").withColumn("ts", F.timestamp_seconds("t"))
     got = {(r["p"], r["k"]): r["rel"] for r in tl.relative_time(df, "p", "ts", "k").collect()}
     assert got == {("a", 1): 0.0, ("a", 2): 0.0, ("a", 3): 4.0, ("b", 1): 0.0, ("b", 2): 1.0}
+
+
+def test_evaluate_by_several_columns(spark):
+    rows = [("v", 1, k, 0.9 - k / 100, 0.9) for k in range(4)] + [("v", 2, 10 + k, 0.5, 0.1) for k in range(4)] + [("w", 1, 20, 0.5, 0.9), ("w", 1, 21, 0.4, 0.1)]
+    df = spark.createDataFrame(rows, "phase string, epoch int, mol int, pred double, y double")
+    got = {(r["phase"], r["epoch"]): (r["hitrate"], r["success"]) for r in ev.evaluate(df, "dockq", 0.23, ["phase", "epoch"], "mol", 2).collect()}
+    assert got == {("v", 1): (1.0, 1), ("v", 2): (0.0, 0), ("w", 1): (0.5, 1)}
+    assert ev.evaluate(df, "dockq", 0.23, [], "mol", 2).first()["hitrate"] == 1.0
+
+
+def test_places_and_job_order(spark):
+    df = spark.range(500).select(F.lit("x").alias("g"), F.col("id"), (F.col("id") % 7).alias("size"))
+    got = {r["id"]: (r["_r"], r["_n"], r["_sum"]) for r in wf.placed(df, "g", [F.col("size").desc(), F.col("id")], "size").collect()}
+    total = 0
+    for k, (size, i) in enumerate(sorted((-(i % 7), i) for i in range(500)), 1):
+        total -= size
+        assert got[i] == (k, 500, total)
+    names = ["stage_50879909_7_host", "plain", "stage_50879909_12", "stage_10000_3_a"]
+    assert [r["prefix"] for r in wf.order_by_job(spark.createDataFrame([(n,) for n in names], "prefix string")).collect()] == ["plain", "stage_10000_3_a", "stage_50879909_7_host", "stage_50879909_12"]
+
+
+def test_start_walks_left_to_the_first_letter(spark):
+    q = spark.createDataFrame([("a", "QWERTYUIOPAS"), ("b", "CDEFGHIJKLMN")], "mol string, sequence string")
+    t = spark.createDataFrame([("a", "xxQQzzWERTYUIOPAS"), ("b", "zzzzCDEFGHIJKLMN")], "mol string, sequence string")
+    assert {r["mol"]: r["start"] for r in wf.locate_subsequence(q, t, 6).collect()} == {"a": 4, "b": 5}
