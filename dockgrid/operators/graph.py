@@ -21,6 +21,14 @@ def valid_nodes(atoms: DataFrame, contacts: DataFrame) -> DataFrame:
     return atoms.filter(ok & C("atom_name").isin(*fixed.ATOMS)).join(ends, ["graph_id", "serial"], "left_semi")
 
 
+def valid_residues(residues: DataFrame, contacts: DataFrame) -> DataFrame:
+    """valid_nodes for residues (graph_id, residue, res_name) and contacts between them (graph_id, l_residue, r_residue)."""
+    valid = residues.filter(C("res_name").isin(*fixed.RESIDUES, *fixed.ALSO_VALID))
+    keys = contacts.join(valid.select("graph_id", C("residue").alias("l_residue")), ["graph_id", "l_residue"], "left_semi")
+    ends = keys.select("graph_id", C("l_residue").alias("residue")).union(keys.select("graph_id", "r_residue")).distinct()
+    return valid.join(ends, ["graph_id", "residue"], "left_semi")
+
+
 def node_set(contacts: DataFrame) -> DataFrame:
     return contacts.select("graph_id", C("l_serial").alias("serial")).union(contacts.select("graph_id", "r_serial")).distinct()
 
@@ -31,17 +39,17 @@ def symmetrise(edges: DataFrame, a: str = "src", b: str = "dst", keys: tuple[str
     return edges.unionByName(swapped).dropDuplicates([*keys, a, b])
 
 
-def index_nodes(nodes: DataFrame) -> DataFrame:
-    """node_idx: 0-based number within the graph by (chain, res_seq, serial)."""
-    w = Window.partitionBy("graph_id").orderBy("chain", "res_seq", "serial")
+def index_nodes(nodes: DataFrame, ident: str = "serial") -> DataFrame:
+    """node_idx: 0-based number within the graph by (chain, res_seq, ident)."""
+    w = Window.partitionBy("graph_id").orderBy("chain", "res_seq", ident)
     return nodes.withColumn("node_idx", (F.row_number().over(w) - 1).cast("int"))
 
 
-def index_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edges (graph_id, src, dst as serials) with src_idx, dst_idx; edges of which an end is no node go."""
-    n = nodes.select("graph_id", "serial", "node_idx")
-    one = edges.join(n.select("graph_id", C("serial").alias("src"), C("node_idx").alias("src_idx")), ["graph_id", "src"])
-    return one.join(n.select("graph_id", C("serial").alias("dst"), C("node_idx").alias("dst_idx")), ["graph_id", "dst"])
+def index_edges(edges: DataFrame, nodes: DataFrame, ident: str = "serial") -> DataFrame:
+    """edges (graph_id, src, dst as ident) with src_idx, dst_idx; edges of which an end is no node go."""
+    n = nodes.select("graph_id", ident, "node_idx")
+    one = edges.join(n.select("graph_id", C(ident).alias("src"), C("node_idx").alias("src_idx")), ["graph_id", "src"])
+    return one.join(n.select("graph_id", C(ident).alias("dst"), C("node_idx").alias("dst_idx")), ["graph_id", "dst"])
 
 
 def attach_regions(residues: DataFrame, annotations: DataFrame, antigen: str = "B") -> tuple[DataFrame, DataFrame]:

@@ -2,35 +2,104 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
-from dockgrid.operators.energy import nonbonded
-from dockgrid.operators.graph import index_edges, index_nodes, symmetrise, valid_nodes
-from dockgrid.operators.spatial import contact_pairs, internal_pairs
+from dockgrid.operators.energy import edge_energy_residue, lookup_forcefield, nonbonded
+from dockgrid.operators.graph import attach_contact_areas, attach_regions, backbone, edge_orientation, index_edges, index_nodes, inject_embeddings, symmetrise, valid_nodes, valid_residues
+from dockgrid.operators.spatial import contact_pairs, half_sphere_exposure, internal_pairs, radius_join, residue_centroid
 from dockgrid.storage import settle
 
 C = F.col
 FIELD = ("charge", "eps", "sigma", "eps14", "sigma14")
+RESIDUE = ("graph_id", "chain", "res_seq", "res_name")
 
 
-def build_graphs(atoms: DataFrame, cutoff: float = 5.0, internal: float = 3.0) -> dict[str, DataFrame]:
-    """nodes and edges of every molecule: atoms carry charge, eps, sigma, eps14, sigma14 (0 for unknown ones).
+def build_graphs(
+    atoms: DataFrame,
+    cutoff: float = 5.0,
+    internal: float = 3.0,
+    *,
+    grain: str = "atom",
+    forcefield: tuple[DataFrame, DataFrame, DataFrame, DataFrame] | None = None,
+    annotations: DataFrame | None = None,
+    embeddings: DataFrame | None = None,
+    areas: DataFrame | None = None,
+    orientation: bool = False,
+    exposure: float | None = None,
+) -> dict[str, DataFrame]:
+    """nodes and edges of every molecule, and failed (graph_id, error): molecules left out for a bad annotation.
 
     Contacts across chains (<= cutoff) give the nodes; interface edges join nodes across chains, internal edges nodes of one
     chain nearer than `internal`; both are stored in both directions with distance, energies and a covalent flag.
+    grain 'atom': one node an atom (key: serial). grain 'residue': one node a residue (key: residue, chain.res_seq.res_name) at its
+    centroid; distances are the smallest between atoms, energies sums over all atom pairs.
+
+    forcefield: (topology, classes, patches, params) of lookup_forcefield; without it atoms carry charge, eps, sigma, eps14, sigma14
+    (0 for unknown ones). annotations, embeddings, areas: tables of attach_regions, inject_embeddings (label graph_id.chain) and
+    attach_contact_areas (u, v: node keys); each adds its columns if given. orientation: adds edge_orientation. exposure: the radius
+    within which residue nodes get up and down counts. Atoms without a place or with a null key have no contacts, so are no nodes.
     """
+    if grain not in ("atom", "residue"):
+        raise ValueError(f"unknown grain: {grain}")
+    if forcefield:
+        atoms = settle(lookup_forcefield(atoms.drop("type", *FIELD), *forcefield), "atoms")
+    failed = atoms.select("graph_id", F.lit(None).cast("string").alias("error")).limit(0)
+    regions = None
+    if annotations is not None:
+        regions, failed = attach_regions(atoms.select("graph_id", "chain", "res_seq").distinct(), annotations)
+        failed = settle(failed, "failed")
+        atoms = atoms.join(failed, "graph_id", "left_anti")
+    nodes, edges = (_atom_grain if grain == "atom" else _residue_grain)(atoms, cutoff, internal)
+    if regions is not None:
+        nodes = nodes.join(regions, ["graph_id", "chain", "res_seq"], "left")
+    if embeddings is not None:
+        nodes = inject_embeddings(nodes.withColumn("mol", C("graph_id").cast("string")), embeddings).drop("mol")
+    if exposure is not None:
+        # Places in the chain are by residue number; residues that share one go by name.
+        placed = residue_centroid(atoms).withColumn("ord", F.row_number().over(Window.partitionBy("graph_id", "chain").orderBy("res_seq", "res_name")))
+        counts = half_sphere_exposure(placed, exposure).join(placed.select(*RESIDUE, "ord"), ["graph_id", "chain", "ord"]).drop("ord")
+        nodes = nodes.join(counts, list(RESIDUE), "left")
+    if areas is not None:
+        edges = attach_contact_areas(edges, areas)
+    if orientation:
+        edges = edge_orientation(edges, backbone(atoms))
+    return {"nodes": nodes, "edges": edges.drop("src", "dst", "s_chain", "s_res", "d_chain", "d_res"), "failed": failed}
+
+
+def _encoded() -> dict:
+    return {"res_type": residue_index("res_name"), "hydropathy": hydropathy("res_name"), "polarity": polarity_index("res_name")}
+
+
+def _atom_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
     # Both are read by several branches below: written once, each branch scans the columns that it needs.
     contacts = settle(contact_pairs(atoms, cutoff), "contacts")
-    features = {"atom_type": atom_index("atom_name"), "res_type": residue_index("res_name"), "hydropathy": hydropathy("res_name"), "polarity": polarity_index("res_name")}
-    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns(features), "nodes")
+    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns({"atom_type": atom_index("atom_name"), **_encoded()}), "nodes")
     within = internal_pairs(nodes.select("graph_id", "chain", "serial", "x", "y", "z"), internal)
     pairs = contacts.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("interface").alias("edge_type"), "d2").unionByName(within.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("internal").alias("edge_type"), "d2"))
     edges = index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes)
-    side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in ("chain", *FIELD)])
+    side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in ("chain", "res_seq", *FIELD)])
     full = edges.join(side("l", "src_idx"), ["graph_id", "src_idx"]).join(side("r", "dst_idx"), ["graph_id", "dst_idx"]).withColumn("d", F.sqrt("d2"))
-    scored = nonbonded(full).select("graph_id", "src_idx", "dst_idx", "edge_type", C("d").alias("dist"), "elec", "vdw", "covalent")
-    return {"nodes": nodes, "edges": scored}
+    ends = [C("l_chain").alias("s_chain"), C("l_res_seq").alias("s_res"), C("r_chain").alias("d_chain"), C("r_res_seq").alias("d_res")]
+    return nodes, nonbonded(full).select("graph_id", "src", "dst", "src_idx", "dst_idx", "edge_type", C("d").alias("dist"), "elec", "vdw", "covalent", *ends)
+
+
+def _residue_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
+    atoms = atoms.withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
+    ends = ("l_residue", "r_residue")
+    contacts = settle(contact_pairs(atoms, cutoff, ident="residue").select("graph_id", *ends).distinct(), "contacts")
+    places = residue_centroid(atoms).withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
+    nodes = settle(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes")
+    own = atoms.join(nodes.select("graph_id", "residue"), ["graph_id", "residue"], "left_semi").select("graph_id", "chain", "residue", "x", "y", "z")
+    within = radius_join(own, own, internal, on=("graph_id", "chain"), strict=True, where="l_residue < r_residue").select(C("l_graph_id").alias("graph_id"), *ends).distinct()
+    pairs = contacts.withColumn("edge_type", F.lit("interface")).unionByName(within.withColumn("edge_type", F.lit("internal")))
+    pairs = pairs.select("graph_id", C("l_residue").alias("src"), C("r_residue").alias("dst"), "edge_type")
+    edges = settle(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges")
+    side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in RESIDUE[1:]])
+    named = edges.join(side("l", "src_idx"), ["graph_id", "src_idx"]).join(side("r", "dst_idx"), ["graph_id", "dst_idx"])
+    key = ["graph_id", *[f"{p}_{k}" for p in "lr" for k in RESIDUE[1:]]]
+    scored = named.join(edge_energy_residue(named.select(*key), atoms), key)
+    return nodes, scored.select("graph_id", "src", "dst", "src_idx", "dst_idx", "edge_type", "dist", "elec", "vdw", "covalent", C("l_chain").alias("s_chain"), C("l_res_seq").alias("s_res"), C("r_chain").alias("d_chain"), C("r_res_seq").alias("d_res"))
 
 
 def graph_summary(graphs: dict[str, DataFrame]) -> DataFrame:
@@ -39,3 +108,14 @@ def graph_summary(graphs: dict[str, DataFrame]) -> DataFrame:
         F.count_if(C("edge_type") == "interface").alias("n_interface"), F.count_if(C("edge_type") == "internal").alias("n_internal"), F.round(F.min("dist"), 4).alias("min_dist"), F.round(F.sum("elec"), 2).alias("sum_elec"), F.count_if(C("vdw") < 0).alias("n_attractive")
     )
     return graphs["nodes"].groupBy("graph_id").agg(F.count("*").alias("n_nodes")).join(e, "graph_id", "left").fillna(0, ["n_interface", "n_internal", "n_attractive"])
+
+
+def feature_summary(graphs: dict[str, DataFrame]) -> DataFrame:
+    """graph_summary of whole graphs beside sums of what the optional tables gave: regions, embeddings, areas, orientation, exposure."""
+    n, e = graphs["nodes"], graphs["edges"]
+    of_nodes = [F.count_if(C("region") == "AG").alias("n_antigen"), F.countDistinct("region").alias("n_regions"), F.round(F.sum("embedding"), 4).alias("sum_embedding")]
+    of_nodes += [F.sum(k).alias(k) for k in ("up", "down") if k in n.columns]
+    o = C("orientation")
+    of_edges = [F.round(F.sum("voro_area"), 2).alias("sum_area"), F.round(F.sum(o[0] + 2 * o[1] + 3 * o[2]), 1).alias("sum_orientation")]
+    out = graph_summary(graphs).join(n.groupBy("graph_id").agg(*of_nodes), "graph_id")
+    return out.join(e.groupBy("graph_id").agg(*of_edges), "graph_id", "left")

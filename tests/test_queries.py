@@ -6,7 +6,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from dockgrid.plans import queries as plans, queries_runs, queries_sources  # noqa: F401
+from dockgrid.plans import queries as plans, queries_graphs, queries_runs, queries_sources  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
