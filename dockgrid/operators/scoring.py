@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from dockgrid.functions.scalars import gaussian_rbf
+
 C = F.col
 
 
@@ -29,28 +31,75 @@ def reference_model(n: pd.DataFrame, e: pd.DataFrame) -> float:
     return float(np.tanh(n["value"].mean() * len(e) / max(1, len(n))))
 
 
-def message_passing_layer(nodes: DataFrame, edges: DataFrame, weights: dict[str, np.ndarray]) -> DataFrame:
-    """One layer over all graphs: nodes (graph_id, node, h array), edges (graph_id, src, dst, f array).
+def _silu(x: np.ndarray) -> np.ndarray:
+    return x * _sigmoid(x)
 
-    message = relu(W1 [h_src, h_dst, f] + b1), summed at dst; out = layer norm of h + W2 sum. The dense parts run on Arrow batches.
-    """
-    w1, b1, w2 = weights["w1"], weights["b1"], weights["w2"]
 
-    @F.pandas_udf("array<double>")
-    def message(a: pd.Series, b: pd.Series, f: pd.Series) -> pd.Series:
-        x = np.column_stack([np.stack(s.to_numpy()) for s in (a, b, f)])
-        return pd.Series(list(np.maximum(0.0, x @ w1.T + b1)))
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(0.5 * x))
+
+
+def _relu(x: np.ndarray) -> np.ndarray:
+    return np.maximum(0.0, x)
+
+
+def _dense(x: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], between: Callable, last: Callable | None) -> np.ndarray:
+    for k, (w, b) in enumerate(layers):
+        x = x @ w.T + b
+        x = between(x) if k + 1 < len(layers) else last(x) if last else x
+    return x
+
+
+def _rows(s: pd.Series) -> np.ndarray:
+    return np.stack(s.to_numpy()).astype(float)
+
+
+def message_passing_layer(nodes: DataFrame, edges: DataFrame, weights: dict, n_rbf: int = 18, reach: float = 30.0, x_scale: float = 0.08) -> DataFrame:
+    """One layer over all graphs: nodes (graph_id, node, h array, x array of 3), edges (graph_id, src, dst, f array); returns nodes.
+
+    weights: lists of (matrix, bias) for 'message', 'gate', 'update' and 'move', the number 'alpha', and 'norm' (scale, shift).
+    With r = x_src - x_dst, an edge's message is m = message[h_src, h_dst, rbf(|r|), f], times gate(m). Summed at dst,
+    h = norm(h + sigmoid(alpha) sum update(m)) and x = x + x_scale sum r move(m). A node without edges gets norm(h) and keeps x;
+    edges of which an end is no node go. Dense parts run on Arrow batches of edges; weights travel with the function.
+    """
+    message, gate, update, move = (weights[k] for k in ("message", "gate", "update", "move"))
+    share, (scale, shift) = float(_sigmoid(np.asarray(weights["alpha"], float))), weights["norm"]
+    width = len(update[-1][1])
+
+    @F.pandas_udf("dh array<double>, dx array<double>")
+    def send(hs: pd.Series, hd: pd.Series, xs: pd.Series, xd: pd.Series, f: pd.Series, rbf: pd.Series) -> pd.DataFrame:
+        if not len(hs):
+            return pd.DataFrame({"dh": [], "dx": []})
+        r = _rows(xs) - _rows(xd)
+        m = _dense(np.column_stack([_rows(hs), _rows(hd), _rows(rbf), _rows(f)]), message, _silu, _silu)
+        m = m * _dense(m, gate, _relu, _sigmoid)
+        return pd.DataFrame({"dh": list(_dense(m, update, _silu, _silu)), "dx": list(r * _dense(m, move, _silu, None) * x_scale)})
 
     @F.pandas_udf("array<double>")
-    def update(h: pd.Series, m: pd.Series) -> pd.Series:
-        x = np.stack(h.to_numpy()) + np.stack([np.zeros(len(b1)) if v is None else v for v in m]) @ w2.T
-        return pd.Series(list((x - x.mean(1, keepdims=True)) / np.sqrt(x.var(1, keepdims=True) + 1e-5)))
-
-    src = nodes.select("graph_id", C("node").alias("src"), C("h").alias("hs"))
-    dst = nodes.select("graph_id", C("node").alias("dst"), C("h").alias("hd"))
-    sent = edges.join(src, ["graph_id", "src"]).join(dst, ["graph_id", "dst"]).withColumn("m", message("hs", "hd", "f"))
-    summed = sent.groupBy("graph_id", C("dst").alias("node")).agg(F.array(*[F.sum(C("m")[k]) for k in range(len(b1))]).alias("m"))
-    return nodes.join(summed, ["graph_id", "node"], "left").select("graph_id", "node", update("h", "m").alias("h"))
+    def norm(h: pd.Series) -> pd.Series:
+        if not len(h):
+            return pd.Series([], dtype=object)
+        v = _rows(h)
+        return pd.Series(list((v - v.mean(1, keepdims=True)) / np.sqrt(v.var(1, keepdims=True) + 1e-5) * scale + shift))
+
+    end = lambda k, p: nodes.select("graph_id", C("node").alias(k), C("h").alias(f"h{p}"), C("x").alias(f"x{p}"))
+    both = edges.select("graph_id", "src", "dst", "f").join(end("src", "s"), ["graph_id", "src"]).join(end("dst", "d"), ["graph_id", "dst"])
+    d = F.sqrt(F.aggregate(F.zip_with("xs", "xd", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, x: t + x))
+    sent = both.withColumn("d", d).withColumn("m", send("hs", "hd", "xs", "xd", "f", gaussian_rbf("d", n_rbf, 0.0, reach)))
+    total = lambda k, n: F.array(*[F.sum(C("m")[k][i]) for i in range(n)])
+    got = sent.groupBy("graph_id", C("dst").alias("node")).agg(total("dh", width).alias("dh"), total("dx", 3).alias("dx"))
+    add = lambda k, by: F.when(C(f"d{k}").isNull(), C(k)).otherwise(F.zip_with(k, f"d{k}", lambda a, b: a + by * b))
+    return nodes.join(got, ["graph_id", "node"], "left").select("graph_id", "node", norm(add("h", F.lit(share))).alias("h"), add("x", F.lit(1.0)).alias("x"))
+
+
+def random_weights(n_h: int, n_f: int, n_rbf: int = 18, seed: int = 5) -> dict:
+    """Weights of the published layer's shape, drawn at random: a stand-in where no trained ones are at hand."""
+    rng = np.random.default_rng(seed)
+
+    def layers(*sizes: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(rng.normal(size=(b, a)) / np.sqrt(a), np.zeros(b)) for a, b in zip(sizes, sizes[1:], strict=False)]
+
+    return {"message": layers(2 * n_h + n_rbf + n_f, 320, 160, 128), "gate": layers(128, 64, 1), "update": layers(128, n_h), "move": layers(128, 32, 1), "alpha": 0.8, "norm": (np.ones(n_h), np.zeros(n_h))}
 
 
 def embed_sequences(sequences: DataFrame, embed: Callable[[list[str]], list[list[float]]], budget: int = 20_000, most: int = 2500) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -557,12 +556,12 @@ def a17_epoch_results(spark, d):
 @query(None)
 def j4_message_passing(spark, d):
     a = v.atoms(spark, d)
-    nodes = a.select("graph_id", C("serial").alias("node"), F.array(*[C(k) / 50 for k in "xyz"]).alias("h"))
+    x = F.array(*[C(k).cast("double") for k in "xyz"])
+    nodes = a.select("graph_id", C("serial").alias("node"), F.array(C("charge"), C("eps"), C("sigma")).alias("h"), x.alias("x"))
     from dockgrid.operators.spatial import contact_pairs
 
-    edges = contact_pairs(a).select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.array(F.sqrt("d2")).alias("f"))
-    w = np.random.default_rng(5)
-    return scoring.message_passing_layer(nodes, edges, {"w1": w.normal(size=(4, 7)), "b1": np.zeros(4), "w2": w.normal(size=(3, 4))})
+    c = contact_pairs(a).select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.array(F.sqrt("d2")).alias("f"))
+    return scoring.message_passing_layer(nodes, gr.symmetrise(c), scoring.random_weights(3, 1))
 
 
 @query(f"WITH {v.ATOMS}, {v.CONTACTS}, n AS (SELECT graph_id, avg(charge) AS m, count(*) AS n FROM atoms GROUP BY graph_id), e AS (SELECT graph_id, count(*) AS n FROM contacts GROUP BY graph_id) SELECT n.graph_id, round(tanh(n.m * coalesce(e.n, 0) / n.n), 6) AS score, 'ok' AS status FROM n LEFT JOIN e USING (graph_id)")

@@ -169,17 +169,37 @@ def test_renumbering_modes(spark):
 
 def test_message_passing_is_numpy(spark):
     rng = np.random.default_rng(1)
-    h, w1, b1, w2 = rng.normal(size=(4, 3)), rng.normal(size=(5, 7)), rng.normal(size=5), rng.normal(size=(3, 5))
-    e = [(0, 1, 0.5), (1, 2, -1.0), (2, 1, 2.0)]
-    nodes = spark.createDataFrame([("g", k, list(map(float, h[k]))) for k in range(4)], "graph_id string, node int, h array<double>")
+    h, x = rng.normal(size=(5, 3)), rng.normal(size=(5, 3)) * 4
+    w = scoring.random_weights(3, 1, seed=2)
+    w["norm"] = (rng.normal(size=3), rng.normal(size=3))
+    e = [(0, 1, 0.5), (1, 2, -1.0), (2, 1, 2.0), (3, 9, 1.0)]
+    nodes = spark.createDataFrame([("g", k, list(map(float, h[k])), list(map(float, x[k]))) for k in range(5)], "graph_id string, node int, h array<double>, x array<double>")
     edges = spark.createDataFrame([("g", a, b, [f]) for a, b, f in e], "graph_id string, src int, dst int, f array<double>")
-    m = np.zeros((4, 5))
-    for a, b, f in e:
-        m[b] += np.maximum(0, w1 @ np.concatenate((h[a], h[b], [f])) + b1)
-    x = h + m @ w2.T
-    want = (x - x.mean(1, keepdims=True)) / np.sqrt(x.var(1, keepdims=True) + 1e-5)
-    got = {r["node"]: r["h"] for r in scoring.message_passing_layer(nodes, edges, {"w1": w1, "b1": b1, "w2": w2}).collect()}
-    assert np.allclose([got[k] for k in range(4)], want)
+
+    def sigmoid(v):
+        return 1 / (1 + np.exp(-v))
+
+    def linear(v, layer):
+        return layer[0] @ v + layer[1]
+
+    dh, dx = np.zeros((5, 3)), np.zeros((5, 3))
+    for a, b, f in e[:3]:
+        r = x[a] - x[b]
+        d = np.sqrt((r * r).sum())
+        m = np.concatenate((h[a], h[b], [np.exp(-(((d - 30 / 17 * k) / (30 / 18 + 1e-8)) ** 2)) for k in range(18)], [f]))
+        for layer in w["message"]:
+            m = linear(m, layer)
+            m = m * sigmoid(m)
+        m = m * sigmoid(linear(np.maximum(0, linear(m, w["gate"][0])), w["gate"][1]))
+        u = linear(m, w["update"][0])
+        dh[b] += u * sigmoid(u)
+        u = linear(m, w["move"][0])
+        dx[b] += r * linear(u * sigmoid(u), w["move"][1]) * 0.08
+    v = h + sigmoid(0.8) * dh
+    want = (v - v.mean(1, keepdims=True)) / np.sqrt(v.var(1, keepdims=True) + 1e-5) * w["norm"][0] + w["norm"][1]
+    got = {r["node"]: r for r in scoring.message_passing_layer(nodes, edges, w).collect()}
+    assert np.allclose([got[k]["h"] for k in range(5)], want) and np.allclose([got[k]["x"] for k in range(5)], x + dx)
+    assert scoring.message_passing_layer(nodes, edges.limit(0), w).count() == 5
 
 
 def test_failing_models_become_rows(spark):
@@ -246,3 +266,23 @@ def test_start_walks_left_to_the_first_letter(spark):
     q = spark.createDataFrame([("a", "QWERTYUIOPAS"), ("b", "CDEFGHIJKLMN")], "mol string, sequence string")
     t = spark.createDataFrame([("a", "xxQQzzWERTYUIOPAS"), ("b", "zzzzCDEFGHIJKLMN")], "mol string, sequence string")
     assert {r["mol"]: r["start"] for r in wf.locate_subsequence(q, t, 6).collect()} == {"a": 4, "b": 5}
+
+
+def test_residue_graphs(spark):
+    from dockgrid.plans.interface_graphs import build_graphs
+
+    kinds = "graph_id int, serial long, chain string, res_seq int, res_name string, atom_name string, x double, y double, z double, charge double, eps double, sigma double, eps14 double, sigma14 double"
+    atom = lambda g, s, c, n, r, a, x: (g, s, c, n, r, a, x, 0.0, 0.0, 0.5, 0.1, 3.0, 0.1, 3.0)
+    rows = [atom(1, 1, "A", 1, "ALA", "CA", 0.0), atom(1, 2, "A", 1, "ALA", "CB", 1.0), atom(1, 3, "A", 2, "GLY", "CA", 2.5), atom(1, 4, "B", 1, "SER", "CA", 4.0), atom(1, 5, "B", 9, "HOH", "O", 3.0), atom(2, 1, "A", 1, "ALA", "CA", 0.0)]
+    rows += [(1, None, None, None, None, None, None, None, None, None, None, None, None, None)]
+    atoms = spark.createDataFrame(rows, kinds)
+    labels = spark.createDataFrame([(1, 1, "H1"), (1, 2, "nowhere"), (2, 1, "H1")], "graph_id int, ord int, label string")
+    got = build_graphs(atoms, grain="residue", exposure=12.0)
+    assert {r["residue"]: r["node_idx"] for r in got["nodes"].collect()} == {"A.1.ALA": 0, "A.2.GLY": 1, "B.1.SER": 2}
+    dist = {(r["src_idx"], r["dst_idx"], r["edge_type"]): r["dist"] for r in got["edges"].collect()}
+    assert dist == {(0, 2, "interface"): 3.0, (2, 0, "interface"): 3.0, (1, 2, "interface"): 1.5, (2, 1, "interface"): 1.5, (0, 1, "internal"): 1.5, (1, 0, "internal"): 1.5}
+    failed = build_graphs(atoms, annotations=labels)
+    assert [r["graph_id"] for r in failed["failed"].collect()] == [1] and failed["nodes"].count() == 0
+    for grain in ("atom", "residue"):
+        empty = build_graphs(atoms.limit(0), grain=grain, annotations=labels, orientation=True)
+        assert empty["nodes"].count() == empty["edges"].count() == empty["failed"].count() == 0
