@@ -70,14 +70,15 @@ class PartEnum:
             return x
         n1 = self.parts(band)
         cell = (x >> np.uint64(32)) * np.uint64(n1 * self.n2) >> np.uint64(32)
-        order = np.argsort(cell, kind="stable")
+        order = np.argsort(cell)
         cell, value = cell[order], mixed(s[order] + np.uint64(13))
         new = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
         sums, cell = np.add.reduceat(value, new), cell[new].astype(np.int64)
         part, sub = cell // self.n2, cell % self.n2
         if len(self.subsets[0]) == 1:
             return mixed(sums + (part * self.n2 + sub).astype(np.uint64) * ODD + np.uint64(band))
-        ids, at = np.unique(part, return_inverse=True)
+        start = np.concatenate(([True], part[1:] != part[:-1]))
+        ids, at = part[start], np.cumsum(start) - 1
         grid = np.zeros((len(ids), self.n2), np.uint64)
         there = np.zeros((len(ids), self.n2), bool)
         grid[at, sub], there[at, sub] = sums, True
@@ -101,7 +102,7 @@ class PartEnum:
 def _signatures(method: PartEnum, n_words: int, groups: int):
     def run(batches):
         block, meta = Block(groups), []
-        seen: set[tuple[int, int]] = set()
+        seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
         def flush():
             yield from block.flush()
@@ -117,12 +118,12 @@ def _signatures(method: PartEnum, n_words: int, groups: int):
                 a, b = (x - (1 << 64) if x >= 1 << 63 else x for x in key)
                 meta.append((doc, -1, len(s), 0, a, b))
                 full = False
-                if len(s):
+                if len(s) and key not in seen:
+                    seen[key] = []
                     for code, t, sigs in method.units(s):
-                        meta.append((doc, code, len(s), t, a, b))
-                        if key not in seen:
-                            full |= block.add((sigs >> np.uint64(24)).astype(np.uint32), doc, np.full(len(sigs), code), sigs)
-                    seen.add(key)
+                        seen[key].append((code, t))
+                        full |= block.add((sigs >> np.uint64(24)).astype(np.uint32), doc, np.full(len(sigs), code), sigs)
+                meta.extend((doc, code, len(s), t, a, b) for code, t in seen.get(key, ()))
                 if full or len(meta) >= 100_000:
                     yield from flush()
         yield from flush()
@@ -234,7 +235,8 @@ def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) ->
     least = F.greatest(F.lit(1), F.expr("cast(ceil(m - h / 2) AS int)"), F.when(F.col("linked"), F.expr(f"cast(floor(({q} * m - {p} * (n - hub_n)) / (2 * {q})) + 1 AS int)")))
     wide = wide.withColumn("index_n", F.col("m") - least + 1).withColumn("probe_n", F.least("m", F.col("h") + 1))
     cells = settle(wide.select("hub", "doc_id", "label", "n", "m", "linked", "index_n", "probe_n", F.explode("e").alias("g")), "differences")
-    common = cells.groupBy("hub", "g").agg(F.count("*").alias("df")).filter("df > 1")
+    # Shingles of one label alone are in no pair asked for: they come first in the order of each E and needn't be ranked.
+    common = cells.groupBy("hub", "g").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g", "df")
     mine = Window.partitionBy("hub", "doc_id")
     ranked = cells.join(common, ["hub", "g"]).withColumn("place", F.col("m") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "g")))
     cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
