@@ -100,31 +100,41 @@ class PartEnum:
 
 
 def _signatures(method: PartEnum, n_words: int, groups: int):
+    """Of equal sets of a block the smallest doc_id alone is signed and named with its bands; every document is named with band -1."""
+
     def run(batches):
-        block, meta = Block(groups), []
-        seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        block, members = Block(groups), []
+        signed: dict[tuple[int, int], tuple[int, int, list[tuple[int, int]], list[np.ndarray]]] = {}
 
         def flush():
             yield from block.flush()
-            if meta:
-                data = [planes(np.array(x, np.int64)) for x in zip(*meta, strict=True)]
-                yield arrow({"q": [meta[0][0] % groups], "sure": [None], "keys": [b"".join(data)], "more": [b""], "docs": [b""], "tags": [b""], "places": [b""]}, DEALT)
-                meta.clear()
-                seen.clear()
+            if members:
+                units = [(doc, code, n, t, *key) for key, (doc, n, found, _) in signed.items() for code, t in found]
+                data = [planes(np.array(x, np.int64)) for x in zip(*members, *units, strict=True)]
+                yield arrow({"q": [members[0][0] % groups], "sure": [None], "keys": [b"".join(data)], "more": [b""], "docs": [b""], "tags": [b""], "places": [b""]}, DEALT)
+                members.clear()
+                signed.clear()
 
         for held in rows(batches, 200_000):
             for (doc, _), s in zip(held, shingle_sets([t for _, t in held], n_words), strict=True):
-                key = (int(mixed(s).sum(dtype=np.uint64)), int((mixed(s + ODD) ^ s).sum(dtype=np.uint64)))
-                a, b = (x - (1 << 64) if x >= 1 << 63 else x for x in key)
-                meta.append((doc, -1, len(s), 0, a, b))
+                key = tuple(x - (1 << 64) if x >= 1 << 63 else x for x in (int(mixed(s).sum(dtype=np.uint64)), int((mixed(s + ODD) ^ s).sum(dtype=np.uint64))))
+                members.append((doc, -1, len(s), 0, *key))
                 full = False
-                if len(s) and key not in seen:
-                    seen[key] = []
+                if not len(s):
+                    pass
+                elif key in signed:
+                    first, n, units, names = signed[key]
+                    if doc < first:
+                        signed[key] = doc, n, units, names
+                        for docs in names:
+                            docs[:] = doc
+                else:
+                    signed[key] = doc, len(s), [], []
                     for code, t, sigs in method.units(s):
-                        seen[key].append((code, t))
+                        signed[key][2].append((code, t))
                         full |= block.add((sigs >> np.uint64(24)).astype(np.uint32), doc, np.full(len(sigs), code), sigs)
-                meta.extend((doc, code, len(s), t, a, b) for code, t in seen.get(key, ()))
-                if full or len(meta) >= 100_000:
+                        signed[key][3].append(block.parts[-1][2])
+                if full or len(members) >= 100_000:
                     yield from flush()
         yield from flush()
 
@@ -182,13 +192,13 @@ def _near(docs: DataFrame, n_words: int, percent: int, parts: tuple[int, int]) -
     method, groups = PartEnum(percent, parts), groups_of(docs)
     found = settle(docs.mapInArrow(_signatures(method, n_words, groups), DEALT_SQL).groupBy("q").applyInArrow(_found, FOUND_SQL), "signatures")
     members = found.filter("sig is null AND band = -1").select("doc_id", "n", "k1", "k2")
-    # Equal sets are one class: the smallest doc_id stands for it.
+    # Equal sets are one class: the smallest doc_id stands for it. It is the smallest of its block too, so it is signed.
     classes = members.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    units = found.filter("sig is null AND band >= 0").select("doc_id", "band", "n", "t", "k1", "k2")
+    units = found.filter("sig is null AND band >= 0").groupBy("n", "k1", "k2", "band").agg(F.min("doc_id").alias("doc_id"), F.max("t").alias("t")).select("doc_id", "band", "n", "t")
     repeats = found.filter("sig is not null").select("doc_id", "band", "sig")
     counts = repeats.groupBy("doc_id", "band").agg(F.count("*").alias("c"))
-    alive = units.join(counts, ["doc_id", "band"]).filter("c >= t").join(classes, ["n", "k1", "k2"]).select("doc_id", "band", "rep", "n", "t").distinct()
-    left = repeats.join(alive, ["doc_id", "band"]).select("band", "sig", F.col("rep").alias("doc_id"), "n", "t").distinct()
+    alive = units.join(counts, ["doc_id", "band"]).filter("c >= t").select("doc_id", "band", "n", "t")
+    left = repeats.join(alive, ["doc_id", "band"])
     buckets = left.groupBy("band", "sig").agg(F.count("*").alias("size")).filter("size > 1")
     left = left.join(buckets, ["band", "sig"])
     # The T-1 most frequent signatures of a set can't be all that it shares with a partner.
