@@ -158,7 +158,8 @@ def deal(keys: np.ndarray, more: np.ndarray, docs: np.ndarray, tags: np.ndarray,
     the key's group, marked when others share the key; the others, known to repeat, travel apart, spread evenly over groups."""
     if not len(keys):
         return
-    order = np.lexsort((places, docs, more, keys, q)) if more.any() else np.lexsort((places, docs, keys, q))
+    whole = (q.astype(np.uint64) << np.uint64(32) | keys,) if keys.itemsize == 4 else (keys, q)
+    order = np.lexsort((places, docs, more, *whole)) if more.any() else np.lexsort((places, docs, *whole))
     keys, more, docs, tags, places, q = keys[order], more[order], docs[order], tags[order], places[order], q[order].astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (more[1:] != more[:-1]) | (q[1:] != q[:-1]))))
     size = np.diff(np.append(new, len(keys)))

@@ -2,9 +2,9 @@
 
 A document is its set of distinct word shingles. Sets are banded by size; within a band the shingle domain is dealt into parts by
 hash, each part into sub-parts, and every choice of sub-parts that may stay equal gives a signature (the sum of the shingles'
-hashes there; empty ones are left out). A shingle in which two sets differ spoils at most C(n2-1, r-1) signatures, and sets that
-link differ in at most H(n) shingles, so a set shares at least T = signatures - C(n2-1, r-1) * H of its own with any
-partner. Hence exactly: sets with fewer than T repeated signatures have no partner, and the T-1 most frequent ones of a set can be
+hashes there; empty ones are left out). A shingle in which two sets differ spoils at most C(n2-1, r-1) signatures, a second one of
+the same part at most C(n2-2, r-1) more, and so on; sets that link differ in at most H(n) shingles, which spoil most when they are
+dealt evenly over the parts that a set fills. What is left of its signatures then, T, a set shares with any partner. Hence exactly: sets with fewer than T repeated signatures have no partner, and the T-1 most frequent ones of a set can be
 left out of its search (what very common passages produce ends there). Candidates are verified on the shingle sets
 themselves. Within a signature's bucket all sets are first compared with one hub; components that remain apart meet
 again, and only their members with each other's, where they share enough of the shingles in which they differ from the hub.
@@ -38,14 +38,20 @@ def shingle_sets(texts: list[str | None], n: int):
         elif len(words) < n:
             yield mixed(np.array([sum((int(w) * pow(int(ODD), i + 1, 1 << 64)) for i, w in enumerate(words)) % (1 << 64)], np.uint64) + np.uint64(len(words)))
         else:
-            yield np.unique(grams(words, n))
+            h_ = np.sort(grams(words, n))
+            yield h_[np.concatenate(([True], h_[1:] != h_[:-1]))]
 
 
 class PartEnum:
     def __init__(self, percent: int, parts: tuple[int, int]):
         self.p, (self.n2, r) = percent, parts
-        self.subsets = [np.array(c) for c in combinations(range(self.n2), r)]
-        self.spoils = comb(self.n2 - 1, r - 1)
+        self.subsets = list(combinations(range(self.n2), r))
+        #: Signatures of a part that its first, second, ... differing shingle spoils at most.
+        self.steps = [comb(self.n2 - j, r - 1) for j in range(1, self.n2 + 1)]
+
+    def spoiled(self, parts: int, differ: int) -> int:
+        """Most signatures that differ shingles spoil in so many filled parts."""
+        return sum(step * min(parts, max(0, differ - j * parts)) for j, step in enumerate(self.steps))
 
     def differ(self, n: int) -> int:
         """Most shingles in which a set of n can differ from a partner: (100 - p) (n + m) / (100 + p), m at most 100 n / p."""
@@ -58,45 +64,33 @@ class PartEnum:
 
     def parts(self, band: int) -> int:
         """Parts of the domain for a band. A sub-part holds about one shingle of the band's largest guests (1.25 times its own) in
-        small bands and 1.75 in others, which leaves T well over 0 for three sub-parts and two in a signature."""
+        small bands and 2.2 in others, which leaves T well over 0 for three sub-parts and two in a signature."""
         most = (2 << band) * 100 // self.p
-        each = (1.0 if most < 160 else 1.75) if len(self.subsets[0]) > 1 else (1.0 if most < 160 else 3.0 if most < 1300 else 3.4)
+        each = (1.0 if most < 160 else 2.2) if len(self.subsets[0]) > 1 else (1.0 if most < 160 else 3.0 if most < 1300 else 3.4)
         return max(1, int(most / (each * self.n2)))
 
-    def signatures(self, s: np.ndarray, band: int, fine: bool = False) -> np.ndarray:
-        """Non-empty signatures of a set within a band."""
-        x = mixed(s + np.uint64(band * 2 + fine))
-        if fine:
-            return x
+    def signatures(self, s: np.ndarray, band: int) -> tuple[np.ndarray, int]:
+        """Non-empty signatures of a set within a band, and how many parts it fills."""
         n1 = self.parts(band)
-        cell = (x >> np.uint64(32)) * np.uint64(n1 * self.n2) >> np.uint64(32)
-        order = np.argsort(cell)
-        cell, value = cell[order], mixed(s[order] + np.uint64(13))
+        x = np.sort(mixed(s + np.uint64(band * 2)))
+        cell = ((x >> np.uint64(32)) * np.uint64(n1 * self.n2) >> np.uint64(32)).astype(np.int64)
         new = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-        sums, cell = np.add.reduceat(value, new), cell[new].astype(np.int64)
-        part, sub = cell // self.n2, cell % self.n2
-        if len(self.subsets[0]) == 1:
-            return mixed(sums + (part * self.n2 + sub).astype(np.uint64) * ODD + np.uint64(band))
-        start = np.concatenate(([True], part[1:] != part[:-1]))
-        ids, at = part[start], np.cumsum(start) - 1
-        grid = np.zeros((len(ids), self.n2), np.uint64)
-        there = np.zeros((len(ids), self.n2), bool)
-        grid[at, sub], there[at, sub] = sums, True
-        out = []
-        for k, chosen in enumerate(self.subsets):
-            full = there[:, chosen].any(axis=1)
-            out.append(mixed(grid[full][:, chosen].sum(axis=1, dtype=np.uint64) + (ids[full] * len(self.subsets) + k).astype(np.uint64) * ODD + np.uint64(band)))
-        return np.concatenate(out)
+        grid = np.zeros(n1 * self.n2, np.uint64)
+        grid[cell[new]] = np.add.reduceat(x, new)
+        grid = grid.reshape(n1, self.n2).T
+        sums = np.concatenate([sum(grid[c] for c in chosen) for chosen in self.subsets])
+        full = np.flatnonzero(sums)
+        return mixed(sums[full] + full.astype(np.uint64) * ODD + np.uint64(band)), int(grid.any(axis=0).sum())
 
     def units(self, s: np.ndarray):
         """(band code, T, signatures) for each band in which the set is to be looked for."""
-        differ = self.differ(len(s)) * self.spoils
+        differ = self.differ(len(s))
         for band in self.bands(len(s)):
-            sigs = self.signatures(s, band)
-            t = len(sigs) - differ
+            sigs, parts = self.signatures(s, band)
+            t = len(sigs) - self.spoiled(parts, differ)
             yield band * 2, max(t, 1), sigs
             if t < 1:  # too few parts are filled to be sure: each shingle for itself, in which T is never under 1
-                yield band * 2 + 1, max(len(s) - self.differ(len(s)), 1), self.signatures(s, band, fine=True)
+                yield band * 2 + 1, max(len(s) - differ, 1), mixed(s + np.uint64(band * 2 + 1))
 
 
 def _signatures(method: PartEnum, n_words: int, groups: int):
@@ -117,7 +111,7 @@ def _signatures(method: PartEnum, n_words: int, groups: int):
 
         for held in rows(batches, 200_000):
             for (doc, _), s in zip(held, shingle_sets([t for _, t in held], n_words), strict=True):
-                key = tuple(x - (1 << 64) if x >= 1 << 63 else x for x in (int(mixed(s).sum(dtype=np.uint64)), int((mixed(s + ODD) ^ s).sum(dtype=np.uint64))))
+                key = tuple(x - (1 << 64) if x >= 1 << 63 else x for x in (int(s.sum(dtype=np.uint64)), int(mixed(s + ODD).sum(dtype=np.uint64))))
                 members.append((doc, -1, len(s), 0, *key))
                 full = False
                 if not len(s):
