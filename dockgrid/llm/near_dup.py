@@ -198,13 +198,15 @@ def _near(docs: DataFrame, n_words: int, percent: int, parts: tuple[int, int]) -
     # The T-1 most frequent signatures of a set can't be all that it shares with a partner.
     ranked = left.withColumn("rarer", F.row_number().over(Window.partitionBy("doc_id", "band").orderBy("size", "sig"))).withColumn("c", F.count("*").over(Window.partitionBy("doc_id", "band")))
     searched = settle(ranked.filter("rarer <= c - t + 1").select("band", "sig", "doc_id", "n", "c"), "searched")
-    hubs = searched.groupBy("band", "sig").agg(F.max(F.struct("c", -F.col("doc_id"))).alias("h"), F.count("*").alias("size")).filter("size > 1").select("band", "sig", (-F.col("h")["col2"]).alias("hub"))
-    first = settle(searched.join(hubs, ["band", "sig"]).filter("doc_id <> hub").select("hub", "doc_id").distinct(), "pairs")
+    hubs = searched.groupBy("band", "sig").agg(F.max(F.struct("c", -F.col("doc_id"))).alias("h"), F.count("*").alias("size")).filter("size > 1").select("band", "sig", "size", (-F.col("h")["col2"]).alias("hub"))
+    # Only pairs of a bucket with a third set can matter for sets that meet beside the hub: they keep the shingles in which they differ.
+    first = settle(searched.join(hubs, ["band", "sig"]).filter("doc_id <> hub").groupBy("hub", "doc_id").agg(F.max(F.col("size") > 2).alias("crowded")), "pairs")
     sets = settle(docs.join(searched.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(n_words), "doc_id long, set array<long>"), "sets")
-    linked = settle(_compared(first, sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked"), "compared")
+    differ = F.when(F.col("crowded"), F.concat(F.array_except("x", "y"), F.array_except("y", "x")))
+    linked = settle(_compared(first, sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked", F.size("x").alias("hub_n"), F.size("y").alias("n"), differ.alias("e")), "compared")
     links = linked.filter("linked").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     comp = settle(components(links), "labels")
-    rest = settle(_apart(linked, comp, sets, percent).join(linked.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    rest = settle(_apart(linked, comp, percent).join(linked.select(F.least("hub", "doc_id").alias("a"), F.greatest("hub", "doc_id").alias("b")), ["a", "b"], "left_anti"), "pairs")
     links = settle(links.unionByName(_compared(rest, sets, "a", "b", percent).filter("linked").select("a", "b")), "links")
     comp = components(links)
     degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n_verified"))
@@ -218,7 +220,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, a: str, b: str, percent: int) -
     return both.withColumn("c", F.size(F.array_intersect("x", "y"))).withColumn("linked", F.expr(f"100 * c >= {percent} * (size(x) + size(y) - c)"))
 
 
-def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _apart(linked: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     """Pairs a < b of sets compared with the same hub that may link although they are in different components.
 
     E is the set of shingles in which a set differs from the hub; |x - y| = |Ex| + |Ey| - 2 |common of E|. Sets that link differ in at
@@ -228,21 +230,21 @@ def _apart(linked: DataFrame, comp: DataFrame, sets: DataFrame, percent: int) ->
     H), the other one probes. Copies with edits of their own share no rare shingle of E, so a large group gives no square of pairs.
     """
     label = comp.select(F.col("node"), "label")
-    named = linked.join(label.select(F.col("node").alias("doc_id"), F.col("label").alias("l")), "doc_id", "left").join(label.select(F.col("node").alias("hub"), F.col("label").alias("hl")), "hub", "left")
-    named = named.withColumn("label", F.coalesce("l", "doc_id")).withColumn("open", F.col("label") != F.coalesce("hl", "hub")).select("hub", "doc_id", "linked", "label", "open")
+    named = linked.filter("e IS NOT NULL").select("hub", "doc_id", "linked", "hub_n", "n", F.size("e").alias("m")).join(label.select(F.col("node").alias("doc_id"), F.col("label").alias("l")), "doc_id", "left").join(label.select(F.col("node").alias("hub"), F.col("label").alias("hl")), "hub", "left")
+    named = named.withColumn("label", F.coalesce("l", "doc_id")).withColumn("open", F.col("label") != F.coalesce("hl", "hub"))
     hubs = named.groupBy("hub").agg(F.max("open").alias("any_open"), F.count("*").alias("members")).filter("any_open AND members > 1").select("hub")
     p, q = 100 - percent, 100 + percent
     differ = f"({p} * (n + 100 * n div {percent}) div {q})"
-    wide = _compared(named.join(hubs, "hub"), sets, "hub", "doc_id", percent).select("hub", "doc_id", "linked", "label", F.size("y").alias("n"), F.size("x").alias("hub_n"), F.concat(F.array_except("x", "y"), F.array_except("y", "x")).alias("e"))
-    wide = wide.withColumn("m", F.size("e")).withColumn("h", F.expr(differ))
+    wide = named.join(hubs, "hub").withColumn("h", F.expr(differ))
     # The smallest number of shared shingles with a partner whose E is no smaller.
     least = F.greatest(F.lit(1), F.expr("cast(ceil(m - h / 2) AS int)"), F.when(F.col("linked"), F.expr(f"cast(floor(({q} * m - {p} * (n - hub_n)) / (2 * {q})) + 1 AS int)")))
     wide = wide.withColumn("index_n", F.col("m") - least + 1).withColumn("probe_n", F.least("m", F.col("h") + 1))
-    cells = settle(wide.select("hub", "doc_id", "label", "n", "m", "linked", "index_n", "probe_n", F.explode("e").alias("g")), "differences")
+    wide = settle(wide.join(linked.select("hub", "doc_id", "e"), ["hub", "doc_id"]).select("hub", "doc_id", "label", "n", "m", "linked", "index_n", "probe_n", "e"), "differences")
     # Shingles of one label alone are in no pair asked for: they come first in the order of each E and needn't be ranked.
-    common = cells.groupBy("hub", "g").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g", "df")
+    common = wide.select("hub", "label", F.explode("e").alias("g")).groupBy("hub", "g").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g", "df")
     mine = Window.partitionBy("hub", "doc_id")
-    ranked = cells.join(common, ["hub", "g"]).withColumn("place", F.col("m") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("df", "g")))
+    ranked = wide.select("hub", "doc_id", F.explode("e").alias("g")).join(common, ["hub", "g"]).withColumn("after", F.count("*").over(mine) - F.row_number().over(mine.orderBy("df", "g")))
+    ranked = ranked.join(wide.drop("e"), ["hub", "doc_id"]).withColumn("place", F.col("m") - F.col("after"))
     cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
     return _meetings(cut, percent).select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
 
