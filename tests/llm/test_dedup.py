@@ -270,3 +270,20 @@ def test_bound_on_differing_shingles():
             if least_common is not None:
                 most = max(most, n + m - 2 * least_common)
         assert method.differ(n) >= most
+
+
+@pytest.mark.parametrize("parts", [(3, 2), (2, 1), (4, 2)])
+def test_sets_that_link_share_as_many_signatures_as_the_bound_says(parts):
+    method, rng = PartEnum(80, parts), np.random.default_rng(5)
+    for n in (1, 4, 9, 30, 63, 64, 100, 158, 159, 255, 300, 511, 639, 1200):
+        for _ in range(20):
+            x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            gone = int(rng.integers(0, n // 5 + 1))
+            more = int((n - gone) / 0.8 - n)  # the most shingles of its own that a partner may have
+            y = np.concatenate((x[gone:], rng.integers(0, 1 << 63, more, dtype=np.uint64)))
+            assert 100 * (n - gone) >= 80 * (n + more)
+            mine, other = ({code: (t, set(sigs.tolist())) for code, t, sigs in method.units(np.sort(s))} for s in (x, y))
+            both = {code: (mine[code][1] & other[code][1], (mine[code][0], other[code][0])) for code in mine.keys() & other.keys()}
+            assert any(len(shared) >= max(t) for shared, t in both.values()), (n, gone, more)
+            # A T of 1 may stand for less: such sets are also looked for by their single shingles.
+            assert all(len(shared) >= max(t) for shared, t in both.values() if min(t) > 1)
