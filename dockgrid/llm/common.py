@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockgrid.storage import settle  # noqa: F401  the operators take it from here
@@ -85,26 +86,28 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
         step *= 2
 
 
-_rng = np.random.default_rng(77)
-_BYTES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes of a word that count by table: an own random number for each byte at each place.
+_PLACES = 64
+_TABLE = np.random.default_rng(77).integers(0, 1 << 64, _PLACES * 256, dtype=np.uint64)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_POWERS = np.cumprod(np.full(64, ODD | np.uint64(1)), dtype=np.uint64)
 
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
-    """Of the words between ASCII white space: hashes, and starts and ends in the joined bytes, which come last; before them, each text's first word and the end."""
-    global _POWERS
+    """Of the words between ASCII white space: hashes, and starts and ends in the joined bytes, which come last; before them, each text's first word and the end.
+
+    Words of up to 64 bytes are hashed by tables (the sum of a random number for each byte at its place), longer ones by XXH3.
+    """
     data = b"\n".join(texts)
     b = np.frombuffer(data, np.uint8)
     solid = ~_BLANK[b]
     edge = np.flatnonzero(np.diff(solid, prepend=False, append=False))
     starts, ends = edge[::2], edge[1::2]
     size = ends - starts
-    if len(size) and (most := int(size.max())) > len(_POWERS):
-        _POWERS = np.cumprod(np.full(2 * most, ODD | np.uint64(1)), dtype=np.uint64)
     first = np.cumsum(size) - size
     at = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-    h = np.add.reduceat(_BYTES[b[solid]] * _POWERS[at], first) if len(first) else np.zeros(0, np.uint64)
+    h = np.add.reduceat(_TABLE[np.minimum(at, _PLACES - 1) * 256 + b[solid]], first) if len(first) else np.zeros(0, np.uint64)
+    for k in np.flatnonzero(size > _PLACES).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]])
     lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths))))
     return mixed(h + size.astype(np.uint64)), starts, ends, bounds, data

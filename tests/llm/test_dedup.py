@@ -287,3 +287,16 @@ def test_sets_that_link_share_as_many_signatures_as_the_bound_says(parts):
             assert any(len(shared) >= max(t) for shared, t in both.values()), (n, gone, more)
             # A T of 1 may stand for less: such sets are also looked for by their single shingles.
             assert all(len(shared) >= max(t) for shared, t in both.values() if min(t) > 1)
+
+
+@pytest.mark.parametrize("n", [63, 64, 65, 1024, 4096])
+def test_long_words_that_polynomials_cannot_tell_apart(spark, n):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo a power of two."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
+    other = word.translate(str.maketrans("ab", "ba"))
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join([*words[:30], x, *words[30:]]) for x in (word, other, word)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["n_removed"] for r in substring_dedup(df).orderBy("doc_id").collect()] == [0, 0, 61]
+    few = spark.createDataFrame([(k, " ".join([x] * 9)) for k, x in enumerate((word, other, word))], "doc_id long, text string")
+    assert [r["component_id"] for r in near_duplicates(few).orderBy("doc_id").collect()] == [0, 1, 0]
