@@ -8,10 +8,13 @@ from dockgrid.llm.chat import perspectives
 from dockgrid.llm.common import doc_hash, table
 from dockgrid.llm.decontaminate import contamination
 from dockgrid.llm.exact_dedup import exact_dedup
+from dockgrid.llm.fill_middle import fill_in_middle, restored
 from dockgrid.llm.language import fit_language, languages
 from dockgrid.llm.line_dedup import line_dedup
 from dockgrid.llm.near_dup import near_duplicates
 from dockgrid.llm.quality import fit_quality, held_out, quality_scores
+from dockgrid.llm.repetition import COVERAGE, LINES, SYMBOLS, quality_rules
+from dockgrid.llm.resample import importance_resample
 from dockgrid.llm.sentencepiece_codec import sentencepiece
 from dockgrid.llm.substring_dedup import substring_dedup
 from dockgrid.llm.token_counts import token_counts
@@ -73,8 +76,25 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn towards the benchmark's distribution of word pairs; null texts hold no words and are never drawn."""
+    drawn = importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at line ends into prefix, middle and suffix; null and empty texts are plain, with no units."""
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition measures and verdicts of every document; null and empty texts hold no words and fail the base rule."""
+    return quality_rules(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_quality, op4_near_duplicates, op5_substring_dedup, op6_perspectives, op7_line_dedup, op8_language, op9_sentencepiece, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_quality, op4_near_duplicates, op5_substring_dedup, op6_perspectives, op7_line_dedup, op8_language, op9_sentencepiece, op10_decontaminate, op11_importance_resample, op12_fill_middle, op13_quality_rules)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -147,5 +167,49 @@ FROM d LEFT JOIN words w USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
 
 
+#: CRC-32 by its table; runs of one and two words, numbered in no order.
+OP11 = f"""
+WITH crc AS MATERIALIZED (SELECT list(list_reduce(list_concat([n], range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY n) AS t FROM range(256) r(n)),
+docs AS MATERIALIZED (SELECT doc_id, {_NORMAL.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+marks AS (SELECT {_NORMAL.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark),
+runs AS MATERIALIZED (SELECT doc_id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM docs),
+sought AS MATERIALIZED (SELECT unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM marks),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM runs UNION SELECT f FROM sought)),
+hashed AS MATERIALIZED (SELECT f, xor(list_reduce(list_concat([4294967295], [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT FOR i IN range(len(h) // 2)]), lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256)), 4294967295) % 10000 AS b FROM hexed, crc),
+s AS (SELECT b, count(*) AS n FROM runs JOIN hashed USING (f) GROUP BY b), t AS (SELECT b, count(*) AS n FROM sought JOIN hashed USING (f) GROUP BY b),
+gains AS MATERIALIZED (SELECT b, floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM s)::DOUBLE + 10000) / ((coalesce(s.n, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(n), 0) FROM t)::DOUBLE + 10000))))::BIGINT AS g FROM range(10000) r(b) LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+weights AS (SELECT doc_id, count(*) AS n, floor(sum(g)::DOUBLE / count(*))::BIGINT AS w FROM runs JOIN hashed USING (f) JOIN gains USING (b) GROUP BY doc_id),
+scored AS (SELECT d.doc_id, len(d.w) AS n_words, coalesce(n, 0) AS n_features, coalesce(x.w, 0) AS weight, coalesce(x.w, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || d.doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM docs d LEFT JOIN weights x USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT s.doc_id, s.n_features::BIGINT AS n_features, s.weight, s.score, r.r::BIGINT AS rank FROM scored s LEFT JOIN (SELECT doc_id, r FROM ranked WHERE r <= 25 * n // 100) r USING (doc_id)
+"""
+
+OP12 = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
+h AS (SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM u),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
+
+_COVERED = ", ".join(f"sum(c) FILTER (list_contains(r, {n})) AS c{n}" for n in COVERAGE)
+_VERDICT = " AND ".join(f"100 * coalesce(c{n}, 0) <= {most} * word_chars" for n, most in COVERAGE.items())
+_LENGTHS = ", ".join(map(str, sorted({5, *COVERAGE})))
+OP13 = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+windows AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM d, unnest([{_LENGTHS}]) AS x(n), unnest(range(1, greatest(len(w) - n + 2, 1))) AS t(i)),
+twice AS (SELECT doc_id, n, unnest(list(i)) AS i FROM windows GROUP BY doc_id, n, g HAVING count(*) > 1),
+within AS (SELECT doc_id, i + k AS i, list(DISTINCT n) AS r FROM twice, unnest(range(0, n)) AS u(k) GROUP BY doc_id, i + k),
+covered AS (SELECT doc_id, sum(1) FILTER (list_contains(r, 5)) AS n_repeat, {_COVERED} FROM (SELECT x.doc_id, r, length(w[i]) AS c FROM within x JOIN d USING (doc_id)) GROUP BY doc_id),
+lines AS (SELECT doc_id, l, count(*) AS n, regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g') AS k FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) GROUP BY doc_id, l HAVING count(*) > 1),
+again AS (SELECT doc_id, sum(n - 1) AS n_dup, sum((n - 1) * length(k)) AS c_dup FROM lines WHERE k <> '' GROUP BY doc_id),
+m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, c_dup, {", ".join(f"c{n}" for n in COVERAGE)} FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN again USING (doc_id)),
+j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * coalesce(c_dup, 0) <= {LINES} * word_chars AND 100 * n_symbols <= {SYMBOLS} * n_words AND {_VERDICT} AS kept FROM j
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op4_near_duplicates": OP4, "op5_substring_dedup": OP5, "op6_perspectives": OP6, "op7_line_dedup": OP7, "op10_decontaminate": OP10}
+    return {"op2_exact_dedup": OP2, "op4_near_duplicates": OP4, "op5_substring_dedup": OP5, "op6_perspectives": OP6, "op7_line_dedup": OP7, "op10_decontaminate": OP10, "op11_importance_resample": OP11, "op12_fill_middle": OP12, "op13_quality_rules": OP13}
