@@ -149,7 +149,7 @@ SHARDS = pa.schema([("shard", pa.int64()), ("automaton", pa.binary())])
 
 
 def _pieces(window: int, step: int):
-    """Items in pieces that overlap in window - 1 words."""
+    """Texts of items in pieces that overlap in window - 1 words."""
 
     def run(batches):
         for held in rows(batches):
@@ -162,7 +162,7 @@ def _pieces(window: int, step: int):
 
 def _built(window: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("item", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("item", "ascending"), ("piece", "ascending"), ("words", "ascending")])
         items = [(i, w.split(b" ")) for i, w in zip(table["item"].to_pylist(), table["words"].to_pylist(), strict=True)]
         return pa.table({"shard": table["shard"][:1], "automaton": [pickle.dumps(Automaton(items, window))]}, schema=SHARDS)
 
@@ -170,12 +170,17 @@ def _built(window: int):
 
 
 def shards_of(benchmark: DataFrame, window: int, shard_words: int) -> DataFrame:
-    """shard long, automaton binary: of about shard_words words each, built in tasks, in shared storage. No rows for a benchmark without words."""
+    """shard long, automaton binary: of about shard_words words each, built in tasks, in shared storage. No rows for a benchmark without words.
+
+    Pieces are dealt by item and words, so an item_id of many rows is in as many shards as its words need; equal pieces of an item are one.
+    """
     items = benchmark.select(F.col("item_id").cast("string"), "text").filter("item_id is not null")
     pieces = items.mapInArrow(_pieces(window, max(window, shard_words // 16)), "item string, piece int, words binary, n long")
+    # Of equal pieces the number of the first one stays, for a fixed order within the shard.
+    pieces = settle(pieces.groupBy("item", "words").agg(F.min("piece").alias("piece"), F.first("n").alias("n")), "pieces")
     total = pieces.agg(F.sum("n")).first()[0] or 0
     shards = 1 if total <= shard_words else -(-5 * total // (4 * shard_words))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item", "piece"), F.lit(shards)).cast("long"))
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(shards)).cast("long"))
     return settle(dealt.groupBy("shard").applyInArrow(_built(window), "shard long, automaton binary"), "automata")
 
 
