@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from dockgrid.llm.common import ODD, mixed, slices
@@ -184,17 +184,20 @@ def train_crf(pieces: list[tuple[str, str]], rounds: int = 40, rate: float = 0.5
 
 
 def fit_language(docs: DataFrame, sample: int = 250, piece: int = 1500) -> Crf:
-    """Learns from docs (text, lang): about sample rows of each language, taken by a hash of doc_id, piece characters of each from a
-    place that the hash gives. Null languages and texts take no part."""
+    """Learns from docs (text, lang): at most sample rows of each language, taken by a hash of doc_id and text, piece characters of each from a
+    place that the hash gives. Rows alike count once. Null languages and texts take no part; null doc_ids do. The number of languages
+    is taken to be small."""
     docs = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
-    count = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    row = F.xxhash64(F.lit(21), "doc_id", "text")
+    count = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.approx_count_distinct(row).alias("n")).collect()}
     if not count:
         return Crf([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 2.0 * sample / n))) for k, n in count.items()])
-    rank = F.pmod(F.xxhash64(F.lit(21), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    place = F.expr(f"substring(text, cast(1 + pmod(xxhash64(22, doc_id), greatest(length(text) - {piece}, 1)) AS int), {piece})")
-    got = docs.filter(rank < share).select("lang", rank.alias("rank"), place.alias("piece")).toPandas().sort_values(["rank", "piece"])
-    got = got.groupby("lang", sort=True).head(sample)
+    rank = F.pmod(row, F.lit(1 << 40)) / F.lit(float(1 << 40))
+    place = F.expr(f"substring(text, cast(1 + pmod(xxhash64(22, doc_id, text), greatest(length(text) - {piece}, 1)) AS int), {piece})")
+    near = docs.filter(rank < share).select("lang", rank.alias("rank"), place.alias("piece")).distinct()
+    # At most sample rows of a language come to the driver.
+    got = near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "piece"))).filter(F.col("n") <= sample).toPandas().sort_values(["lang", "rank", "piece"])
     return train_crf(list(zip(got["piece"], got["lang"], strict=True)))
 
 

@@ -70,13 +70,14 @@ def _features(model: Compression):
     def run(batches):
         compressors = model.compressors()
         for held in rows(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([q for q, _ in held], pa.int32()), *(pa.array(x, pa.float64()) for x in zip(*(model.features(compressors, t) for _, t in held), strict=True))], names=["label", "d", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([q for q, _, _ in held], pa.int32()), pa.array([k for _, k, _ in held], pa.int64()), *(pa.array(x, pa.float64()) for x in zip(*(model.features(compressors, t) for _, _, t in held), strict=True))], names=["label", "rank", "d", "n"])
 
     return run
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: int = 400, dict_bytes: int = 112_640) -> Compression:
-    """Learns from at most sample rows of each label (labels: doc_id, quality 0 or 1; null labels, null doc_ids and empty texts are left out).
+    """Learns from at most sample rows of each label (labels: doc_id, quality 0 or 1; null labels, null doc_ids and empty texts are left out;
+    rows of one doc_id are told apart by their texts, and rows alike count once).
 
     Half of the rows (by hash) give three pieces of piece characters each to the dictionaries; the others calibrate, weighted to
     the labels' shares. With no rows of one label the score is the share of the other (0.5 without any).
@@ -91,7 +92,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: i
     both = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.length("text") > 0)
     teach = F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(2)) == 0
     places = [F.expr(f"substring(text, cast(1 + pmod(xxhash64(13, doc_id, {k}), greatest(length(text) - {piece}, 1)) AS int), {piece})") for k in range(3)]
-    pieces = both.filter(teach).select("label", F.array(*places).alias("pieces"), rank.alias("rank")).toPandas().sort_values("rank")
+    # Rows that share a doc_id are told apart by their texts; at most sample rows of a label come to the driver, rows alike once.
+    both = both.withColumn("rank", F.xxhash64(rank, "text"))
+
+    def bounded(made):
+        return reduce(DataFrame.unionByName, [x.distinct().orderBy(*x.columns).limit(sample) for x in (made(both.filter(F.col("label") == q)) for q in (0, 1))]).toPandas()
+
+    pieces = bounded(lambda x: x.filter(teach).select("label", "rank", F.array(*places).alias("pieces"))).sort_values(["label", "rank"])
     dicts = []
     for q in (0, 1):
         data = [p.encode("utf-8", "surrogatepass") for x in pieces["pieces"][pieces["label"] == q] for p in x]
@@ -100,11 +107,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, piece: i
         except zstandard.ZstdError:  # too few pieces to train on: they are the dictionary themselves
             dicts.append(b"".join(data)[-dict_bytes:])
     raw = Compression(dicts[0], dicts[1], (0.0, 1.0, 0.0))
-    seen = both.filter(~teach).select(F.col("label").cast("int"), "text").mapInArrow(_features(raw), "label int, d double, n double").toPandas()
+    seen = bounded(lambda x: x.filter(~teach).select(F.col("label").cast("int"), "rank", "text").mapInArrow(_features(raw), "label int, rank long, d double, n double"))
     if seen["label"].nunique() < 2:
         p = share[1] / (share[0] + share[1])
         return Compression(dicts[0], dicts[1], (math.log(p / (1 - p)), 0.0, 0.0))
-    seen = seen.sort_values(["label", "d", "n"])
+    seen = seen.sort_values(["label", "rank", "d", "n"])
     y = seen["label"].to_numpy(float)
     weight = np.where(y == 1, share[1] / y.sum(), share[0] / (len(y) - y.sum()))
     return Compression(dicts[0], dicts[1], tuple(logistic(seen[["d", "n"]].to_numpy(), y, weight * len(y) / weight.sum()).tolist()))

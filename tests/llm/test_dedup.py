@@ -289,7 +289,7 @@ def test_sets_that_link_share_as_many_signatures_as_the_bound_says(parts):
             assert all(len(shared) >= max(t) for shared, t in both.values() if min(t) > 1)
 
 
-@pytest.mark.parametrize("n", [63, 64, 65, 1024, 4096])
+@pytest.mark.parametrize("n", [65, 1024, 4096])
 def test_long_words_that_polynomials_cannot_tell_apart(spark, n):
     """Thue-Morse words and their complements have equal polynomial hashes modulo a power of two."""
     word = "".join("ab"[bin(k).count("1") % 2] for k in range(n))

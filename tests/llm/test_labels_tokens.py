@@ -347,3 +347,46 @@ def test_pipeline_stages(spark):
     sp = SentencePieceProcessor(model_file=PIECES)
     text = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert len(last) == len(text) and all(list(r["ids"]) == sp.encode(text[r["doc_id"]]) for r in last)
+
+
+@pytest.fixture(scope="module")
+def one_id(spark):
+    """Labelled and languaged texts: most rows share one doc_id, some have none, many are alike."""
+    rng = random.Random(12)
+    words = {"x": ["alpha", "beta", "gamma", "delta"], "y": ["uno", "dos", "tres", "cuatro"]}
+    rows = [(7 if k % 50 else k if k % 100 else None, " ".join(rng.choices(words["xy"[k % 2]], k=6 + k % 5 * 40)) if k % 3 else "alpha uno " * 30, "xy"[k % 2]) for k in range(20_000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+
+
+def test_language_learns_from_a_bounded_number_of_rows(spark, one_id, monkeypatch):
+    from dockgrid.llm import language
+
+    seen = []
+    monkeypatch.setattr(language, "train_crf", lambda pairs, **_: seen.extend(pairs))
+    language.fit_language(one_id, sample=40)
+    assert [sum(lang == k for _, lang in seen) for k in "xy"] == [40, 40] and len(set(seen)) == len(seen)
+
+
+def test_quality_learns_from_a_bounded_number_of_rows(spark, one_id, monkeypatch):
+    from dockgrid.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "logistic", lambda x, *a, real=quality.logistic: seen.append(len(x)) or real(x, *a))
+    monkeypatch.setattr(quality.zstandard, "train_dictionary", lambda n, data, real=zstandard.train_dictionary, **k: seen.append(len(data)) or real(n, data, **k))
+    labels = spark.createDataFrame([(7, 0), *((k, 1) for k in range(0, 20_000, 50))], "doc_id long, quality int")
+    model = fit_quality(one_id, labels, sample=60)
+    assert seen and all(n <= 3 * 60 for n in seen) and 0 <= model.score((0.1, 3.0)) <= 1
+
+
+def test_an_item_of_many_rows_is_in_many_shards(spark):
+    from dockgrid.llm.decontaminate import shards_of
+
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(30)) for _ in range(300)]
+    items = spark.createDataFrame([(1, t) for t in texts * 2], "item_id long, text string")
+    shards = shards_of(items, 10, 1000)
+    sizes = [len(r["automaton"]) for r in shards.collect()]
+    assert len(sizes) >= 9 and max(sizes) < 3 * sum(sizes) / len(sizes)
+    docs = spark.createDataFrame([(k, f"before {t} after") for k, t in enumerate(texts)] + [(1000, "nothing of it")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in contamination(docs, items, 10, 1000).collect()}
+    assert all(got[k]["hits"] == [1, 31] and got[k]["items"] == ["1"] for k in range(300)) and got[1000]["hits"] == []
