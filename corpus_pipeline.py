@@ -22,7 +22,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.4) -> DataFrame:
     """Documents without letters, and those of which no language holds the share least, go; lang becomes the predicted one.
 
-    Each row is judged by its own text: null and repeated doc_ids don't matter. Null and empty texts hold no letter.
+    The model learns from the langs of the same rows (a bounded sample). Each row is judged by its own text: null and repeated doc_ids don't matter. Null and empty texts hold no letter.
     """
     docs = docs.select(*COLUMNS)
     found = languages(docs, fit_language(docs)).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
@@ -51,12 +51,12 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of benchmark items go from the texts; documents of which more than half is such go whole. Each row is judged by its own text."""
+    """Passages of benchmark items go from the texts; documents of which more than half is such go whole. Each row is judged by its own text; null and empty texts stay as they are."""
     return _sized(decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_ids, ids, round_trip: a row for each row that is left."""
+    """doc_id, n_ids, ids, round_trip: a row for each row that is left. Null and empty texts have no ids."""
     return sentencepiece(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_ids", "ids", "round_trip")
 
 

@@ -1,11 +1,13 @@
 """SentencePiece encoding and decoding by streaming Viterbi.
 
-The forward pass keeps, for each place, the last piece of the best segmentation that ends there. For unigram scores
-the best is the largest sum; for BPE vocabularies it is the merge order's: a piece may follow another only if the two, merged
-alone, stay those two pieces, and exactly one last piece fits each place. A piece reaches over at most the longest
-piece's length, so a window of the text tells where no piece of the text reaches across a place: there all surviving
-backpointer paths meet, and what stands before it is committed and forgotten. The stretches between such places are stepped
-through side by side, place by place; no result is taken from a memory of texts or words.
+The forward pass keeps, for each place, the last piece of the one segmentation of the text up to there that the merge order of a BPE
+vocabulary allows: a piece may follow another only if the two, merged alone, stay those two pieces, and exactly one last piece fits each
+place. A piece reaches over at most the longest piece's length, so the paths that can still go on are those that end within that
+length of the front. A long text is stepped through in blocks: the block and a ring of that length before it are all the text that is
+looked at. After each block the open paths are followed back until they meet; ids up to there are committed and forgotten. Where
+paths do not meet (a run of one letter) the backpointers of the block, four bytes a place, are set aside until they do or the text
+ends, and the window stays as it is. Within a block, stretches between places that no piece reaches across are stepped through
+side by side; texts shorter than a block share one. No result is taken from a memory of texts or words.
 """
 
 from __future__ import annotations
@@ -69,8 +71,9 @@ class Exact:
 class Codec:
     """Of a BPE vocabulary with byte fallback, space marks as white space and a space mark put before each text."""
 
-    #: Characters of a window, and places of a stretch that are stepped through side by side with those of others.
-    WINDOW, ABREAST = 60_000, 256
+    #: Characters of short texts that share a window, and of a long text's blocks; places of a stretch that are stepped through side by
+    #: side with those of others.
+    WINDOW, BLOCK, ABREAST = 60_000, 16_384, 256
     PAIR_BITS = 21
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int]):
@@ -191,17 +194,35 @@ class Codec:
         starts, ends, symbols = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
         return starts, ends, symbols, single, np.flatnonzero(np.cumsum(across[: n + 1]) == 0)
 
-    def forward(self, starts, ends, symbols, single, meet) -> np.ndarray:
-        """The symbol that ends at each place (1 to n) in the one segmentation that fits up to there."""
+    def forward(self, starts, ends, symbols, single, meet, given: np.ndarray | None = None) -> np.ndarray:
+        """The symbol that ends at each place (1 to n) in the one segmentation that fits up to there.
+
+        given: those of the places from 0 on that are known already, of which there are as many as the longest piece has characters
+        (the paths to them come from before c).
+        """
         n = len(single)
         last = np.concatenate(([-1], single)).astype(np.int32)
+        known = 0
+        carried = False  # whether pieces reach across the last known place
+        if given is not None:
+            known = len(given) - 1
+            last[: known + 1] = given
+            new = ends > known
+            starts, ends, symbols = starts[new], ends[new], symbols[new]
+            meet = meet[meet >= known]
+            if carried := not len(meet) or meet[0] != known:
+                meet = np.concatenate(([known], meet))
         many = np.zeros(n + 1, bool)
         many[ends] = True
-        base = np.concatenate(([0], np.repeat(meet[:-1], np.diff(meet))))  # start of the place's stretch
+        base = np.concatenate((np.zeros(known + 1, np.int64), np.repeat(meet[:-1], np.diff(meet))))  # start of the place's stretch
         sure = starts == base[ends]  # a piece from the stretch's start is the one that fits
+        heads = base[many.nonzero()[0]] + 1  # the first place of a stretch holds one character
+        if carried:
+            sure &= starts != known
+            heads = heads[heads != known + 1]
         last[ends[sure]] = symbols[sure]
         many[ends[sure]] = False
-        many[base[many.nonzero()[0]] + 1] = False  # the first place of a stretch holds one character
+        many[heads] = False
         open_ = np.flatnonzero(many)
         more = many[ends]
         s = np.concatenate((starts[more], open_ - 1))
@@ -210,7 +231,7 @@ class Codec:
         step = e - base[e]
         order = np.argsort(step.astype(np.uint16) if n < 1 << 16 else step, kind="stable")
         s, e, x, step = s[order], e[order], x[order], step[order]
-        bounds = np.searchsorted(step, np.arange(2, self.ABREAST + 2))
+        bounds = np.searchsorted(step, np.arange(1, self.ABREAST + 2))
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if a < b:
                 ok = self.fit(last[s[a:b]], x[a:b])
@@ -218,29 +239,20 @@ class Codec:
             elif a == len(s):
                 break
         if bounds[-1] < len(s):  # stretches this long are few: one place after the other
-            known: dict[tuple[int, int], bool] = {}
+            known_pairs: dict[tuple[int, int], bool] = {}
             for a, b, y in zip(s[bounds[-1] :].tolist(), e[bounds[-1] :].tolist(), x[bounds[-1] :].tolist(), strict=True):
                 pair = (int(last[a]), y)
-                if (fits := known.get(pair)) is None:
-                    fits = known[pair] = self.follows(self.names[pair[0]], self.names[y])
+                if (fits := known_pairs.get(pair)) is None:
+                    fits = known_pairs[pair] = self.follows(self.names[pair[0]], self.names[y])
                 if fits:
                     last[b] = y
         return last
 
-    def segments(self, c: np.ndarray, until: int | None = None) -> tuple[np.ndarray, np.ndarray, int]:
-        """Ends and symbols of the segmentation of c, as far as it is committed, and how far that is: to the latest place, at most
-        until, where all paths meet (0 if there is none)."""
+    def segments(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ends and symbols of the segmentation of c, the whole of some texts."""
         starts, ends, symbols, single, meet = self.lattice(c)
-        done = len(c)
-        if until is not None:
-            done = int(meet[np.searchsorted(meet, until, side="right") - 1])
-            if not done:
-                return starts[:0], symbols[:0], 0
-            meet = meet[meet <= done]
-            inside = ends <= done
-            starts, ends, symbols, single = starts[inside], ends[inside], symbols[inside], single[:done]
         last = self.forward(starts, ends, symbols, single, meet)
-        taken = np.zeros(done + 1, bool)
+        taken = np.zeros(len(c) + 1, bool)
         at, low = meet[1:], meet[:-1]
         while len(at):
             taken[at] = True
@@ -248,7 +260,7 @@ class Codec:
             on = at > low
             at, low = at[on], low[on]
         places = np.flatnonzero(taken)
-        return places, last[places], done
+        return places, last[places]
 
     def ids_of(self, c: np.ndarray, places: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids, and the number of ids of each symbol: characters that are no pieces fall back to their bytes."""
@@ -271,25 +283,66 @@ class Codec:
         c[c == 32] = ord(SPACE)
         return c
 
-    def stream(self, text: str, window: int | None = None) -> Iterator[np.ndarray]:
-        """Ids of text, window by window, committed as far as all paths meet."""
-        window = wide = max(window or self.WINDOW, 2 * self.longest)
-        at = 0
+    def stream(self, text: str, block: int | None = None, watch=None) -> Iterator[np.ndarray]:
+        """Ids of text, committed as far as all open paths have met. watch(characters looked at, places held back) is told of each block."""
+        block = max(block or self.BLOCK, 2 * self.longest)
         text = SPACE + text
-        while at < len(text):
-            c = self.characters(text[at : at + wide])
-            rest = at + wide >= len(text)
-            # Pieces that begin within the longest piece's length of the window's end may reach further.
-            places, symbols, done = self.segments(c, None if rest else len(c) - self.longest)
-            if not done:
-                wide *= 2
-                continue
-            yield self.ids_of(c, places, symbols)[0]
-            at, wide = at + done, window
-
-    def encode_all(self, texts: list[str], window: int | None = None) -> list[np.ndarray]:
-        """Ids of each text: windows hold many short texts, or a part of a long one."""
-        most = window or self.WINDOW
+        front = done = 0  # the places up to which the forward pass and the ids have come
+        given = None  # symbols of the ring's places
+        held: list[tuple[int, np.ndarray, list[int]]] = []  # blocks not committed: first place, symbols of the places after it, their sizes
+        came: list[set[int]] = []  # for each of them, the places before it through which open paths come
+        while front < len(text):
+            ring = len(given) - 1 if given is not None else 0
+            c = self.characters(text[front - ring : front + block])
+            last = self.forward(*self.lattice(c), given)
+            held.append((front, last[ring + 1 :], self.size[last[ring + 1 :]].tolist()))
+            came.append(set())
+            front += len(c) - ring
+            given = last[-self.longest - 1 :]
+            place = front if front == len(text) else self.met(held, came, front)
+            if watch:
+                watch(len(c), front - done)
+            if place > done:
+                yield self.committed(text, held, done, place)
+                while held and held[0][0] + len(held[0][1]) <= place:
+                    del held[0], came[0]
+                if held:
+                    cut = place - held[0][0]
+                    held[0] = (place, held[0][1][cut:], held[0][2][cut:])
+                done = place
+
+    def met(self, held: list[tuple[int, np.ndarray, list[int]]], came: list[set[int]], front: int) -> int:
+        """The place at which the paths to the last places, as many as the longest piece has characters, have met.
+
+        They are followed back block by block, and no further than where the same paths came through before.
+        """
+        paths = set(range(front - self.longest + 1, front + 1))
+        for k in range(len(held) - 1, -1, -1):
+            start, _, sizes = held[k]
+            while len(paths) > 1 and (p := max(paths)) > start:
+                paths.remove(p)
+                paths.add(p - sizes[p - start - 1])
+            if len(paths) == 1:
+                return paths.pop()
+            if came[k] == paths:
+                break
+            came[k] = set(paths)
+        return held[0][0]
+
+    def committed(self, text: str, held: list[tuple[int, np.ndarray, list[int]]], done: int, place: int) -> np.ndarray:
+        """Ids of text from done to place."""
+        at, ends, symbols = place, [], []
+        for start, last, sizes in reversed(held):
+            first = len(ends)
+            while at > start:
+                ends.append(at)
+                at -= sizes[at - start - 1]
+            symbols.append(last[np.array(ends[first:], np.int64) - start - 1])
+        return self.ids_of(self.characters(text[done:place]), np.array(ends[::-1], np.int64) - done, np.concatenate(symbols)[::-1])[0]
+
+    def encode_all(self, texts: list[str], block: int | None = None) -> list[np.ndarray]:
+        """Ids of each text: short ones share windows, longer ones than a block are streamed."""
+        most = max(self.WINDOW, block or self.BLOCK)
         out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         held: list[int] = []
         size = 0
@@ -300,7 +353,7 @@ class Codec:
                 c = self.characters("".join(f"{SPACE}{texts[k]}\0" for k in held))
                 borders = np.cumsum([len(texts[k]) + 2 for k in held])
                 c[borders - 1] = BORDER
-                places, symbols, _ = self.segments(c)
+                places, symbols = self.segments(c)
                 ids, count = self.ids_of(c, places, symbols)
                 total = np.concatenate(([0], np.cumsum(count)))
                 ends = total[np.searchsorted(places, borders, side="right")]
@@ -310,8 +363,8 @@ class Codec:
             size = 0
 
         for k, text in enumerate(texts):
-            if len(text) >= most:
-                out[k] = np.concatenate(list(self.stream(text, window)))
+            if len(text) >= (block or self.BLOCK):
+                out[k] = np.concatenate(list(self.stream(text, block)))
             elif text:
                 if size + len(text) > most:
                     flush()
@@ -320,8 +373,8 @@ class Codec:
         flush()
         return out
 
-    def encode(self, text: str, window: int | None = None) -> list[int]:
-        return self.encode_all([text], window)[0].tolist()
+    def encode(self, text: str, block: int | None = None) -> list[int]:
+        return self.encode_all([text], block)[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
@@ -332,7 +385,7 @@ def sentencepiece(docs: DataFrame, path: str, with_ids: bool = True) -> DataFram
     """doc_id, ids array<int> (null unless with_ids), n_ids long, ids_sha256 (of the ids as 4 bytes each, low byte first), decoded_sha256, round_trip boolean.
 
     One row for each row of docs, repeated rows and null doc_ids too; other columns of docs are left out. path: a SentencePiece BPE
-    model on every machine. Null text is empty and has no ids. Texts longer than a window are encoded window by window, with
+    model on every machine. Null text is empty and has no ids. Texts longer than a block are encoded block by block, with
     the same ids. round_trip: the decoded ids are the text (texts that hold the space mark itself come back with spaces).
     """
 

@@ -74,6 +74,26 @@ def test_codec_commits_within_its_window():
     assert [int(i) for x in (first, *rest) for i in x] == whole == SentencePieceProcessor(model_file=PIECES).encode(text)
 
 
+@pytest.mark.parametrize("unit", ["a", "=", " ", "ab", "the internationalization of ==== "])
+def test_codec_window_stays_as_wide_as_a_block_and_a_piece(unit):
+    """Pieces overlap all along in runs of one letter; ids are committed where the open paths meet all the same."""
+    codec, text, seen = Codec.load(PIECES), unit * (200_000 // len(unit)), []
+    got = [int(i) for part in codec.stream(text, watch=lambda looked_at, held: seen.append((looked_at, held))) for i in part]
+    assert got == SentencePieceProcessor(model_file=PIECES).encode(text)
+    assert len(seen) >= 12 and max(n for n, _ in seen) <= codec.BLOCK + codec.longest and max(n for _, n in seen) <= codec.BLOCK + 4 * codec.longest
+
+
+def test_paths_that_never_meet_are_set_aside():
+    """Of two paths that go on for ever nothing is committed; they are followed back no further than where they came through before."""
+    codec = Codec.load(PIECES)
+    held = [(0, np.zeros(100, np.int32), [2 if k else 1 for k in range(100)]), (100, np.zeros(100, np.int32), [2] * 100)]
+    came = [set(), set()]
+    assert codec.met(held, came, 200) == 0 and came[1] == {99, 100}
+    held.append((200, np.zeros(100, np.int32), [2] * 100))
+    came.append(set())
+    assert codec.met(held, came, 300) == 0 and came == [set(), {99, 100}, {199, 200}]
+
+
 def test_codec_windows_and_long_stretches():
     sp, codec = SentencePieceProcessor(model_file=PIECES), Codec.load(PIECES)
     rng = random.Random(6)
