@@ -38,3 +38,10 @@ CHARACTER = {
     "polar": ["ASN", "GLN", "HIS", "SER", "THR", "CYS", "TYR", "TRP"],
     "apolar": ["ALA", "GLY", "ILE", "LEU", "MET", "PHE", "PRO", "VAL"],
 }
+# Van der Waals radii by element (Bondi 1964, hydrogen as revised), angstrom.
+RADII = {"H": 1.1, "C": 1.7, "N": 1.55, "O": 1.52, "P": 1.8, "S": 1.8}
+# Accessible areas of residues in Ala-X-Ala, square angstrom, by which the affinity model's relative areas are taken.
+LARGEST_AREA = {
+    "ALA": 107.95, "ARG": 238.76, "ASN": 143.94, "ASP": 140.39, "CYS": 134.28, "GLU": 172.25, "GLN": 178.50, "GLY": 80.10, "HIS": 182.88, "ILE": 175.12,
+    "LEU": 178.63, "LYS": 200.81, "MET": 194.15, "PHE": 199.48, "PRO": 136.13, "SER": 116.50, "THR": 139.27, "TRP": 249.36, "TYR": 212.76, "VAL": 151.44,
+}

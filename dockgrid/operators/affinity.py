@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dockgrid.functions import fixed
 from dockgrid.functions.scalars import lookup
-from dockgrid.operators.spatial import radius_join
+from dockgrid.operators.spatial import radius_join, relative_accessibility
 
 C = F.col
 CHARACTER = {name: kind[0].upper() for kind, names in fixed.CHARACTER.items() for name in names}
@@ -47,9 +47,12 @@ def binding_affinity(df: DataFrame, celsius: float = 25.0) -> DataFrame:
     return df.withColumn("delta_g", g).withColumn("kd", F.exp(C("delta_g") / F.lit(fixed.GAS * (celsius + 273.15))))
 
 
-def affinity_batch(atoms: DataFrame, exposure: DataFrame, side_a: str, side_b: str, cutoff: float = 5.5, celsius: float = 25.0) -> DataFrame:
-    """One row a structure, with status: ok, or fail and why (no atoms on a side, no contacts). exposure: residues with rel."""
+def affinity_batch(atoms: DataFrame, exposure: DataFrame | None, side_a: str, side_b: str, cutoff: float = 5.5, celsius: float = 25.0) -> DataFrame:
+    """One row a structure, with status: ok, or fail and why (no atoms on a side, no contacts). exposure: residues with rel; without
+    it the accessible areas of both sides together are computed and taken relative to the largest of each residue kind."""
     both = sided(atoms, side_a, side_b)
+    if exposure is None:
+        exposure = relative_accessibility(both.drop("side"))
     here = atoms.select("graph_id").distinct().join(both.groupBy("graph_id").agg(F.size(F.collect_set("side")).alias("sides")), "graph_id", "left")
     counts = contact_class_counts(both, cutoff)
     cols = ["graph_id", "chain", "res_seq", "x", "y", "z"]

@@ -1,8 +1,11 @@
 """Radius joins over all molecules at once, and what is computed from neighbours.
 
-A radius join is an equi-join on (molecule, grid cell): cells are as wide as the cutoff, the left side is copied into the 27 cells
-around its own, every right point has one cell. So no pair appears twice, a dense molecule spreads over its cells, and
-the exact test on squared distances is a residual of the join.
+A radius join is an equi-join on (molecule, grid cell): cells are twice as wide as the cutoff, the left side is copied into the cells
+that its neighbourhood touches (eight at most), every right point has one cell. So no pair appears twice, a dense molecule spreads
+over its cells, and the exact test on squared distances is a residual of the join.
+
+Surfaces are sliced (Lee and Richards): each atom's extended sphere is cut by planes, and on the circles the arcs that lie in other
+spheres are merged as intervals. What is left are the exposed arcs, from which areas and depths follow; no points are made.
 """
 
 from __future__ import annotations
@@ -12,16 +15,23 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+import pyarrow.compute
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from dockgrid.functions import fixed
 from dockgrid.storage import settle
 
 C = F.col
 
 
-def _around(column: str, width: float) -> Column:
-    """Numbers of the three cells around a coordinate."""
-    return F.expr(f"sequence(floor({column} / {width}D) - 1, floor({column} / {width}D) + 1)")
+def _touched(column: str, cutoff: float) -> Column:
+    """Numbers of the cells, twice as wide as the cutoff, that the neighbourhood of a coordinate touches: one or two."""
+    return F.expr(f"sequence(floor(({column} - {cutoff}D) / {2 * cutoff}D), floor(({column} + {cutoff}D) / {2 * cutoff}D))")
+
+
+def _cell(column: str, cutoff: float) -> Column:
+    return F.expr(f"floor({column} / {2 * cutoff}D)")
 
 
 def radius_join(left: DataFrame, right: DataFrame, cutoff: float, on: tuple[str, ...] = ("graph_id",), strict: bool = False, where: str | None = None) -> DataFrame:
@@ -31,8 +41,8 @@ def radius_join(left: DataFrame, right: DataFrame, cutoff: float, on: tuple[str,
     """
     a = left.select(*[C(c).alias(f"l_{c}") for c in left.columns])
     for k in "xyz":
-        a = a.withColumn(f"cell_{k}", F.explode(_around(f"l_{k}", cutoff)))
-    b = right.select(*[C(c).alias(f"r_{c}") for c in right.columns]).select("*", *[F.floor(C(f"r_{k}") / cutoff).alias(f"at_{k}") for k in "xyz"])
+        a = a.withColumn(f"cell_{k}", F.explode(_touched(f"l_{k}", cutoff)))
+    b = right.select(*[C(c).alias(f"r_{c}") for c in right.columns]).select("*", *[_cell(f"r_{k}", cutoff).alias(f"at_{k}") for k in "xyz"])
     match = [C(f"l_{k}") == C(f"r_{k}") for k in on] + [C(f"cell_{k}") == C(f"at_{k}") for k in "xyz"]
     d = [C(f"l_{k}") - C(f"r_{k}") for k in "xyz"]
     d2 = d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
@@ -40,7 +50,7 @@ def radius_join(left: DataFrame, right: DataFrame, cutoff: float, on: tuple[str,
     match.append(d2 < limit if strict else d2 <= limit)
     if where:
         match.append(F.expr(where))
-    # The copied side has 27 rows a point, which size estimates don't see: never broadcast it.
+    # The copied side has up to eight rows a point, which size estimates don't see: never broadcast it.
     both = a.hint("merge").join(b, match).withColumn("d2", d2)
     return both.drop(*[f"cell_{k}" for k in "xyz"], *[f"at_{k}" for k in "xyz"])
 
@@ -94,67 +104,174 @@ def half_sphere_exposure(residues: DataFrame, radius: float = 12.0) -> DataFrame
     return residues.select("graph_id", "chain", "ord").join(counts, ["graph_id", "chain", "ord"], "left").fillna(0, ["up", "down"])
 
 
-def sphere_points(n: int) -> list[tuple[float, float, float]]:
-    """n points spread over the unit sphere along a golden spiral."""
-    turn = math.pi * (3 - math.sqrt(5))
-    out = []
-    for k in range(n):
-        z = 1 - (2 * k + 1) / n
-        r = math.sqrt(1 - z * z)
-        out.append((round(r * math.cos(turn * k), 9), round(r * math.sin(turn * k), 9), round(z, 9)))
-    return out
-
-
-def exposed_points(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, by_chain: bool = False) -> DataFrame:
-    """Shrake-Rupley surface points (graph_id, chain, serial, radius, k, x, y, z) that lie in no other atom's extended sphere.
-
-    atoms have radius. by_chain: each chain for itself. An atom hides a point of another when its centre is nearer than radius + probe.
+def element_radius(atoms: DataFrame, radii: dict[str, float] = fixed.RADII) -> DataFrame:
+    """atoms with radius: that of the element, which is the first letter of the atom's name; of carbon for unknown ones."""
+    names = [x for k, r in radii.items() for x in (F.lit(k), F.lit(r))]
+    return atoms.withColumn("radius", F.coalesce(F.element_at(F.create_map(*names), F.upper(F.left(F.trim("atom_name"), F.lit(1)))), F.lit(radii["C"])))
+
+
+#: Gaps of a circle that are narrower are none (radians).
+_NARROW = 1e-9
+_ARC = pa.struct([(c, pa.float64()) for c in ("dz", "rho", "s", "e")])
+
+
+def _gaps(circle: np.ndarray, s: np.ndarray, e: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What hidden intervals s to e leave of -pi to pi on each circle: circles, starts and ends. whole: which circles are hidden altogether."""
+    # Circles get stretches of 8 of one line, so that one running maximum serves all of them.
+    order = np.lexsort((s, circle))
+    circle, s, e = circle[order], s[order] + 8 * circle[order], e[order] + 8 * circle[order]
+    reached = np.maximum.accumulate(np.concatenate(([-np.inf], e)))[:-1] if len(e) else e
+    before = np.maximum(reached, 8 * circle - np.pi)
+    last = np.flatnonzero(circle != np.concatenate((circle[1:], [-1])))
+    end = np.full(len(whole), -np.pi)  # how far each circle is hidden at least
+    end[circle[last]] = np.maximum(before[last], e[last]) - 8 * circle[last]
+    at = np.concatenate((circle, np.arange(len(whole))))
+    begin = np.concatenate((before - 8 * circle, end))
+    stop = np.concatenate((s - 8 * circle, np.full(len(whole), np.pi)))
+    open_ = (stop - begin > _NARROW) & ~whole[at]
+    return at[open_], begin[open_], stop[open_]
+
+
+def _arcs_of(r: np.ndarray, owner: np.ndarray, dx: np.ndarray, dy: np.ndarray, dz: np.ndarray, other: np.ndarray, slices: int) -> tuple[np.ndarray, ...]:
+    """Exposed arcs of spheres of radius r, near which spheres `other` have their centres (dx, dy, dz) away: owner, height, radius, start, end."""
+    h = r[:, None] * ((2 * np.arange(slices) + 1) / slices - 1)
+    rho = np.sqrt(r[:, None] ** 2 - h**2)
+    d = np.hypot(dx, dy)[:, None]
+    q = other[:, None] ** 2 - (dz[:, None] - h[owner]) ** 2
+    own, root = rho[owner], np.sqrt(np.maximum(q, 0))
+    hides = (q > 0) & (d + own <= root)
+    cuts = (q > 0) & ~hides & (d < own + root) & (d + root > own)
+    circle = owner[:, None] * slices + np.arange(slices)
+    whole = np.zeros(len(r) * slices, bool)
+    whole[circle[hides]] = True
+    d = np.broadcast_to(d, q.shape)[cuts]
+    half = np.arccos(np.clip((own[cuts] ** 2 + d**2 - q[cuts]) / (2 * own[cuts] * d), -1, 1))
+    mid = np.broadcast_to(np.arctan2(dy, dx)[:, None], q.shape)[cuts]
+    circle, s, e = circle[cuts], mid - half, mid + half
+    low, high = s < -np.pi, e > np.pi  # these go on at the other end
+    circles = np.concatenate((circle, circle[low], circle[high]))
+    starts = np.concatenate((np.maximum(s, -np.pi), s[low] + 2 * np.pi, np.full(high.sum(), -np.pi)))
+    ends = np.concatenate((np.minimum(e, np.pi), np.full(low.sum(), np.pi), e[high] - 2 * np.pi))
+    at, s, e = _gaps(circles, starts, ends, whole)
+    order = np.lexsort((s, at))
+    at, s, e = at[order], s[order], e[order]
+    return at // slices, h.reshape(-1)[at], rho.reshape(-1)[at], s, e
+
+
+def _sliced(slices: int, with_arcs: bool, most_rows: int = 1000):
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, most_rows):
+                part = batch.slice(k, most_rows)
+                near, r = part.column("near"), np.asarray(part.column("r"))
+                owner = np.repeat(np.arange(len(r)), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(near), 0)))
+                spheres = near.flatten()
+                owner, h, rho, s, e = _arcs_of(r, owner, *(np.asarray(spheres.field(c)) for c in ("dx", "dy", "dz", "r")), slices)
+                area = np.bincount(owner, e - s, len(r)) * r * r * 2 / slices
+                out = [*(c for c, n in zip(part.columns, part.schema.names, strict=True) if n != "near"), pa.array(area)]
+                names = [*(n for n in part.schema.names if n != "near"), "area"]
+                if with_arcs:
+                    arcs = pa.StructArray.from_arrays([pa.array(x) for x in (h, rho, s, e)], fields=list(_ARC))
+                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(r))))), pa.int32()), arcs))
+                    names.append("arcs")
+                yield pa.RecordBatch.from_arrays(out, names=names)
+
+    return run
+
+
+def exposed_arcs(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False, with_arcs: bool = True) -> DataFrame:
+    """graph_id, chain, serial, res_seq, res_name, x, y, z, r (extended radius), area and, with_arcs, arcs: array of (dz, rho, s, e); one row for each atom.
+
+    Each sphere of radius + probe is cut by slices planes across z in equal steps; an arc is a stretch of angles s to e of the circle of
+    radius rho at height dz above the centre that lies in no other sphere of the graph (by_chain: of its chain). Of spheres that
+    are alike the one with the smallest serial hides the others. area: a slice of a sphere has that of its angle times the radius times
+    its thickness. atoms carry radius, or get it by element. Atoms without a place, radius or key have null area and arcs and hide nothing.
     """
-    sphere = F.array(*[F.struct(F.lit(k).alias("k"), *[F.lit(v).alias(f"s{c}") for c, v in zip("xyz", p, strict=True)]) for k, p in enumerate(sphere_points(n_points))])
-    points = atoms.select("*", F.inline(sphere)).select("graph_id", "chain", "serial", "radius", "k", *[(C(c) + (C("radius") + probe) * C(f"s{c}")).alias(c) for c in "xyz"])
-    widest = atoms.agg(F.max("radius")).first()[0] or 0.0
-    others = atoms.select("graph_id", "chain", "serial", "radius", "x", "y", "z")
+    if "radius" not in atoms.columns:
+        atoms = element_radius(atoms)
     on = ("graph_id", "chain") if by_chain else ("graph_id",)
-    hidden = radius_join(others, points, widest + probe, on=on, strict=True, where=f"l_serial <> r_serial AND {_d2_sql()} < (l_radius + {probe}D) * (l_radius + {probe}D)")
-    keys = hidden.select(C("r_graph_id").alias("graph_id"), C("r_serial").alias("serial"), C("r_k").alias("k")).distinct()
-    return points.join(keys, ["graph_id", "serial", "k"], "left_anti")
-
-
-def _d2_sql() -> str:
-    return "((l_x - r_x) * (l_x - r_x) + (l_y - r_y) * (l_y - r_y) + (l_z - r_z) * (l_z - r_z))"
+    real = F.expr(" AND ".join([f"abs({k}) < double('Infinity')" for k in (*"xyz", "radius")] + [f"{k} IS NOT NULL" for k in (*on, "serial")]))
+    all_ = atoms.select("graph_id", "chain", "serial", "res_seq", "res_name", "x", "y", "z", (C("radius") + probe).cast("double").alias("r"), F.coalesce(real, F.lit(False)).alias("real"))
+    placed = all_.filter("real").drop("real")
+    widest = placed.agg(F.max("r")).first()[0] or 1.0
+    reach = 2 * widest
+    others = placed.select(*on, "serial", "x", "y", "z", "r")
+    for k in "xyz":
+        others = others.withColumn(f"at_{k}", F.explode(_touched(k, reach)))
+    cells = [f"at_{k}" for k in "xyz"]
+    # The spheres that may reach into a cell come as one array to its atoms: no row a pair.
+    near = others.groupBy(*on, *cells).agg(F.collect_list(F.struct("serial", "x", "y", "z", "r")).alias("near"))
+    here = placed.withColumns({f"at_{k}": _cell(k, reach) for k in "xyz"}).hint("merge").join(near, [*on, *cells], "left")
+    place = [C(k) for k in ("serial", "x", "y", "z", "r")]
+
+    def meets(n: Column) -> Column:
+        serial, x, y, z, r = place
+        d2 = (n["x"] - x) * (n["x"] - x) + (n["y"] - y) * (n["y"] - y) + (n["z"] - z) * (n["z"] - z)
+        return (n["serial"] != serial) & (d2 < (n["r"] + r) * (n["r"] + r)) & ~((d2 == 0) & (n["r"] == r) & (n["serial"] > serial))
+
+    moved = F.transform(F.filter("near", meets), lambda n: F.struct(*[(n[k] - C(k)).alias(f"d{k}") for k in "xyz"], n["r"].alias("r")))
+    named = [c for c in all_.columns if c != "real"]
+    here = here.select(*named, moved.alias("near"))
+    schema = T.StructType([*here.drop("near").schema.fields, T.StructField("area", T.DoubleType())])
+    if with_arcs:
+        schema.add("arcs", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("dz", "rho", "s", "e")])))
+    found = here.mapInArrow(_sliced(slices, with_arcs), schema)
+    return found.unionByName(all_.filter(~C("real")).select(*named, *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[len(named) :]]))
+
+
+def sasa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False) -> DataFrame:
+    """Solvent-accessible area of each atom; null where it has no place or radius."""
+    return exposed_arcs(atoms, probe, slices, by_chain, with_arcs=False).select("graph_id", "chain", "serial", "res_seq", "res_name", "area")
+
+
+def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float = 5.0) -> DataFrame:
+    """Buried area of contact residues: chain alone minus complex."""
+    res = ["graph_id", "chain", "res_seq", "res_name"]
+    pairs = residue_contacts(atoms, cutoff)
+    touching = settle(pairs.select("graph_id", F.lit("A").alias("chain"), C("l_res_seq").alias("res_seq"), C("l_res_name").alias("res_name")).union(pairs.select("graph_id", F.lit("B"), "r_res_seq", "r_res_name")).distinct(), "touching")
+    alone, whole = (sasa(atoms, probe, slices, x).join(touching, res, "left_semi").groupBy(*res).agg(F.sum("area").alias(n)) for x, n in ((True, "alone"), (False, "whole")))
+    return alone.join(whole, res).select(*res, (C("alone") - C("whole")).alias("bsa"))
 
 
-def sasa(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, by_chain: bool = False) -> DataFrame:
-    """Solvent-accessible area of each atom: exposed points times the area that a point stands for."""
-    counts = exposed_points(atoms, probe, n_points, by_chain).groupBy("graph_id", "serial").agg(F.count("*").alias("n"))
-    area = F.coalesce("n", F.lit(0)) * 4 * math.pi * F.pow(C("radius") + probe, 2) / n_points
-    return atoms.join(counts, ["graph_id", "serial"], "left").select("graph_id", "chain", "serial", "res_seq", "res_name", area.alias("area"))
+def relative_accessibility(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False, largest: dict[str, float] = fixed.LARGEST_AREA) -> DataFrame:
+    """graph_id, chain, res_seq, res_name, area, rel: a residue's area over the largest of its kind; rel is null for unknown kinds."""
+    names = [x for k, a in largest.items() for x in (F.lit(k), F.lit(a))]
+    res = sasa(atoms, probe, slices, by_chain).groupBy("graph_id", "chain", "res_seq", "res_name").agg(F.sum("area").alias("area"))
+    return res.withColumn("rel", C("area") / F.element_at(F.create_map(*names), C("res_name")))
 
 
-def bsa(atoms: DataFrame, probe: float = 1.4, n_points: int = 100, cutoff: float = 5.0) -> DataFrame:
-    """Buried area of contact residues: chain alone minus complex."""
-    res = ["graph_id", "chain", "res_seq", "res_name"]
-    alone, whole = (sasa(atoms, probe, n_points, x).groupBy(*res).agg(F.sum("area").alias(n)) for x, n in ((True, "alone"), (False, "whole")))
-    pairs = residue_contacts(atoms, cutoff)
-    touching = pairs.select("graph_id", F.lit("A").alias("chain"), C("l_res_seq").alias("res_seq"), C("l_res_name").alias("res_name")).union(pairs.select("graph_id", F.lit("B"), "r_res_seq", "r_res_name")).distinct()
-    return alone.join(whole, res).join(touching, res, "left_semi").select(*res, (C("alone") - C("whole")).alias("bsa"))
+def _to_arc(a: Column) -> Column:
+    """Distance from (l_x, l_y, l_z) to an arc around (r_x, r_y, r_z): to the circle where the point's angle is on the arc, else to an end."""
+    dx, dy, dz = (C(f"l_{k}") - C(f"r_{k}") for k in "xyz")
+    rise = dz - a["dz"]
+    angle = F.atan2(dy, dx)
+    on = (angle >= a["s"]) & (angle <= a["e"])
+    end = lambda t: F.sqrt(F.pow(dx - a["rho"] * F.cos(t), 2) + F.pow(dy - a["rho"] * F.sin(t), 2) + rise * rise)
+    return F.when(on, F.sqrt(F.pow(F.hypot(dx, dy) - a["rho"], 2) + rise * rise)).otherwise(F.least(end(a["s"]), end(a["e"])))
 
 
-def residue_depth(atoms: DataFrame, reach: float, probe: float = 1.4, n_points: int = 100) -> DataFrame:
-    """Mean over a residue's atoms of the distance to the graph's nearest exposed point, however far; null where a graph has none.
+def residue_depth(atoms: DataFrame, reach: float = 8.0, probe: float = 1.4, slices: int = 20) -> DataFrame:
+    """Mean over a residue's atoms of the distance to the graph's nearest exposed arc, however far; null where a graph has none.
 
-    The radius join is repeated with twice the reach for atoms that have found no point yet. Atoms without a place have no distance.
+    The surface lies in no sphere, so an atom with an arc of its own is as deep as its extended radius. For the buried ones the
+    spheres within reach are asked, and within twice the reach as long as something nearer could be beyond it.
     """
-    placed = " AND ".join(f"abs({k}) < double('Infinity')" for k in "xyz")
-    surface = settle(exposed_points(atoms, probe, n_points).filter(placed).select("graph_id", "x", "y", "z"), "surface")
-    left = atoms.filter(f"serial IS NOT NULL AND {placed}").select("graph_id", "serial", "x", "y", "z").join(surface.select("graph_id").distinct(), "graph_id", "left_semi")
-    nearest = []
-    while not nearest or not left.isEmpty():
-        pairs = radius_join(left, surface, reach)
-        nearest.append(settle(pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.sqrt(F.min("d2")).alias("d")), "depth"))
-        left = settle(left.join(nearest[-1], ["graph_id", "serial"], "left_anti"), "deeper")
-        reach *= 2
-    depth = atoms.join(reduce(DataFrame.unionByName, nearest), ["graph_id", "serial"], "left")
+    surface = settle(exposed_arcs(atoms, probe, slices), "surface")
+    shown = surface.filter(F.size("arcs") > 0)
+    depths = [shown.select("graph_id", "serial", C("r").alias("d"))]
+    buried = surface.filter(F.size("arcs") == 0).select("graph_id", "serial", "x", "y", "z")
+    left = settle(buried.join(shown.select("graph_id").distinct(), "graph_id", "left_semi"), "buried")
+    if not left.isEmpty():
+        shown = settle(shown.join(left.select("graph_id").distinct(), "graph_id", "left_semi").select("graph_id", "x", "y", "z", "r", "arcs"), "shown")
+        widest = shown.agg(F.max("r")).first()[0]
+        reach = max(reach, 2 * widest)
+        while not left.isEmpty():
+            pairs = radius_join(left, shown, reach)
+            found = pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.min(F.array_min(F.transform("r_arcs", _to_arc))).alias("d"))
+            depths.append(settle(found.filter(C("d") <= reach - widest), "depth"))
+            left = settle(left.join(depths[-1], ["graph_id", "serial"], "left_anti"), "deeper")
+            reach *= 2
+    depth = surface.select("graph_id", "chain", "serial", "res_seq", "res_name").join(reduce(DataFrame.unionByName, depths), ["graph_id", "serial"], "left")
     return depth.groupBy("graph_id", "chain", "res_seq", "res_name").agg(F.avg("d").alias("depth"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
 from dockgrid.operators.energy import edge_energy_residue, lookup_forcefield, nonbonded
 from dockgrid.operators.graph import attach_contact_areas, attach_regions, backbone, edge_orientation, index_edges, index_nodes, inject_embeddings, symmetrise, valid_nodes, valid_residues
-from dockgrid.operators.spatial import contact_pairs, half_sphere_exposure, internal_pairs, radius_join, residue_centroid
+from dockgrid.operators.spatial import bsa, contact_pairs, half_sphere_exposure, internal_pairs, radius_join, residue_centroid, residue_depth
 from dockgrid.storage import settle
 
 C = F.col
@@ -27,6 +27,7 @@ def build_graphs(
     areas: DataFrame | None = None,
     orientation: bool = False,
     exposure: float | None = None,
+    surface: bool = False,
 ) -> dict[str, DataFrame]:
     """nodes and edges of every molecule, and failed (graph_id, error): molecules left out for a bad annotation.
 
@@ -38,7 +39,8 @@ def build_graphs(
     forcefield: (topology, classes, patches, params) of lookup_forcefield; without it atoms carry charge, eps, sigma, eps14, sigma14
     (0 for unknown ones). annotations, embeddings, areas: tables of attach_regions, inject_embeddings (label graph_id.chain) and
     attach_contact_areas (u, v: node keys); each adds its columns if given. orientation: adds edge_orientation. exposure: the radius
-    within which residue nodes get up and down counts. Atoms without a place or with a null key have no contacts, so are no nodes.
+    within which residue nodes get up and down counts. surface: adds bsa (the buried area of the node's residue) and, to residue nodes, depth
+    (from the surface of the whole molecule); atoms carry radius or get it by element. Atoms without a place or with a null key have no contacts, so are no nodes.
     """
     if grain not in ("atom", "residue"):
         raise ValueError(f"unknown grain: {grain}")
@@ -60,6 +62,11 @@ def build_graphs(
         placed = residue_centroid(atoms).withColumn("ord", F.row_number().over(Window.partitionBy("graph_id", "chain").orderBy("res_seq", "res_name")))
         counts = half_sphere_exposure(placed, exposure).join(placed.select(*RESIDUE, "ord"), ["graph_id", "chain", "ord"]).drop("ord")
         nodes = nodes.join(counts, list(RESIDUE), "left")
+    if surface:
+        buried = bsa(atoms, cutoff=cutoff)
+        nodes = nodes.join(buried, list(RESIDUE), "left").withColumn("bsa", F.coalesce("bsa", F.lit(0.0)))
+        if grain == "residue":
+            nodes = nodes.join(residue_depth(atoms), list(RESIDUE), "left")
     if areas is not None:
         edges = attach_contact_areas(edges, areas)
     if orientation:

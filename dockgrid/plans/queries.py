@@ -303,29 +303,57 @@ def d27_modularity(spark, d):
 # ---- surface and affinity
 
 
-_SPHERE = ", ".join(f"({k}, {p[0]!r}::DOUBLE, {p[1]!r}::DOUBLE, {p[2]!r}::DOUBLE)" for k, p in enumerate(sp.sphere_points(24)))
+_R = " ".join(f"WHEN '{k}' THEN {r}" for k, r in fixed.RADII.items())
+SPHERES = f"spheres AS MATERIALIZED (SELECT graph_id, chain, serial, res_seq, res_name, x, y, z, (CASE left(atom_name, 1) {_R} END)::DOUBLE + 1.4::DOUBLE AS r FROM atoms)"
+_DXYZ = "(b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) + (b.z - a.z) * (b.z - a.z)"
 
 
-def _surface(chain: str) -> str:
-    return f"""SELECT p.graph_id, p.serial, count(*) AS n FROM (SELECT graph_id, chain, serial, k, x + 3.0::DOUBLE * sx AS x, y + 3.0::DOUBLE * sy AS y, z + 3.0::DOUBLE * sz AS z FROM atoms, sphere) p
-WHERE NOT EXISTS (SELECT 1 FROM atoms o WHERE o.graph_id = p.graph_id {chain} AND o.serial <> p.serial AND (p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y) + (p.z - o.z) * (p.z - o.z) < 9) GROUP BY ALL"""
+def _slices(p: str, chain: str = "") -> str:
+    """Hidden intervals of angles on the circles of 20 slices, and by window what earlier intervals of a circle reach."""
+    return f"""{p}pairs AS (SELECT a.graph_id, a.serial, a.r, b.x - a.x AS dx, b.y - a.y AS dy, b.z - a.z AS dz, b.r AS br FROM spheres a JOIN spheres b ON a.graph_id = b.graph_id {chain} AND a.serial <> b.serial AND {_DXYZ} < (a.r + b.r) * (a.r + b.r) AND NOT ({_DXYZ} = 0 AND a.r = b.r AND b.serial > a.serial)),
+{p}circles AS (SELECT graph_id, serial, k, sqrt(dx * dx + dy * dy) AS d, atan2(dy, dx) AS mid, sqrt(r * r - h * h) AS rho, br * br - (dz - h) * (dz - h) AS q FROM (SELECT *, r * ((2 * k + 1) / 20::DOUBLE - 1) AS h FROM {p}pairs, range(20) t(k)) WHERE br * br - (dz - h) * (dz - h) > 0),
+{p}arcs AS (SELECT graph_id, serial, k, d + rho <= sqrt(q) AS whole, mid, acos(greatest(-1, least(1, (rho * rho + d * d - q) / nullif(2 * rho * d, 0)))) AS half FROM {p}circles WHERE d + rho <= sqrt(q) OR (d < rho + sqrt(q) AND d + sqrt(q) > rho)),
+{p}parts AS (SELECT graph_id, serial, k, CASE WHEN whole THEN -pi() ELSE greatest(mid - half, -pi()) END AS s, CASE WHEN whole THEN pi() ELSE least(mid + half, pi()) END AS e FROM {p}arcs
+ UNION ALL SELECT graph_id, serial, k, mid - half + 2 * pi(), pi() FROM {p}arcs WHERE NOT whole AND mid - half < -pi() UNION ALL SELECT graph_id, serial, k, -pi(), mid + half - 2 * pi() FROM {p}arcs WHERE NOT whole AND mid + half > pi()),
+{p}runs AS (SELECT *, coalesce(max(e) OVER (PARTITION BY graph_id, serial, k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -pi()) AS before FROM {p}parts),
+{p}areas AS (SELECT a.*, (40 * pi() - coalesce(h, 0)) * r * r / 10 AS area FROM spheres a LEFT JOIN (SELECT graph_id, serial, sum(greatest(0, e - greatest(s, before))) AS h FROM {p}runs GROUP BY ALL) USING (graph_id, serial))"""
 
 
-@query(f"WITH {v.ATOMS}, sphere(k, sx, sy, sz) AS (VALUES {_SPHERE}), s AS ({_surface('')}) SELECT a.graph_id, a.serial, coalesce(s.n, 0) AS n_exposed FROM atoms a LEFT JOIN s USING (graph_id, serial)")
+@query(f"WITH {v.ATOMS}, {SPHERES}, {_slices('w')} SELECT graph_id, serial, round(area, 3) + 0 AS area FROM wareas")
 def c20_sasa(spark, d):
-    a = v.atoms(spark, d).withColumn("radius", F.lit(1.6))
-    area = 4 * 3.141592653589793 * 9 / 24
-    return sp.sasa(a, n_points=24).select("graph_id", "serial", F.round(C("area") / area).cast("long").alias("n_exposed"))
+    return sp.sasa(v.atoms(spark, d)).select("graph_id", "serial", (F.round("area", 3) + 0).alias("area"))
 
 
-@query(None)
+@query(f"""WITH {v.ATOMS}, {v.CONTACTS}, {SPHERES}, {_slices('w')}, {_slices('c', 'AND a.chain = b.chain')}, touching AS (SELECT DISTINCT graph_id, chain, res_seq, res_name FROM atoms SEMI JOIN (SELECT graph_id, l_serial AS serial FROM contacts UNION SELECT graph_id, r_serial FROM contacts) n USING (graph_id, serial))
+SELECT graph_id, chain, res_seq, res_name, round(sum(c.area) - sum(w.area), 3) + 0 AS bsa FROM careas c JOIN (SELECT graph_id, serial, area FROM wareas) w USING (graph_id, serial) SEMI JOIN touching USING (graph_id, chain, res_seq, res_name) GROUP BY ALL""")
 def c20_bsa(spark, d):
-    return sp.bsa(v.atoms(spark, d).withColumn("radius", F.lit(1.6)))
+    return sp.bsa(v.atoms(spark, d)).withColumn("bsa", F.round("bsa", 3) + 0)
 
 
-@query(None)
+@query(f"""WITH {v.ATOMS}, {SPHERES}, {_slices('w')}, shown AS MATERIALIZED (SELECT graph_id, serial, k, before AS s, s AS e FROM wruns WHERE s - before > 1e-9 UNION ALL SELECT graph_id, serial, k, max(e), pi() FROM wruns GROUP BY ALL HAVING pi() - max(e) > 1e-9
+ UNION ALL SELECT graph_id, serial, k, -pi(), pi() FROM (SELECT graph_id, serial, k FROM spheres, range(20) t(k)) ANTI JOIN wruns r USING (graph_id, serial, k)),
+surface AS MATERIALIZED (SELECT graph_id, x, y, z + h AS z, sqrt(r * r - h * h) AS rho, s, e FROM (SELECT *, r * ((2 * k + 1) / 20::DOUBLE - 1) AS h FROM shown JOIN spheres USING (graph_id, serial))),
+buried AS MATERIALIZED (SELECT * FROM spheres ANTI JOIN shown USING (graph_id, serial)),
+far AS (SELECT b.graph_id, b.serial, b.x - a.x AS dx, b.y - a.y AS dy, b.z - a.z AS dz, rho, s, e FROM buried b JOIN surface a USING (graph_id)),
+deep AS (SELECT graph_id, serial, min(CASE WHEN atan2(dy, dx) BETWEEN s AND e THEN sqrt(pow(sqrt(dx * dx + dy * dy) - rho, 2) + dz * dz) ELSE least(sqrt(pow(dx - rho * cos(s), 2) + pow(dy - rho * sin(s), 2) + dz * dz), sqrt(pow(dx - rho * cos(e), 2) + pow(dy - rho * sin(e), 2) + dz * dz)) END) AS d FROM far GROUP BY ALL)
+SELECT graph_id, chain, res_seq, res_name, round(avg(coalesce(deep.d, CASE WHEN b.serial IS NULL THEN r END)), 8) AS depth FROM spheres LEFT JOIN deep USING (graph_id, serial) LEFT JOIN (SELECT graph_id, serial FROM buried) b USING (graph_id, serial) GROUP BY ALL""")
 def c21_residue_depth(spark, d):
-    return sp.residue_depth(v.atoms(spark, d).withColumn("radius", F.lit(1.6)), 8.0)
+    return sp.residue_depth(v.atoms(spark, d)).withColumn("depth", F.round("depth", 8))
+
+
+@query(f"""WITH {v.ATOMS}, {v.CONTACTS}, {SPHERES}, {_slices('w')}, {_slices('c', 'AND a.chain = b.chain')}, touching AS (SELECT DISTINCT graph_id, chain, res_seq, res_name FROM atoms SEMI JOIN (SELECT graph_id, l_serial AS serial FROM contacts UNION SELECT graph_id, r_serial FROM contacts) n USING (graph_id, serial)),
+shown AS MATERIALIZED (SELECT graph_id, serial, k, before AS s, s AS e FROM wruns WHERE s - before > 1e-9 UNION ALL SELECT graph_id, serial, k, max(e), pi() FROM wruns GROUP BY ALL HAVING pi() - max(e) > 1e-9
+ UNION ALL SELECT graph_id, serial, k, -pi(), pi() FROM (SELECT graph_id, serial, k FROM spheres, range(20) t(k)) ANTI JOIN wruns r USING (graph_id, serial, k)),
+surface AS MATERIALIZED (SELECT graph_id, x, y, z + h AS z, sqrt(r * r - h * h) AS rho, s, e FROM (SELECT *, r * ((2 * k + 1) / 20::DOUBLE - 1) AS h FROM shown JOIN spheres USING (graph_id, serial))),
+buried AS MATERIALIZED (SELECT * FROM spheres ANTI JOIN shown USING (graph_id, serial)),
+far AS (SELECT b.graph_id, b.serial, b.x - a.x AS dx, b.y - a.y AS dy, b.z - a.z AS dz, rho, s, e FROM buried b JOIN surface a USING (graph_id)),
+deep AS (SELECT graph_id, serial, min(CASE WHEN atan2(dy, dx) BETWEEN s AND e THEN sqrt(pow(sqrt(dx * dx + dy * dy) - rho, 2) + dz * dz) ELSE least(sqrt(pow(dx - rho * cos(s), 2) + pow(dy - rho * sin(s), 2) + dz * dz), sqrt(pow(dx - rho * cos(e), 2) + pow(dy - rho * sin(e), 2) + dz * dz)) END) AS d FROM far GROUP BY ALL),
+buried_area AS (SELECT graph_id, chain, res_seq, res_name, sum(c.area) - sum(w.area) AS bsa FROM careas c JOIN (SELECT graph_id, serial, area FROM wareas) w USING (graph_id, serial) SEMI JOIN touching USING (graph_id, chain, res_seq, res_name) GROUP BY ALL),
+depths AS (SELECT graph_id, chain, res_seq, res_name, avg(coalesce(deep.d, CASE WHEN b.serial IS NULL THEN r END)) AS depth FROM spheres LEFT JOIN deep USING (graph_id, serial) LEFT JOIN (SELECT graph_id, serial FROM buried) b USING (graph_id, serial) GROUP BY ALL)
+SELECT graph_id, count(*) AS n_nodes, round(sum(bsa), 2) AS sum_bsa, round(avg(depth), 6) AS mean_depth FROM touching JOIN buried_area USING (graph_id, chain, res_seq, res_name) JOIN depths USING (graph_id, chain, res_seq, res_name) GROUP BY graph_id""")
+def j11_surface_features(spark, d):
+    nodes = build_graphs(v.atoms(spark, d), grain="residue", surface=True)["nodes"]
+    return nodes.groupBy("graph_id").agg(F.count("*").alias("n_nodes"), F.round(F.sum("bsa"), 2).alias("sum_bsa"), F.round(F.avg("depth"), 6).alias("mean_depth"))
 
 
 @query(f"""WITH {v.ATOMS}, r AS (SELECT graph_id, chain, res_seq AS ord, avg(x) AS x, avg(y) AS y, avg(z) AS z FROM atoms GROUP BY ALL),
@@ -383,6 +411,16 @@ def j10_affinity_batch(spark, d):
     return out.select("graph_id", "total", F.round("delta_g", 7).alias("delta_g"), F.round(F.log("kd"), 4).alias("ln_kd"), "status")
 
 
+_LARGEST = " ".join(f"WHEN '{k}' THEN {x}" for k, x in fixed.LARGEST_AREA.items())
+NIS_BY_AREA = NIS.replace(NIS[: NIS.index(" inter AS")], f"rel AS (SELECT graph_id, chain, res_seq, res_name, sum(area / (CASE res_name {_LARGEST} END)::DOUBLE) AS rel FROM wareas GROUP BY ALL),")
+
+
+@query(f"WITH {v.ATOMS}, {SPHERES}, {_slices('w')}, {CLASSES}, {NIS_BY_AREA}, g AS (SELECT c.graph_id, c.total, {_W['constant']} + {_W['CC']} * CC + {_W['CA']} * CA + {_W['PP']} * PP + {_W['PA']} * PA + {_W['apolar']} * coalesce(nis_apolar, 0) + {_W['charged']} * coalesce(nis_charged, 0) AS delta_g FROM classes c LEFT JOIN nis USING (graph_id)) SELECT graph_id, total, round(delta_g, 7) AS delta_g, round(delta_g / ({fixed.GAS} * 298.15) , 4) AS ln_kd, 'ok' AS status FROM g")
+def j10_affinity_by_area(spark, d):
+    out = affinity.affinity_batch(v.atoms(spark, d), None, "A", "B")
+    return out.select("graph_id", "total", F.round("delta_g", 7).alias("delta_g"), F.round(F.log("kd"), 4).alias("ln_kd"), "status")
+
+
 @query(f"SELECT o_orderkey AS graph_id, round({_W['constant']} + {_W['CC']} * (o_orderkey % 7) + {_W['CA']} * (o_orderkey % 5) + {_W['PP']} * (o_orderkey % 3) + {_W['PA']} * (o_custkey % 4) + {_W['apolar']} * 30 + {_W['charged']} * 20, 3) AS delta_g FROM orders")
 def d15_binding_affinity(spark, d):
     o = v.table(spark, d, "orders").select(C("o_orderkey").alias("graph_id"), (C("o_orderkey") % 7).alias("CC"), (C("o_orderkey") % 5).alias("CA"), (C("o_orderkey") % 3).alias("PP"), (C("o_custkey") % 4).alias("PA"), F.lit(30.0).alias("nis_apolar"), F.lit(20.0).alias("nis_charged"))

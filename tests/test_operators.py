@@ -37,6 +37,11 @@ def test_cutoffs_are_inclusive_across_and_strict_within(spark):
     assert sp.contact_pairs(df.limit(0), 3.0).count() == 0
 
 
+def spheres(spark, rows):
+    """rows: graph_id, serial, radius, x, y, z."""
+    return spark.createDataFrame([(g, "A" if k % 2 else "B", k, k // 3, "ALA", r, x, y, z) for g, k, r, x, y, z in rows], "graph_id string, chain string, serial int, res_seq int, res_name string, radius double, x double, y double, z double")
+
+
 def test_surface(spark):
     df, _ = points(spark, 40)
     alone = {r["serial"]: r["area"] for r in sp.sasa(df, by_chain=True).collect()}
@@ -47,21 +52,69 @@ def test_surface(spark):
     assert all(r["bsa"] >= -1e-9 for r in sp.bsa(df).collect())
 
 
+def test_two_spheres_hide_a_cap_of_each_other(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for k in range(60):
+        r, q, d = rng.uniform(2.2, 3.4, 3).tolist()
+        u = rng.normal(size=3)
+        u *= d / np.linalg.norm(u)
+        c = rng.uniform(-20, 20, 3)
+        rows += [(f"g{k}", 1, r - 1.4, *c.tolist()), (f"g{k}", 2, q - 1.4, *(c + u).tolist())]
+        for serial, a, b in ((1, r, q), (2, q, r)):
+            depth = min(max(a - (d * d + a * a - b * b) / (2 * d), 0), 2 * a)
+            want[f"g{k}", serial] = 2 * math.pi * a * (2 * a - depth)
+    got = {(r["graph_id"], r["serial"]): r["area"] for r in sp.sasa(spheres(spark, rows), slices=400).collect()}
+    assert all(got[k] == pytest.approx(want[k], rel=4e-3, abs=0.05) for k in want)
+    few = {(r["graph_id"], r["serial"]): r["area"] for r in sp.sasa(spheres(spark, rows)).collect()}
+    assert np.mean([abs(few[k] - want[k]) / want[k] for k in want]) < 0.03
+
+
+def test_spheres_alike_or_within_others_or_nowhere(spark):
+    rows = [("same", k, 1.6, 1.0, 2.0, 3.0) for k in (4, 2, 9)] + [("within", 1, 4.0, 0.0, 0.0, 0.0), ("within", 2, 1.0, 0.5, 0.0, 0.0), ("touch", 1, 1.6, 0.0, 0.0, 0.0), ("touch", 2, 1.6, 6.0, 0.0, 0.0)]
+    rows += [("odd", 1, 1.6, None, 0.0, 0.0), ("odd", 2, 1.6, 0.0, 0.0, 0.0), ("odd", 3, 1.6, float("nan"), 0.0, 0.0), ("odd", 4, 1.6, float("inf"), 0.0, 0.0), ("odd", 5, None, 0.0, 0.0, 0.0), (None, 6, 1.6, 0.0, 0.0, 0.0)]
+    got = {(r["graph_id"], r["serial"]): r["area"] for r in sp.sasa(spheres(spark, rows)).collect()}
+    full = pytest.approx(4 * math.pi * 9)
+    assert got == {("same", 2): full, ("same", 4): 0, ("same", 9): 0, ("within", 1): pytest.approx(4 * math.pi * 5.4**2), ("within", 2): 0, ("touch", 1): full, ("touch", 2): full, ("odd", 1): None, ("odd", 2): full, ("odd", 3): None, ("odd", 4): None, ("odd", 5): None, (None, 6): None}
+    assert sp.sasa(spheres(spark, rows[:1]).limit(0)).count() == 0
+    named = spark.createDataFrame([("g", "A", k, 1, "ALA", n, 50.0 * k, 0.0, 0.0) for k, n in enumerate(["N", "CA", " OG", "SD", "X1", None])], "graph_id string, chain string, serial int, res_seq int, res_name string, atom_name string, x double, y double, z double")
+    assert [r["radius"] for r in sp.element_radius(named).orderBy("serial").collect()] == [1.55, 1.7, 1.52, 1.8, 1.7, 1.7]
+
+
+def surface_points(p, r, slices=20, around=360):
+    """Points of the slices' circles that lie in no other sphere, by trying them all: coordinates and owners."""
+    angle = 2 * np.pi * np.arange(around) / around
+    out, owner = [], []
+    for i in range(len(p)):
+        for k in range(slices):
+            h = r * ((2 * k + 1) / slices - 1)
+            rho = math.sqrt(r * r - h * h)
+            s = p[i] + np.column_stack((rho * np.cos(angle), rho * np.sin(angle), np.full(around, h)))
+            d2 = ((s[:, None] - p[None]) ** 2).sum(2)
+            d2[:, i] = np.inf
+            s = s[(d2 >= r * r).all(1)]
+            out.append(s)
+            owner += [i] * len(s)
+    return np.concatenate(out), np.array(owner)
+
+
 def test_depth_has_no_cap(spark):
     rng = np.random.default_rng(5)
-    p = rng.uniform(-8, 8, (900, 3))
-    p = p[(p**2).sum(1) <= 64]
-    rows = [("ball", "A", k, k // 3, "ALA", 1.6, *map(float, x)) for k, x in enumerate(p)] + [("one", "A", 1, 1, "ALA", 1.6, 500.0, 0.0, 0.0), ("none", "A", 1, 1, "ALA", 1.6, None, 0.0, 0.0)]
-    df = spark.createDataFrame(rows, "graph_id string, chain string, serial int, res_seq int, res_name string, radius double, x double, y double, z double")
-    own = np.repeat(np.arange(len(p)), 100)
-    s = p[own] + 3 * np.tile(np.array(sp.sphere_points(100)), (len(p), 1))
-    far = ((s[:, None] - p[None]) ** 2).sum(2)
-    far[np.arange(len(s)), own] = 99
-    s = s[(far >= 9).all(1)]
+    p = rng.uniform(-6, 6, (300, 3))
+    p = p[(p**2).sum(1) <= 36]
+    rows = [("ball", k, 1.6, *map(float, x)) for k, x in enumerate(p)] + [("one", 1, 1.6, 500.0, 0.0, 0.0), ("none", 1, 1.6, None, 0.0, 0.0)]
+    df = spheres(spark, rows)
+    s, owner = surface_points(p, 3.0)
+    areas = {r["serial"]: r["area"] for r in sp.sasa(df.filter("graph_id = 'ball'")).collect()}
+    tried = np.bincount(owner, minlength=len(p)) * 4 * math.pi * 9 / (20 * 360)
+    assert all(areas[k] == pytest.approx(tried[k], abs=0.4) for k in areas)
     d = np.sqrt(((p[:, None] - s[None]) ** 2).sum(2).min(1))
-    got = {(r["graph_id"], r["res_seq"]): r["depth"] for r in sp.residue_depth(df, 1.5).collect()}
-    assert d.max() > 6 and got["one", 1] == pytest.approx(3) and got["none", 1] is None
-    assert all(got["ball", k] == pytest.approx(d[3 * k : 3 * k + 3].mean()) for k in range((len(p) + 2) // 3)) and len(got) == (len(p) + 2) // 3 + 2
+    got = {(r["graph_id"], r["chain"], r["res_seq"]): r["depth"] for r in sp.residue_depth(df, 1.5).collect()}
+    assert d.max() > 3.5 and got["one", "A", 0] == pytest.approx(3) and got["none", "A", 0] is None
+    want = {}
+    for k, x in enumerate(d):
+        want.setdefault(("ball", "A" if k % 2 else "B", k // 3), []).append(x)
+    assert all(got[k] == pytest.approx(np.mean(x), abs=0.03) for k, x in want.items()) and len(got) == len(want) + 2
 
 
 def test_rmsd_ignores_rigid_motion(spark):
