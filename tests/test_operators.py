@@ -110,11 +110,11 @@ def test_depth_has_no_cap(spark):
     assert all(areas[k] == pytest.approx(tried[k], abs=0.4) for k in areas)
     d = np.sqrt(((p[:, None] - s[None]) ** 2).sum(2).min(1))
     got = {(r["graph_id"], r["chain"], r["res_seq"]): r["depth"] for r in sp.residue_depth(df, 1.5).collect()}
-    assert d.max() > 3.5 and got["one", "A", 0] == pytest.approx(3) and got["none", "A", 0] is None
+    assert d.max() > 5 and got["one", "A", 0] == pytest.approx(3) and got["none", "A", 0] is None
     want = {}
     for k, x in enumerate(d):
         want.setdefault(("ball", "A" if k % 2 else "B", k // 3), []).append(x)
-    assert all(got[k] == pytest.approx(np.mean(x), abs=0.03) for k, x in want.items()) and len(got) == len(want) + 2
+    assert all(got[k] == pytest.approx(np.mean(x), abs=0.08) for k, x in want.items()) and len(got) == len(want) + 2
 
 
 def test_rmsd_ignores_rigid_motion(spark):
