@@ -61,43 +61,81 @@ def modularity(edges: DataFrame, clusters: DataFrame) -> DataFrame:
     return per.join(total, "graph_id").groupBy("graph_id").agg(F.sum(2 * C("inner") / C("m2") - F.pow(C("tot") / C("m2"), 2)).alias("modularity"))
 
 
-def louvain(nodes: DataFrame, edges: DataFrame, most_rounds: int = 200) -> DataFrame:
-    """graph_id, node, cluster by synchronous best-gain moves, kept for a graph only while its modularity grows.
+def local_moves(nodes: DataFrame, edges: DataFrame, most_rounds: int = 1000) -> DataFrame:
+    """graph_id, node, cluster: nodes move to neighbouring clusters until no single move raises the modularity.
 
-    In each round only nodes whose hash has the round's parity move, so neighbours do not swap places for ever. Ends when neither
-    parity makes any graph better; raises if some still is after most_rounds.
+    edges may hold loops (src = dst): their weight counts for both ends of the node. In each round a node's best move is made if it is
+    the best of all that touch its old or its new cluster. No cluster takes part in two moves then, so their gains add up exactly
+    and the modularity grows in every round. Nodes are numbers. Raises if moves are left after most_rounds.
     """
     clusters = settle(nodes.select("graph_id", "node", C("node").alias("cluster")), "louvain")
-    w = settle(edges.select("graph_id", "src", "dst", "weight"), "edges")
-    both = w.union(w.select("graph_id", C("dst").alias("src"), C("src").alias("dst"), "weight")).filter("src <> dst")
-    degree = settle(both.groupBy("graph_id", C("src").alias("node")).agg(F.sum("weight").alias("k")), "degree")
+    w = edges.select("graph_id", "src", "dst", "weight")
+    ends = settle(w.union(w.select("graph_id", C("dst").alias("src"), C("src").alias("dst"), "weight")), "ends")
+    degree = ends.groupBy("graph_id", C("src").alias("node")).agg(F.sum("weight").alias("k"))
     total = degree.groupBy("graph_id").agg(F.sum("k").alias("m2"))
-    best = settle(modularity(w, clusters), "modularity")
-    idle = 0
-    for r in range(most_rounds):
-        sums = clusters.join(degree, ["graph_id", "node"]).groupBy("graph_id", "cluster").agg(F.sum("k").alias("tot"))
+    degree = settle(degree.join(total, "graph_id"), "degree")
+    both = ends.filter("src <> dst")
+    for _ in range(most_rounds):
+        placed = clusters.join(degree, ["graph_id", "node"])
+        sums = placed.groupBy("graph_id", "cluster").agg(F.sum("k").alias("tot"))
         near = both.join(clusters.select("graph_id", C("node").alias("dst"), "cluster"), ["graph_id", "dst"]).groupBy("graph_id", C("src").alias("node"), "cluster").agg(F.sum("weight").alias("links"))
-        own = clusters.select("graph_id", "node", C("cluster").alias("own"))
-        gain = near.join(own, ["graph_id", "node"]).join(degree, ["graph_id", "node"]).join(sums, ["graph_id", "cluster"]).join(total, "graph_id")
-        rest = F.when(C("cluster") == C("own"), C("tot") - C("k")).otherwise(C("tot"))
-        pick = gain.withColumn("gain", C("links") - C("k") * rest / C("m2")).groupBy("graph_id", "node").agg(F.max(F.struct(F.round("gain", 9).alias("g"), -C("cluster"))).alias("t"))
-        moving = F.pmod(F.xxhash64("node"), F.lit(2)) == r % 2
-        moved = clusters.join(pick, ["graph_id", "node"], "left").select("graph_id", "node", F.when(moving & (C("t")["g"] > 0), -C("t")["col2"]).otherwise(C("cluster")).alias("moved"), "cluster")
-        after = modularity(w, moved.select("graph_id", "node", C("moved").alias("cluster"))).withColumnRenamed("modularity", "after")
-        better = settle(best.join(after, "graph_id").filter(C("after") > C("modularity") + 1e-9).select("graph_id", F.lit(True).alias("better")), "better")
-        if better.isEmpty():
-            idle += 1
-            if idle == 2:
-                return clusters
-            continue
-        idle = 0
-        clusters = settle(moved.join(better, "graph_id", "left").select("graph_id", "node", F.when(F.coalesce("better", F.lit(False)), C("moved")).otherwise(C("cluster")).alias("cluster")), "louvain")
-        best = settle(modularity(w, clusters), "modularity")
-    raise RuntimeError(f"clusters still grow better after {most_rounds} rounds")
-
-
-def cluster_hierarchy(nodes: DataFrame, edges: DataFrame, **options) -> DataFrame:
-    """graph_id, node, depth_0, depth_1: clusters of the graph, and clusters of the pooled graph."""
+        own = placed.join(sums, ["graph_id", "cluster"]).select("graph_id", "node", C("cluster").alias("own"), "k", "m2", C("tot").alias("own_tot"))
+        met = near.join(own, ["graph_id", "node"]).join(sums, ["graph_id", "cluster"])
+        gain = F.when(C("cluster") != C("own"), F.struct(F.round(C("links") - C("k") * C("tot") / C("m2"), 9).alias("g"), (-C("cluster")).alias("c")))
+        best = met.groupBy("graph_id", "node", "own", "k", "m2", "own_tot").agg(F.max(gain).alias("top"), F.coalesce(F.max(F.when(C("cluster") == C("own"), C("links"))), F.lit(0.0)).alias("stay"))
+        more = C("top")["g"] - (C("stay") - C("k") * (C("own_tot") - C("k")) / C("m2"))
+        moves = settle(best.filter("top IS NOT NULL").select("graph_id", "node", "own", (-C("top")["c"]).alias("to"), more.alias("more")).filter("more > 1e-8"), "moves")
+        if moves.isEmpty():
+            return clusters
+        rank = F.struct("more", (-C("node")).alias("node"))
+        touched = moves.select("graph_id", C("own").alias("c"), rank.alias("r")).union(moves.select("graph_id", C("to").alias("c"), rank.alias("r"))).groupBy("graph_id", "c").agg(F.max("r").alias("r"))
+        first = lambda side, name: touched.select("graph_id", C("c").alias(side), C("r").alias(name))
+        made = moves.join(first("own", "r1"), ["graph_id", "own"]).join(first("to", "r2"), ["graph_id", "to"]).filter((C("r1") == rank) & (C("r2") == rank)).select("graph_id", "node", "to")
+        clusters = settle(clusters.join(made, ["graph_id", "node"], "left").select("graph_id", "node", F.coalesce("to", "cluster").alias("cluster")), "louvain")
+    raise RuntimeError(f"nodes still move after {most_rounds} rounds")
+
+
+def contract(edges: DataFrame, clusters: DataFrame) -> DataFrame:
+    """edges between clusters, each undirected one once (src <= dst), weights summed; edges within a cluster become its loop."""
+    a = clusters.select("graph_id", C("node").alias("src"), C("cluster").alias("s"))
+    b = clusters.select("graph_id", C("node").alias("dst"), C("cluster").alias("d"))
+    both = edges.join(a, ["graph_id", "src"]).join(b, ["graph_id", "dst"])
+    return both.groupBy("graph_id", F.least("s", "d").alias("src"), F.greatest("s", "d").alias("dst")).agg(F.sum("weight").alias("weight"))
+
+
+def louvain(nodes: DataFrame, edges: DataFrame, most_rounds: int = 1000, most_levels: int = 30) -> DataFrame:
+    """graph_id, node, cluster (its smallest node): modularity raised by moves of nodes, then of whole clusters, level by level.
+
+    After each level clusters become the nodes of a contracted graph, whose loops keep the weight within them, so modularity is the
+    same there and can only grow. Graphs that a level leaves as they are drop out of the next. Labels are unfolded back to the nodes. Nodes
+    without edges are clusters of their own. edges: graph_id, src, dst, weight, each undirected one once. Raises after most_levels.
+    """
+    labels = settle(nodes.select("graph_id", "node", C("node").alias("cluster")), "labels")
+    level_nodes, level_edges = labels.select("graph_id", "node"), settle(contract(edges, labels), "level")
+    for _ in range(most_levels):
+        found = local_moves(level_nodes, level_edges, most_rounds)
+        # A cluster is named by its smallest member, which keeps names and nodes the same kind of thing.
+        names = found.groupBy("graph_id", "cluster").agg(F.min("node").alias("name"))
+        found = settle(found.join(names, ["graph_id", "cluster"]).select("graph_id", "node", C("name").alias("cluster")), "level")
+        moved = settle(found.filter("node <> cluster").select("graph_id").distinct(), "moved")
+        if moved.isEmpty():
+            return labels
+        step = found.select("graph_id", C("node").alias("cluster"), C("cluster").alias("to"))
+        labels = settle(labels.join(step, ["graph_id", "cluster"], "left").select("graph_id", "node", F.coalesce("to", "cluster").alias("cluster")), "labels")
+        found = found.join(moved, "graph_id", "left_semi")
+        level_edges = settle(contract(level_edges.join(moved, "graph_id", "left_semi"), found), "level")
+        level_nodes = found.select("graph_id", C("cluster").alias("node")).distinct()
+    raise RuntimeError(f"clusters still merge after {most_levels} levels")
+
+
+def cluster_hierarchy(nodes: DataFrame, edges: DataFrame, present: DataFrame | None = None, **options) -> DataFrame:
+    """graph_id, node, depth_0, depth_1: clusters of the graph, and clusters of the pooled graph.
+
+    present: a table of graph_id; graphs that it names have their clusters already and are skipped.
+    """
+    if present is not None:
+        there = present.select("graph_id").distinct()
+        nodes, edges = nodes.join(there, "graph_id", "left_anti"), edges.join(there, "graph_id", "left_anti")
     zero = settle(mcl(nodes, edges, **options), "depth0")
     pooled = pool_edges(edges.select("graph_id", "src", "dst", F.lit(1.0).alias("weight")), zero)
     one = mcl(zero.select("graph_id", C("cluster").alias("node")).distinct(), pooled.select("graph_id", "src", "dst"), **options)

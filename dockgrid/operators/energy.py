@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
 from dockgrid.functions.scalars import coulomb, covalent_flag, lennard_jones
-from dockgrid.storage import if_small
+from dockgrid.storage import if_small, settle
 
 C = F.col
 RES = ("graph_id", "chain", "res_seq", "res_name")
@@ -20,13 +20,8 @@ def lookup_forcefield(atoms: DataFrame, topology: DataFrame, classes: DataFrame,
     null fields leave the topology's value. params: type, eps, sigma, eps14, sigma14. Unknown atoms get charge and parameters 0.
     The four tables are dimensions of a force field (one row for an atom name of a residue kind).
     """
-    names = atoms.groupBy(*RES).agg(F.collect_set("atom_name").alias("names"))
-    rule = classes.select("rule_no", "class", C("res_name").alias("rule_res"), "present", "absent")
-    fits = (C("rule_res") == "all") | (C("rule_res") == C("res_name"))
-    met = (F.size(F.array_intersect("present", "names")) == F.size("present")) & ~F.arrays_overlap("absent", "names")
-    if rule.limit(10_001).count() > 10_000:
-        raise ValueError("more than 10000 residue class rules")
-    classed = names.join(F.broadcast(rule), fits & met, "left").groupBy(*RES).agg(F.min_by("class", "rule_no").alias("class"))
+    residues = atoms.groupBy(*RES).agg(F.array_sort(F.collect_set("atom_name")).alias("names"))
+    classed = residues.join(if_small(residue_classes(residues, classes)), ["res_name", "names"], "left").drop("names")
     last = patches.groupBy("class", "atom_name").agg(F.max_by("type", F.when(C("type").isNotNull(), C("line_no"))).alias("p_type"), F.max_by("charge", F.when(C("charge").isNotNull(), C("line_no"))).alias("p_charge"))
     out = atoms.join(if_small(topology.select("res_name", "atom_name", C("type").alias("t_type"), C("charge").alias("t_charge"))), ["res_name", "atom_name"], "left")
     out = out.join(classed, list(RES), "left").join(if_small(last), ["class", "atom_name"], "left").withColumn("type", F.coalesce("p_type", "t_type"))
@@ -35,6 +30,27 @@ def lookup_forcefield(atoms: DataFrame, topology: DataFrame, classes: DataFrame,
     return out.withColumns(zero).select(*atoms.columns, "type", "charge", *zero)
 
 
+def residue_classes(residues: DataFrame, classes: DataFrame) -> DataFrame:
+    """res_name, names, class: of each kind of residue (res_name, sorted names) the class of the first rule that it meets, if any.
+
+    A set-containment join: a rule is looked for under its rarest required name only (among the kinds), and verified there; rules without
+    required names under none. So kinds are compared with rules that share their rarest name, not with all of them. Rules that ask the
+    same count once. A rule for a residue or for all; null name lists are empty.
+    """
+    kinds = settle(residues.select("res_name", "names").distinct(), "kinds")
+    empty = F.array().cast("array<string>")
+    sorted_ = lambda c: F.array_sort(F.array_distinct(F.coalesce(C(c), empty)))
+    rules = classes.select("rule_no", "class", C("res_name").alias("rule_res"), sorted_("present").alias("present"), sorted_("absent").alias("absent"))
+    rules = settle(rules.groupBy("rule_res", "present", "absent").agg(F.min(F.struct("rule_no", "class")).alias("first")).select("rule_res", "present", "absent", "first"), "rules")
+    often = kinds.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    asked = rules.select("rule_res", "present", "absent", F.explode("present").alias("name")).join(if_small(often), "name", "left")
+    rarest = asked.groupBy("rule_res", "present", "absent").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "name")).alias("key")).select("rule_res", "present", "absent", C("key")["name"].alias("key"))
+    keyed = rules.filter(F.size("present") > 0).join(rarest, ["rule_res", "present", "absent"]).unionByName(rules.filter(F.size("present") == 0).withColumn("key", F.lit("")))
+    found_under = kinds.select("res_name", "names", F.explode(F.concat("names", F.array(F.lit("")))).alias("key")).select("*", F.explode(F.array_distinct(F.array(F.coalesce("res_name", F.lit("all")), F.lit("all")))).alias("rule_res"))
+    met = (F.size(F.array_intersect("present", "names")) == F.size("present")) & ~F.arrays_overlap("absent", "names")
+    return found_under.join(if_small(keyed), ["key", "rule_res"]).filter(met).groupBy("res_name", "names").agg(F.min("first")["class"].alias("class"))
+
+
 def nonbonded(pairs: DataFrame, same_chain: str = "l_chain = r_chain") -> DataFrame:
     """pairs with l_/r_ charge, eps, sigma, eps14, sigma14 and d: adds elec, vdw, covalent.
 

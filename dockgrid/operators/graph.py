@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
@@ -161,11 +163,57 @@ def message_aggregate(nodes: DataFrame, edges: DataFrame, message: str) -> DataF
     return nodes.join(got, ["graph_id", "node"], "left").withColumn("received", F.coalesce("received", F.lit(0.0)))
 
 
+def exact_quantiles(values: DataFrame, column: str, shares: list[float], enough: int = 1000, accuracy: int = 10_000) -> list[float | None]:
+    """The quantiles of column at shares (0 to 1), interpolated between neighbours at (n - 1) share, as percentile() gives them.
+
+    Selection by counting: for each place sought, two values near it (from a mergeable sketch of what is left) part the values into
+    below, between and above, and exact counts say in which part the place is; the part shrinks by about accuracy a pass, and at
+    most enough values of it are read at the end. No task holds all values. Null values don't count; None where there are none.
+    """
+    v = values.select(C(column).cast("double").alias("v")).filter("v IS NOT NULL")
+    n = v.count()
+    if not n:
+        return [None] * len(shares)
+    at = [(n - 1) * q for q in shares]
+    places = sorted({x for k in at for x in (math.floor(k), math.ceil(k))})
+    found: dict[int, float] = {}
+    left = {k: (None, None, 0, n) for k in places}  # the place's value is after the first and before the second; rows up to the first; rows between
+    inside = lambda low, high: (C("v") > low if low is not None else F.lit(True)) & (C("v") < high if high is not None else F.lit(True))
+    while left:
+        few = {x for x in left.values() if x[3] <= enough}
+        for low, high, below, m in few:
+            read = sorted(r["v"] for r in v.filter(inside(low, high)).limit(m).collect())
+            found |= {k: read[k - below] for k, x in left.items() if x == (low, high, below, m)}
+        left = {k: x for k, x in left.items() if x not in few}
+        if not left:
+            break
+        slack = 4 / accuracy
+        near = lambda k, x: [min(1.0, max(0.0, (k - x[2]) / x[3] + d)) for d in (-slack, slack)]
+        sketched = v.agg(*[F.approx_percentile(F.when(inside(*x[:2]), C("v")), F.array(*map(F.lit, near(k, x))), F.lit(accuracy)).alias(str(k)) for k, x in left.items()]).first()
+        pivots = {k: sketched[str(k)] for k in left}
+        counts = v.agg(*[F.count_if(test).alias(f"{k}_{i}") for k, (p, q) in pivots.items() for i, test in enumerate((C("v") < p, C("v") <= p, C("v") < q, C("v") <= q))]).first()
+        for k, (p, q) in pivots.items():
+            low, high, below, m = left[k]
+            c = [counts[f"{k}_{i}"] for i in range(4)]
+            if k < c[0]:
+                left[k] = (low, p, below, c[0] - below)
+            elif k < c[1]:
+                found[k] = p
+            elif k < c[2]:
+                left[k] = (p, q, c[1], c[2] - c[1])
+            elif k < c[3]:
+                found[k] = q
+            else:
+                left[k] = (q, high, c[3], below + m - c[3])
+        left = {k: x for k, x in left.items() if k not in found}
+    return [found[math.floor(k)] + (found[math.ceil(k)] - found[math.floor(k)]) * (k - math.floor(k)) if math.floor(k) < k else found[math.floor(k)] for k in at]
+
+
 def fit_robust_scaler(values: DataFrame, column: str) -> DataFrame:
-    """One row: centre (median) and scale (q75 - q25, 1 if that is 0)."""
-    q = values.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    spread = C("q")[2] - C("q")[0]
-    return q.select(C("q")[1].alias("centre"), F.when(spread == 0, 1.0).otherwise(spread).alias("scale"))
+    """One row: centre (median) and scale (q75 - q25, 1 if that is 0), exact; null without values."""
+    low, centre, high = exact_quantiles(values, column, [0.25, 0.5, 0.75])
+    scale = None if centre is None else (high - low) or 1.0
+    return values.sparkSession.createDataFrame([(centre, scale)], "centre double, scale double")
 
 
 def apply_robust_scaler(values: DataFrame, column: str, fitted: DataFrame) -> DataFrame:

@@ -151,6 +151,40 @@ def bin_by_running_size(df: DataFrame, by: str, order: list[str], size: str, tar
     return out.withColumn("bin", F.floor((C("_sum") - C(size)) / target).cast("long")).drop("_r", "_n", "_sum")
 
 
+def bin_greedily(df: DataFrame, by: str, order: list[str], size: str, target: int, max_n: int, min_n: int = 1) -> DataFrame:
+    """df with bin long (from 0 in each group): the bins of bin_by_size, for tables of any size.
+
+    Running sizes tell for each row where the bin that began there would end: the first row at which the running size passes
+    what stood before plus target is found by one ranged sort of both, and the limits on the number bound it. These pointers are
+    doubled (one, two, four ... bins on) until none leaves a group's first row, and marked back from the longest: a join each, no fold
+    over rows. order must tell the rows of a group apart; sizes are not negative, null ones are 0.
+    """
+    sized = df.withColumn("_size", F.coalesce(C(size).cast("double"), F.lit(0.0)))
+    items = settle(placed(sized, by, [C(c) for c in order], "_size"), "items")
+    ends = items.select(C(by).alias("_g"), C("_sum").alias("v"), F.lit(0).alias("asks"), F.lit(1).alias("one"), C("_r").alias("at"), C("_n").alias("n"))
+    asks = items.select(C(by).alias("_g"), (C("_sum") - C("_size") + target).alias("v"), F.lit(1).alias("asks"), F.lit(0).alias("one"), C("_r").alias("at"), C("_n").alias("n"))
+    counted = placed(ends.unionByName(asks).withColumnRenamed("n", "rows"), "_g", [C("v"), C("asks")], "one").filter("asks = 1")
+    to = F.least(F.greatest(C("at") + max(min_n, 1), F.least(C("at") + max_n, C("_sum").cast("long") + 1)), C("rows") + 1)
+    step = settle(counted.select("_g", "at", to.alias("to"), "rows"), "pointers")
+    jumps = [settle(step.filter("to <= rows").select("_g", "at", "to"), "pointers")]
+    while not jumps[-1].filter("at = 1").isEmpty():
+        jumps.append(settle(_jumped(jumps[-1]), "pointers"))
+    marks = step.filter("at = 1").select("_g", "at", F.lit(0).cast("long").alias("bin"))
+    for k in range(len(jumps) - 1, -1, -1):
+        hop = jumps[k].select(C("_g").alias("_h"), C("at").alias("_from"), "to")
+        reached = marks.join(hop, C("_g").eqNullSafe(C("_h")) & (C("at") == C("_from"))).select("_g", C("to").alias("at"), (C("bin") + (1 << k)).alias("bin"))
+        marks = settle(marks.unionByName(reached), "marks")
+    starts = marks.join(step.select(C("_g").alias("_h"), C("at").alias("_from"), "to"), C("_g").eqNullSafe(C("_h")) & (C("at") == C("_from")))
+    spread = starts.select("_g", "bin", F.explode(F.sequence(C("at"), C("to") - 1)).alias("_at"))
+    return items.join(spread, C(by).eqNullSafe(C("_g")) & (C("_r") == C("_at"))).drop("_g", "_at", "_r", "_n", "_sum", "_size")
+
+
+def _jumped(jump: DataFrame) -> DataFrame:
+    """Pointers followed twice; those that leave their group are gone."""
+    on = jump.select(C("_g").alias("_h"), C("at").alias("_from"), C("to").alias("far"))
+    return jump.join(on, C("_g").eqNullSafe(C("_h")) & (C("to") == C("_from"))).select("_g", "at", C("far").alias("to"))
+
+
 def balance_by_load(items: DataFrame, n: int) -> DataFrame:
     """Longest first on the least loaded of n bins (ties: the first); load is length + 2. For lists that one row's fold holds."""
     start = F.struct(F.array_repeat(F.lit(0).cast("long"), n).alias("load"), F.expr("cast(array() as array<struct<label:string,bin:int>>)").alias("out"))

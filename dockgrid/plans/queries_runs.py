@@ -387,6 +387,16 @@ def e9_bin_by_running_size(spark, d):
     return wf.bin_by_running_size(v.table(spark, d, "documents"), "source", ["doc_id"], "n_chars", 50000).select("doc_id", "bin")
 
 
+@query(f"""WITH RECURSIVE {v.ATOMS}, items AS MATERIALIZED (SELECT graph_id, serial, (x * 10)::BIGINT AS size FROM atoms),
+walk(graph_id, serial, bin, n, total) AS (SELECT graph_id, serial, 0::BIGINT, 1, size FROM items WHERE serial = 1
+ UNION ALL SELECT i.graph_id, i.serial, CASE WHEN close THEN bin + 1 ELSE bin END, CASE WHEN close THEN 1 ELSE n + 1 END, CASE WHEN close THEN i.size ELSE total + i.size END
+ FROM (SELECT i.*, w.bin, w.n, w.total, (w.n >= 12 OR w.total + i.size > 2000) AND w.n >= 2 AS close FROM walk w JOIN items i ON i.graph_id = w.graph_id AND i.serial = w.serial + 1) i)
+SELECT graph_id, serial, bin FROM walk""")
+def e9_greedy_bins(spark, d):
+    a = v.atoms(spark, d).select("graph_id", "serial", F.floor(C("x") * 10).alias("size"))
+    return wf.bin_greedily(a, "graph_id", ["serial"], "size", 2000, 12, 2).select("graph_id", "serial", "bin")
+
+
 @query("WITH r AS (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) - 1 AS r FROM documents) SELECT doc_id, (CASE WHEN (r // 4) % 2 = 0 THEN r % 4 ELSE 3 - r % 4 END)::INT AS bin FROM r")
 def e10_balance_snake(spark, d):
     return wf.balance_snake(v.table(spark, d, "documents"), "source", [C("n_chars").desc(), C("doc_id")], 4).select("doc_id", "bin")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dockgrid.operators import cluster, evaluate as ev, graph as gr, scoring, spatial as sp, telemetry as tl, workflow as wf
+from dockgrid.operators import cluster, energy, evaluate as ev, graph as gr, scoring, spatial as sp, telemetry as tl, workflow as wf
 from dockgrid.streaming import streams
 
 
@@ -339,3 +339,109 @@ def test_residue_graphs(spark):
     for grain in ("atom", "residue"):
         empty = build_graphs(atoms.limit(0), grain=grain, annotations=labels, orientation=True)
         assert empty["nodes"].count() == empty["edges"].count() == empty["failed"].count() == 0
+
+
+def modularity_of(edges, label):
+    """edges: {(a, b): weight}, each once."""
+    two = 2 * sum(edges.values())
+    tot, inner = {}, {}
+    for (a, b), w in edges.items():
+        for x in (a, b):
+            tot[label[x]] = tot.get(label[x], 0) + w
+        if label[a] == label[b]:
+            inner[label[a]] = inner.get(label[a], 0) + w
+    return sum(2 * inner.get(c, 0) / two - (t / two) ** 2 for c, t in tot.items())
+
+
+def test_modularity_grows_from_level_to_level(spark):
+    graphs = {}
+    ring = {}
+    for c in range(30):  # thirty cliques in a ring: pairs of them are better together
+        nodes = range(5 * c, 5 * c + 5)
+        ring |= {(a, b): 1.0 for a in nodes for b in nodes if a < b}
+        ring[tuple(sorted((5 * c, (5 * c + 6) % 150)))] = 1.0
+    graphs["ring"] = ring
+    rng = np.random.default_rng(4)
+    for g in range(4):
+        graphs[f"small{g}"] = {(a, b): float(rng.integers(1, 4)) for a in range(7) for b in range(a, 7) if rng.random() < 0.4}
+    rows = [(g, a, b, w) for g, e in graphs.items() for (a, b), w in e.items()]
+    edges = spark.createDataFrame(rows, "graph_id string, src int, dst int, weight double")
+    nodes = spark.createDataFrame([*{(g, x) for g, a, b, _ in rows for x in (a, b)}, ("ring", 999)], "graph_id string, node int")
+    one, many = {}, {}
+    for out, found in ((one, cluster.local_moves(nodes, edges)), (many, cluster.louvain(nodes, edges))):
+        for r in found.collect():
+            out.setdefault(r["graph_id"], {})[r["node"]] = r["cluster"]
+    for g, e in graphs.items():
+        q1, q2 = modularity_of(e, one[g]), modularity_of(e, many[g])
+        assert q2 >= q1 - 1e-9
+        assert all(many[g][x] == min(y for y in many[g] if many[g][y] == many[g][x]) for x in many[g])
+        near = {(x, y) for a, b in e for x, y in ((a, b), (b, a))}
+        # No node's move to a neighbour's cluster is better after the first level, no union of neighbouring clusters after the last.
+        assert all(modularity_of(e, one[g] | {x: one[g][y]}) <= q1 + 1e-6 for x, y in near)
+        assert all(modularity_of(e, {n: many[g][y] if c == many[g][x] else c for n, c in many[g].items()}) <= q2 + 1e-6 for x, y in near)
+    assert modularity_of(ring, many["ring"]) > 0.88 > modularity_of(ring, {x: x // 5 for x in range(150)}) and many["ring"][999] == 999
+    loops = cluster.contract(edges, spark.createDataFrame([(g, x, c) for g in many for x, c in many[g].items()], "graph_id string, node int, cluster int"))
+    back = {}
+    for r in loops.collect():
+        back.setdefault(r["graph_id"], {})[r["src"], r["dst"]] = r["weight"]
+    assert all(modularity_of(back[g], {x: x for k in back[g] for x in k}) == pytest.approx(modularity_of(e, many[g])) for g, e in graphs.items())
+    assert cluster.louvain(nodes.limit(0), edges.limit(0)).count() == 0
+
+
+def folded(sizes, target, max_n, min_n):
+    bin_ = n = total = 0
+    out = []
+    for s in sizes:
+        if (n >= max_n or total + s > target) and n >= min_n:
+            bin_, n, total = bin_ + 1, 0, 0
+        n, total = n + 1, total + s
+        out.append(bin_)
+    return out
+
+
+@pytest.mark.parametrize(("target", "max_n", "min_n"), [(100, 10, 1), (40, 3, 2), (0, 5, 1), (10**9, 7, 1), (60, 2, 4)])
+def test_greedy_bins_are_the_fold(spark, target, max_n, min_n):
+    rng = np.random.default_rng(target + max_n)
+    groups = {g: [int(x) for x in rng.choice([0, 0, 5, 30, 200], n)] for g, n in (("a", 150), ("b", 1), (None, 40), ("c", 333))}
+    df = spark.createDataFrame([(g, k, x or None, "keep") for g, s in groups.items() for k, x in enumerate(s)], "g string, k int, bytes int, bin_ string").repartition(5)
+    got = {}
+    for r in wf.bin_greedily(df, "g", ["k"], "bytes", target, max_n, min_n).collect():
+        got.setdefault(r["g"], {})[r["k"]] = r["bin"]
+        assert r["bin_"] == "keep"
+    assert {g: [got[g][k] for k in range(len(s))] for g, s in groups.items()} == {g: folded(s, target, max_n, min_n) for g, s in groups.items()}
+
+
+def test_greedy_bins_of_nothing(spark):
+    assert wf.bin_greedily(spark.createDataFrame([], "g string, k int, bytes int"), "g", ["k"], "bytes", 1, 1).count() == 0
+
+
+def test_class_rules_are_found_by_their_rarest_name(spark):
+    rng = np.random.default_rng(1)
+    names = ["N", "CA", "C", "O", "CB", "CG", "SD", "OG", "X"]
+    pick = lambda n: sorted(rng.choice(names, n, replace=False).tolist())
+    residues = [("g", k, ["ALA", "GLY", "SER"][k % 3], pick(rng.integers(1, 8))) for k in range(120)]
+    rules = [(k, f"c{k}", ["all", "ALA", "GLY", "nobody"][k % 4], pick(rng.integers(0, 4)), pick(rng.integers(0, 3))) for k in range(80)] + [(500, "same", "all", ["CA"], []), (501, "later", "all", ["CA", "CA"], None), (502, "none", "all", None, ["Q"])]
+
+    def brute(res, has):
+        met = [(no, c) for no, c, r, p, a in rules if r in ("all", res) and set(p or []) <= set(has) and not set(a or []) & set(has)]
+        return min(met)[1] if met else None
+
+    kinds = spark.createDataFrame(residues, "graph_id string, res_seq int, res_name string, names array<string>")
+    table = spark.createDataFrame(rules, "rule_no int, class string, res_name string, present array<string>, absent array<string>")
+    got = {(r["res_name"], tuple(r["names"])): r["class"] for r in energy.residue_classes(kinds, table).collect()}
+    assert all(got.get((res, tuple(has))) == brute(res, has) for _, _, res, has in residues) and len(set(got.values())) > 5
+    assert energy.residue_classes(kinds, table.limit(0)).count() == 0 and energy.residue_classes(kinds.limit(0), table).count() == 0
+
+
+def test_quantiles_by_counting_are_exact(spark):
+    rng = np.random.default_rng(2)
+    lists = [rng.normal(size=5000), np.exp(rng.normal(size=7001) * 40), rng.integers(0, 4, 6000).astype(float), np.zeros(3000), np.array([5.0]), np.array([1.0, 2.0])]
+    shares = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    for x in lists:
+        df = spark.createDataFrame([(v,) for v in x.tolist()] + [(None,)], "v double").repartition(3)
+        want = df.agg(F.percentile("v", F.array(*map(F.lit, shares))).alias("q")).first()["q"]
+        assert gr.exact_quantiles(df, "v", shares, enough=20, accuracy=100) == pytest.approx(want, rel=1e-12)
+    none = spark.createDataFrame([(None,)], "v double")
+    assert gr.exact_quantiles(none, "v", [0.5]) == [None] and tuple(gr.fit_robust_scaler(none, "v").first()) == (None, None)
+    flat = gr.fit_robust_scaler(spark.createDataFrame([(2.0,)] * 9, "v double"), "v").first()
+    assert (flat["centre"], flat["scale"]) == (2.0, 1.0)
