@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dockgrid.functions import scalars as sc
 from dockgrid.operators import evaluate as ev, graph as gr, scoring, telemetry as tl, workflow as wf
 from dockgrid.plans import views as v
-from dockgrid.plans.queries import query
+from dockgrid.plans.interface_graphs import build_graphs
+from dockgrid.plans.queries import INTERNAL, NODES, query
 from dockgrid.sources import structures, tables
 from dockgrid.storage import new_path
 from dockgrid.streaming import streams
@@ -651,6 +652,31 @@ def i5_stream_dedup(spark, d):
     return _streamed(streams.dedup_labels(e), "append", spark, "labels")
 
 
-@query("SELECT doc_id, length(text) AS n FROM documents")
+_PLACES = ", ".join(f"floor({k} * 1000) / 1000 AS {k}" for k in "xyz")
+_CURED = f"""raw AS ({v.ATOMS.partition("(")[2][:-1]}), atoms AS MATERIALIZED (SELECT graph_id, serial, chain, res_seq, res_name, atom_name, {_PLACES}, 0.0::DOUBLE AS charge, 0.0::DOUBLE AS eps, 0.0::DOUBLE AS sigma, 0.0::DOUBLE AS eps14, 0.0::DOUBLE AS sigma14 FROM raw WHERE serial % 10 > 0 AND serial % 7 > 0)"""
+
+
+@query(f"""WITH {_CURED}, {v.CONTACTS}, {NODES}, {INTERNAL}, n AS (SELECT graph_id, count(*) AS n_nodes, round(sum(x), 3) AS sum_x FROM nodes GROUP BY graph_id), a AS (SELECT graph_id, count(*) AS n_atoms FROM atoms GROUP BY graph_id)
+SELECT graph_id, n_atoms, n_nodes, sum_x, coalesce(e.n, 0) AS n_interface, coalesce(i.n, 0) AS n_internal FROM a JOIN n USING (graph_id) LEFT JOIN (SELECT graph_id, 2 * count(*) AS n FROM contacts GROUP BY graph_id) e USING (graph_id) LEFT JOIN (SELECT graph_id, 2 * count(*) AS n FROM internal GROUP BY graph_id) i USING (graph_id)""")
 def i3_stream_ingest(spark, d):
-    return _streamed(_stream(spark, d, "documents").select("doc_id", F.char_length("text").cast("long").alias("n")), "append", spark, "ingest")
+    from dockgrid.plans.queries_sources import _graph, _written
+
+    root, store = _written(spark, d), new_path(spark, "store")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).count()
+    streams.ingest_structures(spark, root, store, f"{store}-log", per_batch=max(1, -(-files // 2)), named=_graph(), buckets=8).awaitTermination()
+    g = tables.read_graphs(spark, store, ("nodes", "edges", "status"))
+    e = g["edges"].groupBy("graph_id").agg(F.count_if(C("edge_type") == "interface").alias("n_interface"), F.count_if(C("edge_type") == "internal").alias("n_internal"))
+    n = g["nodes"].groupBy("graph_id").agg(F.round(F.sum("x"), 3).alias("sum_x"))
+    return g["status"].filter("error IS NULL").select("graph_id", "n_atoms", "n_nodes").join(n, "graph_id").join(e, "graph_id")
+
+
+@query(f"""WITH {v.ATOMS}, {v.CONTACTS}, {NODES}, {INTERNAL}, idx AS (SELECT graph_id, serial, row_number() OVER (PARTITION BY graph_id ORDER BY chain, res_seq, serial) - 1 AS i FROM nodes),
+e AS (SELECT graph_id, 'interface' AS edge_type, l_serial, r_serial, d2 FROM contacts UNION ALL SELECT graph_id, 'internal', l_serial, r_serial, d2 FROM internal)
+SELECT e.graph_id, e.edge_type, 2 * count(*) AS n_edges, sum(a.i + b.i)::BIGINT AS sum_src, sum(2 * a.i * b.i)::BIGINT AS sum_product, round(2 * sum(sqrt(d2)), 3) AS sum_dist FROM e JOIN idx a ON a.graph_id = e.graph_id AND a.serial = e.l_serial JOIN idx b ON b.graph_id = e.graph_id AND b.serial = e.r_serial GROUP BY e.graph_id, e.edge_type""")
+def a8_whole_store(spark, d):
+    at = new_path(spark, "store")
+    built = build_graphs(v.atoms(spark, d))
+    tables.write_graphs(at, built["nodes"], built["edges"], buckets=8)
+    e = tables.read_graphs(spark, at, ("nodes", "edges"))["edges"]
+    i, j = C("src_idx").cast("long"), C("dst_idx").cast("long")
+    return e.groupBy("graph_id", "edge_type").agg(F.count("*").alias("n_edges"), F.sum(i).alias("sum_src"), F.sum(i * j).alias("sum_product"), F.round(F.sum("dist"), 3).alias("sum_dist"))

@@ -21,7 +21,11 @@ def discover(spark: SparkSession, root: str, suffix: str = "pdb", exclude: tuple
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """path, line_no, line of text files, read whole so that the order holds."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    return lines_of(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value"))
+
+
+def lines_of(whole: DataFrame) -> DataFrame:
+    """path, line_no, line of files (path, value) held whole."""
     return whole.select("path", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
 
 

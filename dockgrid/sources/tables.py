@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockgrid.functions.scalars import clean_mol_id
@@ -12,16 +13,49 @@ C = F.col
 FAMILIES = ("sys", "disk", "net", "proc", "core", "gpu")
 
 
-def write_graphs(path: str, nodes: DataFrame, edges: DataFrame, scores: DataFrame | None = None, clusters: DataFrame | None = None, buckets: int = 64) -> None:
-    """One Parquet table for each kind, partitioned by a hash bucket of graph_id, rows of a graph together."""
-    for name, df in (("nodes", nodes), ("edges", edges), ("scores", scores), ("clusters", clusters)):
+#: Order of the rows of a graph within its bucket, as far as a table has the columns.
+STORE_ORDER = ("node_idx", "edge_type", "src_idx", "dst_idx", "chain", "res_seq", "serial", "node")
+
+
+def write_graphs(path: str, nodes: DataFrame, edges: DataFrame, scores: DataFrame | None = None, clusters: DataFrame | None = None, buckets: int = 64, *, batch: int | None = None, **more: DataFrame) -> None:
+    """One Parquet table for each kind, partitioned by a hash bucket of graph_id, rows of a graph together and in their order.
+
+    edges hold both types with the integer index of their ends, as build_graphs gives them. batch: a part of a store that grows: its
+    rows go to a folder of their own, which a repeated batch overwrites, and count once the batch is noted as whole. So a batch that was
+    cut short and repeated leaves the store as if it had run once.
+    """
+    spark = nodes.sparkSession
+    for name, df in {"nodes": nodes, "edges": edges, "scores": scores, "clusters": clusters, **more}.items():
         if df is not None:
             b = df.withColumn("bucket", F.pmod(F.xxhash64("graph_id"), F.lit(buckets)).cast("int"))
-            b.repartition("bucket", "graph_id").sortWithinPartitions("bucket", "graph_id").write.partitionBy("bucket").parquet(f"{path}/{name}")
+            order = [c for c in STORE_ORDER if c in df.columns]
+            out = b.repartition("bucket", "graph_id").sortWithinPartitions("bucket", "graph_id", *order).write.partitionBy("bucket")
+            out.parquet(f"{path}/{name}") if batch is None else out.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
+    if batch is not None:
+        spark.range(1).select(F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{path}/whole/number={batch}")
+
+
+def _noted(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("batch long").parquet(f"{path}/whole").select("batch")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def is_whole(spark: SparkSession, path: str, batch: int) -> bool:
+    """Whether a batch of the store was written to its end."""
+    noted = _noted(spark, path)
+    return noted is not None and not noted.filter(C("batch") == batch).isEmpty()
 
 
 def read_graphs(spark: SparkSession, path: str, names: tuple[str, ...] = ("nodes", "edges", "scores", "clusters")) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{path}/{n}").drop("bucket") for n in names}
+    """The tables of a store; of one that grows by batches only those written to their end."""
+    noted = _noted(spark, path)
+    if noted is None:
+        return {n: spark.read.parquet(f"{path}/{n}").drop("bucket") for n in names}
+    return {n: spark.read.parquet(f"{path}/{n}").join(noted.distinct(), "batch", "left_semi").drop("bucket", "batch") for n in names}
 
 
 def merge_predictions(parts: list[DataFrame]) -> DataFrame:

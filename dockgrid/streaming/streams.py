@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from dockgrid.plans.interface_graphs import FIELD, build_graphs
+from dockgrid.sources.structures import cure_lines, lines_of, parse_atoms, split_models
+from dockgrid.sources.tables import is_whole, write_graphs
+from dockgrid.storage import settle
+
 C = F.col
 
 
@@ -38,3 +43,36 @@ def running_predictions(parts: DataFrame, score: str = "dockq") -> DataFrame:
 def ingest(files: DataFrame, checkpoint: str, build: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Calls build(new rows, batch number) for what arrived since the checkpoint, then stops; a rerun goes on where it ended."""
     return files.writeStream.foreachBatch(build).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingest_structures(spark: SparkSession, root: str, store: str, checkpoint: str, *, per_batch: int | None = None, named: Column | None = None, prepare: Callable[[DataFrame], DataFrame] | None = None, buckets: int = 64, **options) -> StreamingQuery:
+    """Interface graphs of the structure files that have come below root since the checkpoint go to the store (read_graphs); then it stops.
+
+    Each file is read once. A micro-batch is parsed, cured and built as build_graphs(**options) builds it and written under its number, so one
+    that was cut short and is repeated leaves what one run leaves. status: a row for each graph with n_atoms, n_nodes and error
+    (of a bad annotation, or 'no contacts'); a file without atoms has no graph and is named by its path. per_batch: most files of a batch.
+    named: graph_id as an expression of path, instead of the file's name and model. prepare: what is done to the atoms before, such as
+    merging chains. Without a force field atoms that carry no parameters have 0.
+    """
+    files = spark.readStream.format("text").schema("value string").option("wholetext", "true").option("recursiveFileLookup", "true")
+    if per_batch:
+        files = files.option("maxFilesPerTrigger", per_batch)
+
+    def build(new: DataFrame, number: int) -> None:
+        session = new.sparkSession
+        if is_whole(session, store, number):
+            return
+        whole = settle(new, "files")
+        lines = lines_of(whole) if named is not None else split_models(lines_of(whole))
+        lines = lines.withColumn("graph_id", named) if named is not None else lines
+        atoms = parse_atoms(cure_lines(lines))
+        atoms = prepare(atoms) if prepare else atoms
+        atoms = settle(atoms.withColumns({c: F.lit(0.0) for c in FIELD if c not in atoms.columns}), "atoms")
+        graphs = build_graphs(atoms, **options)
+        sizes = settle(graphs["nodes"].groupBy("graph_id").agg(F.count("*").alias("n_nodes")), "sizes")
+        status = atoms.groupBy("graph_id").agg(F.count("*").alias("n_atoms")).join(sizes, "graph_id", "left").join(graphs["failed"], "graph_id", "left")
+        status = status.select("graph_id", F.lit(None).cast("string").alias("path"), "n_atoms", F.coalesce("n_nodes", F.lit(0)).alias("n_nodes"), F.coalesce("error", F.when(C("n_nodes").isNull(), "no contacts")).alias("error"))
+        bare = whole.filter(~C("value").rlike("(?m)^(ATOM  |HETATM)")).select(F.lit(None).cast(atoms.schema["graph_id"].dataType).alias("graph_id"), "path", F.lit(0).cast("long").alias("n_atoms"), F.lit(0).cast("long").alias("n_nodes"), F.lit("no atoms").alias("error"))
+        write_graphs(store, graphs["nodes"], graphs["edges"], buckets=buckets, batch=number, status=status.unionByName(bare))
+
+    return ingest(files.load(root).select(C("_metadata.file_path").alias("path"), "value"), checkpoint, build)

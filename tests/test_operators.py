@@ -445,3 +445,55 @@ def test_quantiles_by_counting_are_exact(spark):
     assert gr.exact_quantiles(none, "v", [0.5]) == [None] and tuple(gr.fit_robust_scaler(none, "v").first()) == (None, None)
     flat = gr.fit_robust_scaler(spark.createDataFrame([(2.0,)] * 9, "v double"), "v").first()
     assert (flat["centre"], flat["scale"]) == (2.0, 1.0)
+
+
+def pdb_text(rng, k, models=1):
+    """A structure of chains A and B as records."""
+    out = []
+    for m in range(models):
+        out += [f"MODEL     {m + 1:4d}"] if models > 1 else []
+        for i in range(40):
+            name = ["N", "CA", "C", "O", "CB"][i % 5]
+            x, y, z = rng.uniform(0, 9, 3)
+            out.append(f"ATOM  {i + 1:5d}  {name:<3s} {['ALA', 'GLY', 'SER'][i % 3]} {'AB'[i // 20]}{i // 5 + 1:4d}    {x:8.3f}{y:8.3f}{z:8.3f}  1.00  0.00          {name[0]:>2s}")
+        out += ["ENDMDL"] if models > 1 else []
+    return "\n".join(out)
+
+
+def test_a_batch_cut_short_and_repeated_leaves_what_one_run_leaves(spark, tmp_path, monkeypatch):
+    from dockgrid.plans.interface_graphs import build_graphs
+    from dockgrid.sources import structures, tables
+
+    rng, root, store = np.random.default_rng(6), tmp_path / "in" / "deeper", str(tmp_path / "store")
+    root.mkdir(parents=True)
+    for k in range(5):
+        (root / f"m{k}.pdb").write_text(pdb_text(rng, k, models=1 + (k == 3)))
+    (root / "apart.pdb").write_text("\n".join(x for x in pdb_text(rng, 9).splitlines() if " A " in x))
+    (root / "bare.pdb").write_text("REMARK nothing\n")
+    run = lambda: streams.ingest_structures(spark, str(tmp_path / "in"), store, str(tmp_path / "log"), per_batch=2, buckets=2)
+    real, calls = streams.write_graphs, []
+
+    def cut_short(path, nodes, edges, **options):
+        calls.append(options["batch"])
+        if calls.count(1) == 1 and options["batch"] == 1:
+            nodes.limit(3).withColumn("bucket", F.lit(7)).write.partitionBy("bucket").parquet(f"{path}/nodes/batch=1")
+            raise OSError("lost")
+        real(path, nodes, edges, **options)
+
+    monkeypatch.setattr(streams, "write_graphs", cut_short)
+    with pytest.raises(Exception, match="lost"):
+        run().awaitTermination()
+    assert tables.read_graphs(spark, store, ("nodes",))["nodes"].select("graph_id").distinct().count() <= 2
+    run().awaitTermination()
+    (root / "later.pdb").write_text(pdb_text(rng, 11))
+    run().awaitTermination()
+    n_calls = len(calls)
+    run().awaitTermination()
+    assert calls.count(1) == 2 and len(calls) == n_calls
+    want = build_graphs(structures.read_pdb(spark, str(root)).withColumns({c: F.lit(0.0) for c in ("charge", "eps", "sigma", "eps14", "sigma14")}))
+    got = tables.read_graphs(spark, store, ("nodes", "edges", "status"))
+    for name in ("nodes", "edges"):
+        cols = sorted(c for c in want[name].columns if c not in ("line_no",))
+        assert sorted(map(repr, got[name].select(cols).collect())) == sorted(map(repr, want[name].select(cols).collect()))
+    status = {r["graph_id"] or r["path"].rpartition("/")[2]: (r["n_atoms"], r["error"]) for r in got["status"].collect()}
+    assert status["apart"] == (20, "no contacts") and status["bare.pdb"] == (0, "no atoms") and status["later"] == (40, None) and {"m3_model_0", "m3_model_1"} <= set(status) and len(status) == 9
