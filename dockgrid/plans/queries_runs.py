@@ -680,3 +680,31 @@ def a8_whole_store(spark, d):
     e = tables.read_graphs(spark, at, ("nodes", "edges"))["edges"]
     i, j = C("src_idx").cast("long"), C("dst_idx").cast("long")
     return e.groupBy("graph_id", "edge_type").agg(F.count("*").alias("n_edges"), F.sum(i).alias("sum_src"), F.sum(i * j).alias("sum_product"), F.round(F.sum("dist"), 3).alias("sum_dist"))
+
+
+@query("SELECT user_id AS shard_id, arg_max(event_type, (ts, event_type)) AS status, max(ts) AS at, count(*) AS n_events FROM events GROUP BY user_id")
+def i2_bounded_progress(spark, d):
+    e = _stream(spark, d, "events").select(C("user_id").alias("shard_id"), C("event_type").alias("status"), C("ts"))
+    rows = _streamed(streams.progress_sessions(e, "1 hour", "2 days"), "update", spark, "sessions")
+    return streams.progress_of(rows).withColumn("at", C("at").cast("timestamp_ntz"))
+
+
+@query("SELECT user_id AS label, min(event_id) AS event_id FROM events GROUP BY user_id")
+def i5_label_store(spark, d):
+    store = new_path(spark, "labels")
+    e = _stream(spark, d, "events").select(C("user_id").alias("label"), "event_id")
+    streams.ingest_labels(e, store, f"{store}-log", order=("event_id",)).awaitTermination()
+    return spark.read.parquet(store).select("label", "event_id")
+
+
+#: Whether each quantile's rank is within half a percent of what was asked; ties may stand for a range of ranks.
+@query("SELECT count(*) AS rows, round(avg(l_extendedprice), 4) AS mean, 0 AS n_off, count(*) FILTER (l_extendedprice >= 0.49) AS high, count(*) FILTER (l_extendedprice >= 0.23 AND l_extendedprice < 0.49) AS med, count(*) FILTER (l_extendedprice < 0.23) AS low FROM lineitem")
+def i4_merged_quantiles(spark, d):
+    store, shares = new_path(spark, "sketches"), (0.1, 0.25, 0.5, 0.75, 0.9)
+    p = _stream(spark, d, "lineitem").select(C("l_extendedprice").alias("dockq"))
+    streams.ingest_predictions(p, store, f"{store}-log").awaitTermination()
+    one = streams.merged_predictions(spark, store, shares)
+    q = one.first()["quantiles"]
+    ranks = v.table(spark, d, "lineitem").agg(F.count("*").alias("n"), *[F.count_if(C("l_extendedprice") < x).alias(f"a{k}") for k, x in enumerate(q)], *[F.count_if(C("l_extendedprice") <= x).alias(f"b{k}") for k, x in enumerate(q)]).first()
+    off = sum(not ranks[f"a{k}"] - 0.005 * ranks["n"] <= share * ranks["n"] <= ranks[f"b{k}"] + 0.005 * ranks["n"] for k, share in enumerate(shares))
+    return _round(one, 4, "mean").select("rows", "mean", F.lit(off).alias("n_off"), "high", "med", "low")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming import StreamingQuery
 
 from dockgrid.plans.interface_graphs import FIELD, build_graphs
@@ -76,3 +78,86 @@ def ingest_structures(spark: SparkSession, root: str, store: str, checkpoint: st
         write_graphs(store, graphs["nodes"], graphs["edges"], buckets=buckets, batch=number, status=status.unionByName(bare))
 
     return ingest(files.load(root).select(C("_metadata.file_path").alias("path"), "value"), checkpoint, build)
+
+
+def progress_sessions(events: DataFrame, watermark: str, idle: str, key: str = "shard_id", ts: str = "ts") -> DataFrame:
+    """key, session long, status, at, n_events long, closed boolean: of each shard that a batch touches or that falls idle (update mode).
+
+    A shard's state lives until the watermark has passed its last event by idle; then its row comes once more, closed, and the state is
+    gone. A shard that goes on later begins a new session. Of events at one time the greatest status counts. Events with a null time or key
+    are left out. progress_of() puts the sessions of a shard together.
+    """
+    schema = T.StructType([events.schema[key], T.StructField("session", T.LongType()), T.StructField("status", T.StringType()), T.StructField("at", T.LongType()), T.StructField("n_events", T.LongType()), T.StructField("closed", T.BooleanType())])
+    at = C(ts).cast("timestamp")
+    wait = events.sparkSession.range(1).select(F.unix_millis(F.timestamp_millis(F.lit(0)) + F.expr(f"INTERVAL {idle}"))).first()[0]
+
+    def step(keys: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if closed := state.hasTimedOut:
+            session, status, last, n = state.get
+            state.remove()
+        else:
+            session, status, last, n = state.get if state.exists else (state.getCurrentWatermarkMs(), None, None, 0)
+            for part in parts:
+                n += len(part)
+                top = part[part["_us"] == part["_us"].max()]["status"].dropna().max()
+                top = None if isinstance(top, float) else top
+                newest = int(part["_us"].max())
+                if last is None or newest > last or (newest == last and (top or "") > (status or "")):
+                    last, status = newest, top
+            state.update((session, status, last, n))
+            state.setTimeoutTimestamp(max(last // 1000 + wait, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({key: [keys[0]], "session": [session], "status": [status], "at": [last], "n_events": [n], "closed": [closed]})
+
+    timed = events.filter(C(ts).isNotNull() & C(key).isNotNull()).select(key, "status", at.alias(ts)).withWatermark(ts, watermark).withColumn("_us", F.unix_micros(ts))
+    out = timed.groupBy(key).applyInPandasWithState(step, schema, "session long, status string, at long, n long", "update", GroupStateTimeout.EventTimeTimeout)
+    return out.withColumn("at", F.timestamp_micros("at"))
+
+
+def progress_of(sessions: DataFrame, key: str = "shard_id") -> DataFrame:
+    """key, status, at, n_events: what latest_progress says of all events, from all rows that progress_sessions gave."""
+    last = sessions.groupBy(key, "session").agg(F.max(F.struct("n_events", "at", "status")).alias("last"))
+    return last.groupBy(key).agg(F.max(F.struct(C("last")["at"].alias("at"), C("last")["status"].alias("status"))).alias("top"), F.sum(C("last")["n_events"]).alias("n_events")).select(key, C("top")["status"].alias("status"), C("top")["at"].alias("at"), "n_events")
+
+
+def ingest_labels(labels: DataFrame, store: str, checkpoint: str, label: str = "label", order: tuple[str, ...] = ()) -> StreamingQuery:
+    """The first row of each label over all that arrives goes to the store (Parquet, a folder a batch), exactly once; then it stops.
+
+    No streaming state: a batch's labels (the first by order, then any) are held against those of the store's earlier batches. A repeated
+    batch overwrites its own folder. Null labels are left out. labels must have no column named batch.
+    """
+    schema = T.StructType([*labels.schema.fields, T.StructField("batch", T.LongType())])
+
+    def keep(new: DataFrame, number: int) -> None:
+        w = Window.partitionBy(label).orderBy(*(order or (label,)))
+        first = new.filter(C(label).isNotNull()).withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+        if number:
+            before = new.sparkSession.read.schema(schema).parquet(store).filter(C("batch") < number)
+            first = first.join(before.select(label), label, "left_anti")
+        first.select(*labels.columns).write.mode("overwrite").parquet(f"{store}/batch={number}")
+
+    return ingest(labels, checkpoint, keep)
+
+
+def ingest_predictions(parts: DataFrame, store: str, checkpoint: str, score: str = "dockq", k: int = 2000) -> StreamingQuery:
+    """A row for each batch of shards goes to the store: rows, sum, bins and a mergeable sketch of its scores; then it stops.
+
+    A repeated batch overwrites its own row. A KLL sketch of size k holds a few k values however many came.
+    """
+    s = C(score).cast("double")
+
+    def keep(new: DataFrame, number: int) -> None:
+        row = new.agg(F.count("*").alias("rows"), F.sum(s).alias("total"), F.count(s).alias("n"), F.count_if(s >= 0.49).alias("high"), F.count_if((s >= 0.23) & (s < 0.49)).alias("med"), F.count_if(s < 0.23).alias("low"), F.kll_sketch_agg_double(s, F.lit(k)).alias("sketch"))
+        row.write.mode("overwrite").parquet(f"{store}/batch={number}")
+
+    return ingest(parts, checkpoint, keep)
+
+
+def merged_predictions(spark: SparkSession, store: str, shares: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """One row: rows, mean, quantiles (array), high, med, low of all batches of the store; nothing is read but their rows.
+
+    The rank of a quantile is off by no more than about 2.5 / k^0.94 of all rows (0.2 percent for k = 2000) with 99 percent confidence.
+    """
+    sums = [F.sum(c).alias(c) for c in ("rows", "total", "n", "high", "med", "low")]
+    one = spark.read.parquet(store).agg(*sums, F.kll_merge_agg_double("sketch").alias("sketch"))
+    quantiles = F.when(C("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.array(*map(F.lit, shares))))
+    return one.select("rows", F.try_divide("total", "n").alias("mean"), quantiles.alias("quantiles"), "high", "med", "low")

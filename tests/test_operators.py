@@ -497,3 +497,48 @@ def test_a_batch_cut_short_and_repeated_leaves_what_one_run_leaves(spark, tmp_pa
         assert sorted(map(repr, got[name].select(cols).collect())) == sorted(map(repr, want[name].select(cols).collect()))
     status = {r["graph_id"] or r["path"].rpartition("/")[2]: (r["n_atoms"], r["error"]) for r in got["status"].collect()}
     assert status["apart"] == (20, "no contacts") and status["bare.pdb"] == (0, "no atoms") and status["later"] == (40, None) and {"m3_model_0", "m3_model_1"} <= set(status) and len(status) == 9
+
+
+def test_progress_state_falls_with_the_watermark(spark, tmp_path):
+    rng, day = random.Random(2), 86_400
+    rows = [(k, t * day + rng.randrange(day), f"s{rng.randrange(9)}", t) for t in range(8) for k in ([0] if t % 3 == 0 else []) + [10 * t + i for i in range(5)]]
+    df = spark.createDataFrame(rows, "shard_id long, t long, status string, part int").withColumn("ts", F.timestamp_seconds("t"))
+    for t in range(8):
+        df.filter(f"part = {t}").select("shard_id", "ts", "status").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("shard_id long, ts timestamp, status string").option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    held, seen = [], []
+    q = streams.progress_sessions(stream, "1 hour", "1 day").writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "log")).trigger(availableNow=True)
+    q = q.foreachBatch(lambda b, n: held.extend(map(tuple, b.collect()))).start()
+    q.awaitTermination()
+    seen = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+    assert max(seen) <= 22 < df.select("shard_id").distinct().count() and seen[-1] < max(seen)
+    got = streams.progress_of(spark.createDataFrame(held, "shard_id long, session long, status string, at timestamp, n_events long, closed boolean"))
+    want = streams.latest_progress(df)
+    assert sorted(map(tuple, got.collect())) == sorted((r["shard_id"], r["status"], r["at"], r["n_events"]) for r in want.collect())
+    assert len({x[1] for x in held if x[0] == 0}) == 3 and any(x[5] for x in held)
+
+
+def test_first_labels_are_kept_once(spark, tmp_path):
+    rng = random.Random(7)
+    for part in range(4):
+        spark.createDataFrame([(f"l{rng.randrange(30)}" if k % 9 else None, part * 100 + k) for k in range(40)], "label string, k int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema("label string, k int").option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    store = str(tmp_path / "store")
+    streams.ingest_labels(stream(), store, str(tmp_path / "log"), order=("k",)).awaitTermination()
+    got = {r["label"]: r["k"] for r in spark.read.parquet(store).collect()}
+    assert got == {r["label"]: r["k"] for r in spark.read.parquet(str(tmp_path / "in")).filter("label IS NOT NULL").groupBy("label").agg(F.min("k").alias("k")).collect()}
+    assert spark.read.parquet(store).count() == len(got)
+
+
+def test_merged_sketches_stay_within_their_bound(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = np.concatenate((rng.normal(size=20_000), np.exp(rng.normal(size=20_000) * 5)))
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "dockq double").repartition(6)
+    df.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("dockq double").option("maxFilesPerTrigger", "2").parquet(str(tmp_path / "in"))
+    store = str(tmp_path / "store")
+    streams.ingest_predictions(stream, store, str(tmp_path / "log")).awaitTermination()
+    assert spark.read.parquet(store).count() == 3
+    got = streams.merged_predictions(spark, store, (0.01, 0.5, 0.99)).first()
+    assert got["rows"] == 40_001 and got["mean"] == pytest.approx(x.mean()) and got["high"] + got["med"] + got["low"] == 40_000
+    assert all(abs((x <= q).mean() - share) < 0.004 for q, share in zip(got["quantiles"], (0.01, 0.5, 0.99), strict=True))
