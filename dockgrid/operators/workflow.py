@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions.scalars import parse_job, three_to_one
@@ -246,6 +249,48 @@ def locate_subsequence(queries: DataFrame, targets: DataFrame, k: int = 8, on: s
     return best.join(first, on).join(whole, on).select(on, walked.alias("start"), "votes")
 
 
+def locate_by_chain(queries: DataFrame, targets: DataFrame, k: int = 8, on: str = "mol") -> DataFrame:
+    """on, start, stop, n_seeds, n_gaps long: where the query lies in the target, gaps allowed (one of each a key; keys without seeds are left out).
+
+    Seeds are k-mers that either sequence holds once; a key without any takes repeated ones, the i-th in the query with the i-th in the
+    target. So there are never more seeds than letters, whatever repeats. The longest chain of seeds that rise in both
+    sequences (of several the one whose ends come first) says where the query is: start is where its first letter would be (from 1,
+    below 1 if the target begins later), stop where its last would be, n_gaps how often the offset changes along the chain.
+    """
+    def grams(df: DataFrame, name: str) -> DataFrame:
+        at = F.sequence(F.lit(1), F.greatest(F.length("sequence") - (k - 1), F.lit(1)))
+        rows = df.select(on, F.length("sequence").alias(f"n_{name}"), F.posexplode(F.transform(at, lambda i: F.substring("sequence", i, F.lit(k)))).alias(name, "gram")).filter(F.length("gram") == k)
+        same = Window.partitionBy(on, "gram")
+        return rows.withColumns({f"i_{name}": F.row_number().over(same.orderBy(name)), f"c_{name}": F.count("*").over(same)})
+
+    met = grams(queries, "q").join(grams(targets, "t").withColumnRenamed("i_t", "i_q"), [on, "gram", "i_q"])
+    rare = (C("c_q") == 1) & (C("c_t") == 1)
+    any_rare = met.groupBy(on).agg(F.max(rare).alias("any_rare"))
+    seeds = met.withColumn("rare", rare).join(any_rare, on).filter(C("rare") | ~C("any_rare")).select(on, "n_q", C("q").cast("long").alias("q"), C("t").cast("long").alias("t"))
+
+    def chain(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values(["q", "t"])
+        q, t = f["q"].tolist(), f["t"].tolist()
+        ends: list[int] = []  # the smallest target place that ends a chain of each length
+        last: list[int] = []  # and the seed there
+        before = [-1] * len(t)
+        for i, x in enumerate(t):
+            n = bisect_left(ends, x)
+            before[i] = last[n - 1] if n else -1
+            ends[n : n + 1], last[n : n + 1] = [x], [i]
+        path, i = [], last[-1]
+        while i >= 0:
+            path.append(i)
+            i = before[i]
+        path.reverse()
+        offsets = [t[i] - q[i] for i in path]
+        a, b = path[0], path[-1]
+        gaps = sum(x != y for x, y in zip(offsets, offsets[1:], strict=False))
+        return pd.DataFrame([(key[0], t[a] - q[a] + 1, t[b] + int(f["n_q"].iloc[0]) - q[b], len(path), gaps)], columns=[on, "start", "stop", "n_seeds", "n_gaps"])
+
+    return seeds.groupBy(on).applyInPandas(chain, f"{on} {dict(queries.dtypes)[on]}, start long, stop long, n_seeds long, n_gaps long")
+
+
 def label_regions(chains: DataFrame) -> DataFrame:
     """chains: mol, role (H or L), sequence, start (from 1), numbering array<struct<position, aa>> in order.
 

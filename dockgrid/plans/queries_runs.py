@@ -383,6 +383,14 @@ def c22_locate_subsequence(spark, d):
     return wf.locate_subsequence(q, t, 12).select("mol", C("start").cast("long").alias("start"), "votes")
 
 
+@query(None)
+def c22_locate_by_chain(spark, d):
+    """Queries with a piece of 25 letters left out in the middle; longest chains have no SQL form (tests compare with brute force)."""
+    t = v.table(spark, d, "documents").select(C("doc_id").alias("mol"), C("text").alias("sequence"))
+    q = t.select("mol", F.concat(F.substring("sequence", (1 + C("mol") % 50).cast("int"), F.lit(60)), F.substring("sequence", (86 + C("mol") % 50).cast("int"), F.lit(60))).alias("sequence"))
+    return wf.locate_by_chain(q, t, 12)
+
+
 @query("SELECT doc_id, floor((sum(n_chars) OVER (PARTITION BY source ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - n_chars) / 50000.0)::BIGINT AS bin FROM documents")
 def e9_bin_by_running_size(spark, d):
     return wf.bin_by_running_size(v.table(spark, d, "documents"), "source", ["doc_id"], "n_chars", 50000).select("doc_id", "bin")
@@ -584,6 +592,16 @@ def j5_score_graphs(spark, d):
     return _round(scoring.score_graphs(n, contact_pairs(a).select("graph_id", "l_serial"), scoring.reference_model), 6, "score").select("graph_id", "score", "status")
 
 
+@query(f"WITH {v.ATOMS}, {v.CONTACTS}, n AS (SELECT graph_id, avg(charge) AS m, count(*) AS n FROM atoms GROUP BY graph_id), e AS (SELECT graph_id, count(*) AS n FROM contacts GROUP BY graph_id) SELECT n.graph_id, round(tanh(n.m * coalesce(e.n, 0) / n.n), 6) AS score, 'ok' AS status FROM n LEFT JOIN e USING (graph_id)")
+def j5_packed_scores(spark, d):
+    from dockgrid.operators.spatial import contact_pairs
+
+    a = v.atoms(spark, d)
+    n = a.select("graph_id", (C("serial") - 1).alias("node_idx"), C("charge").alias("value"))
+    e = contact_pairs(a).select("graph_id", (C("l_serial") - 1).alias("src_idx"), (C("r_serial") - 1).alias("dst_idx"))
+    return _round(scoring.score_packed(n, e, scoring.reference_batch, 5000), 6, "score").select("graph_id", "score", "status")
+
+
 @query("SELECT p_partkey::VARCHAR AS label, length(p_name)::BIGINT AS n, round(list_sum([CASE WHEN lower(p_name)[i] BETWEEN 'a' AND 'z' THEN (ascii(lower(p_name)[i]) - 96) / 26.0::DOUBLE ELSE 0 END FOR i IN range(1, length(p_name) + 1)]), 6) AS total FROM part")
 def j6_embed_sequences(spark, d):
     s = v.table(spark, d, "part").select(C("p_partkey").cast("string").alias("label"), C("p_name").alias("sequence"))

@@ -542,3 +542,62 @@ def test_merged_sketches_stay_within_their_bound(spark, tmp_path):
     got = streams.merged_predictions(spark, store, (0.01, 0.5, 0.99)).first()
     assert got["rows"] == 40_001 and got["mean"] == pytest.approx(x.mean()) and got["high"] + got["med"] + got["low"] == 40_000
     assert all(abs((x <= q).mean() - share) < 0.004 for q, share in zip(got["quantiles"], (0.01, 0.5, 0.99), strict=True))
+
+
+def test_packed_graphs_score_alike_and_are_few_calls(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    rows, edges = [], []
+    for g in range(60):
+        size = int(rng.integers(1, 30))
+        rows += [(g, k, float(rng.normal()), float(g)) for k in range(size)]
+        edges += [(g, int(rng.integers(size)), int(rng.integers(size)), 1.0) for _ in range(g % 7 * size)]
+    nodes = spark.createDataFrame(rows, "graph_id long, node_idx int, value double, own double").repartition(5)
+    links = spark.createDataFrame([*edges, (999, 0, 0, 1.0)], "graph_id long, src_idx int, dst_idx int, w double")
+    calls = str(tmp_path)
+
+    def model(n, index, e, n_graphs):
+        import uuid
+        from pathlib import Path
+
+        Path(calls, uuid.uuid4().hex).touch()
+        own, graph = n["own"].to_numpy(), n["graph"].to_numpy()
+        assert (own[index[0]] == own[index[1]]).all() and (own[index[0]] == e["graph_id"].to_numpy()).all()
+        assert n_graphs == len(set(graph)) and (n["node_idx"].to_numpy()[index[0]] == e["src_idx"].to_numpy()).all()
+        if 17.0 in own:
+            raise ValueError("seventeen")
+        return scoring.reference_batch(n, index, e, n_graphs)
+
+    got = {r["graph_id"]: r for r in scoring.score_packed(nodes, links, model, 100).collect()}
+    alone = {r["graph_id"]: r["score"] for r in scoring.score_graphs(nodes, links.filter("graph_id < 999"), scoring.reference_model).collect()}
+    assert set(got) == set(range(60)) and got[17]["status"] == "fail" and got[17]["error"] == "seventeen"
+    assert all(got[g]["score"] == pytest.approx(alone[g]) for g in range(60) if g != 17)
+    import os
+
+    assert len(os.listdir(calls)) < 40  # about nine batches, and one of them again graph by graph
+
+
+def test_chains_are_the_longest(spark):
+    rng = random.Random(10)
+    word = lambda n, letters="ACDEFGHIKLMNPQRSTVWY": "".join(rng.choice(letters) for _ in range(n))
+    queries, targets, planted = {}, {}, {}
+    for k in range(40):
+        a, b, c = word(30), word(rng.randint(0, 9)), word(25)
+        head = word(rng.randint(0, 40))
+        queries[k], targets[k] = a + c, head + a + b + c + word(20)
+        planted[k] = (len(head) + 1, len(head) + len(a + b + c), int(bool(b)))
+    for k in range(40, 80):
+        queries[k], targets[k] = word(60, "AC"), word(90, "AC")
+    queries |= {80: "A" * 3000, 81: "short", 82: None, 83: "", 84: word(20)}
+    targets |= {80: "A" * 5000, 81: "short", 82: "x" * 20, 83: None, 84: word(20)}
+    frame = lambda d: spark.createDataFrame(list(d.items()), "mol long, sequence string")
+    got = {r["mol"]: r for r in wf.locate_by_chain(frame(queries), frame(targets), 6).collect()}
+    assert all((got[k]["start"], got[k]["stop"], got[k]["n_gaps"]) == planted[k] for k in planted)
+    assert tuple(got[80])[1:] == (1, 3000, 2995, 0) and not {81, 82, 83, 84} & set(got)
+    for k in range(40, 80):
+        grams = [[s[i : i + 6] for i in range(len(s) - 5)] for s in (queries[k], targets[k])]
+        once = [(i, grams[1].index(g)) for i, g in enumerate(grams[0]) if grams[0].count(g) == 1 and grams[1].count(g) == 1]
+        best = []
+        for i, (_, t) in enumerate(once):
+            best.append(1 + max((best[j] for j in range(i) if once[j][1] < t), default=0))
+        if once:
+            assert got[k]["n_seeds"] == max(best)
