@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from dockgrid.llm.common import arrow, rows, settle
+from dockgrid.llm.common import arrow, rows, settle, slices
 
 #: Bytes: A-Z to a-z; all ASCII but letters and digits to a space.
 TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -198,7 +198,7 @@ def automaton_of(number: int, data: bytes) -> Automaton:
 def _apply(shared, number: int):
     def run(batches):
         found = automaton_of(number, shared.value)
-        for held in rows(batches):
+        for held in rows(batches, 1 << 20):
             out = []
             for doc, text in held:
                 words = words_of(text)
@@ -300,7 +300,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
 
         def run(batches):
             found = automaton_of(number, shared.value)
-            for batch in batches:
+            for batch in (part for whole in batches for part in slices(whole, "text", 1 << 19)):
                 words = [words_of(x) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
                 yield _cut(batch, [found.matches(x)[0] for x in words], [len(x) for x in words], max_coverage)
 
@@ -309,7 +309,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_c
     joined = _with_hits(docs, _merged(docs, automata, shards)).select(*docs.columns, "_hits")
 
     def run_joined(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 19)):
             hits = [x or [] for x in batch.column(batch.num_columns - 1).to_pylist()]
             batch = batch.select(batch.schema.names[:-1])
             n_words = [len(words_of(x)) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
