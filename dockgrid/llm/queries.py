@@ -27,14 +27,17 @@ def vocabulary(name: str) -> str:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text; null and empty texts have none. Repeated rows are counted each."""
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal whole texts, null as empty; the row of the largest doc_id stays, of rows alike one."""
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every whole text, null as empty; fitted on labelled rows that are not held out, a bounded sample. Repeated ids are scored each."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit_quality(docs, labels.filter(F.pmod(doc_hash(), F.lit(5)) != 0))
     scored = quality_scores(docs, model)
@@ -42,14 +45,17 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates over all whole texts; null and empty ones link with nothing, rows with null doc_id are left out."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words under windows of 50 that a smaller doc_id holds too; null texts hold no words, null doc_ids lose nothing."""
     return substring_dedup(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue once for each speaker; null texts are empty turns. Digests of the renderings and their masks."""
     out = perspectives(table(spark, sf_dir, "conversations"))
     mask = F.array_join(F.transform("mask", lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), ",")
     learned = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
@@ -57,20 +63,24 @@ def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that a smaller doc_id holds too go; null and empty texts are one empty line, null doc_ids keep theirs."""
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, `und` without letters; fitted on rows that are not held out, a bounded sample. Ties go by the alphabet."""
     docs = table(spark, sf_dir, "documents")
     found = languages(docs.select("doc_id", "text"), fit_language(docs.filter(F.pmod(doc_hash(), F.lit(3)) != 1)))
     return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and their decoding; null and empty texts have none. Repeated rows are encoded each."""
     return sentencepiece(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), with_ids=False).drop("ids")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words inside benchmark windows, of every whole text; null texts have no words. Items of one id are one item."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.expr("cast(aggregate(transform(hits, (x, i) -> IF(i % 2 = 1, x, -x)), 0, (a, x) -> a + x) AS bigint)")
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
