@@ -601,3 +601,24 @@ def test_chains_are_the_longest(spark):
             best.append(1 + max((best[j] for j in range(i) if once[j][1] < t), default=0))
         if once:
             assert got[k]["n_seeds"] == max(best)
+
+
+def test_entry_tells_absent_operators_from_broken_ones(tmp_path):
+    """With both text folders gone the other queries are there; a text module that names a module that isn't fails aloud."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    here = Path(__file__).resolve().parents[1]
+    copy = tmp_path / "copy"
+    shutil.copytree(here, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", ".pytest_cache"))
+    run = lambda: subprocess.run([sys.executable, "-B", "-c", "import __spark_entry__ as e; print('op1_token_counts' in e.queries(), len(e.queries()) > 100)"], cwd=copy, capture_output=True, text=True, timeout=120, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(copy)})
+    if (copy / "dockgrid" / "llm").is_dir():
+        assert run().stdout.split() == ["True", "True"]
+        broken = copy / "dockgrid" / "llm" / "queries.py"
+        broken.write_text(broken.read_text() + "\nfrom dockgrid.llm.no_such_module import nothing\n")
+        assert run().returncode and "no_such_module" in run().stderr
+        shutil.rmtree(copy / "dockgrid" / "llm")
+        (copy / "corpus_pipeline.py").unlink()
+    assert run().stdout.split() == ["False", "True"]

@@ -5,7 +5,9 @@ from decimal import Decimal
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from dockgrid.operators import cluster
 from dockgrid.plans import queries as plans, queries_graphs, queries_runs, queries_sources  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +47,14 @@ def test_query(spark, duck, name):
 def test_unchecked_queries_run(spark):
     for name in set(plans.QUERIES) - set(plans.SQL) - {"j2_louvain", "j3_cluster_hierarchy"}:
         assert plans.QUERIES[name](spark, SF).limit(5).count() >= 1
+
+
+def test_clusters_of_the_given_graphs(spark):
+    """j2: no graph's modularity is below a floor, and every node has a cluster. j3: the second depth joins clusters of the first."""
+    nodes, edges = (x.persist() for x in plans._internal_graphs(spark, SF))
+    found = plans.QUERIES["j2_louvain"](spark, SF).persist()
+    assert found.select("graph_id", "node").exceptAll(nodes).isEmpty() and nodes.exceptAll(found.select("graph_id", "node")).isEmpty()
+    assert min(r["modularity"] for r in cluster.modularity(edges.withColumn("weight", F.lit(1.0)), found).collect()) > 0.6
+    deep = plans.QUERIES["j3_cluster_hierarchy"](spark, SF)
+    got = deep.groupBy("graph_id", "depth_0").agg(F.countDistinct("depth_1").alias("n"), F.count("*").alias("nodes")).collect()
+    assert all(r["n"] == 1 for r in got) and sum(r["nodes"] for r in got) == nodes.count()
