@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import chain as flat
 
 from pyspark.sql import Column, functions as F
@@ -137,6 +138,14 @@ def parse_job(prefix: Column | str) -> dict[str, Column]:
     return {"job": get(2).cast("long"), "index": get(3).cast("int"), "node": get(4)}
 
 
+def job_label(prefix: Column | str, strip: str = "") -> Column:
+    """'idx=<index>  node=<node>' of names that end in _<job of five digits or more>_<index>_<node>; other names as they are. strip: what goes from nodes."""
+    p, pattern = _column(prefix), r"_(\d{5,})_(\d+)_([^_]+)$"
+    node = F.regexp_extract(p, pattern, 3)
+    node = F.replace(node, F.lit(strip), F.lit("")) if strip else node
+    return F.when(p.rlike(pattern), F.concat(F.lit("idx="), F.regexp_extract(p, pattern, 2), F.lit("  node="), node)).otherwise(p)
+
+
 def slug(text: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(_column(text), r"[^A-Za-z0-9._-]+", "_"), r"^_+|_+$", "")
 
@@ -158,10 +167,16 @@ def sigmoid(x: Column | str) -> Column:
     return 1 / (1 + F.exp(-_column(x)))
 
 
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f of x, with x computed once however often f uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def softmax(values: Column | str) -> Column:
     v = _column(values)
-    e = F.transform(v, lambda x: F.exp(x - F.array_max(v)))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
+    e = _bound(F.struct(v.alias("v"), F.array_max(v).alias("top")), lambda s: F.transform(s["v"], lambda x: F.exp(x - s["top"])))
+    total = lambda e: F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    return _bound(e, lambda e: _bound(total(e), lambda s: F.transform(s["e"], lambda x: x / s["total"])))
 
 
 def argmax(values: Column | str) -> Column:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions.scalars import higher_is_better, safe_div
+from dockgrid.operators.graph import values_at
+from dockgrid.operators.workflow import placed
 
 C = F.col
 
@@ -17,28 +19,22 @@ def finite_pairs(df: DataFrame, pred: str = "pred", y: str = "y") -> DataFrame:
 
 
 def train_valid_split(df: DataFrame, fraction: float, key: str, order: Column) -> DataFrame:
-    """df with is_train for the first int(fraction n) rows by (order, key): exact sizes.
+    """df with is_train for the first int(fraction n) rows by (order, key): exact sizes. Rows with null order are never among them.
 
-    The n-th key is found by counting ranges, not by one sorted task: rows are counted in 4096 slices of the order, and only the
-    slice in which the border lies is ranked.
+    The order's value at the border is found by counting (values_at); of the rows that share it those that are needed are
+    numbered over ranges of their keys. So neither all rows nor a value that many rows share go through one task.
     """
-    span = df.withColumn("_o", order)
-    n, low, high = span.agg(F.count("*"), F.min("_o"), F.max("_o")).first()
-    if not n:
-        return df.withColumn("is_train", F.lit(False))
-    slices = F.floor((C("_o") - low) / F.lit(max((high - low) / 4096, 1e-300))).cast("long")
-    span = span.withColumn("_s", slices)
-    want, before, border = int(fraction * n), 0, None
-    for s, c in sorted((r["_s"], r["count"]) for r in span.groupBy("_s").count().collect()):
-        if before + c > want:
-            border = s
-            break
-        before += c
-    ranked = span.filter(C("_s") == border).withColumn("_r", F.row_number().over(Window.partitionBy("_s").orderBy("_o", key))).select(C(key).alias("_k"), "_r") if border is not None else None
-    if ranked is None:
-        return df.withColumn("is_train", F.lit(True))
-    out = span.join(ranked, C(key) == C("_k"), "left")
-    return out.withColumn("is_train", (C("_s") < border) | ((C("_s") == border) & (C("_r") <= want - before))).drop("_o", "_s", "_k", "_r")
+    span = df.withColumn("_o", order.cast("double"))
+    n, known = span.agg(F.count("*"), F.count("_o")).first()
+    want = int(fraction * n)
+    if want < 1 or want >= known:
+        return span.withColumn("is_train", C("_o").isNotNull() & F.lit(want > 0)).drop("_o")
+    border = values_at(span, "_o", {want - 1}, known)[want - 1]
+    below = span.filter(C("_o") < border).count()
+    ties = placed(span.filter(C("_o") == border).select(C(key).alias("_k")).withColumn("_all", F.lit(0)), "_all", [C("_k")])
+    chosen = ties.filter(C("_r") <= want - below).select("_k", F.lit(True).alias("_in"))
+    out = span.join(chosen, (C(key) == C("_k")) & (C("_o") == border), "left")
+    return out.withColumn("is_train", F.coalesce((C("_o") < border) | C("_in"), F.lit(False))).drop("_o", "_k", "_in")
 
 
 def confusion(df: DataFrame, target: str, threshold: float, by: list[str], pred: str = "pred", y: str = "y") -> DataFrame:

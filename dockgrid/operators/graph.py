@@ -163,19 +163,14 @@ def message_aggregate(nodes: DataFrame, edges: DataFrame, message: str) -> DataF
     return nodes.join(got, ["graph_id", "node"], "left").withColumn("received", F.coalesce("received", F.lit(0.0)))
 
 
-def exact_quantiles(values: DataFrame, column: str, shares: list[float], enough: int = 1000, accuracy: int = 10_000) -> list[float | None]:
-    """The quantiles of column at shares (0 to 1), interpolated between neighbours at (n - 1) share, as percentile() gives them.
+def values_at(values: DataFrame, column: str, places: set[int], n: int, enough: int = 1000, accuracy: int = 10_000) -> dict[int, float]:
+    """The values of column (double) at places (from 0) in rising order; n: how many are not null.
 
     Selection by counting: for each place sought, two values near it (from a mergeable sketch of what is left) part the values into
     below, between and above, and exact counts say in which part the place is; the part shrinks by about accuracy a pass, and at
-    most enough values of it are read at the end. No task holds all values. Null values don't count; None where there are none.
+    most enough values of it are read at the end. No task holds all values.
     """
     v = values.select(C(column).cast("double").alias("v")).filter("v IS NOT NULL")
-    n = v.count()
-    if not n:
-        return [None] * len(shares)
-    at = [(n - 1) * q for q in shares]
-    places = sorted({x for k in at for x in (math.floor(k), math.ceil(k))})
     found: dict[int, float] = {}
     left = {k: (None, None, 0, n) for k in places}  # the place's value is after the first and before the second; rows up to the first; rows between
     inside = lambda low, high: (C("v") > low if low is not None else F.lit(True)) & (C("v") < high if high is not None else F.lit(True))
@@ -206,6 +201,19 @@ def exact_quantiles(values: DataFrame, column: str, shares: list[float], enough:
             else:
                 left[k] = (q, high, c[3], below + m - c[3])
         left = {k: x for k, x in left.items() if k not in found}
+    return found
+
+
+def exact_quantiles(values: DataFrame, column: str, shares: list[float], **options: int) -> list[float | None]:
+    """The quantiles of column at shares (0 to 1), interpolated between neighbours at (n - 1) share, as percentile() gives them.
+
+    Null values don't count; None where there are none. options: of values_at.
+    """
+    n = values.agg(F.count(C(column).cast("double"))).first()[0]
+    if not n:
+        return [None] * len(shares)
+    at = [(n - 1) * q for q in shares]
+    found = values_at(values, column, {x for k in at for x in (math.floor(k), math.ceil(k))}, n, **options)
     return [found[math.floor(k)] + (found[math.ceil(k)] - found[math.floor(k)]) * (k - math.floor(k)) if math.floor(k) < k else found[math.floor(k)] for k in at]
 
 

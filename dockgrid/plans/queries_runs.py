@@ -262,6 +262,19 @@ def e13_visible_rows(spark, d):
     return tl.visible_rows(_shards(spark, d), 25)[0].select("shard_id", "status")
 
 
+@query(f"WITH {SHARDS}, f AS (SELECT shard_id, status FROM shards ORDER BY CASE WHEN status IN ('running', 'failed') THEN 0 WHEN status = 'done' THEN 1 ELSE 2 END, started_at, shard_id LIMIT 25) SELECT status, count(*) - (SELECT count(*) FROM f WHERE f.status = s.status) AS hidden FROM shards s GROUP BY status")
+def e13_hidden_counts(spark, d):
+    return tl.visible_rows(_shards(spark, d), 25)[1]
+
+
+@query("WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'stage_' || (o_custkey + 10000) || '_' || (o_orderkey % 40) || '_site-n' || (o_orderkey % 7) ELSE 'stage_' || o_custkey END AS name FROM orders) SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN 'idx=' || (o_orderkey % 40) || '  node=n' || (o_orderkey % 7) ELSE name END AS label FROM p")
+def h16_job_label(spark, d):
+    o = v.table(spark, d, "orders")
+    key, text = C("o_orderkey"), lambda c: c.cast("string")
+    named = F.concat(F.lit("stage_"), text(C("o_custkey") + 10000), F.lit("_"), text(key % 40), F.lit("_site-n"), text(key % 7))
+    return o.select(key, F.when(key % 3 > 0, named).otherwise(F.concat(F.lit("stage_"), text(C("o_custkey")))).alias("name")).select("o_orderkey", sc.job_label("name", "site-").alias("label"))
+
+
 @query("WITH s AS (SELECT user_id AS prefix, ts, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 END AS k FROM events WHERE event_type IN ('purchase', 'signup', 'click')), f AS (SELECT prefix, min(k) AS k, min(ts) AS first, max(ts) AS last FROM s GROUP BY prefix) SELECT f.prefix, min(s.ts) AS start, max(s.ts) AS \"end\", ['gpu', 'sys', 'disk'][f.k + 1] AS source, f.first, f.last FROM f JOIN s ON s.prefix = f.prefix AND s.k = f.k GROUP BY f.prefix, f.k, f.first, f.last")
 def c23_impute_time_range(spark, d):
     e = v.samples(spark, d)

@@ -622,3 +622,24 @@ def test_entry_tells_absent_operators_from_broken_ones(tmp_path):
         shutil.rmtree(copy / "dockgrid" / "llm")
         (copy / "corpus_pipeline.py").unlink()
     assert run().stdout.split() == ["False", "True"]
+
+
+def test_split_is_exact_with_many_ties_and_nulls(spark):
+    rng = np.random.default_rng(4)
+    orders = [None if k % 11 == 0 else float(rng.choice([0.0, 0.5, 0.5, 0.5, rng.random()])) for k in range(1000)]
+    df = spark.createDataFrame(list(enumerate(orders)), "k int, o double").repartition(6)
+    known = sorted((o, k) for k, o in enumerate(orders) if o is not None)
+    for fraction in (0.0, 0.3, 0.5, 0.8, 1.0):
+        got = {r["k"] for r in ev.train_valid_split(df, fraction, "k", F.col("o")).filter("is_train").collect()}
+        assert got == {k for _, k in known[: int(fraction * 1000)]}
+    assert ev.train_valid_split(df.limit(0), 0.5, "k", F.col("o")).count() == 0
+
+
+def test_softmax_and_job_labels(spark):
+    from dockgrid.functions import scalars as sc
+
+    df = spark.createDataFrame([([1.0, 2.0, -1000.0], "st_123456_7_site-n3"), ([5.0], "st_12345_7"), (None, "x_12_3_n")], "v array<double>, p string")
+    got = df.select(sc.softmax("v").alias("s"), sc.job_label("p", "site-").alias("l")).collect()
+    e = math.exp(-1)
+    assert got[0]["s"] == pytest.approx([e / (1 + e), 1 / (1 + e), 0]) and got[1]["s"] == [1.0] and got[2]["s"] is None
+    assert [r["l"] for r in got] == ["idx=7  node=n3", "st_12345_7", "x_12_3_n"]
