@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import gzip
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dockgrid.operators import spatial as sp, workflow as wf
 from dockgrid.plans import views as v
 from dockgrid.plans.queries import TOPOLOGY, query
-from dockgrid.sources import structures, tables
+from dockgrid.sources import files, structures, tables
 from dockgrid.storage import new_path, settle
 
 C = F.col
@@ -54,9 +57,38 @@ def b1_cure_atoms(spark, d):
     return _parsed(spark, d, cure=True)
 
 
+@query(f"WITH {v.ATOMS} SELECT {_COLUMNS} FROM atoms")
+def a1_listed_files(spark, d):
+    """As a1_read_pdb, with files listed in tasks and read in ranges of 2,000 bytes; the condition on names is pushed."""
+    lines = files.read_listed(files.list_files(spark, _written(spark, d)), split_bytes=2000).filter(C("name").endswith(".txt") & C("error").isNull())
+    out = structures.parse_atoms(lines.withColumnRenamed("at", "line_no").withColumn("graph_id", _graph()))
+    return out.select("graph_id", C("serial").cast("long").alias("serial"), "chain", "res_seq", "res_name", "atom_name", "x", "y", "z")
+
+
+def _spoiled(frames):
+    """An empty and a damaged packed file in each folder."""
+    for f in frames:
+        for folder in f["folder"]:
+            Path(folder, "none.txt").write_bytes(b"")
+            Path(folder, "cut.txt.gz").write_bytes(gzip.compress(b"ATOM" * 100)[:-9])
+        yield f
+
+
+@query(f"WITH {v.ATOMS} SELECT graph_id, 79 * count(*) AS good_bytes, CASE WHEN graph_id % 3 = 0 THEN 1 ELSE 0 END AS n_empty, CASE WHEN graph_id % 3 = 0 THEN 1 ELSE 0 END AS n_damaged FROM atoms GROUP BY graph_id")
+def a15_drop_bad_sources(spark, d):
+    """Every third molecule's folder gets an empty and a damaged file besides its records."""
+    at = _written(spark, d)
+    folders = v.atoms(spark, d).filter("graph_id % 3 = 0").select(F.concat(F.lit(at.removeprefix("file://") + "/graph_id="), "graph_id").alias("folder")).distinct()
+    settle(folders.mapInPandas(_spoiled, "folder string"), "spoiled")
+    good, bad = structures.drop_bad_sources(spark, at)
+    both = good.withColumn("error", F.lit(None).cast("string")).unionByName(bad)
+    number = lambda test: F.count_if(test).alias
+    return both.groupBy(_graph().alias("graph_id")).agg(F.sum(F.when(C("error").isNull(), C("length"))).alias("good_bytes"), number(C("error") == "empty")("n_empty"), number(C("error").startswith("EOFError"))("n_damaged"))
+
+
 @query(f"WITH {v.ATOMS} SELECT graph_id, 79 * count(*) AS length FROM atoms GROUP BY graph_id")
 def a2_discover(spark, d):
-    found = structures.discover(spark, _written(spark, d), suffix="TXT")
+    found = structures.discover(spark, _written(spark, d), suffix="TXT", in_tasks=True)
     return found.groupBy(_graph().alias("graph_id")).agg(F.sum("length").alias("length"))
 
 

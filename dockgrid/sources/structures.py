@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from dockgrid.sources.files import checked_files, list_files
+from dockgrid.storage import settle
+
 C = F.col
 
 
-def discover(spark: SparkSession, root: str, suffix: str = "pdb", exclude: tuple[str, ...] = ("manifest", "_xray_tidy"), prefix: str | None = None, start: int = 0, limit: int | None = None) -> DataFrame:
-    """path, name, length, mtime of files below root, largest first; suffix in any case."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", C("modificationTime").alias("mtime"))
-    files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).filter(F.lower("name").endswith(f".{suffix.lower()}"))
+def discover(spark: SparkSession, root: str, suffix: str = "pdb", exclude: tuple[str, ...] = ("manifest", "_xray_tidy"), prefix: str | None = None, start: int = 0, limit: int | None = None, in_tasks: bool = False) -> DataFrame:
+    """path, name, length, mtime of files below root, largest first; suffix in any case. in_tasks: folders are listed by list_files."""
+    if in_tasks:
+        files = list_files(spark, root, f".{suffix}", prefix).filter("error IS NULL").drop("error")
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length", C("modificationTime").alias("mtime"))
+        files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).filter(F.lower("name").endswith(f".{suffix.lower()}"))
     for x in exclude:
         files = files.filter(~C("name").contains(x))
     if prefix:
@@ -161,10 +167,10 @@ def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> Dat
     return expected.join(got, "name", "left").select("name", "sha256", "found", F.coalesce(C("sha256") == C("found"), F.lit(False)).alias("ok"))
 
 
-def drop_bad_sources(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Files below path that hold bytes, and the empty ones (which no scan returns: they are in the file index only)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").load(path)
-    full = files.filter("length > 0").select("path", "length")
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").withColumn("plain", plain)
-    return full, listed.join(full.select(plain.alias("plain")), "plain", "left_anti").select("path", F.lit(0).cast("long").alias("length"))
+def drop_bad_sources(spark: SparkSession, path: str, suffix: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Files below path that can be read (path, length), and the others (path, length, error): empty, damaged, or links to nothing.
+
+    Folders are listed and files are opened in tasks; what is found is a table, so no path goes through the driver.
+    """
+    found = settle(checked_files(list_files(spark, path, suffix)), "checked")
+    return found.filter("error IS NULL").select("path", "length"), found.filter("error IS NOT NULL")
