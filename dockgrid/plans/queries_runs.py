@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dockgrid.functions import scalars as sc
-from dockgrid.operators import evaluate as ev, graph as gr, scoring, telemetry as tl, workflow as wf
+from dockgrid.operators import evaluate as ev, graph as gr, scoring, telemetry as tl, two_branch, workflow as wf
 from dockgrid.plans import views as v
 from dockgrid.plans.interface_graphs import build_graphs
 from dockgrid.plans.queries import INTERNAL, NODES, query
@@ -615,6 +615,18 @@ def j5_packed_scores(spark, d):
     return _round(scoring.score_packed(n, e, scoring.reference_batch, 5000), 6, "score").select("graph_id", "score", "status")
 
 
+@query(None)
+def j5_two_branch_scores(spark, d):
+    """Contacts between chains and pairs within them are the branches; residues and chains are the depths of pooling."""
+    from dockgrid.operators.spatial import contact_pairs, internal_pairs
+
+    a = v.atoms(spark, d)
+    nodes = a.select("graph_id", C("serial").alias("node"), F.array("charge", "eps", "sigma").alias("f"), F.array(*[C(k).cast("double") for k in "xyz"]).alias("x"))
+    clusters = a.select("graph_id", C("serial").alias("node"), F.concat_ws(":", "chain", "res_seq").alias("depth_0"), C("chain").alias("depth_1"))
+    outer, inner = (gr.symmetrise(e.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.array(F.sqrt("d2")).alias("f"))) for e in (contact_pairs(a), internal_pairs(a, 3.0)))
+    return two_branch.two_branch_scores(nodes, outer, inner, clusters, two_branch.random_two_branch(3, 1, 1)).select("graph_id", F.round(C("scores")[0], 6).alias("score"))
+
+
 @query("SELECT p_partkey::VARCHAR AS label, length(p_name)::BIGINT AS n, round(list_sum([CASE WHEN lower(p_name)[i] BETWEEN 'a' AND 'z' THEN (ascii(lower(p_name)[i]) - 96) / 26.0::DOUBLE ELSE 0 END FOR i IN range(1, length(p_name) + 1)]), 6) AS total FROM part")
 def j6_embed_sequences(spark, d):
     s = v.table(spark, d, "part").select(C("p_partkey").cast("string").alias("label"), C("p_name").alias("sequence"))
