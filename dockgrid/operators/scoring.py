@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -172,13 +173,30 @@ def composition(sequences: list[str]) -> list[list[float]]:
     return [[(ord(c.lower()) - 96) / 26 if c.isascii() and c.isalpha() else 0.0 for c in s] for s in sequences]
 
 
-def map_structures(atoms: DataFrame, tool: Callable[[pd.DataFrame], dict], columns: str) -> DataFrame:
-    """A tool called on each structure's atoms; columns: its result's names and types. Failures become rows with their error."""
+_STARTED: dict[str, Callable] = {}
+
+
+def _started(key: str, start: Callable[[], Callable]) -> Callable:
+    """What start gives, called once in each Python worker for a key; a start that raises is tried again by the next structure."""
+    if key not in _STARTED:
+        _STARTED[key] = start()
+    return _STARTED[key]
+
+
+def map_structures(atoms: DataFrame, tool: Callable[[pd.DataFrame], dict] | None, columns: str, start: Callable[[], Callable[[pd.DataFrame], dict]] | None = None) -> DataFrame:
+    """A tool called on each structure's atoms; columns: its result's names and types. Failures become rows with their error.
+
+    start, instead of a tool, gives one: what is dear to set up (a model, a program's handle) is made once a worker, by the first
+    structure that needs it, and serves all structures after it.
+    """
+    if (tool is None) == (start is None):
+        raise ValueError("give a tool or a start")
     names = [c.split()[0] for c in columns.split(",")]
+    mark = uuid.uuid4().hex
 
     def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
         try:
-            got = tool(f)
+            got = (tool or _started(mark, start))(f)
             return pd.DataFrame([[key[0], *[got[n] for n in names], "ok", None]], columns=["graph_id", *names, "status", "error"])
         except Exception as why:  # noqa: BLE001  reported as a row
             return pd.DataFrame([[key[0], *[None] * len(names), "fail", str(why)[:2000]]], columns=["graph_id", *names, "status", "error"])

@@ -635,12 +635,15 @@ def j6_embed_sequences(spark, d):
 
 @query(f"WITH {v.ATOMS} SELECT graph_id, CASE WHEN graph_id % 5 > 0 THEN round(max(x) - min(x), 4) END AS width, CASE WHEN graph_id % 5 > 0 THEN 'ok' ELSE 'fail' END AS status FROM atoms GROUP BY graph_id")
 def j7_map_structures(spark, d):
-    def tool(f: pd.DataFrame) -> dict:
-        if f["graph_id"].iloc[0] % 5 == 0:
-            raise ValueError("no such structure")
-        return {"width": float(f["x"].max() - f["x"].min())}
+    def start():
+        def tool(f: pd.DataFrame) -> dict:
+            if f["graph_id"].iloc[0] % 5 == 0:
+                raise ValueError("no such structure")
+            return {"width": float(f["x"].max() - f["x"].min())}
 
-    return _round(scoring.map_structures(v.atoms(spark, d).select("graph_id", "x"), tool, "width double"), 4, "width").select("graph_id", "width", "status")
+        return tool
+
+    return _round(scoring.map_structures(v.atoms(spark, d).select("graph_id", "x"), None, "width double", start=start), 4, "width").select("graph_id", "width", "status")
 
 
 # ---- streams

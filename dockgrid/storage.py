@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -23,7 +25,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A folder below the shared one that is not there yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    at = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(at)
+    return at
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Takes away, when the block ends, the intermediate tables that operators wrote within it.
+
+    A result must be written (or collected) inside the block, since its plan reads these tables:
+
+        with cleared(spark):
+            cluster_hierarchy(nodes, edges).write.parquet(out)
+
+    Blocks may stand in blocks. A block that raises is cleared too.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        # By identity: lists of paths that are equal are still other blocks'.
+        del _OPEN[next(k for k, x in enumerate(_OPEN) if x is made)]
+        for at in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
