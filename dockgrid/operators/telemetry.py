@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 C = F.col
 
 
-def _seconds(ts: str) -> Column:
-    """Seconds since 1970 of a timestamp with or without time zone."""
-    return F.unix_micros(C(ts).cast("timestamp")) / 1e6
+def _micros(ts: str) -> Column:
+    """Microseconds since 1970 of a timestamp with or without time zone. Gaps are taken between these: seconds since 1970 as doubles are 0.2 microseconds apart."""
+    return F.unix_micros(C(ts).cast("timestamp"))
 
 
 def series_stats(df: DataFrame, by: list[str], value: str = "value") -> DataFrame:
@@ -38,33 +38,33 @@ def counter_rates(df: DataFrame, host: str, device: str, ts: str, counter: str)
     w = Window.partitionBy(host, device).orderBy(ts)
     grown = df.withColumn("grown", F.greatest(F.lit(0.0), C(counter) - F.lag(counter).over(w)))
     per = grown.groupBy(host, ts).agg(F.coalesce(F.sum("grown"), F.lit(0.0)).alias("grown"))
-    gap = _seconds(ts) - F.lag(_seconds(ts)).over(Window.partitionBy(host).orderBy(ts))
+    gap = (_micros(ts) - F.lag(_micros(ts)).over(Window.partitionBy(host).orderBy(ts))) / 1e6
     return per.withColumn("gap", gap).select(host, ts, F.when(C("gap").isNull(), 0.0).otherwise(C("grown") / F.greatest(C("gap"), F.lit(1e-6)) / 1048576).alias("rate"))
 
 
 def median_sampling(df: DataFrame, by: str, ts: str) -> DataFrame:
     """Median of the positive gaps between samples in seconds; 0 with fewer than three samples."""
     w = Window.partitionBy(by).orderBy(ts)
-    gaps = df.select(by, (_seconds(ts) - F.lag(_seconds(ts)).over(w)).alias("gap"))
+    gaps = df.select(by, ((_micros(ts) - F.lag(_micros(ts)).over(w)) / 1e6).alias("gap"))
     return gaps.groupBy(by).agg(F.when(F.count("*") < 3, 0.0).otherwise(F.coalesce(F.percentile(F.when(C("gap") > 0, C("gap")), 0.5), F.lit(0.0))).alias("sampling"))
 
 
 def relative_time(df: DataFrame, by: str, ts: str, order: str) -> DataFrame:
     """rel: seconds since the first time; a missing time carries the last one; without any time the row number."""
     w = Window.partitionBy(by).orderBy(order)
-    seconds = _seconds(ts)
-    carried = F.last(seconds, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    first = F.min(seconds).over(Window.partitionBy(by))
-    return df.withColumn("rel", F.when(first.isNull(), (F.row_number().over(w) - 1).cast("double")).otherwise(F.coalesce(carried, first) - first))
+    micros = _micros(ts)
+    carried = F.last(micros, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    first = F.min(micros).over(Window.partitionBy(by))
+    return df.withColumn("rel", F.when(first.isNull(), (F.row_number().over(w) - 1).cast("double")).otherwise((F.coalesce(carried, first) - first) / 1e6))
 
 
 def progress_eta(done: DataFrame, by: str, ts: str, total: int, newest: int = 20) -> DataFrame:
     """done: completions. rate (1/s) of the newest ones and eta in seconds; null eta and status 'insufficient' if fewer than two, no
     time between them, or nothing left."""
     last = done.withColumn("rn", F.row_number().over(Window.partitionBy(by).orderBy(C(ts).desc())))
-    n = last.groupBy(by).agg(F.count("*").alias("n_done"), F.count_if(C("rn") <= newest).alias("k"), F.max(_seconds(ts)).alias("t1"), F.min(F.when(C("rn") <= newest, _seconds(ts))).alias("t0"))
+    n = last.groupBy(by).agg(F.count("*").alias("n_done"), F.count_if(C("rn") <= newest).alias("k"), F.max(_micros(ts)).alias("t1"), F.min(F.when(C("rn") <= newest, _micros(ts))).alias("t0"))
     ok = (C("k") >= 2) & (C("t1") > C("t0")) & (C("n_done") < total)
-    rate = (C("k") - 1) / F.nullif(C("t1") - C("t0"), F.lit(0.0))
+    rate = (C("k") - 1) / (F.nullif(C("t1") - C("t0"), F.lit(0)) / 1e6)
     return n.select(by, "n_done", F.when(ok, rate).alias("rate"), F.when(ok, (total - C("n_done")) / rate).alias("eta"), F.when(ok, "ok").otherwise("insufficient").alias("status"))
 
 

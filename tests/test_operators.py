@@ -290,6 +290,17 @@ def test_ingest_goes_on_where_it_ended(spark, tmp_path):
     assert sorted(seen) == [1, 2, 3]
 
 
+def test_gaps_keep_microseconds(spark):
+    """Of a gap of 0.05887 seconds in 2024, whose ends as doubles of seconds are 0.0588701 apart."""
+    rows = [("h", "d", "2024-01-14 10:49:26.417201", 0.0), ("h", "d", "2024-01-14 10:49:26.476071", 17.58), ("h", "d", "2024-01-14 10:49:26.534941", 17.58)]
+    df = spark.createDataFrame(rows, "host string, dev string, t string, n double").withColumn("ts", F.col("t").cast("timestamp"))
+    rates = sorted(r["rate"] for r in tl.counter_rates(df, "host", "dev", "ts", "n").collect())
+    assert rates == pytest.approx([0.0, 0.0, 17.58 / 0.05887 / 1048576], rel=1e-12)
+    assert tl.median_sampling(df, "host", "ts").first()["sampling"] == pytest.approx(0.05887, rel=1e-12)
+    assert max(r["rel"] for r in tl.relative_time(df, "host", "ts", "t").collect()) == pytest.approx(0.11774, rel=1e-12)
+    assert tl.progress_eta(df, "host", "ts", 4).first()["eta"] == pytest.approx(0.05887, rel=1e-12)
+
+
 def test_gaps_and_relative_time(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, None), ("a", 3, 14), ("b", 1, None), ("b", 2, None)], "p string, k int, t long").withColumn("ts", F.timestamp_seconds("t"))
     got = {(r["p"], r["k"]): r["rel"] for r in tl.relative_time(df, "p", "ts", "k").collect()}
