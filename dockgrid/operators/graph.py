@@ -19,7 +19,7 @@ def valid_nodes(atoms: DataFrame, contacts: DataFrame) -> DataFrame:
     names = atoms.select("graph_id", "serial", "res_name")
     ok = C("res_name").isin(*fixed.RESIDUES, *fixed.ALSO_VALID)
     keys = contacts.join(names.filter(ok).select("graph_id", C("serial").alias("l_serial")), ["graph_id", "l_serial"], "left_semi")
-    ends = keys.select("graph_id", C("l_serial").alias("serial")).union(keys.select("graph_id", "r_serial")).distinct()
+    ends = keys.select("graph_id", F.explode(F.array("l_serial", "r_serial")).alias("serial")).distinct()
     return atoms.filter(ok & C("atom_name").isin(*fixed.ATOMS)).join(ends, ["graph_id", "serial"], "left_semi")
 
 
@@ -27,7 +27,7 @@ def valid_residues(residues: DataFrame, contacts: DataFrame) -> DataFrame:
     """valid_nodes for residues (graph_id, residue, res_name) and contacts between them (graph_id, l_residue, r_residue)."""
     valid = residues.filter(C("res_name").isin(*fixed.RESIDUES, *fixed.ALSO_VALID))
     keys = contacts.join(valid.select("graph_id", C("residue").alias("l_residue")), ["graph_id", "l_residue"], "left_semi")
-    ends = keys.select("graph_id", C("l_residue").alias("residue")).union(keys.select("graph_id", "r_residue")).distinct()
+    ends = keys.select("graph_id", F.explode(F.array("l_residue", "r_residue")).alias("residue")).distinct()
     return valid.join(ends, ["graph_id", "residue"], "left_semi")
 
 

@@ -228,7 +228,7 @@ def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float =
     """Buried area of contact residues: chain alone minus complex."""
     res = ["graph_id", "chain", "res_seq", "res_name"]
     pairs = residue_contacts(atoms, cutoff)
-    touching = settle(pairs.select("graph_id", F.lit("A").alias("chain"), C("l_res_seq").alias("res_seq"), C("l_res_name").alias("res_name")).union(pairs.select("graph_id", F.lit("B"), "r_res_seq", "r_res_name")).distinct(), "touching")
+    touching = settle(pairs.select("graph_id", F.lit("A").alias("chain"), C("l_res_seq").alias("res_seq"), C("l_res_name").alias("res_name")).union(pairs.select("graph_id", F.lit("B"), "r_res_seq", "r_res_name")).distinct(), "touching", by="graph_id")
     alone, whole = (sasa(atoms, probe, slices, x).join(touching, res, "left_semi").groupBy(*res).agg(F.sum("area").alias(n)) for x, n in ((True, "alone"), (False, "whole")))
     return alone.join(whole, res).select(*res, (C("alone") - C("whole")).alias("bsa"))
 

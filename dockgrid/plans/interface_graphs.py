@@ -45,12 +45,12 @@ def build_graphs(
     if grain not in ("atom", "residue"):
         raise ValueError(f"unknown grain: {grain}")
     if forcefield:
-        atoms = settle(lookup_forcefield(atoms.drop("type", *FIELD), *forcefield), "atoms")
+        atoms = settle(lookup_forcefield(atoms.drop("type", *FIELD), *forcefield), "atoms", by="graph_id")
     failed = atoms.select("graph_id", F.lit(None).cast("string").alias("error")).limit(0)
     regions = None
     if annotations is not None:
         regions, failed = attach_regions(atoms.select("graph_id", "chain", "res_seq").distinct(), annotations)
-        failed = settle(failed, "failed")
+        failed = settle(failed, "failed", by="graph_id")
         atoms = atoms.join(failed, "graph_id", "left_anti")
     nodes, edges = (_atom_grain if grain == "atom" else _residue_grain)(atoms, cutoff, internal)
     if regions is not None:
@@ -80,8 +80,8 @@ def _encoded() -> dict:
 
 def _atom_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
     # Both are read by several branches below: written once, each branch scans the columns that it needs.
-    contacts = settle(contact_pairs(atoms, cutoff), "contacts")
-    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns({"atom_type": atom_index("atom_name"), **_encoded()}), "nodes")
+    contacts = settle(contact_pairs(atoms, cutoff), "contacts", by="graph_id")
+    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns({"atom_type": atom_index("atom_name"), **_encoded()}), "nodes", by="graph_id")
     within = internal_pairs(nodes.select("graph_id", "chain", "serial", "x", "y", "z"), internal)
     pairs = contacts.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("interface").alias("edge_type"), "d2").unionByName(within.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("internal").alias("edge_type"), "d2"))
     edges = index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes)
@@ -94,14 +94,14 @@ def _atom_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataF
 def _residue_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
     atoms = atoms.withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
     ends = ("l_residue", "r_residue")
-    contacts = settle(contact_pairs(atoms, cutoff, ident="residue").select("graph_id", *ends).distinct(), "contacts")
+    contacts = settle(contact_pairs(atoms, cutoff, ident="residue").select("graph_id", *ends).distinct(), "contacts", by="graph_id")
     places = residue_centroid(atoms).withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
-    nodes = settle(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes")
+    nodes = settle(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes", by="graph_id")
     own = atoms.join(nodes.select("graph_id", "residue"), ["graph_id", "residue"], "left_semi").select("graph_id", "chain", "residue", "x", "y", "z")
     within = radius_join(own, own, internal, on=("graph_id", "chain"), strict=True, where="l_residue < r_residue").select(C("l_graph_id").alias("graph_id"), *ends).distinct()
     pairs = contacts.withColumn("edge_type", F.lit("interface")).unionByName(within.withColumn("edge_type", F.lit("internal")))
     pairs = pairs.select("graph_id", C("l_residue").alias("src"), C("r_residue").alias("dst"), "edge_type")
-    edges = settle(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges")
+    edges = settle(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges", by="graph_id")
     side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in RESIDUE[1:]])
     named = edges.join(side("l", "src_idx"), ["graph_id", "src_idx"]).join(side("r", "dst_idx"), ["graph_id", "dst_idx"])
     key = ["graph_id", *[f"{p}_{k}" for p in "lr" for k in RESIDUE[1:]]]

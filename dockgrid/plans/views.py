@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from dockgrid.functions import fixed
+from dockgrid.storage import stay_dealt
 
 C = F.col
 NAMES = ["N", "CA", "C", "O", "CB", "CG", "SD"]
@@ -16,9 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    """Atoms, dealt by molecule (the window of serial does that). Joins within molecules then keep them where they are."""
+    stay_dealt(spark)
+    # The molecule is named before the window: its rows count as dealt by graph_id only if that is the window's own column.
+    li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_suppkey", "graph_id")
+    li = li.withColumn("serial", F.row_number().over(Window.partitionBy("graph_id").orderBy(*ORDER)).cast("long"))
     return li.select(
-        C("l_suppkey").alias("graph_id"), F.row_number().over(Window.partitionBy("l_suppkey").orderBy(*ORDER)).cast("long").alias("serial"), F.when(C("l_orderkey") % 2 == 0, "A").otherwise("B").alias("chain"),
+        "graph_id", "serial", F.when(C("l_orderkey") % 2 == 0, "A").otherwise("B").alias("chain"),
         (C("l_partkey") % 50 + 1).alias("res_seq"), F.element_at(F.array(*map(F.lit, fixed.RESIDUES)), (C("l_partkey") % 20 + 1).cast("int")).alias("res_name"),
         F.element_at(F.array(*map(F.lit, NAMES)), C("l_linenumber")).alias("atom_name"), C("l_quantity").alias("x"), (C("l_extendedprice") / 2100).alias("y"), (C("l_discount") * 500).alias("z"),
         ((C("l_linenumber") - 4) * 0.1).alias("charge"), (C("l_linenumber") * 0.05).alias("eps"), (C("l_linenumber") * 0.1 + 2).alias("sigma"), (C("l_linenumber") * 0.04).alias("eps14"), (C("l_linenumber") * 0.1 + 1.8).alias("sigma14"),

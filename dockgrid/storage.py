@@ -57,11 +57,24 @@ def cleared(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to shared storage and reads it back: lineage ends here, and a lost executor costs no recomputation."""
+def stay_dealt(spark: SparkSession) -> None:
+    """Joins on a key and more leave rows where they are if both sides are dealt by the key alone; Spark would deal them again by all columns."""
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+
+
+def settle(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Writes df to shared storage and reads it back: lineage ends here, and a lost executor costs no recomputation.
+
+    by: a column by which the rows are dealt when they are read, once, with the columns that are asked for. Joins, groups and windows
+    on it (alone or among others) then move nothing more.
+    """
     at = new_path(df.sparkSession, name)
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    back = df.sparkSession.read.schema(df.schema).parquet(at)
+    if by is None:
+        return back
+    stay_dealt(df.sparkSession)
+    return back.repartition(by)
 
 
 def if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:

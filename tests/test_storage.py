@@ -57,3 +57,19 @@ def test_starts_that_fail_are_rows(spark):
 
     got = scoring.map_structures(spark.createDataFrame([(1, 2)], "graph_id long, v long"), None, "n long", start=start).collect()
     assert [(r["status"], r["error"]) for r in got] == [("fail", "no model")]
+
+
+def test_molecules_stay_where_they_are_dealt(spark):
+    """Radius joins over atoms that are dealt by molecule move nothing: one exchange a side, none by cells; so do joins with dealt tables."""
+    from dockgrid.operators import graph, spatial
+    from dockgrid.plans import views
+
+    a = views.atoms(spark, "/root/testdata/sf0.001")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    moved = lambda df: [line for line in plan(df).splitlines() if "Exchange hashpartitioning" in line]
+    pairs = spatial.contact_pairs(a)
+    assert len(moved(pairs)) == 2 and not any("cell_" in line or "at_x" in line for line in moved(pairs))
+    assert not any("serial" in line or "cell_" in line for line in moved(spatial.internal_pairs(graph.valid_nodes(a, pairs))))
+    df = spark.range(100).selectExpr("id % 7 AS graph_id", "id")
+    both = settle(df, "dealt", by="graph_id").hint("merge").join(settle(df, "dealt", by="graph_id"), ["graph_id", "id"])
+    assert len(moved(both)) == 2 and not any("id#" in line.replace("graph_id#", "") for line in moved(both)) and both.count() == 100
