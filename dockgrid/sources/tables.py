@@ -103,8 +103,12 @@ def read_pmon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_epoch_results(df: DataFrame, path: str) -> None:
-    """df: epoch, phase, name, value (array or number as string); null values are skipped."""
-    df.filter("value IS NOT NULL").write.mode("append").partitionBy("epoch", "phase").parquet(path)
+    """df: epoch, phase, name, value (array or number as string); null values are skipped.
+
+    A folder for each phase; epochs are a column in rising order within its files, so reads of some skip the rest, and neither files
+    nor folders grow in number with the epochs.
+    """
+    df.filter("value IS NOT NULL").repartitionByRange("phase", "epoch").sortWithinPartitions("phase", "epoch").write.mode("append").partitionBy("phase").parquet(path)
 
 
 def read_epoch_results(spark: SparkSession, path: str, phase: str | None = None) -> DataFrame:

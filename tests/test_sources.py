@@ -114,3 +114,18 @@ def test_scalars(spark):
     got = df.select(dockq("fnat", "lrmsd", "irmsd"), capri_class("irmsd"), quality_bin("fnat"), norm_chain("c")).collect()
     assert tuple(got[0]) == (None, None, "high", None)
     assert got[1][1] == 5 and got[1][2] == "low" and got[1][3] == "b"
+
+
+def test_epochs_add_no_folders(spark, tmp_path):
+    """300 epochs of two phases, written twice: a folder for each phase, and few files."""
+    from dockgrid.sources.tables import read_epoch_results, write_epoch_results
+
+    at = str(tmp_path / "epochs")
+    df = spark.range(600).selectExpr("CAST(id % 300 AS INT) AS epoch", "IF(id < 300, 'train', 'valid') AS phase", "'loss' AS name", "IF(id = 7, NULL, CAST(id AS STRING)) AS value")
+    write_epoch_results(df, at)
+    write_epoch_results(df.withColumn("epoch", df["epoch"] + 300), at)
+    assert sorted(p.name for p in (tmp_path / "epochs").iterdir() if p.is_dir()) == ["phase=train", "phase=valid"]
+    assert len(list((tmp_path / "epochs").rglob("*.parquet"))) <= 20
+    got = {(r["epoch"], r["name"], r["value"]) for r in read_epoch_results(spark, at, "valid").collect()}
+    assert got == {(k % 300 + more, "loss", str(k)) for k in range(300, 600) for more in (0, 300)}
+    assert read_epoch_results(spark, at).count() == 1198
