@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dockgrid.functions import fixed
 from dockgrid.functions.scalars import lookup
 from dockgrid.operators.spatial import radius_join, relative_accessibility
+from dockgrid.storage import stay_dealt
 
 C = F.col
 CHARACTER = {name: kind[0].upper() for kind, names in fixed.CHARACTER.items() for name in names}
@@ -50,6 +51,9 @@ def binding_affinity(df: DataFrame, celsius: float = 25.0) -> DataFrame:
 def affinity_batch(atoms: DataFrame, exposure: DataFrame | None, side_a: str, side_b: str, cutoff: float = 5.5, celsius: float = 25.0) -> DataFrame:
     """One row a structure, with status: ok, or fail and why (no atoms on a side, no contacts). exposure: residues with rel; without
     it the accessible areas of both sides together are computed and taken relative to the largest of each residue kind."""
+    # Dealt by molecule before it is copied into cells: nothing here needs a serial, so a view's own dealing may be pruned away.
+    stay_dealt(atoms.sparkSession)
+    atoms = atoms.repartition("graph_id")
     both = sided(atoms, side_a, side_b)
     if exposure is None:
         exposure = relative_accessibility(both.drop("side"))

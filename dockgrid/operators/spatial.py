@@ -20,7 +20,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from dockgrid.functions import fixed
-from dockgrid.storage import settle
+from dockgrid.storage import settle, stay_dealt
 
 C = F.col
 
@@ -117,68 +117,179 @@ _ARC = pa.struct([(c, pa.float64()) for c in ("dz", "rho", "s", "e")])
 
 def _gaps(circle: np.ndarray, s: np.ndarray, e: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What hidden intervals s to e leave of -pi to pi on each circle: circles, starts and ends. whole: which circles are hidden altogether."""
-    # Circles get stretches of 8 of one line, so that one running maximum serves all of them.
-    order = np.lexsort((s, circle))
-    circle, s, e = circle[order], s[order] + 8 * circle[order], e[order] + 8 * circle[order]
+    # Circles get stretches of 8 of one line, so that one sort and one running maximum serve all of them.
+    line = s + 8 * circle
+    order = np.argsort(line)
+    circle, s, e = circle[order], line[order], (e + 8 * circle)[order]
     reached = np.maximum.accumulate(np.concatenate(([-np.inf], e)))[:-1] if len(e) else e
     before = np.maximum(reached, 8 * circle - np.pi)
     last = np.flatnonzero(circle != np.concatenate((circle[1:], [-1])))
     end = np.full(len(whole), -np.pi)  # how far each circle is hidden at least
     end[circle[last]] = np.maximum(before[last], e[last]) - 8 * circle[last]
-    at = np.concatenate((circle, np.arange(len(whole))))
-    begin = np.concatenate((before - 8 * circle, end))
-    stop = np.concatenate((s - 8 * circle, np.full(len(whole), np.pi)))
-    open_ = (stop - begin > _NARROW) & ~whole[at]
-    return at[open_], begin[open_], stop[open_]
+    mid, rest = (s - before > _NARROW) & ~whole[circle], (np.pi - end > _NARROW) & ~whole
+    at = circle[mid]
+    return np.concatenate((at, np.flatnonzero(rest))), np.concatenate((before[mid] - 8 * at, end[rest])), np.concatenate((s[mid] - 8 * at, np.full(rest.sum(), np.pi)))
 
 
-def _arcs_of(r: np.ndarray, owner: np.ndarray, dx: np.ndarray, dy: np.ndarray, dz: np.ndarray, other: np.ndarray, slices: int) -> tuple[np.ndarray, ...]:
-    """Exposed arcs of spheres of radius r, near which spheres `other` have their centres (dx, dy, dz) away: owner, height, radius, start, end."""
+def _hidden(r: np.ndarray, owner: np.ndarray, dx: np.ndarray, dy: np.ndarray, dz: np.ndarray, other: np.ndarray, slices: int) -> tuple[np.ndarray, ...]:
+    """Where spheres `other`, with centres (dx, dy, dz) away, hide circles of spheres of radius r.
+
+    Circles hidden altogether and by which pair; circles hidden from an angle to an angle, and by which pair.
+    """
     h = r[:, None] * ((2 * np.arange(slices) + 1) / slices - 1)
-    rho = np.sqrt(r[:, None] ** 2 - h**2)
-    d = np.hypot(dx, dy)[:, None]
+    # Only circles whose plane meets the other sphere.
     q = other[:, None] ** 2 - (dz[:, None] - h[owner]) ** 2
-    own, root = rho[owner], np.sqrt(np.maximum(q, 0))
-    hides = (q > 0) & (d + own <= root)
-    cuts = (q > 0) & ~hides & (d < own + root) & (d + root > own)
-    circle = owner[:, None] * slices + np.arange(slices)
-    whole = np.zeros(len(r) * slices, bool)
-    whole[circle[hides]] = True
-    d = np.broadcast_to(d, q.shape)[cuts]
-    half = np.arccos(np.clip((own[cuts] ** 2 + d**2 - q[cuts]) / (2 * own[cuts] * d), -1, 1))
-    mid = np.broadcast_to(np.arctan2(dy, dx)[:, None], q.shape)[cuts]
-    circle, s, e = circle[cuts], mid - half, mid + half
+    pair, k = np.nonzero(q > 0)
+    q, own = q[pair, k], owner[pair]
+    d, rho, root = np.hypot(dx, dy)[pair], np.sqrt(r[own] ** 2 - h[own, k] ** 2), np.sqrt(q)
+    circle = own * slices + k
+    hides = d + rho <= root
+    cuts = np.flatnonzero(~hides & (d < rho + root) & (d + root > rho))
+    by, d, rho = pair[cuts], d[cuts], rho[cuts]
+    half = np.arccos(np.clip((rho**2 + d**2 - q[cuts]) / (2 * rho * d), -1, 1))
+    mid = np.arctan2(dy, dx)[by]
+    at, s, e = circle[cuts], mid - half, mid + half
     low, high = s < -np.pi, e > np.pi  # these go on at the other end
-    circles = np.concatenate((circle, circle[low], circle[high]))
+    at, by = (np.concatenate((x, x[low], x[high])) for x in (at, by))
     starts = np.concatenate((np.maximum(s, -np.pi), s[low] + 2 * np.pi, np.full(high.sum(), -np.pi)))
     ends = np.concatenate((np.minimum(e, np.pi), np.full(low.sum(), np.pi), e[high] - 2 * np.pi))
-    at, s, e = _gaps(circles, starts, ends, whole)
-    order = np.lexsort((s, at))
-    at, s, e = at[order], s[order], e[order]
-    return at // slices, h.reshape(-1)[at], rho.reshape(-1)[at], s, e
-
+    return circle[hides], pair[hides], at, starts, ends, by
+
+
+def _meeting(cell: np.ndarray, mine: np.ndarray, graph: np.ndarray, serial: np.ndarray, x: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (a row of mine, another row of its graph) of spheres that meet. cell: slab and place across it, as whole numbers of cells that are as wide as the reach."""
+    # Cells of a column follow each other. Columns are hashed: those that fall together are told apart by the distance below.
+    odd = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]], np.uint64)
+    base = graph.astype(np.uint64) * odd[0, 2]
+
+    def column(dx: int, dy: int, rows) -> np.ndarray:
+        u = (cell[rows, 0] + dx).astype(np.uint64) * odd[0, 0] + (cell[rows, 1] + dy).astype(np.uint64) * odd[0, 1] + base[rows]
+        u = (u ^ (u >> np.uint64(31))) * odd[0, 0]
+        return (u >> np.uint64(2)).astype(np.int64) + cell[rows, 2]
+
+    every = column(0, 0, slice(None))
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    found = []
+    for dx in (-1, 0, 1):
+        for dy in (-1, 0, 1):
+            at = column(dx, dy, mine)
+            first = np.searchsorted(every, at - 1)
+            n = np.searchsorted(every, at + 1, "right") - first
+            i = np.repeat(mine, n)
+            j = order[np.arange(len(i)) + np.repeat(first - np.cumsum(n) + n, n)]
+            gap = x[j] - x[i]
+            d2 = np.einsum("ij,ij->i", gap, gap)
+            # Of spheres that are alike the one with the smallest serial hides the others.
+            near = np.flatnonzero((d2 < (r[i] + r[j]) ** 2) & (graph[i] == graph[j]))
+            i, j, d2 = i[near], j[near], d2[near]
+            near = (serial[i] != serial[j]) & ~((d2 == 0) & (r[i] == r[j]) & (serial[j] > serial[i]))
+            found.append((i[near], j[near]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(i, kind="stable")
+    return i[order], j[order]
+
+
+def _sliced(slices: int, width: float, alone: bool, whole: bool, with_arcs: bool, least: int = 20_000, most_rows: int = 2000):
+    """Areas and arcs of spheres that come sorted by graph and slab (width of x each). Three slabs are held, and at least so many rows."""
+
+    def of(part: pa.Table, mine: np.ndarray) -> pa.Table:
+        """The rows mine of part, which holds all that may meet them."""
+        get = lambda c: part.column(c).to_numpy()
+        if "asked" in part.column_names:
+            mine = mine[get("asked")[mine]]
+            if not len(mine):
+                return pa.table({})
+        graph, chain = (np.asarray(part.column(c).combine_chunks().dictionary_encode().indices) for c in ("graph_id", "chain"))
+        xyz, r = np.stack([get(k) for k in "xyz"], 1), get("r")
+        cell = np.concatenate((get("slab")[:, None], np.clip(np.floor(xyz[:, 1:] / width), -(2.0**60), 2.0**60).astype(np.int64)), 1)
+        i, j = _meeting(cell, mine, graph, get("serial"), xyz, r)
+        areas, arcs = {n: [] for n, on in (("alone", alone), ("area", whole)) if on}, []
+        for k in range(0, len(mine), most_rows):
+            rows = mine[k : k + most_rows]
+            a, b = np.searchsorted(i, rows[0]), np.searchsorted(i, rows[-1], "right")
+            own, other, here = i[a:b], j[a:b], r[rows]
+            gone, gone_by, at, s, e, by = _hidden(here, np.searchsorted(rows, own), *(xyz[other] - xyz[own]).T, r[other], slices)
+            same = chain[own] == chain[other]
+            for name, found in areas.items():
+                all_ = np.zeros(len(rows) * slices, bool)
+                if name == "alone":
+                    all_[gone[same[gone_by]]] = True
+                    kept = same[by]
+                    shown, begin, end = _gaps(at[kept], s[kept], e[kept], all_)
+                else:
+                    all_[gone] = True
+                    shown, begin, end = _gaps(at, s, e, all_)
+                found.append(np.bincount(shown // slices, end - begin, len(rows)) * here * here * 2 / slices)
+            if with_arcs:  # of the last kind asked for
+                order = np.lexsort((begin, shown))
+                shown, begin, end = shown[order], begin[order], end[order]
+                h = (here[:, None] * ((2 * np.arange(slices) + 1) / slices - 1)).reshape(-1)[shown]
+                fields = [pa.array(x) for x in (h, np.sqrt(here[shown // slices] ** 2 - h**2), begin, end)]
+                places = pa.array(np.concatenate(([0], np.cumsum(np.bincount(shown // slices, minlength=len(rows))))), pa.int32())
+                arcs.append(pa.ListArray.from_arrays(places, pa.StructArray.from_arrays(fields, fields=list(_ARC))))
+        out = part.drop_columns([c for c in ("slab", "place", "asked") if c in part.column_names]).take(pa.array(mine))
+        for name, found in areas.items():
+            out = out.append_column(name, pa.array(np.concatenate(found)))
+        return out.append_column("arcs", pa.chunked_array(arcs)) if with_arcs else out
 
-def _sliced(slices: int, with_arcs: bool, most_rows: int = 1000):
     def run(batches):
+        held, done, fresh = None, 0, 0  # rows held, how many of them are dealt with, how many came since the last turn
         for batch in batches:
-            for k in range(0, batch.num_rows, most_rows):
-                part = batch.slice(k, most_rows)
-                near, r = part.column("near"), np.asarray(part.column("r"))
-                owner = np.repeat(np.arange(len(r)), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(near), 0)))
-                spheres = near.flatten()
-                owner, h, rho, s, e = _arcs_of(r, owner, *(np.asarray(spheres.field(c)) for c in ("dx", "dy", "dz", "r")), slices)
-                area = np.bincount(owner, e - s, len(r)) * r * r * 2 / slices
-                out = [*(c for c, n in zip(part.columns, part.schema.names, strict=True) if n != "near"), pa.array(area)]
-                names = [*(n for n in part.schema.names if n != "near"), "area"]
-                if with_arcs:
-                    arcs = pa.StructArray.from_arrays([pa.array(x) for x in (h, rho, s, e)], fields=list(_ARC))
-                    out.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(r))))), pa.int32()), arcs))
-                    names.append("arcs")
-                yield pa.RecordBatch.from_arrays(out, names=names)
+            if not batch.num_rows:
+                continue
+            came = pa.Table.from_batches([batch])
+            held = came if held is None else pa.concat_tables([held, came])
+            fresh += batch.num_rows
+            if fresh < least:
+                continue
+            held = held.combine_chunks()
+            graph, slab = np.asarray(held.column("graph_id").combine_chunks().dictionary_encode().indices), held.column("slab").to_numpy()
+            place, new = held.column("place").to_numpy(), graph[1:] != graph[:-1]
+            if (place[1:] != np.where(new, 1, place[:-1] + 1)).any():
+                raise RuntimeError("a molecule's atoms did not come in one sequence")
+            starts = np.flatnonzero(new | (slab[1:] != slab[:-1])) + 1
+            # The last slab may go on and the one before it meets what is to come.
+            if len(starts) < 2 or starts[-2] <= done:
+                fresh = 0
+                continue
+            until = int(starts[-2])
+            yield from of(held, np.arange(done, until)).to_batches(max_chunksize=10_000)
+            keep = int(starts[-3]) if len(starts) > 2 else 0
+            held, done, fresh = held.slice(keep), until - keep, 0
+        if held is not None and done < held.num_rows:
+            yield from of(held.combine_chunks(), np.arange(done, held.num_rows)).to_batches(max_chunksize=10_000)
 
     return run
 
 
+def _surfaces(atoms: DataFrame, probe: float, slices: int, kinds: tuple[str, ...], with_arcs: bool = False, of: DataFrame | None = None) -> DataFrame:
+    """As exposed_arcs, with an area for each of kinds: 'area' in the graph, 'alone' in the chain; arcs are the last kind's.
+
+    of: graph_id, serial (each once) of the atoms that get rows; all with a place or without one by default.
+    """
+    if "radius" not in atoms.columns:
+        atoms = element_radius(atoms)
+    real = F.expr(" AND ".join([f"abs({k}) < double('Infinity')" for k in (*"xyz", "radius")] + [f"{k} IS NOT NULL" for k in ("graph_id", *(["chain"] if "alone" in kinds else []), "serial")]))
+    xyz = [C(k).cast("double").alias(k) for k in "xyz"]
+    all_ = atoms.select("graph_id", "chain", "serial", "res_seq", "res_name", *xyz, (C("radius") + probe).cast("double").alias("r"), F.coalesce(real, F.lit(False)).alias("real"))
+    placed = all_.filter("real").drop("real")
+    width = 2 * (placed.agg(F.max("r")).first()[0] or 1.0) * (1 + 1e-9)
+    fields = {f.name: f for f in placed.schema.fields}
+    schema = T.StructType([*fields.values(), *[T.StructField(k, T.DoubleType()) for k in kinds]])
+    if with_arcs:
+        schema.add("arcs", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("dz", "rho", "s", "e")])))
+    dealt = placed.withColumn("slab", F.floor(C("x") / width))
+    if of is not None:
+        dealt = dealt.join(of.select("graph_id", "serial", F.lit(True).alias("asked")), ["graph_id", "serial"], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    # The number makes Spark bring molecules whole to a task (they stay where they are dealt), slab by slab: no more than slabs are held.
+    dealt = dealt.withColumn("place", F.row_number().over(Window.partitionBy("graph_id").orderBy("slab")))
+    found = dealt.select(*fields, "slab", "place", *(["asked"] if of is not None else [])).mapInArrow(_sliced(slices, width, "alone" in kinds, "area" in kinds, with_arcs), schema)
+    if of is not None:
+        return found
+    return found.unionByName(all_.filter(~C("real")).select(*fields, *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[len(fields) :]]))
+
+
 def exposed_arcs(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False, with_arcs: bool = True) -> DataFrame:
     """graph_id, chain, serial, res_seq, res_name, x, y, z, r (extended radius), area and, with_arcs, arcs: array of (dz, rho, s, e); one row for each atom.
 
@@ -187,36 +298,8 @@ def exposed_arcs(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chai
     are alike the one with the smallest serial hides the others. area: a slice of a sphere has that of its angle times the radius times
     its thickness. atoms carry radius, or get it by element. Atoms without a place, radius or key have null area and arcs and hide nothing.
     """
-    if "radius" not in atoms.columns:
-        atoms = element_radius(atoms)
-    on = ("graph_id", "chain") if by_chain else ("graph_id",)
-    real = F.expr(" AND ".join([f"abs({k}) < double('Infinity')" for k in (*"xyz", "radius")] + [f"{k} IS NOT NULL" for k in (*on, "serial")]))
-    all_ = atoms.select("graph_id", "chain", "serial", "res_seq", "res_name", "x", "y", "z", (C("radius") + probe).cast("double").alias("r"), F.coalesce(real, F.lit(False)).alias("real"))
-    placed = all_.filter("real").drop("real")
-    widest = placed.agg(F.max("r")).first()[0] or 1.0
-    reach = 2 * widest
-    others = placed.select(*on, "serial", "x", "y", "z", "r")
-    for k in "xyz":
-        others = others.withColumn(f"at_{k}", F.explode(_touched(k, reach)))
-    cells = [f"at_{k}" for k in "xyz"]
-    # The spheres that may reach into a cell come as one array to its atoms: no row a pair.
-    near = others.groupBy(*on, *cells).agg(F.collect_list(F.struct("serial", "x", "y", "z", "r")).alias("near"))
-    here = placed.withColumns({f"at_{k}": _cell(k, reach) for k in "xyz"}).hint("merge").join(near, [*on, *cells], "left")
-    place = [C(k) for k in ("serial", "x", "y", "z", "r")]
-
-    def meets(n: Column) -> Column:
-        serial, x, y, z, r = place
-        d2 = (n["x"] - x) * (n["x"] - x) + (n["y"] - y) * (n["y"] - y) + (n["z"] - z) * (n["z"] - z)
-        return (n["serial"] != serial) & (d2 < (n["r"] + r) * (n["r"] + r)) & ~((d2 == 0) & (n["r"] == r) & (n["serial"] > serial))
-
-    moved = F.transform(F.filter("near", meets), lambda n: F.struct(*[(n[k] - C(k)).alias(f"d{k}") for k in "xyz"], n["r"].alias("r")))
-    named = [c for c in all_.columns if c != "real"]
-    here = here.select(*named, moved.alias("near"))
-    schema = T.StructType([*here.drop("near").schema.fields, T.StructField("area", T.DoubleType())])
-    if with_arcs:
-        schema.add("arcs", T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("dz", "rho", "s", "e")])))
-    found = here.mapInArrow(_sliced(slices, with_arcs), schema)
-    return found.unionByName(all_.filter(~C("real")).select(*named, *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[len(named) :]]))
+    found = _surfaces(atoms, probe, slices, ("alone" if by_chain else "area",), with_arcs)
+    return found.withColumnRenamed("alone", "area")
 
 
 def sasa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False) -> DataFrame:
@@ -227,10 +310,15 @@ def sasa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool
 def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float = 5.0) -> DataFrame:
     """Buried area of contact residues: chain alone minus complex."""
     res = ["graph_id", "chain", "res_seq", "res_name"]
-    pairs = residue_contacts(atoms, cutoff)
-    touching = settle(pairs.select("graph_id", F.lit("A").alias("chain"), C("l_res_seq").alias("res_seq"), C("l_res_name").alias("res_name")).union(pairs.select("graph_id", F.lit("B"), "r_res_seq", "r_res_name")).distinct(), "touching", by="graph_id")
-    alone, whole = (sasa(atoms, probe, slices, x).join(touching, res, "left_semi").groupBy(*res).agg(F.sum("area").alias(n)) for x, n in ((True, "alone"), (False, "whole")))
-    return alone.join(whole, res).select(*res, (C("alone") - C("whole")).alias("bsa"))
+    # Dealt by molecule before it is copied into cells: contacts of residues need no serial, so a view's own dealing may be pruned away.
+    stay_dealt(atoms.sparkSession)
+    atoms = atoms.repartition("graph_id")
+    # Both ends of a pair in one pass over the pairs.
+    pairs = contact_pairs(atoms, cutoff, ident="res_seq", keep=("res_name",))
+    ends = F.explode(F.array(*[F.struct(F.lit(side).alias("chain"), C(f"{p}_res_seq").alias("res_seq"), C(f"{p}_res_name").alias("res_name")) for p, side in (("l", "A"), ("r", "B"))]))
+    touching = settle(pairs.select("graph_id", ends.alias("end")).select("graph_id", "end.*").distinct(), "touching", by="graph_id")
+    both = _surfaces(atoms, probe, slices, ("alone", "area")).join(touching, res, "left_semi")
+    return both.groupBy(*res).agg((F.sum("alone") - F.sum("area")).alias("bsa"))
 
 
 def relative_accessibility(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool = False, largest: dict[str, float] = fixed.LARGEST_AREA) -> DataFrame:
@@ -254,24 +342,30 @@ def residue_depth(atoms: DataFrame, reach: float = 8.0, probe: float = 1.4, slic
     """Mean over a residue's atoms of the distance to the graph's nearest exposed arc, however far; null where a graph has none.
 
     The surface lies in no sphere, so an atom with an arc of its own is as deep as its extended radius. For the buried ones the
-    spheres within reach are asked, and within twice the reach as long as something nearer could be beyond it.
+    spheres within reach are asked, and within twice the reach as long as something nearer could be beyond it. Only spheres that are
+    asked have their arcs made, and these are not written.
     """
-    surface = settle(exposed_arcs(atoms, probe, slices), "surface")
-    shown = surface.filter(F.size("arcs") > 0)
-    depths = [shown.select("graph_id", "serial", C("r").alias("d"))]
-    buried = surface.filter(F.size("arcs") == 0).select("graph_id", "serial", "x", "y", "z")
-    left = settle(buried.join(shown.select("graph_id").distinct(), "graph_id", "left_semi"), "buried")
+    key = ["graph_id", "serial"]
+    surface = settle(_surfaces(atoms, probe, slices, ("area",)).select(*key, "chain", "res_seq", "res_name", "x", "y", "z", "r", (C("area") > 0).alias("shown")), "surface")
+    buried = surface.filter("NOT shown").select(*key, "x", "y", "z")
+    left = settle(buried.join(surface.filter("shown").select("graph_id").distinct(), "graph_id", "left_semi"), "buried")
+    depths = [surface.select(*key, C("r").alias("d")).limit(0)]
     if not left.isEmpty():
-        shown = settle(shown.join(left.select("graph_id").distinct(), "graph_id", "left_semi").select("graph_id", "x", "y", "z", "r", "arcs"), "shown")
-        widest = shown.agg(F.max("r")).first()[0]
+        widest = surface.agg(F.max(F.when(C("shown").isNotNull(), C("r")))).first()[0]
         reach = max(reach, 2 * widest)
         while not left.isEmpty():
-            pairs = radius_join(left, shown, reach)
+            # r is the extended radius already.
+            near = surface.filter("shown IS NOT NULL").join(left.select("graph_id").distinct(), "graph_id", "left_semi").withColumn("radius", C("r"))
+            asked = radius_join(left, near.filter("shown").select(*key, "x", "y", "z"), reach).select(C("r_graph_id").alias("graph_id"), C("r_serial").alias("serial")).distinct()
+            arcs = _surfaces(near, 0.0, slices, ("area",), True, asked).select("graph_id", "x", "y", "z", "r", "arcs")
+            pairs = radius_join(left, arcs, reach)
             found = pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.min(F.array_min(F.transform("r_arcs", _to_arc))).alias("d"))
             depths.append(settle(found.filter(C("d") <= reach - widest), "depth"))
-            left = settle(left.join(depths[-1], ["graph_id", "serial"], "left_anti"), "deeper")
+            left = settle(left.join(depths[-1], key, "left_anti"), "deeper")
             reach *= 2
-    depth = surface.select("graph_id", "chain", "serial", "res_seq", "res_name").join(reduce(DataFrame.unionByName, depths), ["graph_id", "serial"], "left")
+    # Shown atoms need no join: their depth is in their row.
+    deep = reduce(DataFrame.unionByName, depths)
+    depth = surface.join(deep, key, "left").withColumn("d", F.when(C("shown"), C("r")).otherwise(C("d")))
     return depth.groupBy("graph_id", "chain", "res_seq", "res_name").agg(F.avg("d").alias("depth"))
 
 
