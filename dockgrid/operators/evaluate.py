@@ -121,12 +121,20 @@ def rank_molecules(df: DataFrame, by: str | list[str], score: str, ident: str, k
 
 def contrastive_loss(df: DataFrame, batch: str, ident: str, pred: str, y: str, sigma2: float = 1.0) -> DataFrame:
     """Cross-entropy of logits -(pred_i - y_j)^2 / 2 sigma2 on the diagonal, times 2 sigma2, by batch (bounded training batches)."""
-    a = df.select(batch, C(ident).alias("i"), C(pred).alias("p"), C(y).alias("own"))
-    b = df.select(batch, C(y).alias("t"))
-    logit = -F.pow(C("p") - C("t"), 2) / (2 * sigma2)
-    rows = a.join(b, batch).groupBy(batch, "i", "p", "own").agg(F.max(logit).alias("top"), F.collect_list(logit).alias("ls"))
-    lse = C("top") + F.log(F.aggregate("ls", F.lit(0.0), lambda s, x: s + F.exp(x - C("top"))))
-    return rows.groupBy(batch).agg((F.avg(lse + F.pow(C("p") - C("own"), 2) / (2 * sigma2)) * (2 * sigma2)).alias("loss"))
+    # A batch is one row's array: no row a pair, which would be sorted by row to be collected.
+    rows = df.filter(C(batch).isNotNull()).groupBy(batch).agg(F.collect_list(F.struct(C(ident).alias("i"), C(pred).alias("p"), C(y).alias("own"))).alias("rows"))
+
+    def term(x: Column) -> Column:
+        logits = F.filter(F.transform("rows", lambda o: -F.pow(x["p"] - o["own"], 2) / (2 * sigma2)), lambda v: v.isNotNull())
+        # Rows alike in all are one row that meets the batch as often.
+        alike = F.when(C("repeats"), F.log(F.size(F.filter("rows", lambda o: o.eqNullSafe(x))).cast("double"))).otherwise(0.0)
+        tops = F.transform(F.array(logits), lambda ls: F.struct(ls.alias("ls"), F.array_max(ls).alias("top")))
+        lse = F.transform(tops, lambda z: z["top"] + F.log(F.aggregate(z["ls"], F.lit(0.0), lambda s, v: s + F.exp(v - z["top"]))))[0]
+        return lse + alike + F.pow(x["p"] - x["own"], 2) / (2 * sigma2)
+
+    rows = rows.withColumn("own_rows", F.array_distinct("rows")).withColumn("repeats", F.size("own_rows") < F.size("rows"))
+    terms = rows.select(batch, F.explode(F.transform("own_rows", term)).alias("term"))
+    return terms.groupBy(batch).agg((F.avg("term") * (2 * sigma2)).alias("loss"))
 
 
 def attach_target(graphs: DataFrame, scores: DataFrame, target: str) -> DataFrame:
