@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from dockgrid.functions.scalars import gaussian_rbf
@@ -102,8 +104,19 @@ def _dense(x: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], between:
     return x
 
 
-def _rows(s: pd.Series) -> np.ndarray:
-    return np.stack(s.to_numpy()).astype(float)
+def _rows(a: pa.Array) -> np.ndarray:
+    """Arrays of one length as a matrix: no object a row."""
+    wide = pa.compute.list_value_length(a)
+    if a.null_count or pa.compute.min_max(wide)["min"] != pa.compute.min_max(wide)["max"]:
+        raise ValueError("arrays are missing or differ in length")
+    return a.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(a), -1)
+
+
+def _lists(m: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.reshape(-1), pa.float64()))
+
+
+_NONE = pa.array([], pa.list_(pa.float64()))
 
 
 def message_passing_layer(nodes: DataFrame, edges: DataFrame, weights: dict, n_rbf: int = 18, reach: float = 30.0, x_scale: float = 0.08) -> DataFrame:
@@ -118,21 +131,21 @@ def message_passing_layer(nodes: DataFrame, edges: DataFrame, weights: dict, n_r
     share, (scale, shift) = float(_sigmoid(np.asarray(weights["alpha"], float))), weights["norm"]
     width = len(update[-1][1])
 
-    @F.pandas_udf("dh array<double>, dx array<double>")
-    def send(hs: pd.Series, hd: pd.Series, xs: pd.Series, xd: pd.Series, f: pd.Series, rbf: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("dh array<double>, dx array<double>")
+    def send(hs: pa.Array, hd: pa.Array, xs: pa.Array, xd: pa.Array, f: pa.Array, rbf: pa.Array) -> pa.Array:
         if not len(hs):
-            return pd.DataFrame({"dh": [], "dx": []})
+            return pa.StructArray.from_arrays([_NONE, _NONE], ["dh", "dx"])
         r = _rows(xs) - _rows(xd)
         m = _dense(np.column_stack([_rows(hs), _rows(hd), _rows(rbf), _rows(f)]), message, _silu, _silu)
         m = m * _dense(m, gate, _relu, _sigmoid)
-        return pd.DataFrame({"dh": list(_dense(m, update, _silu, _silu)), "dx": list(r * _dense(m, move, _silu, None) * x_scale)})
+        return pa.StructArray.from_arrays([_lists(_dense(m, update, _silu, _silu)), _lists(r * _dense(m, move, _silu, None) * x_scale)], ["dh", "dx"])
 
-    @F.pandas_udf("array<double>")
-    def norm(h: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<double>")
+    def norm(h: pa.Array) -> pa.Array:
         if not len(h):
-            return pd.Series([], dtype=object)
+            return _NONE
         v = _rows(h)
-        return pd.Series(list((v - v.mean(1, keepdims=True)) / np.sqrt(v.var(1, keepdims=True) + 1e-5) * scale + shift))
+        return _lists((v - v.mean(1, keepdims=True)) / np.sqrt(v.var(1, keepdims=True) + 1e-5) * scale + shift)
 
     end = lambda k, p: nodes.select("graph_id", C("node").alias(k), C("h").alias(f"h{p}"), C("x").alias(f"x{p}"))
     both = edges.select("graph_id", "src", "dst", "f").join(end("src", "s"), ["graph_id", "src"]).join(end("dst", "d"), ["graph_id", "dst"])
