@@ -176,9 +176,10 @@ def d23_superposed_rmsd(spark, d):
 @query("""WITH n AS (SELECT p_partkey AS mol, i AS ord FROM part, unnest(range(1, 61 + p_partkey % 65)) AS t(i))
 SELECT mol::VARCHAR AS mol, string_agg(CASE WHEN ord % 4 = 0 THEN 'CONST' WHEN ord BETWEEN 27 AND 38 THEN 'H1' WHEN ord BETWEEN 56 AND 65 THEN 'H2' WHEN ord BETWEEN 105 AND 117 THEN 'H3' ELSE 'CONST' END, ',' ORDER BY ord) AS labels FROM n GROUP BY mol""")
 def e8_label_regions(spark, d):
-    # Letters in turn from a part's own start; every position numbers its letter, but each fourth is a gap.
+    # Letters in turn from a part's own start; every position numbers its letter, but each fourth is a gap. Parts are one small file: their keys are dealt before they become chains.
+    keys = v.table(spark, d, "part").select(C("p_partkey").cast("string").alias("mol"), "p_partkey").repartition(4 * spark.sparkContext.defaultParallelism, "mol")
     places = F.sequence(F.lit(1), (60 + C("p_partkey") % 65).cast("int"))
     letter = lambda i: F.char(161 + (i + C("p_partkey")) % 94)
     numbering = F.transform(places, lambda i: F.struct(i.alias("position"), F.when(i % 4 == 0, "-").otherwise(letter(i)).alias("aa")))
-    chains = v.table(spark, d, "part").select(C("p_partkey").cast("string").alias("mol"), F.lit("H").alias("role"), F.array_join(F.transform(places, letter), "").alias("sequence"), F.lit(1).alias("start"), numbering.alias("numbering"))
-    return wf.merge_regions(wf.label_regions(settle(chains, "chains"))).select("mol", F.array_join("labels", ",").alias("labels"))
+    chains = keys.select("mol", F.lit("H").alias("role"), F.array_join(F.transform(places, letter), "").alias("sequence"), F.lit(1).alias("start"), numbering.alias("numbering"))
+    return wf.merge_regions(wf.label_regions(chains)).select("mol", F.array_join("labels", ",").alias("labels"))

@@ -245,6 +245,16 @@ def test_label_regions_walks_the_numbering(spark):
     assert wf.merge_regions(wf.label_regions(df)).first()["labels"] == ["L3", "CONST", "H1", "CONST", "H2"]
 
 
+def test_regions_of_odd_chains_and_no_row_a_place(spark):
+    rows = [("a", "H", "", 1, [(27, "A")]), ("b", "H", "AB", 1, [(27, "A"), (28, None), (29, "B")]), ("b", "L", "ABC", 1, [(56, "B"), (105, "X")]), ("c", "H", None, 1, None), ("d", "L", "ABA", 2, [(27, "A")]), ("e", "L", "AB", 1, None)]
+    df = spark.createDataFrame(rows, "mol string, role string, sequence string, start int, numbering array<struct<position:int,aa:string>>")
+    merged = wf.merge_regions(wf.label_regions(df))
+    got = {r["mol"]: r["labels"] for r in merged.collect()}
+    assert got == {"a": [], "b": ["H1", "L2", "CONST"], "c": [], "d": ["CONST", "CONST", "L1"], "e": ["CONST", "CONST"]}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("ArrowEvalPython") == 1
+
+
 def test_bins_and_balance(spark):
     files = spark.createDataFrame([(k, s) for k, s in enumerate([50, 60, 10, 10, 10, 200, 5])], "ord int, size int")
     got = {r["ord"]: r["bin"] for r in wf.bin_by_size(files, 100, 3).collect()}
