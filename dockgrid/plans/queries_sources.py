@@ -34,7 +34,7 @@ def _written(spark, d, models: bool = False) -> str:
     if models:
         begins = a.select("graph_id", "chain").distinct().select("graph_id", "chain", F.lit(0).cast("long").alias("serial"), F.concat(F.lit("MODEL        "), F.when(C("chain") == "A", "1").otherwise("2")).alias("value"))
         lines = lines.unionByName(begins)
-    lines.repartition("graph_id").sortWithinPartitions("graph_id", "chain", "serial").select("graph_id", "value").write.partitionBy("graph_id").text(at)
+    files.write_folders(lines.repartition("graph_id").sortWithinPartitions("graph_id", "chain", "serial"), at, "graph_id")
     return at
 
 
@@ -159,8 +159,8 @@ def a12_read_forcefield(spark, d):
 @query(f"WITH {v.ATOMS} SELECT graph_id, graph_id % 5 > 0 AS ok FROM atoms GROUP BY graph_id")
 def a13_verify_checksums(spark, d):
     at = _written(spark, d)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
-    expected = files.select(_graph().alias("graph_id"), F.element_at(F.split("path", "/"), -1).alias("name"), F.when(_graph() % 5 > 0, F.sha2("content", 256)).otherwise(F.sha2(F.lit("other"), 256)).alias("sha256"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
+    expected = found.select(_graph().alias("graph_id"), F.element_at(F.split("path", "/"), -1).alias("name"), F.when(_graph() % 5 > 0, F.sha2("content", 256)).otherwise(F.sha2(F.lit("other"), 256)).alias("sha256"))
     # Folders share names: a file is there if one of its name has the content.
     checked = structures.verify_checksums(spark, at, expected.select("name", "sha256").distinct()).groupBy("name", "sha256").agg(F.max("ok").alias("ok"))
     return expected.join(checked, ["name", "sha256"]).groupBy("graph_id").agg(F.min("ok").alias("ok"))

@@ -9,12 +9,14 @@ from __future__ import annotations
 import gzip
 import io
 import os
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -251,6 +253,43 @@ def read_listed(listing: DataFrame, split_bytes: int = 128 << 20) -> DataFrame:
     return spark.read.format("listed_files").option("ranges", at).load()
 
 
+def write_folders(lines: DataFrame, root: str, by: str, name: str = "part-0.txt") -> None:
+    """lines: by, value, in the order of each file's lines, the rows of one by in one partition and together. A folder <by>=<its value> with one file each.
+
+    Files are written in tasks through pyarrow's file systems, under a hidden name until they are whole, so a repeated task leaves one
+    file. Lines are passed on batch by batch; a file's creation is all that it costs. (Spark's own writer starts programs to set
+    permissions of local files, and moves each file again, one by one, on the driver.)
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, inner = _opened(root)
+        key, out, hidden, done = None, None, "", 0
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                system.move(hidden, f"{hidden.rpartition('/')[0]}/{name}")
+
+        for batch in batches:
+            keys, values = batch.column(0), batch.column(1)
+            ends = [*pc.indices_nonzero(pc.not_equal(keys[1:], keys[:-1])).to_pylist(), len(keys) - 1] if len(keys) else []
+            start = 0
+            for end in ends:
+                if out is None or keys[end].as_py() != key:
+                    close()
+                    key, done = keys[end].as_py(), done + 1
+                    folder = f"{inner.rstrip('/')}/{by}={key}"
+                    system.create_dir(folder, recursive=True)
+                    hidden = f"{folder}/_{uuid.uuid4().hex}"
+                    out = system.open_output_stream(hidden)
+                out.write("".join(f"{v}\n" for v in values[start : end + 1].to_pylist()).encode())
+                start = end + 1
+        close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([done], pa.int64())})
+
+    lines.select(by, "value").mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
 def _probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Adds the fault met on reading: first and last byte, packed files to their end."""
 

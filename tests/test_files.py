@@ -118,3 +118,14 @@ def test_faults_are_rows(spark, tmp_path):
     rows = files.read_listed(files.list_files(spark, str(tmp_path))).collect()
     assert sorted(r["line"] for r in rows if r["error"] is None and r["name"] != "cut.gz") == ["a", "b", "c", "��"]
     assert {r["name"] for r in rows if r["error"] is not None} == {"cut.gz", "no.gz"}
+
+
+def test_folders_are_written_whole_without_spark_moving_files(spark, tmp_path):
+    """A file longer than an Arrow batch keeps its order; nothing hidden is left; writing again leaves one file a folder."""
+    lines = spark.range(25_000).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.lit(7)).alias("g"), F.format_string("line %05d é", "id").alias("value"), "id")
+    root = f"file://{tmp_path}/out"
+    for _ in range(2):
+        files.write_folders(lines.repartition("g").sortWithinPartitions("g", "id"), root, "g")
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()) == [f"out/g={k}/part-0.txt" for k in (0, 1, 2, 7)]
+    assert (tmp_path / "out/g=7/part-0.txt").read_text() == "".join(f"line {i:05d} é\n" for i in range(3, 25_000))
+    assert (tmp_path / "out/g=2/part-0.txt").read_text() == "line 00002 é\n"
