@@ -243,9 +243,19 @@ def _apart(linked: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
     # Shingles of one label alone are in no pair asked for: they come first in the order of each E and needn't be ranked.
     common = wide.select("hub", "label", F.explode("e").alias("g")).groupBy("hub", "g").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("hub", "g", "df")
     mine = Window.partitionBy("hub", "doc_id")
-    ranked = wide.select("hub", "doc_id", F.explode("e").alias("g")).join(common, ["hub", "g"]).withColumn("after", F.count("*").over(mine) - F.row_number().over(mine.orderBy("df", "g")))
-    ranked = ranked.join(wide.drop("e"), ["hub", "doc_id"]).withColumn("place", F.col("m") - F.col("after"))
-    cut = settle(ranked.filter("place <= greatest(index_n, probe_n)").select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.expr("place <= index_n").alias("index"), F.expr("place <= probe_n").alias("probe")), "differences")
+    # Shingles of which enough of the set's others come after them to be in one of its two prefixes.
+    ranked = wide.select("hub", "doc_id", F.expr("m - greatest(index_n, probe_n)").alias("over"), F.explode("e").alias("g")).join(common, ["hub", "g"]).withColumn("after", F.count("*").over(mine) - F.row_number().over(mine.orderBy("df", "g")))
+    ranked = settle(ranked.filter("after >= over").select("hub", "doc_id", "g", "after"), "ranked")
+
+    def prefix(rows: DataFrame, kind: str, where: str = "true") -> DataFrame:
+        placed = rows.join(wide.drop("e"), ["hub", "doc_id"]).withColumn("place", F.col("m") - F.col("after")).filter(f"place <= {kind}_n AND ({where})")
+        return placed.select("hub", "g", "doc_id", "label", "n", "m", "linked", "place", F.lit(kind == "index").alias("index"), F.lit(kind == "probe").alias("probe"))
+
+    # Few sets have enough shingles to be indexed: the others' shingles are named only where one of another label is indexed, as they meet nothing elsewhere.
+    indexed = settle(prefix(ranked, "index"), "differences")
+    met = indexed.groupBy("hub", "g").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    probing = prefix(ranked.join(met, ["hub", "g"]), "probe", "label <> x OR label <> y")
+    cut = settle(indexed.unionByName(probing), "differences")
     return _meetings(cut, percent).select(F.least("i_doc_id", "j_doc_id").alias("a"), F.greatest("i_doc_id", "j_doc_id").alias("b")).distinct()
 
 

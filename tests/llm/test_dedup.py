@@ -300,3 +300,14 @@ def test_long_words_that_polynomials_cannot_tell_apart(spark, n):
     assert [r["n_removed"] for r in substring_dedup(df).orderBy("doc_id").collect()] == [0, 0, 61]
     few = spark.createDataFrame([(k, " ".join([x] * 9)) for k, x in enumerate((word, other, word))], "doc_id long, text string")
     assert [r["component_id"] for r in near_duplicates(few).orderBy("doc_id").collect()] == [0, 1, 0]
+
+
+def test_sets_probe_only_where_another_label_is_indexed(spark, monkeypatch):
+    """1 and 2 may link; 3 and 4 share some shingles, enough to probe and too few to be indexed, so none of theirs is a row."""
+    sets = {1: [*range(100, 120), *range(200, 210)], 2: [*range(100, 120), *range(300, 310)], 3: [*range(500, 530), *range(600, 620)], 4: [*range(500, 530), *range(700, 720)]}
+    linked = spark.createDataFrame([(0, d, False, 100, 100, e) for d, e in sets.items()], "hub long, doc_id long, linked boolean, hub_n int, n int, e array<long>")
+    comp = spark.createDataFrame([], "node long, label long")
+    cuts, meetings = [], near_dup._meetings
+    monkeypatch.setattr(near_dup, "_meetings", lambda cut, percent: cuts.append(cut) or meetings(cut, percent))
+    assert [tuple(r) for r in near_dup._apart(linked, comp, 80).collect()] == [(1, 2)]
+    assert {r["doc_id"] for r in cuts[0].collect()} == {1, 2}
