@@ -29,7 +29,8 @@ def write_graphs(path: str, nodes: DataFrame, edges: DataFrame, scores: DataFram
         if df is not None:
             b = df.withColumn("bucket", F.pmod(F.xxhash64("graph_id"), F.lit(buckets)).cast("int"))
             order = [c for c in STORE_ORDER if c in df.columns]
-            out = b.repartition("bucket", "graph_id").sortWithinPartitions("bucket", "graph_id", *order).write.partitionBy("bucket")
+            # A graph has one bucket, so rows dealt by graph_id already, as build_graphs leaves them, stay where they are.
+            out = b.repartition("graph_id").sortWithinPartitions("bucket", "graph_id", *order).write.partitionBy("bucket")
             out.parquet(f"{path}/{name}") if batch is None else out.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
     if batch is not None:
         spark.range(1).select(F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{path}/whole/number={batch}")

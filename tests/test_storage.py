@@ -4,6 +4,7 @@ import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from dockgrid.operators import scoring
 from dockgrid.storage import cleared, new_path, settle
@@ -82,3 +83,16 @@ def test_graphs_for_clusters_are_found_once(spark):
     for df in _internal_graphs(spark, "/root/testdata/sf0.001"):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan and "Join" not in plan
+
+
+def test_graphs_that_are_dealt_stay_when_they_are_stored(spark, tmp_path, monkeypatch):
+    """Rows dealt by graph_id aren't dealt again, and each graph is in one file of its bucket."""
+    from dockgrid.sources import tables
+
+    dealt = settle(spark.range(400).selectExpr("id % 20 AS graph_id", "id AS node_idx", "id AS src_idx"), "rows", by="graph_id")
+    plans, by = [], type(dealt).sortWithinPartitions
+    monkeypatch.setattr(type(dealt), "sortWithinPartitions", lambda self, *c: plans.append(self._jdf.queryExecution().executedPlan().toString()) or by(self, *c))
+    tables.write_graphs(str(tmp_path / "store"), dealt, dealt, buckets=4)
+    rows = spark.read.parquet(str(tmp_path / "store/nodes")).select("graph_id", "bucket", F.input_file_name().alias("f"))
+    assert rows.count() == 400 and rows.groupBy("graph_id").agg(F.countDistinct("f").alias("n")).filter("n > 1").isEmpty()
+    assert [p.count("Exchange") for p in plans] == [1, 1]
