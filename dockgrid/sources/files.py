@@ -257,8 +257,7 @@ def write_folders(lines: DataFrame, root: str, by: str, name: str = "part-0.txt"
     """lines: by, value, in the order of each file's lines, the rows of one by in one partition and together. A folder <by>=<its value> with one file each.
 
     Files are written in tasks through pyarrow's file systems, under a hidden name until they are whole, so a repeated task leaves one
-    file. Lines are passed on batch by batch; a file's creation is all that it costs. (Spark's own writer starts programs to set
-    permissions of local files, and moves each file again, one by one, on the driver.)
+    file. Lines are passed on batch by batch. (Spark's own writer, partitioned by folder, took about five times as long a further file.)
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
