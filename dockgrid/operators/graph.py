@@ -37,8 +37,10 @@ def node_set(contacts: DataFrame) -> DataFrame:
 
 def symmetrise(edges: DataFrame, a: str = "src", b: str = "dst", keys: tuple[str, ...] = ("graph_id",)) -> DataFrame:
     """Each edge in both directions, one row for a direction."""
-    swapped = edges.select(*[C(b if c == a else a if c == b else c).alias(c) for c in edges.columns])
-    return edges.unionByName(swapped).dropDuplicates([*keys, a, b])
+    # Both directions come from one row: after a union it wouldn't be known how rows are dealt.
+    ends = [F.struct(C(p).alias("a"), C(q).alias("b")) for p, q in ((a, b), (b, a))]
+    both = edges.select("*", F.explode(F.array(*ends)).alias("_ends"))
+    return both.select(*[C("_ends.a" if c == a else "_ends.b" if c == b else c).alias(c) for c in edges.columns]).dropDuplicates([*keys, a, b])
 
 
 def index_nodes(nodes: DataFrame, ident: str = "serial") -> DataFrame:

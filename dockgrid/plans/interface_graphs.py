@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
 from dockgrid.operators.energy import edge_energy_residue, lookup_forcefield, nonbonded
 from dockgrid.operators.graph import attach_contact_areas, attach_regions, backbone, edge_orientation, index_edges, index_nodes, inject_embeddings, symmetrise, valid_nodes, valid_residues
 from dockgrid.operators.spatial import bsa, contact_pairs, half_sphere_exposure, internal_pairs, radius_join, residue_centroid, residue_depth
-from dockgrid.storage import settle
+from dockgrid.storage import settle_dealt
 
 C = F.col
 FIELD = ("charge", "eps", "sigma", "eps14", "sigma14")
@@ -45,12 +45,12 @@ def build_graphs(
     if grain not in ("atom", "residue"):
         raise ValueError(f"unknown grain: {grain}")
     if forcefield:
-        atoms = settle(lookup_forcefield(atoms.drop("type", *FIELD), *forcefield), "atoms", by="graph_id")
+        atoms = settle_dealt(lookup_forcefield(atoms.drop("type", *FIELD), *forcefield), "atoms", by="graph_id")
     failed = atoms.select("graph_id", F.lit(None).cast("string").alias("error")).limit(0)
     regions = None
     if annotations is not None:
         regions, failed = attach_regions(atoms.select("graph_id", "chain", "res_seq").distinct(), annotations)
-        failed = settle(failed, "failed", by="graph_id")
+        failed = settle_dealt(failed, "failed", by="graph_id")
         atoms = atoms.join(failed, "graph_id", "left_anti")
     nodes, edges = (_atom_grain if grain == "atom" else _residue_grain)(atoms, cutoff, internal)
     if regions is not None:
@@ -68,6 +68,8 @@ def build_graphs(
         if grain == "residue":
             nodes = nodes.join(residue_depth(atoms), list(RESIDUE), "left")
     if areas is not None:
+        # Joined in both directions: found once, and dealt by graph like the edges.
+        areas = settle_dealt(areas, "areas", by="graph_id")
         edges = attach_contact_areas(edges, areas)
     if orientation:
         edges = edge_orientation(edges, backbone(atoms))
@@ -80,13 +82,15 @@ def _encoded() -> dict:
 
 def _atom_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
     # Both are read by several branches below: written once, each branch scans the columns that it needs.
-    contacts = settle(contact_pairs(atoms, cutoff), "contacts", by="graph_id")
-    nodes = settle(index_nodes(valid_nodes(atoms, contacts)).withColumns({"atom_type": atom_index("atom_name"), **_encoded()}), "nodes", by="graph_id")
+    contacts = settle_dealt(contact_pairs(atoms, cutoff), "contacts", by="graph_id")
+    nodes = settle_dealt(index_nodes(valid_nodes(atoms, contacts)).withColumns({"atom_type": atom_index("atom_name"), **_encoded()}), "nodes", by="graph_id")
     within = internal_pairs(nodes.select("graph_id", "chain", "serial", "x", "y", "z"), internal)
     pairs = contacts.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("interface").alias("edge_type"), "d2").unionByName(within.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.lit("internal").alias("edge_type"), "d2"))
-    edges = index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes)
-    side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in ("chain", "res_seq", *FIELD)])
-    full = edges.join(side("l", "src_idx"), ["graph_id", "src_idx"]).join(side("r", "dst_idx"), ["graph_id", "dst_idx"]).withColumn("d", F.sqrt("d2"))
+    pairs = pairs.repartition("graph_id")  # a union hides how its parts are dealt
+    # index_edges with what the energies need of the ends, in the same two joins. Edges of which an end is no node go.
+    side = lambda p, end: nodes.select("graph_id", C("serial").alias(end), C("node_idx").alias(f"{end}_idx"), *[C(k).alias(f"{p}_{k}") for k in ("chain", "res_seq", *FIELD)])
+    edges = symmetrise(pairs, keys=("graph_id", "edge_type"))
+    full = edges.join(side("l", "src"), ["graph_id", "src"]).join(side("r", "dst"), ["graph_id", "dst"]).withColumn("d", F.sqrt("d2"))
     ends = [C("l_chain").alias("s_chain"), C("l_res_seq").alias("s_res"), C("r_chain").alias("d_chain"), C("r_res_seq").alias("d_res")]
     return nodes, nonbonded(full).select("graph_id", "src", "dst", "src_idx", "dst_idx", "edge_type", C("d").alias("dist"), "elec", "vdw", "covalent", *ends)
 
@@ -94,14 +98,14 @@ def _atom_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataF
 def _residue_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[DataFrame, DataFrame]:
     atoms = atoms.withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
     ends = ("l_residue", "r_residue")
-    contacts = settle(contact_pairs(atoms, cutoff, ident="residue").select("graph_id", *ends).distinct(), "contacts", by="graph_id")
+    contacts = settle_dealt(contact_pairs(atoms, cutoff, ident="residue").select("graph_id", *ends).distinct(), "contacts", by="graph_id")
     places = residue_centroid(atoms).withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
-    nodes = settle(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes", by="graph_id")
+    nodes = settle_dealt(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes", by="graph_id")
     own = atoms.join(nodes.select("graph_id", "residue"), ["graph_id", "residue"], "left_semi").select("graph_id", "chain", "residue", "x", "y", "z")
     within = radius_join(own, own, internal, on=("graph_id", "chain"), strict=True, where="l_residue < r_residue").select(C("l_graph_id").alias("graph_id"), *ends).distinct()
     pairs = contacts.withColumn("edge_type", F.lit("interface")).unionByName(within.withColumn("edge_type", F.lit("internal")))
-    pairs = pairs.select("graph_id", C("l_residue").alias("src"), C("r_residue").alias("dst"), "edge_type")
-    edges = settle(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges", by="graph_id")
+    pairs = pairs.select("graph_id", C("l_residue").alias("src"), C("r_residue").alias("dst"), "edge_type").repartition("graph_id")  # a union hides how its parts are dealt
+    edges = settle_dealt(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges", by="graph_id")
     side = lambda p, end: nodes.select("graph_id", C("node_idx").alias(end), *[C(k).alias(f"{p}_{k}") for k in RESIDUE[1:]])
     named = edges.join(side("l", "src_idx"), ["graph_id", "src_idx"]).join(side("r", "dst_idx"), ["graph_id", "dst_idx"])
     key = ["graph_id", *[f"{p}_{k}" for p in "lr" for k in RESIDUE[1:]]]
@@ -109,20 +113,23 @@ def _residue_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[Da
     return nodes, scored.select("graph_id", "src", "dst", "src_idx", "dst_idx", "edge_type", "dist", "elec", "vdw", "covalent", C("l_chain").alias("s_chain"), C("l_res_seq").alias("s_res"), C("r_chain").alias("d_chain"), C("r_res_seq").alias("d_res"))
 
 
-def graph_summary(graphs: dict[str, DataFrame]) -> DataFrame:
-    """One row a molecule: nodes, edges by type, smallest distance, sum of elec, edges with negative vdw."""
+def graph_summary(graphs: dict[str, DataFrame], of_nodes: list[Column] | None = None, of_edges: list[Column] | None = None) -> DataFrame:
+    """One row a molecule: nodes, edges by type, smallest distance, sum of elec, edges with negative vdw; then more aggregates of nodes and of edges.
+
+    Nodes and edges are read once, whatever is asked for."""
     e = graphs["edges"].groupBy("graph_id").agg(
-        F.count_if(C("edge_type") == "interface").alias("n_interface"), F.count_if(C("edge_type") == "internal").alias("n_internal"), F.round(F.min("dist"), 4).alias("min_dist"), F.round(F.sum("elec"), 2).alias("sum_elec"), F.count_if(C("vdw") < 0).alias("n_attractive")
+        F.count_if(C("edge_type") == "interface").alias("n_interface"), F.count_if(C("edge_type") == "internal").alias("n_internal"), F.round(F.min("dist"), 4).alias("min_dist"), F.round(F.sum("elec"), 2).alias("sum_elec"), F.count_if(C("vdw") < 0).alias("n_attractive"), *(of_edges or [])
     )
-    return graphs["nodes"].groupBy("graph_id").agg(F.count("*").alias("n_nodes")).join(e, "graph_id", "left").fillna(0, ["n_interface", "n_internal", "n_attractive"])
+    n = graphs["nodes"].groupBy("graph_id").agg(F.count("*").alias("n_nodes"), *(of_nodes or []))
+    own, more = n.columns[:2], n.columns[2:]
+    main, rest = e.columns[1:6], e.columns[6:]
+    return n.join(e, "graph_id", "left").select(*own, *main, *more, *rest).fillna(0, ["n_interface", "n_internal", "n_attractive"])
 
 
 def feature_summary(graphs: dict[str, DataFrame]) -> DataFrame:
     """graph_summary of whole graphs beside sums of what the optional tables gave: regions, embeddings, areas, orientation, exposure."""
-    n, e = graphs["nodes"], graphs["edges"]
     of_nodes = [F.count_if(C("region") == "AG").alias("n_antigen"), F.countDistinct("region").alias("n_regions"), F.round(F.sum("embedding"), 4).alias("sum_embedding")]
-    of_nodes += [F.sum(k).alias(k) for k in ("up", "down") if k in n.columns]
+    of_nodes += [F.sum(k).alias(k) for k in ("up", "down") if k in graphs["nodes"].columns]
     o = C("orientation")
     of_edges = [F.round(F.sum("voro_area"), 2).alias("sum_area"), F.round(F.sum(o[0] + 2 * o[1] + 3 * o[2]), 1).alias("sum_orientation")]
-    out = graph_summary(graphs).join(n.groupBy("graph_id").agg(*of_nodes), "graph_id")
-    return out.join(e.groupBy("graph_id").agg(*of_edges), "graph_id", "left")
+    return graph_summary(graphs, of_nodes, of_edges)

@@ -8,7 +8,7 @@ from dockgrid.operators import spatial as sp
 from dockgrid.plans import views as v
 from dockgrid.plans.interface_graphs import build_graphs, feature_summary
 from dockgrid.plans.queries import _FRAME, _UNIT, ENERGY, INTERNAL, LJ, NODES, RES_CONTACTS, TOPOLOGY, query
-from dockgrid.storage import settle
+from dockgrid.storage import settle_dealt
 
 C = F.col
 LABELS = ["CONST", "H1", "L3", "FR"]
@@ -62,7 +62,7 @@ directed AS (SELECT graph_id, l_chain AS s_chain, l_res AS s_res, r_chain AS d_c
 s AS (SELECT graph_id, 2 * count(*) FILTER (NOT same) AS n_interface, 2 * count(*) FILTER (same) AS n_internal, round(min(d), 4) AS min_dist, round(2 * sum(elec), 2) AS sum_elec, 2 * count(*) FILTER (vdw < 0) AS n_attractive, round(2 * sum(area), 2) AS sum_area FROM e GROUP BY graph_id)
 {ALL.format(nodes=OF_NODES.format(more="", join=""))}""")
 def j11_atom_features(spark, d):
-    a = settle(v.atoms(spark, d).drop("charge", "eps", "sigma", "eps14", "sigma14"), "atoms", by="graph_id")
+    a = settle_dealt(v.atoms(spark, d).drop("charge", "eps", "sigma", "eps14", "sigma14"), "atoms", by="graph_id")
     areas = sp.contact_pairs(a).filter((C("l_serial") + C("r_serial")) % 3 > 0).select("graph_id", C("l_serial").alias("u"), C("r_serial").alias("v"), F.round("d2", 3).alias("area"))
     return feature_summary(build_graphs(a, forcefield=_forcefield(spark, a), annotations=_annotations(a), embeddings=_embeddings(spark, d), areas=areas, orientation=True))
 
@@ -86,7 +86,7 @@ hse AS (SELECT graph_id, chain, res_seq, res_name, count(*) FILTER (side > 0) AS
 s AS (SELECT graph_id, 2 * count(*) FILTER (NOT same) AS n_interface, 2 * count(*) FILTER (same) AS n_internal, round(min(d), 4) AS min_dist, round(2 * sum(elec), 2) AS sum_elec, 2 * count(*) FILTER (vdw < 0) AS n_attractive, round(2 * sum(CASE WHEN NOT same AND (l_res_seq + r_res_seq) % 3 > 0 THEN round(d, 3) ELSE 0 END), 2) AS sum_area FROM e GROUP BY graph_id)
 {ALL.format(nodes=OF_NODES.format(more=", sum(coalesce(h.up, 0))::BIGINT AS up, sum(coalesce(h.down, 0))::BIGINT AS down", join=" LEFT JOIN hse h ON h.graph_id = n.graph_id AND h.chain = n.chain AND h.res_seq = n.res_seq AND h.res_name = n.res_name"))}""")
 def j11_residue_features(spark, d):
-    a = settle(v.atoms(spark, d), "atoms", by="graph_id")
+    a = settle_dealt(v.atoms(spark, d), "atoms", by="graph_id")
     c = sp.residue_contacts(a).filter((C("l_res_seq") + C("r_res_seq")) % 3 > 0)
     areas = c.select("graph_id", F.concat_ws(".", F.lit("A"), "l_res_seq", "l_res_name").alias("u"), F.concat_ws(".", F.lit("B"), "r_res_seq", "r_res_name").alias("v"), F.round("d", 3).alias("area"))
     return feature_summary(build_graphs(a, grain="residue", annotations=_annotations(a), embeddings=_embeddings(spark, d), areas=areas, orientation=True, exposure=12.0))

@@ -77,6 +77,22 @@ def settle(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return back.repartition(by)
 
 
+def settle_dealt(df: DataFrame, name: str, by: str) -> DataFrame:
+    """settle for a table of which several joins read different columns: rows are dealt by `by` once, before they are written, as buckets.
+
+    Joins, groups and windows on it (alone or among others) then move nothing, whoever reads. There are spark.sql.shuffle.partitions buckets.
+    The catalog names the table only until it is resolved; the files stay, as settle's do.
+    """
+    spark = df.sparkSession
+    stay_dealt(spark)
+    at, n = new_path(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = at.rpartition("/")[2].replace("-", "_")
+    df.repartition(n, by).write.format("parquet").bucketBy(n, by).option("path", at).saveAsTable(table)
+    back = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return back
+
+
 def if_small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """df to be broadcast if it has at most most_rows rows, as it is (for a shuffled join) otherwise."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

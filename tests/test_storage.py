@@ -96,3 +96,36 @@ def test_graphs_that_are_dealt_stay_when_they_are_stored(spark, tmp_path, monkey
     rows = spark.read.parquet(str(tmp_path / "store/nodes")).select("graph_id", "bucket", F.input_file_name().alias("f"))
     assert rows.count() == 400 and rows.groupBy("graph_id").agg(F.countDistinct("f").alias("n")).filter("n > 1").isEmpty()
     assert [p.count("Exchange") for p in plans] == [1, 1]
+
+
+def test_dealt_tables_are_read_where_they_lie(spark):
+    """Tables that were dealt before they were written join without an exchange; null keys stay rows, the catalog and blocks keep nothing."""
+    from dockgrid.storage import settle_dealt
+
+    before = folders(spark)
+    with cleared(spark):
+        a, b = (settle_dealt(spark.range(100).selectExpr("nullif(id % 7, 3) AS graph_id", "id", "array(id) AS ids"), "dealt", by="graph_id") for _ in range(2))
+        both = a.hint("merge").join(b, ["graph_id", "id"])
+        assert "Exchange" not in both._jdf.queryExecution().executedPlan().toString() and both.count() == 86
+        assert a.filter("graph_id IS NULL").count() == 14 and sorted(r["ids"][0] for r in a.collect()) == list(range(100))
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("dealt")] and len(folders(spark) - before) == 2
+    assert folders(spark) == before
+
+
+def test_whole_graphs_are_dealt_once(spark):
+    """Joins of edges with nodes, areas and frames move nothing: of the whole graph's edges only the pairs move, once, before they are turned."""
+    from dockgrid.plans import queries_graphs, views
+    from dockgrid.plans.interface_graphs import build_graphs
+    from dockgrid.storage import settle
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = views.atoms(spark, "/root/testdata/sf0.001").drop("charge", "eps", "sigma", "eps14", "sigma14")
+        areas = settle(a.selectExpr("graph_id", "serial AS u", "serial + 1 AS v", "x AS area"), "areas")
+        for grain, u in (("atom", "u"), ("residue", "string(u)")):
+            some = areas.selectExpr("graph_id", f"{u} AS u", f"{u.replace('u', 'v')} AS v", "area")
+            edges = build_graphs(a, grain=grain, forcefield=queries_graphs._forcefield(spark, a), areas=some, orientation=True)["edges"]
+            assert edges._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 1 and edges.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
