@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from dockgrid.operators.graph import pool_edges
 from dockgrid.storage import settle
@@ -31,12 +35,118 @@ def mcl_step(m: DataFrame, inflation: float = 2.0, prune: float = 0.001) -> Data
     return column_normalised(inflated)
 
 
-def mcl(nodes: DataFrame, edges: DataFrame, inflation: float = 2.0, prune: float = 0.001, most_rounds: int = 90, tolerance: float = 1e-5) -> DataFrame:
+def _columns_step(i: np.ndarray, j: np.ndarray, v: np.ndarray, n: int, inflation: float, prune: float, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """mcl_step on arrays: entries v at (i, j) of an n x n matrix, sorted by (j, i). Columns are expanded in blocks of about most products."""
+    first = np.searchsorted(j, np.arange(n + 1))
+    size = np.diff(first)[i]
+    done = np.concatenate(([0], np.cumsum(size)))
+    found, e = [], 0
+    while e < len(j):
+        # Whole columns, one at least.
+        end = int(np.searchsorted(done, done[e] + most, "right")) - 1
+        end = max(int(first[j[min(end, len(j) - 1)]]) if end < len(j) else len(j), int(first[j[e] + 1]))
+        part = size[e:end]
+        at = np.arange(done[end] - done[e]) + np.repeat(first[i[e:end]] - done[e:end] + done[e], part)
+        key = np.repeat(j[e:end], part) * n + i[at]
+        order = np.argsort(key, kind="stable")
+        key, product = key[order], (v[at] * np.repeat(v[e:end], part))[order]
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, w = key[starts], np.add.reduceat(product, starts) ** inflation
+        column = key // n
+        w = w / np.bincount(column, w)[column]
+        key, column, w = (x[w >= prune] for x in (key, column, w))
+        found.append((key % n, column, w / np.bincount(column, w)[column]))
+        e = end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (i, j, v)
+
+
+def _attractors(graph: np.ndarray, a: np.ndarray, b: np.ndarray, inflation: float, prune: float, most_rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Graph, node and cluster of the nodes of many graphs, whose loops and edges are a to b: one matrix of blocks, from which graphs drop out as they stand still."""
+    graph, a, b = np.concatenate((graph, graph)), np.concatenate((a, b)), np.concatenate((b, a))
+    order = np.lexsort((a, graph))
+    new = np.concatenate(([True], (np.diff(graph[order]) != 0) | (np.diff(a[order]) != 0)))
+    owner, node = graph[order][new], a[order][new]  # by graph, then node: numbers keep the order of nodes
+    n, ident = len(node), np.empty(len(a), np.int64)
+    ident[order] = np.cumsum(new) - 1
+    half = len(a) // 2
+    key = np.unique(ident * n + np.concatenate((ident[half:], ident[:half])))
+    i, j = key % n, key // n
+    v = 1.0 / np.bincount(j, minlength=n)[j]
+    out = []
+    for _ in range(0, most_rounds, 3):
+        before = j * n + i, v
+        for _ in range(3):
+            i, j, v = _columns_step(i, j, v, n, inflation, prune)
+        both, at = np.unique(np.concatenate((before[0], j * n + i)), return_inverse=True)
+        change = np.bincount(at, np.concatenate((-before[1], v)), len(both))
+        moving = np.isin(owner, owner[both[np.abs(change) > tolerance] // n])
+        # Of a column's largest entries (to six places) the smallest node.
+        still = ~moving[j]
+        si, sj, sv = i[still], j[still], np.floor(v[still] * 1e6 + 0.5)
+        top = np.lexsort((si, -sv, sj))
+        si, sj = si[top], sj[top]
+        lead = np.flatnonzero(np.concatenate(([True], sj[1:] != sj[:-1]))) if len(sj) else []
+        out.append((sj[lead], si[lead]))
+        i, j, v = i[~still], j[~still], v[~still]
+        if not len(j):
+            nodes, clusters = (np.concatenate(x) for x in zip(*out, strict=True))
+            return owner[nodes], node[nodes], node[clusters]
+    raise RuntimeError(f"the matrix still changes after {most_rounds} rounds")
+
+
+def _graph_by_graph(run: Callable, least: int = 50_000):
+    """run on arrays of whole graphs, whose rows (graph_id, i, j) come together: at least so many rows at a time, if there are."""
+
+    def of(t: pa.Table) -> pa.RecordBatch:
+        names = t.column("graph_id").combine_chunks().dictionary_encode()
+        graph, node, found = run(np.asarray(names.indices), *(t.column(c).to_numpy() for c in "ij"))
+        kind = t.schema.field("i").type
+        return pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(graph)), pa.array(node, kind), pa.array(found, kind)], ["graph_id", "node", "cluster"])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= least:
+                t = pa.Table.from_batches(held)
+                graph = np.asarray(t.column("graph_id").combine_chunks().dictionary_encode().indices)
+                end = int(np.argmax(graph == graph[-1]))  # the last graph may go on
+                if end:
+                    yield of(t.slice(0, end))
+                held = t.slice(end).to_batches()
+        if held:
+            yield of(pa.Table.from_batches(held))
+
+    return call
+
+
+def mcl(nodes: DataFrame, edges: DataFrame, inflation: float = 2.0, prune: float = 0.001, most_rounds: int = 90, tolerance: float = 1e-5, most_rows: int = 10_000) -> DataFrame:
     """graph_id, node, cluster: the smallest attractor of the node's column. Isolated nodes are clusters of their own.
 
-    Steps until three of them change no entry by more than tolerance; raises if that is not so after most_rounds.
+    Steps until three of them change no entry of the graph by more than tolerance; raises if that is not so after most_rounds. Graphs of at most
+    most_rows nodes and edges are stepped as arrays, many of them at a time, by the task to which they are dealt: nothing but nodes and
+    edges moves or is written. For larger ones each step is a join of the matrix's entries, three steps a table.
     """
-    m = settle(mcl_start(nodes, edges), "mcl")
+    loops = nodes.select("graph_id", C("node").alias("i"), C("node").alias("j"))
+    pairs = settle(loops.union(edges.select("graph_id", C("src").alias("i"), C("dst").alias("j"))).dropna(), "mcl", by="graph_id")
+    large = settle(pairs.groupBy("graph_id").count().filter(C("count") > most_rows).select("graph_id"), "large")
+    fields = {f.name: f.dataType for f in pairs.schema.fields}
+    schema = T.StructType().add("graph_id", fields["graph_id"]).add("node", fields["i"]).add("cluster", fields["i"])
+    run = lambda graph, a, b: _attractors(graph, a, b, inflation, prune, most_rounds, tolerance)
+    # The count brings graphs whole to a task, their rows together.
+    small = pairs.withColumn("n", F.count("*").over(Window.partitionBy("graph_id"))).filter(C("n") <= most_rows).select("graph_id", "i", "j")
+    found = small.mapInArrow(_graph_by_graph(run), schema)
+    if large.isEmpty():
+        return found
+    big = pairs.join(large, "graph_id", "left_semi")
+    return found.union(_mcl_by_joins(big, inflation, prune, most_rounds, tolerance))
+
+
+def _mcl_by_joins(pairs: DataFrame, inflation: float, prune: float, most_rounds: int, tolerance: float) -> DataFrame:
+    """mcl of graph_id, i, j (loops and edges) in joins of matrix entries."""
+    m = settle(mcl_start(pairs.filter("i = j").select("graph_id", C("i").alias("node")), pairs.filter("i <> j").select("graph_id", C("i").alias("src"), C("j").alias("dst"))), "mcl")
     for _ in range(0, most_rounds, 3):
         before = m.withColumnRenamed("v", "old")
         for _ in range(3):
@@ -136,7 +246,7 @@ def cluster_hierarchy(nodes: DataFrame, edges: DataFrame, present: DataFrame | N
     if present is not None:
         there = present.select("graph_id").distinct()
         nodes, edges = nodes.join(there, "graph_id", "left_anti"), edges.join(there, "graph_id", "left_anti")
-    zero = settle(mcl(nodes, edges, **options), "depth0")
+    zero = settle(mcl(nodes, edges, **options), "depth0", by="graph_id")
     pooled = pool_edges(edges.select("graph_id", "src", "dst", F.lit(1.0).alias("weight")), zero)
     one = mcl(zero.select("graph_id", C("cluster").alias("node")).distinct(), pooled.select("graph_id", "src", "dst"), **options)
     return zero.withColumnRenamed("cluster", "depth_0").join(one.select("graph_id", C("node").alias("depth_0"), C("cluster").alias("depth_1")), ["graph_id", "depth_0"]).select("graph_id", "node", "depth_0", "depth_1")

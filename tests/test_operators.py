@@ -194,6 +194,24 @@ def test_clusters_of_two_triangles(spark):
     assert groups(deep, "depth_0") == want and len({r["depth_1"] for r in deep}) <= 3
 
 
+def test_small_graphs_are_clustered_in_tasks(spark, monkeypatch):
+    """Graphs of few rows take no join a step; they get what joins of matrix entries give, alone or beside a graph that is too large."""
+    rng = np.random.default_rng(4)
+    rows = {(f"g{g}", int(a), int(b)) for g, n in enumerate((3, 9, 40, 150)) for a, b in rng.integers(0, n, (3 * n // 2, 2))}
+    edges = spark.createDataFrame(sorted(rows), "graph_id string, src long, dst long")
+    nodes = spark.createDataFrame([(f"g{g}", k) for g, n in enumerate((3, 9, 40, 150)) for k in range(n)], "graph_id string, node long")
+    plain = lambda df: sorted(map(tuple, df.collect()))
+    want = plain(cluster.mcl(nodes, edges, most_rows=0))
+    assert plain(cluster.mcl(nodes, edges, most_rows=200)) == want and len(want) == 202
+    monkeypatch.setattr(cluster, "mcl_step", None)
+    assert plain(cluster.mcl(nodes, edges)) == want
+    graph, a, b = (np.array(x) for x in zip(*[(int(g[1:]), x, y) for g, x, y in rows] + [(3, k, k) for k in range(150)], strict=True))
+    i, j, v = a[graph == 3], b[graph == 3], np.ones((graph == 3).sum())
+    at = np.lexsort((i, j))
+    whole, cut = (cluster._columns_step(i[at], j[at], v, 150, 2.0, 0.001, most) for most in (10**6, 1))
+    assert all(np.array_equal(x, y) for x, y in zip(whole, cut, strict=True))
+
+
 def test_embeddings_on_missing(spark):
     nodes = spark.createDataFrame([("m", "A", 1), ("m", "A", 9), ("n", "A", 1)], "mol string, chain string, res_seq int")
     emb = spark.createDataFrame([("m.A", [0.5, 0.25])], "label string, values array<float>")
