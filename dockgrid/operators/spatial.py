@@ -55,6 +55,37 @@ def radius_join(left: DataFrame, right: DataFrame, cutoff: float, on: tuple[str,
     return both.drop(*[f"cell_{k}" for k in "xyz"], *[f"at_{k}" for k in "xyz"])
 
 
+def own_pairs(points: DataFrame, cutoff: float, order: tuple[str, ...], on: tuple[str, ...] = ("graph_id",), strict: bool = False) -> DataFrame:
+    """radius_join of points with themselves, each pair once: the one that comes first by `order` is left; points that are alike there are no pair.
+
+    Points are copied only into the touched cells from their own on, which is half of them: of two points in different cells one
+    meets the other, and the sides are set right afterwards.
+    """
+    a = points.select(*[C(c).alias(f"l_{c}") for c in points.columns]).select("*", *[_cell(f"l_{k}", cutoff).alias(f"own_{k}") for k in "xyz"])
+    a = a.withColumn("cell_x", F.explode(F.expr(f"sequence(own_x, floor((l_x + {cutoff}D) / {2 * cutoff}D))")))
+    for k in "yz":
+        a = a.withColumn(f"cell_{k}", F.explode(_touched(f"l_{k}", cutoff)))
+    a = a.filter("cell_x > own_x OR cell_y > own_y OR (cell_y = own_y AND cell_z >= own_z)")
+    a = a.withColumn("_home", F.expr("cell_x = own_x AND cell_y = own_y AND cell_z = own_z")).drop(*[f"own_{k}" for k in "xyz"])
+    b = points.select(*[C(c).alias(f"r_{c}") for c in points.columns]).select("*", *[_cell(f"r_{k}", cutoff).alias(f"at_{k}") for k in "xyz"])
+    match = [C(f"l_{k}") == C(f"r_{k}") for k in on] + [C(f"cell_{k}") == C(f"at_{k}") for k in "xyz"]
+    d = [C(f"l_{k}") - C(f"r_{k}") for k in "xyz"]
+    d2 = d[0] * d[0] + d[1] * d[1] + d[2] * d[2]
+    match.append(d2 < cutoff * cutoff if strict else d2 <= cutoff * cutoff)
+    left, right = (C(f"{p}_{order[0]}") if len(order) == 1 else F.struct(*[C(f"{p}_{c}").alias(c) for c in order]) for p in "lr")
+    match.append((left < right) | (~C("_home") & (left > right)))
+    both = a.hint("merge").join(b, match)
+    # Keys are equal on both sides; turned, they would hide how the rows are dealt.
+    turned = [C(f"{p}_{c}") if c in on else F.when(left < right, C(f"{p}_{c}")).otherwise(C(f"{q}_{c}")).alias(f"{p}_{c}") for p, q in ("lr", "rl") for c in points.columns]
+    return both.select(*turned, d2.alias("d2"))
+
+
+def _dealt(atoms: DataFrame) -> DataFrame:
+    """atoms dealt by molecule before they are copied into cells: what needs no serial prunes a view's own dealing away."""
+    stay_dealt(atoms.sparkSession)
+    return atoms.repartition("graph_id")
+
+
 def contact_pairs(atoms: DataFrame, cutoff: float = 5.0, side: str = "chain", first: str = "A", second: str = "B", ident: str = "serial", keep: tuple[str, ...] = ()) -> DataFrame:
     """Cross-chain contacts of heavy atoms, distance <= cutoff: graph_id, l_/r_ of ident and keep, d2."""
     cols = ["graph_id", ident, *keep, "x", "y", "z"]
@@ -67,22 +98,25 @@ def internal_pairs(nodes: DataFrame, cutoff: float = 3.0, ident: str = "serial",
     """Same-chain pairs nearer than cutoff, each once (smaller ident left)."""
     cols = ["graph_id", "chain", ident, *keep, "x", "y", "z"]
     n = nodes.select(*cols)
-    return radius_join(n, n, cutoff, on=("graph_id", "chain"), strict=True, where=f"l_{ident} < r_{ident}").select(
+    return own_pairs(n, cutoff, (ident,), on=("graph_id", "chain"), strict=True).select(
         C("l_graph_id").alias("graph_id"), C("l_chain").alias("chain"), *[C(f"{p}_{c}") for p in "lr" for c in (ident, *keep)], "d2"
     )
 
 
 def residue_contacts(atoms: DataFrame, cutoff: float = 5.0) -> DataFrame:
     """Residue pairs across chains of which some atoms are in contact: graph_id, l_/r_ of res_seq and res_name, d (the smallest distance)."""
-    pairs = contact_pairs(atoms, cutoff, keep=("res_seq", "res_name"))
+    # The same columns on both sides, so that they are dealt once.
+    keys = ("graph_id", "chain", "res_seq", "res_name", "x", "y", "z")
+    dealt = _dealt(atoms.select(*keys, *[c for c in ("atom_name",) if c in atoms.columns]))
+    pairs = contact_pairs(dealt, cutoff, ident="res_seq", keep=("res_name",))
     return pairs.groupBy("graph_id", "l_res_seq", "l_res_name", "r_res_seq", "r_res_name").agg(F.sqrt(F.min("d2")).alias("d"))
 
 
 def residue_internal_pairs(atoms: DataFrame, cutoff: float = 3.0) -> DataFrame:
     """Residue pairs of one chain of which some atoms are nearer than cutoff, each once; d is the smallest distance."""
     cols = ["graph_id", "chain", "res_seq", "res_name", "x", "y", "z"]
-    a = atoms.select(*cols)
-    pairs = radius_join(a, a, cutoff, on=("graph_id", "chain"), strict=True, where="(l_res_seq, l_res_name) < (r_res_seq, r_res_name)")
+    a = _dealt(atoms.select(*cols))
+    pairs = own_pairs(a, cutoff, ("res_seq", "res_name"), on=("graph_id", "chain"), strict=True)
     return pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_chain").alias("chain"), "l_res_seq", "l_res_name", "r_res_seq", "r_res_name").agg(F.sqrt(F.min("d2")).alias("d"))
 
 
@@ -310,9 +344,7 @@ def sasa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool
 def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float = 5.0) -> DataFrame:
     """Buried area of contact residues: chain alone minus complex."""
     res = ["graph_id", "chain", "res_seq", "res_name"]
-    # Dealt by molecule before it is copied into cells: contacts of residues need no serial, so a view's own dealing may be pruned away.
-    stay_dealt(atoms.sparkSession)
-    atoms = atoms.repartition("graph_id")
+    atoms = _dealt(atoms)
     # Both ends of a pair in one pass over the pairs.
     pairs = contact_pairs(atoms, cutoff, ident="res_seq", keep=("res_name",))
     ends = F.explode(F.array(*[F.struct(F.lit(side).alias("chain"), C(f"{p}_res_seq").alias("res_seq"), C(f"{p}_res_name").alias("res_name")) for p, side in (("l", "A"), ("r", "B"))]))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dockgrid.functions.scalars import atom_index, hydropathy, polarity_index, residue_index
 from dockgrid.operators.energy import edge_energy_residue, lookup_forcefield, nonbonded
 from dockgrid.operators.graph import attach_contact_areas, attach_regions, backbone, edge_orientation, index_edges, index_nodes, inject_embeddings, symmetrise, valid_nodes, valid_residues
-from dockgrid.operators.spatial import bsa, contact_pairs, half_sphere_exposure, internal_pairs, radius_join, residue_centroid, residue_depth
+from dockgrid.operators.spatial import bsa, contact_pairs, half_sphere_exposure, internal_pairs, own_pairs, residue_centroid, residue_depth
 from dockgrid.storage import settle_dealt
 
 C = F.col
@@ -102,7 +102,7 @@ def _residue_grain(atoms: DataFrame, cutoff: float, internal: float) -> tuple[Da
     places = residue_centroid(atoms).withColumn("residue", F.concat_ws(".", "chain", "res_seq", "res_name"))
     nodes = settle_dealt(index_nodes(valid_residues(places, contacts), "residue").withColumns(_encoded()), "nodes", by="graph_id")
     own = atoms.join(nodes.select("graph_id", "residue"), ["graph_id", "residue"], "left_semi").select("graph_id", "chain", "residue", "x", "y", "z")
-    within = radius_join(own, own, internal, on=("graph_id", "chain"), strict=True, where="l_residue < r_residue").select(C("l_graph_id").alias("graph_id"), *ends).distinct()
+    within = own_pairs(own, internal, ("residue",), on=("graph_id", "chain"), strict=True).select(C("l_graph_id").alias("graph_id"), *ends).distinct()
     pairs = contacts.withColumn("edge_type", F.lit("interface")).unionByName(within.withColumn("edge_type", F.lit("internal")))
     pairs = pairs.select("graph_id", C("l_residue").alias("src"), C("r_residue").alias("dst"), "edge_type").repartition("graph_id")  # a union hides how its parts are dealt
     edges = settle_dealt(index_edges(symmetrise(pairs, keys=("graph_id", "edge_type")), nodes, "residue"), "edges", by="graph_id")

@@ -194,6 +194,30 @@ def test_clusters_of_two_triangles(spark):
     assert groups(deep, "depth_0") == want and len({r["depth_1"] for r in deep}) <= 3
 
 
+def test_pairs_within_a_table_come_once(spark):
+    """own_pairs against all pairs: points on borders of cells, at negative places, equal places, equal orders and without a place; half of the copies."""
+    rng = np.random.default_rng(6)
+    xyz = rng.integers(-12, 13, (300, 3)) * 0.75
+    rows = [(f"g{k % 2}", k // 4, *map(float, p)) for k, p in enumerate(xyz)] + [("g0", 900, None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "graph_id string, serial int, x double, y double, z double")
+    for strict in (True, False):
+        found = sp.own_pairs(df, 3.0, ("serial",), strict=strict)
+        key = lambda r, p: (r[f"{p}_serial"], r[f"{p}_x"], r[f"{p}_y"], r[f"{p}_z"])
+        got = sorted((r["l_graph_id"], key(r, "l"), key(r, "r"), r["d2"]) for r in found.collect())
+        d2 = lambda a, b: sum((u - v) ** 2 for u, v in zip(a[2:], b[2:], strict=True))
+        want = sorted((a[0], a[1:], b[1:], d2(a, b)) for a in rows[:-1] for b in rows[:-1] if a[0] == b[0] and a[1] < b[1] and (d2(a, b) < 9 if strict else d2(a, b) <= 9))
+        assert got == want and len(want) > 100
+
+
+def test_residue_pairs_move_each_atom_once(spark):
+    """Atoms are dealt before they are copied into cells, and nothing moves after that."""
+    rows = [("g", c, k % 9, "ALA", "CA", k, float(k % 7), float(k % 5), 0.0) for k in range(60) for c in "AB"]
+    atoms = spark.createDataFrame(rows, "graph_id string, chain string, res_seq int, res_name string, atom_name string, serial int, x double, y double, z double")
+    for found in (sp.residue_internal_pairs(atoms), sp.residue_contacts(atoms)):
+        moved = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+        assert moved and not any("cell_" in line or "d2" in line for line in moved)
+
+
 def test_small_graphs_are_clustered_in_tasks(spark, monkeypatch):
     """Graphs of few rows take no join a step; they get what joins of matrix entries give, alone or beside a graph that is too large."""
     rng = np.random.default_rng(4)
