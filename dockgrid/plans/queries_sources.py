@@ -159,11 +159,11 @@ def a12_read_forcefield(spark, d):
 @query(f"WITH {v.ATOMS} SELECT graph_id, graph_id % 5 > 0 AS ok FROM atoms GROUP BY graph_id")
 def a13_verify_checksums(spark, d):
     at = _written(spark, d)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(at)
-    expected = found.select(_graph().alias("graph_id"), F.element_at(F.split("path", "/"), -1).alias("name"), F.when(_graph() % 5 > 0, F.sha2("content", 256)).otherwise(F.sha2(F.lit("other"), 256)).alias("sha256"))
+    found = files.hashed_files(files.list_files(spark, at)).select(_graph().alias("graph_id"), "name", F.when(_graph() % 5 > 0, C("sha256")).otherwise(F.sha2(F.lit("other"), 256)).alias("sha256"))
+    expected = settle(found, "expected")
     # Folders share names: a file is there if one of its name has the content.
-    checked = structures.verify_checksums(spark, at, expected.select("name", "sha256").distinct()).groupBy("name", "sha256").agg(F.max("ok").alias("ok"))
-    return expected.join(checked, ["name", "sha256"]).groupBy("graph_id").agg(F.min("ok").alias("ok"))
+    checked = structures.verify_checksums(spark, at, expected.select("name", "sha256").distinct()).select("name", "sha256", "ok")
+    return expected.join(checked, ["name", "sha256"], "left").groupBy("graph_id").agg(F.min(F.coalesce("ok", F.lit(False))).alias("ok"))
 
 
 @query(f"WITH {v.ATOMS} SELECT graph_id, count(*) AS n, round(sqrt(var_pop(x) + var_pop(y) + var_pop(z)), 4) AS rmsd FROM atoms GROUP BY graph_id")

@@ -7,6 +7,7 @@ opened in tasks through pyarrow's file systems, so a root is a path or an addres
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
 import os
 import uuid
@@ -289,6 +290,28 @@ def write_folders(lines: DataFrame, root: str, by: str, name: str = "part-0.txt"
     lines.select(by, "value").mapInArrow(write, "files long").agg(F.sum("files")).collect()
 
 
+def _hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Adds the SHA-256 of each file's bytes, read block by block; a file that can't be read has an error."""
+
+    def one(path: str) -> tuple[str | None, str | None]:
+        try:
+            with _raw(path) as f:
+                return hashlib.file_digest(f, "sha256").hexdigest(), None
+        except FAULTS as why:
+            return None, f"{type(why).__name__}: {why}"
+
+    for f in frames:
+        got = [(None, e) if isinstance(e, str) else one(p) for p, e in zip(f["path"], f["error"], strict=True)]
+        yield f.assign(sha256=[x for x, _ in got], error=[e for _, e in got])
+
+
+def hashed_files(listing: DataFrame) -> DataFrame:
+    """path, name, length, error, sha256 of listed files (path, name, length, error), dealt over tasks and read once; without a hash they have an error."""
+    spark = listing.sparkSession
+    dealt = listing.select("path", "name", "length", "error").repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    return dealt.mapInPandas(_hashed, "path string, name string, length long, error string, sha256 string")
+
+
 def _probe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Adds the fault met on reading: first and last byte, packed files to their end."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from dockgrid.sources.files import checked_files, list_files
+from dockgrid.sources.files import checked_files, hashed_files, list_files
 from dockgrid.storage import settle
 
 C = F.col
@@ -162,9 +162,15 @@ def write_region_json(regions: DataFrame, path: str) -> None:
 
 
 def verify_checksums(spark: SparkSession, path: str, expected: DataFrame) -> DataFrame:
-    """expected: name, sha256. name, sha256 found, ok for each expected file."""
-    got = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("found"))
-    return expected.join(got, "name", "left").select("name", "sha256", "found", F.coalesce(C("sha256") == C("found"), F.lit(False)).alias("ok"))
+    """expected: name, sha256. name, sha256, found, ok for each expected file, one row each.
+
+    ok: some file of the name below path has the hash, and found is that; otherwise found is the smallest hash of the name, if any. Files
+    are listed and hashed in tasks. Names that many files share are never paired with each other.
+    """
+    got = settle(hashed_files(list_files(spark, path)).filter("sha256 IS NOT NULL").select("name", C("sha256").alias("found")).distinct(), "hashes")
+    first = got.groupBy("name").agg(F.min("found").alias("_first"))
+    both = expected.join(got.withColumn("sha256", C("found")), ["name", "sha256"], "left").join(first, "name", "left")
+    return both.select("name", "sha256", F.coalesce("found", "_first").alias("found"), C("found").isNotNull().alias("ok"))
 
 
 def drop_bad_sources(spark: SparkSession, path: str, suffix: str | None = None) -> tuple[DataFrame, DataFrame]:

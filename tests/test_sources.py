@@ -97,6 +97,20 @@ def test_checksums(spark, tmp_path):
     assert {r["name"]: r["ok"] for r in structures.verify_checksums(spark, str(tmp_path / "d"), want).collect()} == {"a": True, "b": False}
 
 
+def test_checksums_of_names_that_many_files_share(spark, tmp_path):
+    """One row an expected file, however many files have its name; hidden and unreadable files are none."""
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    for k in range(40):
+        (tmp_path / "d" / f"f{k}").mkdir(parents=True)
+        (tmp_path / "d" / f"f{k}" / "p").write_bytes(b"x" * (k // 2))
+    (tmp_path / "d" / "_h").write_bytes(b"")
+    (tmp_path / "d" / "q").symlink_to(tmp_path / "nowhere")
+    want = [("p", sha(b"x" * k)) for k in range(20)] + [("p", "00"), ("q", "00"), ("_h", sha(b""))]
+    got = structures.verify_checksums(spark, str(tmp_path / "d"), spark.createDataFrame(want, "name string, sha256 string")).collect()
+    least = min(h for n, h in want[:20])
+    assert sorted(map(tuple, got), key=str) == sorted([(n, h, h, True) for n, h in want[:20]] + [("p", "00", least, False), ("q", "00", None, False), ("_h", sha(b""), None, False)], key=str)
+
+
 def test_metrics_and_process_logs(spark, tmp_path):
     (tmp_path / "sys_metrics_a_12345_1_host.csv").write_text("timestamp,cpu_total_pct,load1\n2024-01-01T00:00:00.500,10.5,x\n,3,1\n")
     (tmp_path / "gpu_metrics_a_12345_1_host.csv").write_text("timestamp,util\n2024-01-01T00:00:02.000,7\n")
