@@ -20,7 +20,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from dockgrid.functions import fixed
-from dockgrid.storage import settle, stay_dealt
+from dockgrid.storage import settle, settle_dealt, stay_dealt
 
 C = F.col
 
@@ -341,15 +341,25 @@ def sasa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, by_chain: bool
     return exposed_arcs(atoms, probe, slices, by_chain, with_arcs=False).select("graph_id", "chain", "serial", "res_seq", "res_name", "area")
 
 
-def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float = 5.0) -> DataFrame:
-    """Buried area of contact residues: chain alone minus complex."""
+def areas(atoms: DataFrame, probe: float = 1.4, slices: int = 20) -> DataFrame:
+    """What bsa and residue_depth read as their surface, found in one pass and written: atoms with r, alone and area, dealt by molecule."""
+    return settle_dealt(_surfaces(atoms, probe, slices, ("alone", "area")), "areas", by="graph_id")
+
+
+def bsa(atoms: DataFrame, probe: float = 1.4, slices: int = 20, cutoff: float = 5.0, touching: DataFrame | None = None, surface: DataFrame | None = None) -> DataFrame:
+    """Buried area of contact residues: chain alone minus complex.
+
+    touching: the contact residues (graph_id, chain, res_seq, res_name), if they are known; surface: areas of the atoms, if they are.
+    """
     res = ["graph_id", "chain", "res_seq", "res_name"]
-    atoms = _dealt(atoms)
-    # Both ends of a pair in one pass over the pairs.
-    pairs = contact_pairs(atoms, cutoff, ident="res_seq", keep=("res_name",))
-    ends = F.explode(F.array(*[F.struct(F.lit(side).alias("chain"), C(f"{p}_res_seq").alias("res_seq"), C(f"{p}_res_name").alias("res_name")) for p, side in (("l", "A"), ("r", "B"))]))
-    touching = settle(pairs.select("graph_id", ends.alias("end")).select("graph_id", "end.*").distinct(), "touching", by="graph_id")
-    both = _surfaces(atoms, probe, slices, ("alone", "area")).join(touching, res, "left_semi")
+    if touching is None or surface is None:
+        atoms = _dealt(atoms)
+    if touching is None:
+        # Both ends of a pair in one pass over the pairs.
+        pairs = contact_pairs(atoms, cutoff, ident="res_seq", keep=("res_name",))
+        ends = F.explode(F.array(*[F.struct(F.lit(side).alias("chain"), C(f"{p}_res_seq").alias("res_seq"), C(f"{p}_res_name").alias("res_name")) for p, side in (("l", "A"), ("r", "B"))]))
+        touching = settle(pairs.select("graph_id", ends.alias("end")).select("graph_id", "end.*").distinct(), "touching", by="graph_id")
+    both = (surface if surface is not None else _surfaces(atoms, probe, slices, ("alone", "area"))).join(touching.select(*res), res, "left_semi")
     return both.groupBy(*res).agg((F.sum("alone") - F.sum("area")).alias("bsa"))
 
 
@@ -370,17 +380,20 @@ def _to_arc(a: Column) -> Column:
     return F.when(on, F.sqrt(F.pow(F.hypot(dx, dy) - a["rho"], 2) + rise * rise)).otherwise(F.least(end(a["s"]), end(a["e"])))
 
 
-def residue_depth(atoms: DataFrame, reach: float = 8.0, probe: float = 1.4, slices: int = 20) -> DataFrame:
+def residue_depth(atoms: DataFrame, reach: float = 8.0, probe: float = 1.4, slices: int = 20, surface: DataFrame | None = None) -> DataFrame:
     """Mean over a residue's atoms of the distance to the graph's nearest exposed arc, however far; null where a graph has none.
 
+    surface: areas of the atoms, if they are known.
+
     The surface lies in no sphere, so an atom with an arc of its own is as deep as its extended radius. For the buried ones the
     spheres within reach are asked, and within twice the reach as long as something nearer could be beyond it. Only spheres that are
     asked have their arcs made, and these are not written.
     """
     key = ["graph_id", "serial"]
-    surface = settle(_surfaces(atoms, probe, slices, ("area",)).select(*key, "chain", "res_seq", "res_name", "x", "y", "z", "r", (C("area") > 0).alias("shown")), "surface")
+    kept = (*key, "chain", "res_seq", "res_name", "x", "y", "z", "r", (C("area") > 0).alias("shown"))
+    surface = surface.select(*kept) if surface is not None else settle_dealt(_surfaces(atoms, probe, slices, ("area",)).select(*kept), "surface", by="graph_id")
     buried = surface.filter("NOT shown").select(*key, "x", "y", "z")
-    left = settle(buried.join(surface.filter("shown").select("graph_id").distinct(), "graph_id", "left_semi"), "buried")
+    left = settle_dealt(buried.join(surface.filter("shown").select("graph_id").distinct(), "graph_id", "left_semi"), "buried", by="graph_id")
     depths = [surface.select(*key, C("r").alias("d")).limit(0)]
     if not left.isEmpty():
         widest = surface.agg(F.max(F.when(C("shown").isNotNull(), C("r")))).first()[0]
@@ -393,7 +406,7 @@ def residue_depth(atoms: DataFrame, reach: float = 8.0, probe: float = 1.4, slic
             pairs = radius_join(left, arcs, reach)
             found = pairs.groupBy(C("l_graph_id").alias("graph_id"), C("l_serial").alias("serial")).agg(F.min(F.array_min(F.transform("r_arcs", _to_arc))).alias("d"))
             depths.append(settle(found.filter(C("d") <= reach - widest), "depth"))
-            left = settle(left.join(depths[-1], key, "left_anti"), "deeper")
+            left = settle_dealt(left.join(depths[-1], key, "left_anti"), "deeper", by="graph_id")
             reach *= 2
     # Shown atoms need no join: their depth is in their row.
     deep = reduce(DataFrame.unionByName, depths)

@@ -11,6 +11,7 @@ from pyspark.sql import Window, functions as F
 
 from dockgrid import storage
 from dockgrid.operators import cluster, energy, evaluate as ev, graph as gr, scoring, spatial as sp, telemetry as tl, workflow as wf
+from dockgrid.plans.interface_graphs import FIELD, build_graphs
 from dockgrid.storage import cleared
 from dockgrid.streaming import streams
 
@@ -218,6 +219,27 @@ def test_residue_pairs_move_each_atom_once(spark):
         assert moved and not any("cell_" in line or "d2" in line for line in moved)
 
 
+def test_surface_features_are_found_in_one_sweep(spark, monkeypatch):
+    """Buried areas and depths of a graph's nodes read one surface and no further contacts, and are what each gives alone."""
+    rng = np.random.default_rng(12)
+    rows = [("g", "AB"[k % 2], k % 13, ["ALA", "GLY"][k % 3 % 2], "CA", k, *map(float, rng.uniform(0, 9, 3))) for k in range(120)]
+    kinds = "graph_id string, chain string, res_seq int, res_name string, atom_name string, serial int, x double, y double, z double"
+    atoms = spark.createDataFrame(rows, kinds).withColumns({k: F.lit(0.5) for k in FIELD})
+    key = ["graph_id", "chain", "res_seq", "res_name"]
+    plain = lambda df: sorted((*r[:4], round(r[4], 9)) for r in df.collect())
+    alone = plain(sp.bsa(atoms)), plain(sp.residue_depth(atoms))
+    every = build_graphs(atoms, grain="residue", surface=True)
+    asked, sweep, contacts = [], sp._surfaces, []
+    monkeypatch.setattr(sp, "_surfaces", lambda *a: asked.append(a[3:]) or sweep(*a))
+    monkeypatch.setattr(sp, "contact_pairs", lambda *a, **k: contacts.append(a))
+    nodes = build_graphs(atoms, grain="residue", surface=True, with_edges=False)
+    both = [plain(x["nodes"].select(*key, k)) for k in ("bsa", "depth", "x", "node_idx") for x in (nodes, every)]
+    assert "edges" not in nodes and both[::2] == both[1::2] and both[0]
+    assert [a for a in asked if True not in a] == [(("alone", "area"),)] and not contacts
+    found = plain(nodes["nodes"].select(*key, "bsa")), plain(nodes["nodes"].select(*key, "depth"))
+    assert set(found[0]) <= set(alone[0]) and set(found[1]) <= set(alone[1])
+
+
 def test_chains_move_no_row_a_kmer(spark):
     """Sequences meet once, by key; a query longer than its target, repeats alone and keys without seeds or letters included."""
     rows = [("a", "TTACGTACCA", "ACGTACC"), ("b", "ACGACGACG", "ACGACG"), ("c", "AAAA", "CCCC"), ("d", None, "ACGT"), ("e", "ACG", "")]
