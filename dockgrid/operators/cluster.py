@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from dockgrid.operators.graph import pool_edges
+from dockgrid.operators.graph import pool_edges, whole_graphs
 from dockgrid.storage import settle
 
 C = F.col
@@ -94,30 +94,15 @@ def _attractors(graph: np.ndarray, a: np.ndarray, b: np.ndarray, inflation: floa
     raise RuntimeError(f"the matrix still changes after {most_rounds} rounds")
 
 
-def _graph_by_graph(run: Callable, least: int = 50_000):
-    """run on arrays of whole graphs, whose rows (graph_id, i, j) come together: at least so many rows at a time, if there are."""
-
-    def of(t: pa.Table) -> pa.RecordBatch:
-        names = t.column("graph_id").combine_chunks().dictionary_encode()
-        graph, node, found = run(np.asarray(names.indices), *(t.column(c).to_numpy() for c in "ij"))
-        kind = t.schema.field("i").type
-        return pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(graph)), pa.array(node, kind), pa.array(found, kind)], ["graph_id", "node", "cluster"])
+def _graph_by_graph(run: Callable):
+    """run on arrays of whole graphs, whose rows (graph_id, i, j) come together."""
 
     def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            if sum(b.num_rows for b in held) >= least:
-                t = pa.Table.from_batches(held)
-                graph = np.asarray(t.column("graph_id").combine_chunks().dictionary_encode().indices)
-                end = int(np.argmax(graph == graph[-1]))  # the last graph may go on
-                if end:
-                    yield of(t.slice(0, end))
-                held = t.slice(end).to_batches()
-        if held:
-            yield of(pa.Table.from_batches(held))
+        for t in whole_graphs(batches):
+            names = t.column("graph_id").combine_chunks().dictionary_encode()
+            graph, node, found = run(np.asarray(names.indices), *(t.column(c).to_numpy() for c in "ij"))
+            kind = t.schema.field("i").type
+            yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(graph)), pa.array(node, kind), pa.array(found, kind)], ["graph_id", "node", "cluster"])
 
     return call
 

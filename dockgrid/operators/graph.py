@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dockgrid.functions import fixed
@@ -11,6 +14,24 @@ from dockgrid.functions import fixed
 C = F.col
 
 
+def whole_graphs(batches: Iterator[pa.RecordBatch], least: int = 50_000) -> Iterator[pa.Table]:
+    """Tables of whole graphs from batches in which the rows of a graph_id come together: at least so many rows each, if there are."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= least:
+            t = pa.Table.from_batches(held)
+            graph = np.asarray(t.column("graph_id").combine_chunks().dictionary_encode().indices)
+            end = int(np.argmax(graph == graph[-1]))  # the last graph may go on
+            if end:
+                yield t.slice(0, end)
+            held = t.slice(end).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def valid_nodes(atoms: DataFrame, contacts: DataFrame) -> DataFrame:
     """Atoms that are nodes: ends of contacts (graph_id, l_serial, r_serial) with a valid residue and a listed atom name.
 

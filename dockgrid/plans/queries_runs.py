@@ -11,7 +11,7 @@ from dockgrid.plans import views as v
 from dockgrid.plans.interface_graphs import build_graphs
 from dockgrid.plans.queries import INTERNAL, NODES, query
 from dockgrid.sources import structures, tables
-from dockgrid.storage import new_path
+from dockgrid.storage import new_path, settle_dealt
 from dockgrid.streaming import streams
 
 C = F.col
@@ -620,7 +620,8 @@ def j5_two_branch_scores(spark, d):
     """Contacts between chains and pairs within them are the branches; residues and chains are the depths of pooling."""
     from dockgrid.operators.spatial import contact_pairs, internal_pairs
 
-    a = v.atoms(spark, d)
+    # Read by nodes, clusters and both kinds of pairs: dealt once.
+    a = settle_dealt(v.atoms(spark, d).select("graph_id", "serial", "chain", "res_seq", "atom_name", "x", "y", "z", "charge", "eps", "sigma"), "atoms", by="graph_id")
     nodes = a.select("graph_id", C("serial").alias("node"), F.array("charge", "eps", "sigma").alias("f"), F.array(*[C(k).cast("double") for k in "xyz"]).alias("x"))
     clusters = a.select("graph_id", C("serial").alias("node"), F.concat_ws(":", "chain", "res_seq").alias("depth_0"), C("chain").alias("depth_1"))
     outer, inner = (gr.symmetrise(e.select("graph_id", C("l_serial").alias("src"), C("r_serial").alias("dst"), F.array(F.sqrt("d2")).alias("f"))) for e in (contact_pairs(a), internal_pairs(a, 3.0)))
